@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from tidemark import fixed
 from tidemark.functions.text import strip
 
-MAX_NESTING = 8
+# Objects nested deeper than this stay JSON text under their dotted path.
+MAX_NESTING = 5
 
 
 def _is_object(value: Column) -> Column:
@@ -55,11 +56,8 @@ def _open_nested(entries: Column) -> Column:
     return F.flatten(F.transform(entries, open_entry))
 
 
-def _flatten(fields: Column) -> Column:
-    """A map of top-level variants as a map of dotted paths to text."""
-    entries = F.map_entries(fields)
-    for _ in range(MAX_NESTING):
-        entries = _open_nested(entries)
+def _entries_to_map(entries: Column) -> Column:
+    """Opened entries as a map of dotted path to text; a repeated path keeps its last."""
     last_of_each = F.filter(
         entries,
         lambda e, i: ~F.exists(
@@ -101,11 +99,25 @@ def with_parsed(df: DataFrame, source: str) -> DataFrame:
     )
 
 
-def attribute_map(fields: Column) -> Column:
-    """``attrs`` from the top-level fields; opens nested objects when there are any."""
-    nested = F.exists(F.map_values(fields), _is_object)
-    flat = F.transform_values(fields, lambda _, v: _stored_text(v))
-    return F.when(nested, _flatten(fields)).otherwise(flat)
+def with_attribute_map(parsed: DataFrame) -> DataFrame:
+    """Add ``attrs`` from the top-level fields, opening nested objects if any.
+
+    The opened entries are a column of their own, and null for the usual flat
+    object, so that nothing is opened twice.
+    """
+    nested = F.exists(F.map_values("_fields"), _is_object)
+    entries = F.map_entries("_fields")
+    for _ in range(MAX_NESTING):
+        entries = _open_nested(entries)
+    flat = F.transform_values("_fields", lambda _, v: _stored_text(v))
+    return (
+        parsed.withColumn("_entries", F.when(nested, entries))
+        .withColumn(
+            "attrs",
+            F.when(F.col("_entries").isNotNull(), _entries_to_map(F.col("_entries"))).otherwise(flat),
+        )
+        .drop("_entries")
+    )
 
 
 def enabled_columns(categories: Iterable[str] | None) -> set[str]:
@@ -134,14 +146,13 @@ def with_attributes(
     retain_raw: bool = True,
 ) -> DataFrame:
     """Parse ``source`` into ``attrs``, the lifted columns and the raw archive."""
-    parsed = with_parsed(df, source)
+    parsed = with_attribute_map(with_parsed(df, source))
     lifted = lifted_columns(
         lambda key: _lifted_text(F.element_at("_fields", F.lit(key))), categories=categories
     )
     raw = F.when(F.size("_fields") > 0, F.to_json("_obj")) if retain_raw else F.lit(None)
     return parsed.withColumns(
         {
-            "attrs": attribute_map(F.col("_fields")),
             **lifted,
             fixed.RAW_ATTRIBUTES_COLUMN: raw.cast("string"),
         }

@@ -212,7 +212,7 @@ def q_event_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @check("""
 SELECT event_id, epoch_us(ts) // 1000 AS eventDate FROM events
-WHERE epoch_us(ts) // 1000 >= 1704844800 * 1000 ORDER BY ts, event_id LIMIT 2000
+WHERE epoch_us(ts) // 1000 >= 1704844800000 ORDER BY ts, event_id LIMIT 2000
 """)
 def q_since_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events").select("event_id", millis("ts").alias("eventDate"), F.struct("ts", "event_id").alias("_ord"))
@@ -943,7 +943,7 @@ def q_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stored_without_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = attributes.with_attributes(attribute_events(spark, sf_dir), categories=[], retain_raw=False)
-    done = F.when(F.col("event_id") % 10 == 0, "{}")
+    done = F.when(F.col("id") % 10 == 0, "{}")
     return rows.select(F.col("event_id").alias("id"), millis("ts").alias("eventDate"), "attrs", *fixed.ATTRIBUTE_COLUMNS.values()).withColumn(fixed.RAW_ATTRIBUTES_COLUMN, done)
 
 
