@@ -101,6 +101,17 @@ WIDE_ATTRIBUTES = {
     "COMMENT_ID": "commentId",
 }
 
+# --- The 59 columns of the wide audit table, in published order --------------
+WIDE_COLUMNS = [
+    "LOAD_ID", "BATCH_ID", "AUDIT_ID", "EVENT_DATE", "EVENT_TIMEZONE", "CREATED_DATE",
+    "CREATE_TIMEZONE", "EVENT_ID", "EVENT_MESSAGE", "ASSOCIATED_OBJECT_ID", "NOTES", "USER_ID",
+    "USER_NAME", "DISPLAY_NAME", "TENANT_ID", "TENANT_NAME", "WORKSPACE_ID", "WORKSPACE_NAME",
+    "MODEL_ID", "MODEL_NAME", "OBJECT_ID", "OBJECT_TYPE", "OBJECT_NAME", "MESSAGE", "SUCCESS",
+    "ERROR_NUMBER", "IP_ADDRESS", "USER_AGENT", "SESSION_ID", "HOST_NAME", "SERVICE_VERSION",
+    "OBJECT_TYPE_ID", "OBJECT_TENANT_ID", "ACTION_ID", "ACTION_NAME", *WIDE_ATTRIBUTES,
+    "EVENT_CATEGORY", "CHECKSUM",
+]
+
 # --- Catalogue of event codes ------------------------------------------------
 CATALOG_COLUMNS = ["Event Code", "Event Message", "Associated Object ID", "Notes"]
 MAX_EVENT_NAME_LENGTH = 60

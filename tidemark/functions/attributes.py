@@ -16,7 +16,7 @@ from tidemark import fixed
 from tidemark.functions.text import strip
 
 # Objects nested deeper than this stay JSON text under their dotted path.
-MAX_NESTING = 5
+MAX_NESTING = 20
 
 
 def _is_object(value: Column) -> Column:
@@ -56,17 +56,30 @@ def _open_nested(entries: Column) -> Column:
     return F.flatten(F.transform(entries, open_entry))
 
 
+def _open_all(entries: Column) -> Column:
+    """Open entries level by level until none holds an object."""
+    return F.reduce(
+        F.sequence(F.lit(1), F.lit(MAX_NESTING)),
+        entries,
+        lambda opened, _: F.when(
+            F.exists(opened, lambda e: _is_object(e["value"])), _open_nested(opened)
+        ).otherwise(opened),
+    )
+
+
 def _entries_to_map(entries: Column) -> Column:
     """Opened entries as a map of dotted path to text; a repeated path keeps its last."""
+    paths = F.transform(entries, lambda e: e["key"])
     last_of_each = F.filter(
         entries,
         lambda e, i: ~F.exists(
             F.slice(entries, i + F.lit(2), F.size(entries)), lambda x: x["key"] == e["key"]
         ),
     )
+    unique = F.when(F.size(F.array_distinct(paths)) == F.size(paths), entries).otherwise(last_of_each)
     return F.map_from_entries(
         F.transform(
-            last_of_each,
+            unique,
             lambda e: F.struct(e["key"].alias("key"), _stored_text(e["value"]).alias("value")),
         )
     )
@@ -106,12 +119,9 @@ def with_attribute_map(parsed: DataFrame) -> DataFrame:
     object, so that nothing is opened twice.
     """
     nested = F.exists(F.map_values("_fields"), _is_object)
-    entries = F.map_entries("_fields")
-    for _ in range(MAX_NESTING):
-        entries = _open_nested(entries)
     flat = F.transform_values("_fields", lambda _, v: _stored_text(v))
     return (
-        parsed.withColumn("_entries", F.when(nested, entries))
+        parsed.withColumn("_entries", F.when(nested, _open_all(F.map_entries("_fields"))))
         .withColumn(
             "attrs",
             F.when(F.col("_entries").isNotNull(), _entries_to_map(F.col("_entries"))).otherwise(flat),

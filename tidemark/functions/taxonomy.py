@@ -7,8 +7,9 @@ from itertools import chain
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark import fixed
+from tidemark import fixed, schemas
 from tidemark.functions.text import WHITESPACE, sql_text, strip
+from tidemark.session import literal_table
 
 
 def _prefix(code: Column) -> Column:
@@ -38,7 +39,7 @@ def category_seed(spark: SparkSession) -> DataFrame:
     names = {code: name for code, name in fixed.CATEGORY_BY_PREFIX.values()}
     names[fixed.UNCATEGORIZED[0]] = fixed.UNCATEGORIZED[1]
     rows = [(code, names[code], fixed.CATEGORY_ROOT) for code in fixed.CATEGORY_LIST_ORDER]
-    return spark.createDataFrame(rows, "Code string, Name string, Parent string")
+    return literal_table(spark, rows, schemas.CATEGORY_SEED)
 
 
 def register_sql_functions(spark: SparkSession) -> None:

@@ -9,6 +9,7 @@ from tidemark import fixed
 from tidemark.functions.taxonomy import event_parent_name
 from tidemark.functions.text import epoch_ms_text, flag, load_id
 from tidemark.operators.joins import lookup
+from tidemark.session import stage
 
 
 def object_dimension(models: DataFrame, integrations: DataFrame, users: DataFrame) -> DataFrame:
@@ -77,8 +78,15 @@ def wide_audit(
     tenant_name: str,
     batch_ms: int,
 ) -> DataFrame:
-    """Join stored events to their dimensions; one output row per match."""
-    attr = lambda key: F.element_at("attrs", key)
+    """Join stored events to their dimensions; one output row per match.
+
+    The combined object dimension is written out first: its size is then known
+    before the events are planned, and they are only shuffled for it when it is
+    too large to broadcast.
+    """
+    def attr(key: str) -> Column:
+        return F.element_at("attrs", key)
+
     needed = {"workspaceId": "_ws_id", "modelId": "_model_id", "actionId": "_action_id"}
     facts = events.withColumns({out: attr(key) for key, out in needed.items()})
     spread = F.col("id")
@@ -89,7 +97,7 @@ def wide_audit(
     rows = joined(facts, users, F.col("userId"), F.col("id"), {"userName": "_u_name", "displayName": "_u_display"})
     rows = joined(rows, workspaces, F.col("_ws_id"), F.col("id"), {"name": "_ws_name"})
     rows = joined(rows, models, F.col("_model_id"), F.col("id"), {"name": "_model_name"})
-    objects = object_dimension(models, integrations, users)
+    objects = stage(object_dimension(models, integrations, users), "objects")
     rows = joined(rows, objects, F.upper("objectId"), F.col("_okey"), {c: c for c in objects.columns if c != "_okey"})
     rows = joined(
         rows, catalog, F.col("eventTypeId"), F.col("Event Code"),
@@ -142,4 +150,4 @@ def wide_audit(
         "EVENT_CATEGORY": event_parent_name(F.col("eventTypeId")),
         "CHECKSUM": F.col("checksum"),
     }
-    return rows.select(*[c.alias(name) for name, c in columns.items()])
+    return rows.select(*[columns[name].alias(name) for name in fixed.WIDE_COLUMNS])

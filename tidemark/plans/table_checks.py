@@ -17,7 +17,7 @@ from tidemark.functions import attributes, rules, taxonomy, text
 from tidemark.operators import backfill, catalog, joins, lists, normalize, ordinals, retention, unmatched, upsert
 from tidemark.plans import audit, history
 from tidemark.plans.events import EventStore, prepare_events
-from tidemark.session import configure, shared_dir, stage
+from tidemark.session import configure, empty_table, literal_table, shared_dir
 from tidemark.sources import pages, publish
 from tidemark.sources.exports import read_exports
 from tidemark.sources.snapshots import SnapshotTable, by_bucket
@@ -131,7 +131,7 @@ def integrations_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 def code_table(spark: SparkSession) -> DataFrame:
     rows = [("USR-1", "User created", "The user", "note 1"), ("INT-2", "Integration run", "The integration", "note 2"),
             ("AUTHZ-4", "Role changed", "The role", "note 4")]
-    return spark.createDataFrame(rows, schemas.CATALOG)
+    return literal_table(spark, rows, schemas.CATALOG)
 
 
 _ERROR_ATTRS = ",\n ".join(
@@ -302,7 +302,7 @@ def q_meta_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
         tagged("M", "p_partkey").alias("id"), F.col("p_name").alias("name"), F.col("p_size").alias("memoryUsage"),
         F.create_map(F.lit("k"), F.col("p_brand")).alias("categoryValues"), tagged("W", F.col("p_size") % 25).alias("workspaceId"),
     )
-    empty = spark.createDataFrame([], schemas.MODELS)
+    empty = empty_table(spark, schemas.MODELS)
     shaped = empty.unionByName(normalize.to_schema(rows, schemas.MODELS), allowMissingColumns=True)
     return shaped.select(
         "id", "name", "workspaceId", "memoryUsage", F.col("modelUrl").isNull().alias("url_missing"),
@@ -884,7 +884,7 @@ def q_unmatched_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     bucket = F.col("o_orderkey") % 50
     run1 = unmatched.unmatched_counts(rows.where((F.year("o_orderdate") < 1995) & (bucket < 30)))
     run2 = unmatched.unmatched_counts(rows.where((F.year("o_orderdate") >= 1995) & (bucket >= 10)))
-    empty = spark.createDataFrame([], schemas.UNMATCHED)
+    empty = empty_table(spark, schemas.UNMATCHED)
     return unmatched.merge_unmatched(unmatched.merge_unmatched(empty, run1, RUN_1), run2, RUN_2)
 
 

@@ -85,6 +85,7 @@ INTEGRATIONS = _strings(
 )
 CATALOG = _strings(*fixed.CATALOG_COLUMNS)
 CATEGORY_SEED = _strings("Code", "Name", "Parent")
+EMPTY_LIST = _strings("code", "name")
 
 HISTORY = _strings(*fixed.HISTORY_COLUMNS)
 HISTORY_LIST = _strings("record_id", "model_id", "date_time_utc")

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Set on every session the library works with. Joins carry no broadcast hints:
 # the optimizer broadcasts a side only when its size is under
@@ -20,6 +23,14 @@ RUNTIME_CONF = {
     "spark.sql.caseSensitive": "false",
 }
 
+# Only taken up by a JVM that is not running yet. A wide projection compiles to
+# one method larger than the JIT takes by default, and then runs interpreted.
+JVM_OPTIONS = "-XX:-DontCompileHugeMethods"
+LAUNCH_CONF = {
+    "spark.driver.extraJavaOptions": JVM_OPTIONS,
+    "spark.executor.extraJavaOptions": JVM_OPTIONS,
+}
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to an existing session."""
@@ -37,7 +48,7 @@ def build_session(
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for name, value in {**RUNTIME_CONF, **(conf or {})}.items():
+    for name, value in {**RUNTIME_CONF, **LAUNCH_CONF, **(conf or {})}.items():
         builder = builder.config(name, value)
     return configure(builder.getOrCreate())
 
@@ -67,3 +78,17 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = shared_dir(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """No rows, and known to be small, so that joins with it need no shuffle."""
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+def literal_table(spark: SparkSession, rows: Sequence[Sequence], schema: T.StructType) -> DataFrame:
+    """A few fixed rows as part of the plan, hence known to be small."""
+    structs = [
+        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, schema.fields, strict=True)])
+        for row in rows
+    ]
+    return spark.range(1).select(F.inline(F.array(*structs))) if rows else empty_table(spark, schema)

@@ -11,17 +11,23 @@ import csv
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark import fixed
 from tidemark.functions.text import record_id, strip
 from tidemark.operators.ordinals import number_file_rows, with_source_position
-from tidemark.session import stage
+from tidemark.session import literal_table, stage
 
 # Columns that come from the export itself, by position of their header.
 SOURCE_COLUMNS = [
     c for c in fixed.HISTORY_COLUMNS
     if c not in ("record_id", "model_id", "captured_at", "change_type", "object_type")
 ]
+LAYOUT = T.StructType([
+    T.StructField("header", T.StringType()),
+    T.StructField("_tabbed", T.BooleanType()),
+    T.StructField("_at", T.ArrayType(T.IntegerType())),
+])
 
 
 def delimiter_of(header_line: str) -> str:
@@ -67,7 +73,7 @@ def _layouts(spark: SparkSession, lines: DataFrame) -> tuple[DataFrame, int]:
         chosen = resolve_header(names)
         width = max(width, len(names))
         layouts.append((row["header"], sep == "\t", [chosen.get(c, -1) for c in SOURCE_COLUMNS]))
-    resolved = spark.createDataFrame(layouts, "header string, _tabbed boolean, _at array<int>")
+    resolved = literal_table(spark, layouts, LAYOUT)
     return file_headers.join(resolved, "header").drop("header"), width
 
 

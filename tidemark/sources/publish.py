@@ -10,6 +10,7 @@ from tidemark import fixed, schemas
 from tidemark.functions.text import epoch_s_iso
 from tidemark.operators import lists
 from tidemark.operators.ordinals import number_rows
+from tidemark.session import empty_table
 
 # Null and empty text both print as nothing; quotes are doubled; blanks stay.
 CSV_OPTIONS = {
@@ -84,7 +85,7 @@ def publish_lists(
         if category not in enabled or not names.get(name):
             continue
         rows = found.get(name)
-        write_csv(rows if rows is not None else spark.createDataFrame([], "code string, name string"), f"{folder}/{names[name]}")
+        write_csv(empty_table(spark, schemas.EMPTY_LIST) if rows is None else rows, f"{folder}/{names[name]}")
         written.append(name)
     return written
 

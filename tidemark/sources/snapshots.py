@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.upsert import merge_rows
-from tidemark.session import stage
+from tidemark.session import empty_table, stage
 from tidemark.sources import paths
 
 NO_PART = "all"
@@ -84,7 +84,7 @@ class SnapshotTable:
     def _read(self, held: dict[str, list[str]], wanted) -> DataFrame:
         folders = [f"{self.path}/data/{f}" for p in wanted for f in held[p]]
         if not folders:
-            return self.spark.createDataFrame([], self.schema)
+            return empty_table(self.spark, self.schema)
         return self.spark.read.schema(self.schema).parquet(*folders)
 
     # -- writing ----------------------------------------------------------
