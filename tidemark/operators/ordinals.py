@@ -17,7 +17,10 @@ FILE_COLUMNS = ["_file", "_block"]
 
 
 def with_source_position(df: DataFrame) -> DataFrame:
-    """Add file, split start and in-task row number; call right after the scan."""
+    """Add file, split start and in-task row number.
+
+    Call on a scan that is already filtered: numbers must have no gaps.
+    """
     return df.withColumns(
         {
             "_file": F.col("_metadata.file_path"),

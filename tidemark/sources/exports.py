@@ -98,7 +98,8 @@ def read_exports(spark: SparkSession, path: str, captured_at: str) -> DataFrame:
         spark.read.schema("value string, workspace_id string, model_id string")
         .option("pathGlobFilter", "*.*sv").text(path)
     )
-    lines = stage(with_source_position(text).where(strip(F.col("value")) != ""), "export-lines")
+    # Blank lines are no rows, so they go before positions are given out.
+    lines = stage(with_source_position(text.where(strip(F.col("value")) != "")), "export-lines")
     layouts, width = _layouts(spark, lines)
     numbered = number_file_rows(lines, "_ordinal", start=-1).where("_ordinal >= 0")
     split = numbered.join(layouts, "_file").withColumn("_fields", _fields(width))
