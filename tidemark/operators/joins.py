@@ -36,7 +36,9 @@ def lookup(
     if spread_by is not None:
         spread = F.pmod(F.xxhash64(spread_by), F.lit(NULL_KEY_SPREAD)).cast("int")
         keyed = keyed.withColumn("_fspread", F.when(F.col("_fkey").isNull(), spread).otherwise(0))
-        side = side.withColumn("_dspread", F.lit(0))
+        # Always 0, but not a literal: that would turn this into a filter and
+        # leave only the null key to hash on.
+        side = side.withColumn("_dspread", F.pmod(F.xxhash64("_dkey"), F.lit(1)).cast("int"))
         condition = condition & (F.col("_fspread") == F.col("_dspread"))
     return keyed.join(side, condition, "left").drop("_fkey", "_dkey", "_fspread", "_dspread")
 

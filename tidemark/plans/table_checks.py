@@ -751,10 +751,15 @@ def change_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def land_exports(spark: SparkSession, sf_dir: str) -> str:
-    """Write the orders as one export per model: tabs and a full header, or commas and a short one."""
+    """Write the orders as exports: tabs and a full header, or commas and a short one.
+
+    A file holds one model's rows of one key range, so that none can grow large.
+    """
     folder = shared_dir(spark, "exports")
-    rows = change_orders(spark, sf_dir).withColumns({"workspace_id": F.lit("w1"), "model": F.col("o_custkey") % 40})
-    rows = rows.withColumn("model_id", tagged("m", "model")).repartition("model_id").sortWithinPartitions("model_id", "o_orderkey")
+    rows = change_orders(spark, sf_dir).withColumns({
+        "workspace_id": tagged("w", F.floor(F.col("o_orderkey") / 50000)), "model": F.col("o_custkey") % 40})
+    keys = ["workspace_id", "model_id"]
+    rows = rows.withColumn("model_id", tagged("m", "model")).repartition(*keys).sortWithinPartitions(*keys, "o_orderkey")
     when = F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")
     full = rows.where("model % 2 = 0").select(
         F.col("o_orderkey").alias("ID"), when.alias("Date/Time (UTC)"), tagged("user ", "o_custkey").alias("USER"), F.col("description").alias("Description"),
@@ -776,7 +781,7 @@ LABELS_SQL = """CASE WHEN description = 'Add List' THEN 'Add List' WHEN regexp_f
 
 EXPORT_SQL = f"""WITH o AS (SELECT *, o_custkey % 40 AS model, {DESCRIPTION_SQL} AS description FROM orders),
 n AS (SELECT *, 'm' || model AS model_id, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS date_time_utc, 'user ' || o_custkey AS usr,
- row_number() OVER (PARTITION BY model ORDER BY o_orderkey) - 1 AS ordinal FROM o)
+ row_number() OVER (PARTITION BY model, o_orderkey // 50000 ORDER BY o_orderkey) - 1 AS ordinal FROM o)
 """
 
 

@@ -82,7 +82,7 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 
 def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
     """No rows, and known to be small, so that joins with it need no shuffle."""
-    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return spark.range(0, 0, 1, 1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def literal_table(spark: SparkSession, rows: Sequence[Sequence], schema: T.StructType) -> DataFrame:
@@ -91,4 +91,4 @@ def literal_table(spark: SparkSession, rows: Sequence[Sequence], schema: T.Struc
         F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, schema.fields, strict=True)])
         for row in rows
     ]
-    return spark.range(1).select(F.inline(F.array(*structs))) if rows else empty_table(spark, schema)
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs))) if rows else empty_table(spark, schema)

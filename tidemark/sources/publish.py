@@ -98,7 +98,7 @@ def publish_history(registry: DataFrame, listing: DataFrame, normalized: DataFra
 
 def last_run(spark: SparkSession, epoch_seconds: int) -> DataFrame:
     """The watermark as one row: epoch seconds and ISO text."""
-    one = spark.range(1).select(F.lit(epoch_seconds).cast("long").alias("last_run_epoch"))
+    one = spark.range(0, 1, 1, 1).select(F.lit(epoch_seconds).cast("long").alias("last_run_epoch"))
     return one.withColumn("last_run_utc", epoch_s_iso(F.col("last_run_epoch")))
 
 
