@@ -15,9 +15,6 @@ from pyspark.sql import functions as F
 from tidemark import fixed
 from tidemark.functions.text import strip
 
-# Objects nested deeper than this stay JSON text under their dotted path.
-MAX_NESTING = 20
-
 
 def _is_object(value: Column) -> Column:
     return F.schema_of_variant(value).startswith("OBJECT<")
@@ -34,11 +31,11 @@ def _stored_text(value: Column) -> Column:
     )
 
 
-def _lifted_text(value: Column) -> Column:
-    """Scalar text as stored in a named column: booleans are True/False."""
-    return F.when(_is_boolean(value), F.initcap(value.cast("string"))).otherwise(
-        value.cast("string")
-    )
+def _lifted_text(key: str) -> Column:
+    """Top-level value as stored in a named column: booleans are True/False."""
+    text = F.element_at("_text", F.lit(key))
+    flag = F.col("_fields").isNotNull() & _is_boolean(F.element_at("_fields", F.lit(key)))
+    return F.when(flag, F.initcap(text)).otherwise(text)
 
 
 def _open_nested(entries: Column) -> Column:
@@ -56,10 +53,10 @@ def _open_nested(entries: Column) -> Column:
     return F.flatten(F.transform(entries, open_entry))
 
 
-def _open_all(entries: Column) -> Column:
+def _open_all(entries: Column, levels: Column) -> Column:
     """Open entries level by level until none holds an object."""
     return F.reduce(
-        F.sequence(F.lit(1), F.lit(MAX_NESTING)),
+        F.sequence(F.lit(1), levels),
         entries,
         lambda opened, _: F.when(
             F.exists(opened, lambda e: _is_object(e["value"])), _open_nested(opened)
@@ -86,45 +83,60 @@ def _entries_to_map(entries: Column) -> Column:
 
 
 def with_parsed(df: DataFrame, source: str) -> DataFrame:
-    """Add ``_obj`` (the parsed object or null) and ``_fields`` (its top level).
+    """Parse a JSON object text; blank, malformed and other texts give null.
+
+    Adds ``_obj`` (the object), ``_text`` (its top level as text), ``_fields``
+    (its top level with types) and ``_braces`` (which bounds its nesting).
+    ``_fields`` is only there when the source text can hold a boolean or a
+    nested object, the two kinds whose stored form depends on the type; most
+    rows need just the plain text.
 
-    Blank, malformed and non-object texts give null; nothing raises. The text
-    is parsed as the only element of an array, so that anything after the
-    object makes it malformed. Each step is its own projection: the optimizer
-    keeps them apart because the parse is used more than once.
+    The text is parsed as the only element of an array, so that anything after
+    the object makes it malformed. Each step is its own projection: the
+    optimizer keeps them apart because the parse is used more than once.
     """
-    body = strip(F.col(source))
+    body = F.col("_body")
+    braces = F.length(body) - F.length(F.replace(body, F.lit("{")))
+    typed = (
+        (F.col("_braces") > 1) | F.contains(body, F.lit("true")) | F.contains(body, F.lit("false"))
+    )
+    is_object = body.startswith("{") & body.endswith("}")
     return (
-        df.withColumn(
-            "_list", F.when(body.endswith("}"), F.try_parse_json(F.concat(F.lit("["), body, F.lit("]"))))
-        )
-        .withColumn("_first", F.try_variant_get("_list", "$[0]", "variant"))
+        df.withColumn("_body", strip(F.col(source)))
+        .withColumn("_braces", braces)
+        .withColumn("_list", F.when(is_object, F.try_parse_json(F.concat(F.lit("["), body, F.lit("]")))))
         .withColumn(
             "_obj",
             F.when(
-                _is_object(F.col("_first"))
-                & F.try_variant_get("_list", "$[1]", "variant").isNull(),
-                F.col("_first"),
+                F.try_variant_get("_list", "$[1]", "variant").isNull(),
+                F.try_variant_get("_list", "$[0]", "variant"),
             ),
         )
-        .withColumn("_fields", F.col("_obj").cast("map<string,variant>"))
-        .drop("_list", "_first")
+        .withColumns(
+            {
+                "_text": F.col("_obj").cast("map<string,string>"),
+                "_fields": F.when(typed, F.col("_obj").cast("map<string,variant>")),
+            }
+        )
+        .drop("_body", "_list")
     )
 
 
 def with_attribute_map(parsed: DataFrame) -> DataFrame:
-    """Add ``attrs`` from the top-level fields, opening nested objects if any.
+    """Add ``attrs``, opening nested objects if there are any.
 
     The opened entries are a column of their own, and null for the usual flat
     object, so that nothing is opened twice.
     """
-    nested = F.exists(F.map_values("_fields"), _is_object)
-    flat = F.transform_values("_fields", lambda _, v: _stored_text(v))
+    nested = (F.col("_braces") > 1) & F.exists(F.map_values("_fields"), _is_object)
+    typed = F.transform_values("_fields", lambda _, v: _stored_text(v))
     return (
-        parsed.withColumn("_entries", F.when(nested, _open_all(F.map_entries("_fields"))))
+        parsed.withColumn("_entries", F.when(nested, _open_all(F.map_entries("_fields"), F.col("_braces"))))
         .withColumn(
             "attrs",
-            F.when(F.col("_entries").isNotNull(), _entries_to_map(F.col("_entries"))).otherwise(flat),
+            F.when(F.col("_entries").isNotNull(), _entries_to_map(F.col("_entries")))
+            .when(F.col("_fields").isNotNull(), typed)
+            .otherwise(F.col("_text")),
         )
         .drop("_entries")
     )
@@ -157,16 +169,14 @@ def with_attributes(
 ) -> DataFrame:
     """Parse ``source`` into ``attrs``, the lifted columns and the raw archive."""
     parsed = with_attribute_map(with_parsed(df, source))
-    lifted = lifted_columns(
-        lambda key: _lifted_text(F.element_at("_fields", F.lit(key))), categories=categories
-    )
-    raw = F.when(F.size("_fields") > 0, F.to_json("_obj")) if retain_raw else F.lit(None)
+    lifted = lifted_columns(_lifted_text, categories=categories)
+    raw = F.when(F.size("_text") > 0, F.to_json("_obj")) if retain_raw else F.lit(None)
     return parsed.withColumns(
         {
             **lifted,
             fixed.RAW_ATTRIBUTES_COLUMN: raw.cast("string"),
         }
-    ).drop("_obj", "_fields")
+    ).drop("_obj", "_text", "_fields", "_braces")
 
 
 def lifted_from_map(

@@ -44,7 +44,7 @@ class EventStore:
         self.run_log = SnapshotTable(self.spark, f"{self.path}/run_log", schemas.RUN_LOG, "batch_code")
         self.watermark = SnapshotTable(self.spark, f"{self.path}/watermark", schemas.WATERMARK, "last_run_epoch")
 
-    def load(self, prepared: DataFrame, properties: dict[str, str] | None = None) -> int:
+    def load(self, prepared: DataFrame) -> int:
         """Upsert a batch, the later arrival winning; returns its row count.
 
         Optional columns this batch does not carry at all keep their values,
@@ -56,7 +56,7 @@ class EventStore:
             keys = attribute_keys(batch)
             self.table.upsert(
                 last_wins(batch, "id", ["_ord"]), not_older="_ord", maps={"attrs": keys},
-                properties={"schema_version": str(fixed.EVENTS_SCHEMA_VERSION), **(properties or {})},
+                properties={"schema_version": str(fixed.EVENTS_SCHEMA_VERSION)},
             )
         return count
 
