@@ -13,6 +13,7 @@ from tidemark.functions.rules import Rule, with_classification
 from tidemark.functions.text import clean_name
 from tidemark.operators import retention, unmatched
 from tidemark.operators.joins import name_or_id
+from tidemark.operators.upsert import last_wins
 from tidemark.session import stage
 from tidemark.sources import publish
 from tidemark.sources.exports import read_exports
@@ -64,7 +65,7 @@ class HistoryStore:
     def load(self, rows: DataFrame, registry_rows: DataFrame, captured_at: str) -> None:
         """Merge one run: registry replaced, list insert-only, labels refreshed."""
         rows = stage(rows, "history")
-        unique = rows.dropDuplicates(["record_id"])
+        unique = last_wins(rows, "record_id", [c for c in fixed.HISTORY_COLUMNS if c != "record_id"])
         self.registry.upsert(registry_rows)
         self.list.upsert(history_list(unique), update=[])
         self.normalized.upsert(unique, update=["change_type", "object_type"])

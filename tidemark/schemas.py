@@ -84,6 +84,7 @@ INTEGRATIONS = _strings(
     *[f"schedule.{f}" for f in SCHEDULE_FIELDS],
 )
 CATALOG = _strings(*fixed.CATALOG_COLUMNS)
+CATALOG_COMPLETE = _strings(*fixed.CATALOG_COLUMNS, "Parent Code", "Parent", "Event Name").add("position", T.LongType())
 CATEGORY_SEED = _strings("Code", "Name", "Parent")
 EMPTY_LIST = _strings("code", "name")
 

@@ -81,8 +81,9 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 
 
 def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    """No rows, and known to be small, so that joins with it need no shuffle."""
-    return spark.range(0, 0, 1, 1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+    """No rows, and known to be empty, so that the optimizer drops joins with it."""
+    columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+    return spark.range(0, 1, 1, 1).select(*columns).where(F.lit(False))
 
 
 def literal_table(spark: SparkSession, rows: Sequence[Sequence], schema: T.StructType) -> DataFrame:
