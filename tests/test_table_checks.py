@@ -50,3 +50,13 @@ def test_every_query_has_sql():
 
 def test_entry_runs(spark):
     assert len(driver.entry(spark).columns) == 59
+
+
+@pytest.mark.parametrize("name", ["q_audit_wide", "q_composite_join", "q_snapshot_rotate"])
+def test_matches_sql_without_broadcasts(spark, duck, name):
+    """Beyond the broadcast threshold every lookup is a shuffled join."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        test_matches_sql(spark, duck, name)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")

@@ -22,6 +22,7 @@ from tidemark.plans import history
 from tidemark.plans.audit import wide_audit
 from tidemark.plans.events import EventStore, prepare_events
 from tidemark.plans.history import HistoryStore
+from tidemark.session import empty_table
 from tidemark.sources import pages, paths, publish, tables
 from tidemark.sources.snapshots import SnapshotTable
 
@@ -82,7 +83,7 @@ class MetadataStore:
         """Replace every table; a kind with no landed folder becomes empty."""
         for name, (reader, schema) in METADATA.items():
             folder = f"{landing}/{LANDING_FOLDERS.get(name, name)}"
-            rows = reader(self.spark, folder, **options) if paths.exists(self.spark, folder) else self.known[name]._read({}, [])
+            rows = reader(self.spark, folder, **options) if paths.exists(self.spark, folder) else empty_table(self.spark, schema)
             if name in PER_MODEL:
                 rows = normalize.with_provenance(scope.apply(rows), self.read("workspaces"), self.read("models"))
             self.known[name].replace(normalize.to_schema(rows, schema))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.operators.ordinals import number_file_rows, with_source_position
