@@ -32,6 +32,8 @@ def main() -> None:
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        raise SystemExit("set spark.checkpoint.dir to a shared folder")
 
     from tidemark.plans.table_checks import QUERIES
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -56,15 +55,12 @@ def build_session(
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder under the cluster's shared checkpoint folder.
 
-    A local master without the setting gets a temporary folder; anything else
-    must name one, since executors cannot see the driver's disk.
+    The session must name that folder: executors cannot see a folder on the
+    driver's own disk.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
     return f"{root.rstrip('/')}/tidemark/{label}-{uuid.uuid4().hex}"
 
 
