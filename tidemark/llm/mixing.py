@@ -20,6 +20,8 @@ words have target 0. Extra columns are not read. An empty table gives none.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -102,17 +104,17 @@ def _tilts(cells: DataFrame, goals: DataFrame, most: int, scratch: Scratch, roun
     return state.select("source_id", "mean", "tilt")
 
 
-def _corrections(rounded: DataFrame, most: int, scratch: Scratch, rounds: int = 4) -> DataFrame:
+def _corrections(rounded: DataFrame, most: int, scratch: Scratch, rounds: int = 2) -> DataFrame:
     """(source_id, doc_id, change): at most ``rounds`` documents a source get a copy more or less.
 
     Each is the one whose size comes closest to what its source still misses.
     """
-    spark = rounded.sparkSession
-    gaps = rounded.groupBy("source_id").agg((F.first("target") - F.sum(F.col("copies") * F.col("size"))).alias("gap"))
+    target_gap = F.first("target") - F.sum(F.col("copies") * F.col("size"))
+    gaps = rounded.groupBy("source_id").agg(target_gap.alias("gap")).withColumn("last", F.lit(None).cast("long"))
     gaps = scratch.put(gaps, "gaps")
-    done = spark.createDataFrame([], "source_id int, doc_id long, change int")
+    found = []
     for _ in range(rounds):
-        at = rounded.join(gaps, "source_id").join(done.select("source_id", "doc_id"), ["source_id", "doc_id"], "left_anti")
+        at = rounded.join(gaps, "source_id").where(~F.col("doc_id").eqNullSafe(F.col("last")))
         sign = F.when(F.col("gap") > 0, 1).otherwise(-1)
         rest = F.abs(F.col("gap") - sign * F.col("size"))
         room = F.when(F.col("gap") > 0, F.col("copies") < most).otherwise(F.col("copies") > 0)
@@ -120,10 +122,12 @@ def _corrections(rounded: DataFrame, most: int, scratch: Scratch, rounds: int =
             F.min(F.struct(rest.alias("rest"), "doc_id", "size", sign.alias("change"))).alias("b")
         )
         best = scratch.put(best.select("source_id", "b.doc_id", "b.size", "b.change"), "change")
-        done = done.union(best.select("source_id", "doc_id", "change"))
-        moved = gaps.join(best.select("source_id", (F.col("size") * F.col("change")).alias("moved")), "source_id", "left")
-        gaps = scratch.put(moved.select("source_id", (F.col("gap") - F.coalesce("moved", F.lit(0))).alias("gap")), "gaps")
-    return done
+        found.append(best.select("source_id", "doc_id", "change"))
+        gaps = gaps.join(best, "source_id", "left").select(
+            "source_id", (F.col("gap") - F.coalesce(F.col("size") * F.col("change"), F.lit(0))).alias("gap"),
+            F.col("doc_id").alias("last"),
+        )
+    return reduce(DataFrame.union, found)
 
 
 def mix(

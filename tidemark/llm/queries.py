@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import exact_dedup, mixing, packing
+from tidemark.llm import exact_dedup, mixing, packing, toxicity
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -33,7 +33,11 @@ def op7_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
-QUERIES = {"op3_exact": op3_exact, "op6_mix": op6_mix, "op7_pack": op7_pack}
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {"op3_exact": op3_exact, "op6_mix": op6_mix, "op7_pack": op7_pack, "op9_toxicity": op9_toxicity}
 
 SQL = {
     "op3_exact": r"""
