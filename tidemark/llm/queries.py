@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import exact_dedup, html_extract, mixing, packing, toxicity
+from tidemark.llm import exact_dedup, html_extract, minhash, mixing, packing, toxicity
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -41,7 +41,11 @@ def op8_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {"op3_exact": op3_exact, "op6_mix": op6_mix, "op7_pack": op7_pack, "op8_extract": op8_extract, "op9_toxicity": op9_toxicity}
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op3_exact": op3_exact, "op6_mix": op6_mix, "op7_pack": op7_pack, "op8_extract": op8_extract, "op9_toxicity": op9_toxicity, "op10_minhash": op10_minhash}
 
 SQL = {
     "op3_exact": r"""
