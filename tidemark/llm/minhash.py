@@ -30,7 +30,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Scratch, arrow_chunks, arrow_rows, connected_components, join_checked, tasks_of
+from tidemark.llm.common import Scratch, arrow_chunks, arrow_rows, join_checked, linked_components, tasks_of
 
 WORDS, PERCENT = 5, 75
 MINIMA, ROWS, BITS = 128, 4, 4
@@ -188,36 +188,10 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     banded = reps.select("doc_id", F.explode("bands").alias("key"))
     shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     members = scratch.put(banded.join(shared, "key"), "members")
-    # Who shares much: the sum over a document's buckets of the logarithm of their sizes.
-    ranks = members.groupBy("doc_id").agg(F.sum(F.log2("n")).alias("rank"))
-    pivots = scratch.put(
-        members.join(ranks, "doc_id").groupBy("key").agg(F.max(F.struct("rank", (-F.col("doc_id")).alias("d"))).alias("p"))
-        .select("key", (-F.col("p.d")).alias("b")), "pivots",
+    components = linked_components(
+        members, lambda pairs: _with_estimates(pairs, signatures), lambda pairs: _confirmed(pairs, texts, words, percent, scratch), scratch
     )
-    stars = members.select("key", F.col("doc_id").alias("a")).join(pivots, "key").where("a <> b").select("a", "b").distinct()
-    candidates = scratch.put(_with_estimates(stars, signatures), "candidates")
-    best = candidates.groupBy("a").agg(F.max(F.struct("estimate", "b")).alias("m")).select("a", "m.b")
-    tried = scratch.put(best, "tried")
-    links = _confirmed(tried, texts, words, percent, scratch)
-    components = scratch.put(connected_components(links, scratch), "components")
-
-    def component(df: DataFrame, v: str, out: str) -> DataFrame:
-        return df.join(components.select(F.col("v").alias(v), F.col("component").alias(out)), v, "left").withColumn(out, F.coalesce(out, v))
-
-    apart = component(component(candidates.select("a", "b"), "a", "ca"), "b", "cb").where("ca <> cb").select("a", "b")
-    placed = component(members.select("key", F.col("doc_id").alias("a")), "a", "ca")
-    hub = component(pivots, "b", "cb").select("key", "cb")
-    # Only buckets of several components are left, and only their members outside the pivot's.
-    outside = scratch.put(placed.join(hub, "key").where("ca <> cb").select("key", "a", "ca"), "outside")
-    inside = placed.select("key", F.col("a").alias("b"), F.col("ca").alias("cb"))
-    crossed = outside.join(inside, "key").where("ca <> cb").select("a", "b")
-    ordered = lambda df: df.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    fresh = ordered(crossed.union(apart)).distinct().join(ordered(tried).distinct(), ["a", "b"], "left_anti")
-    more = scratch.put(_with_estimates(fresh, signatures).select("a", "b"), "more")
-    if not more.isEmpty():
-        links = scratch.put(links.union(_confirmed(more, texts, words, percent, scratch)), "links")
-        components = scratch.put(connected_components(links, scratch), "components")
-    scratch.drop(members, candidates, outside, reps)
+    scratch.drop(members, reps)
     in_class = sketches.select("doc_id", *named).join(classes, named, "left")
     first = F.coalesce("first", "doc_id")
     whole = in_class.withColumn("first", first).join(components.select(F.col("v").alias("first"), "component"), "first", "left")
