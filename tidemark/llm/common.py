@@ -117,9 +117,10 @@ def connected_components(edges: DataFrame, scratch: Scratch, rounds: int = 50) -
         if seen == last:
             break
         last = seen
-    return now.groupBy("v").agg(F.min("p").alias("component")) if last[0] else spark.createDataFrame(
-        [], "v long, component long"
-    )
+    if not last[0]:
+        return spark.createDataFrame([], "v long, component long")
+    roots = now.select(F.col("p").alias("v"), F.col("p").alias("component")).distinct()
+    return now.groupBy("v").agg(F.min("p").alias("component")).union(roots)
 
 
 def linked_components(
