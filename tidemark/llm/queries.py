@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import embeddings, exact_dedup, html_extract, minhash, mixing, packing, toxicity
+from tidemark.llm import backoff, embeddings, exact_dedup, html_extract, minhash, mixing, packing, toxicity
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -49,7 +49,11 @@ def op1_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {"op1_vectors": op1_vectors, "op3_exact": op3_exact, "op6_mix": op6_mix, "op7_pack": op7_pack, "op8_extract": op8_extract, "op9_toxicity": op9_toxicity, "op10_minhash": op10_minhash}
+def op2_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return backoff.scores(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op1_vectors": op1_vectors, "op2_backoff": op2_backoff, "op3_exact": op3_exact, "op6_mix": op6_mix, "op7_pack": op7_pack, "op8_extract": op8_extract, "op9_toxicity": op9_toxicity, "op10_minhash": op10_minhash}
 
 SQL = {
     "op3_exact": r"""
