@@ -124,46 +124,57 @@ def connected_components(edges: DataFrame, scratch: Scratch, rounds: int = 50) -
 
 
 def linked_components(
-    members: DataFrame, likely: Callable[[DataFrame], DataFrame], confirmed: Callable[[DataFrame], DataFrame], scratch: Scratch
+    members: DataFrame, signatures: DataFrame, estimate: Callable[[str, str], Column], least: float,
+    confirmed: Callable[[DataFrame], DataFrame], scratch: Scratch,
 ) -> DataFrame:
     """(v, component) of rows that share buckets, without pairing out any bucket.
 
-    ``members``: key, doc_id and n, the size of the bucket. ``likely`` turns
-    pairs (a, b) into those worth a check with an ``estimate``; ``confirmed``
-    keeps the pairs that are linked. Every member is first checked with its best
-    pivot: in each bucket the member that shares most with others. Members that
-    are then still outside their pivot's component are checked with the members
-    of other components in the bucket. A linked pair with a common bucket is so
-    either confirmed or within one component already.
+    ``members``: key, doc_id and n, the size of the bucket. ``signatures``: doc_id
+    and columns from which ``estimate`` of two prefixes tells how like two rows
+    are; pairs below ``least`` are not checked. ``confirmed`` keeps the pairs (a, b)
+    that are linked.
+
+    Every member is first checked with one pivot: a bucket's pivot is the member
+    that shares most with others, a member's is the one it shares most buckets
+    with. Members that are then still outside their bucket pivot's component are
+    checked with the likely members of other components in the bucket; the join
+    that finds these gives likely pairs only. A likely linked pair with a common
+    bucket is so either confirmed or within one component already.
     """
+    bits = [c for c in signatures.columns if c != "doc_id"]
+
+    def signed(df: DataFrame, v: str) -> DataFrame:
+        return df.join(signatures.select(F.col("doc_id").alias(v), *[F.col(c).alias(f"{v}_{c}") for c in bits]), v)
+
     ranks = members.groupBy("doc_id").agg(F.sum(F.log2("n")).alias("rank"))
     pivots = scratch.put(
         members.join(ranks, "doc_id").groupBy("key").agg(F.max(F.struct("rank", (-F.col("doc_id")).alias("d"))).alias("p"))
         .select("key", (-F.col("p.d")).alias("b")), "pivots",
     )
-    stars = members.select("key", F.col("doc_id").alias("a")).join(pivots, "key").where("a <> b").select("a", "b").distinct()
-    candidates = scratch.put(likely(stars), "candidates")
-    best = candidates.groupBy("a").agg(F.max(F.struct("estimate", "b")).alias("m")).select("a", "m.b")
-    tried = scratch.put(best, "tried")
+    stars = members.select("key", F.col("doc_id").alias("a")).join(pivots, "key").where("a <> b")
+    shared = stars.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"))
+    nearest = shared.groupBy("a").agg(F.max(F.struct("shared", "b")).alias("m")).select("a", "m.b")
+    tried = scratch.put(signed(signed(nearest, "a"), "b").where(estimate("a_", "b_") >= least).select("a", "b"), "tried")
     links = confirmed(tried)
     components = scratch.put(connected_components(links, scratch), "components")
 
     def component(df: DataFrame, v: str, out: str) -> DataFrame:
         return df.join(components.select(F.col("v").alias(v), F.col("component").alias(out)), v, "left").withColumn(out, F.coalesce(out, v))
 
-    apart = component(component(candidates.select("a", "b"), "a", "ca"), "b", "cb").where("ca <> cb").select("a", "b")
     placed = component(members.select("key", F.col("doc_id").alias("a")), "a", "ca")
     hub = component(pivots, "b", "cb").select("key", "cb")
     outside = scratch.put(placed.join(hub, "key").where("ca <> cb").select("key", "a", "ca"), "outside")
-    inside = placed.select("key", F.col("a").alias("b"), F.col("ca").alias("cb"))
-    crossed = outside.join(inside, "key").where("ca <> cb").select("a", "b")
-    ordered = lambda df: df.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    fresh = ordered(crossed.union(apart)).distinct().join(ordered(tried).distinct(), ["a", "b"], "left_anti")
-    more = scratch.put(likely(fresh).select("a", "b"), "more")
+    open_ = outside.select("key").distinct()
+    inside = placed.join(open_, "key", "left_semi").select("key", F.col("a").alias("b"), F.col("ca").alias("cb"))
+    left, right = signed(outside, "a"), signed(inside, "b").withColumnRenamed("key", "key_b")
+    likely = (F.col("key") == F.col("key_b")) & (F.col("ca") != F.col("cb")) & (estimate("a_", "b_") >= least)
+    pairs = left.join(right, likely).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    known = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    more = scratch.put(pairs.join(known, ["a", "b"], "left_anti"), "more")
     if not more.isEmpty():
         links = scratch.put(links.union(confirmed(more)), "links")
         components = scratch.put(connected_components(links, scratch), "components")
-    scratch.drop(pivots, candidates, tried, outside, more)
+    scratch.drop(pivots, tried, outside, more)
     return components
 
 

@@ -168,14 +168,13 @@ def near_vectors(embeddings: DataFrame, least: float = 0.9, id_column: str = "ve
     shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     members = scratch.put(banded.join(shared, "key"), "members")
 
-    def likely(pairs: DataFrame) -> DataFrame:
-        signs = [hashed.select(F.col("vec_id").alias(k), F.col("s0").alias(k + "0"), F.col("s1").alias(k + "1")) for k in "ab"]
-        differ = F.bit_count(F.col("a0").bitwiseXOR(F.col("b0"))) + F.bit_count(F.col("a1").bitwiseXOR(F.col("b1")))
-        found = pairs.join(signs[0], "a").join(signs[1], "b").withColumn("estimate", -differ)
-        return found.where(F.col("estimate") >= -MOST_SIGNS).select("a", "b", "estimate")
+    def agreement(a: str, b: str) -> Column:
+        differing = [F.bit_count(F.col(f"{a}{s}").bitwiseXOR(F.col(f"{b}{s}"))) for s in ("s0", "s1")]
+        return -(differing[0] + differing[1])
 
+    signs = hashed.select(F.col("vec_id").alias("doc_id"), "s0", "s1")
     components = linked_components(
-        members, likely, lambda pairs: scratch.put(_cosines(pairs, reps.select("vec_id", "v"), least), "links"), scratch
+        members, signs, agreement, -MOST_SIGNS, lambda pairs: scratch.put(_cosines(pairs, reps.select("vec_id", "v"), least), "links"), scratch
     )
     sizes = components.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
     inside = reps.join(components.withColumnRenamed("v", "vec_id"), "vec_id").join(sizes, "component")

@@ -12,11 +12,11 @@ otherwise, packed in eight longs; similarity is estimated from counted bits,
 corrected for chance agreement, to order and thin out candidates with a wide
 margin. Every link is confirmed on the full sets.
 
-Buckets are not paired out. Every member is compared with its bucket's pivot,
-the member that shares most with others; this joins nearly all of a group of
-copies. Then members that are still apart from the pivot's component are
-compared with the members of other components in their bucket. So every link
-that shares a band is either confirmed or inside a component already.
+Buckets are not paired out. Every member is compared with one pivot; this joins
+nearly all of a group of copies. Then members that are still apart from their
+bucket's pivot are compared with the likely members of other components there
+(see ``linked_components``). So every likely link that shares a band is either
+confirmed or inside a component already.
 
 Extra columns are not read; an empty table gives none. Rows that repeat an id
 are one vertex with the set of each of them linked.
@@ -105,14 +105,6 @@ def estimate(a: str = "a_", b: str = "b_") -> Column:
     return (same - chance) / (1 - chance)
 
 
-def _with_estimates(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
-    """Pairs (a, b) that may be linked, with their estimate."""
-    longs = [f"s{i}" for i in range(LONGS)]
-    side = lambda p: signatures.select(F.col("doc_id").alias(p[0]), *[F.col(s).alias(p + s) for s in longs])
-    found = pairs.join(side("a_"), "a").join(side("b_"), "b").withColumn("estimate", estimate())
-    return found.where(F.col("estimate") >= PERCENT / 100 - MARGIN).select("a", "b", "estimate")
-
-
 def _confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int, scratch: Scratch) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough.
 
@@ -184,12 +176,12 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
         sketches.join(classes.select(*named, F.col("first").alias("doc_id")), [*named, "doc_id"]).drop(*named).dropDuplicates(["doc_id"]),
         "representatives", "snappy",
     )
-    signatures = reps.drop("bands")
+    signatures = reps.select("doc_id", *[f"s{i}" for i in range(LONGS)])
     banded = reps.select("doc_id", F.explode("bands").alias("key"))
     shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     members = scratch.put(banded.join(shared, "key"), "members")
     components = linked_components(
-        members, lambda pairs: _with_estimates(pairs, signatures), lambda pairs: _confirmed(pairs, texts, words, percent, scratch), scratch
+        members, signatures, estimate, percent / 100 - MARGIN, lambda pairs: _confirmed(pairs, texts, words, percent, scratch), scratch
     )
     scratch.drop(members, reps)
     in_class = sketches.select("doc_id", *named).join(classes, named, "left")
