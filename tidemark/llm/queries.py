@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import backoff, embeddings, exact_dedup, html_extract, kneser_ney, minhash, mixing, packing, toxicity
+from tidemark.llm import backoff, embeddings, exact_dedup, html_extract, kneser_ney, minhash, mixing, packing, suffix_dedup, toxicity
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -57,7 +57,11 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kneser_ney.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {"op1_vectors": op1_vectors, "op2_backoff": op2_backoff, "op3_exact": op3_exact, "op6_mix": op6_mix, "op4_quality": op4_quality, "op7_pack": op7_pack, "op8_extract": op8_extract, "op9_toxicity": op9_toxicity, "op10_minhash": op10_minhash}
+def op5_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op1_vectors": op1_vectors, "op2_backoff": op2_backoff, "op3_exact": op3_exact, "op6_mix": op6_mix, "op4_quality": op4_quality, "op5_suffix": op5_suffix, "op7_pack": op7_pack, "op8_extract": op8_extract, "op9_toxicity": op9_toxicity, "op10_minhash": op10_minhash}
 
 SQL = {
     "op3_exact": r"""
