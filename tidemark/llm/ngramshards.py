@@ -8,7 +8,9 @@ rows of a block and a shard kept together: an n-gram is sent once per block that
 has it, however often it occurs, so frequent ones are no hot keys.
 
 Blocks and shards grow in number with the input, not in size. A key is 40 bits
-of its hash within its shard.
+of its hash within its shard. Each block writes to each shard, as in any shuffle;
+for very large inputs choose larger blocks, as executors' memory allows (a task
+needs about 25 times a block).
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 8 << 20
 LOW = (1 << 40) - 1
 PACKED = "block int, ids binary, lengths binary, flags binary, langs array<string>, payload binary"
 REQUEST = "shard int, block int, keys binary, counts binary"
@@ -60,7 +62,7 @@ def packed_blocks(docs: DataFrame, blocks: int) -> DataFrame:
             for doc_id, text, flag, lang, block in zip(*columns, strict=True):
                 held.setdefault(block, []).append((doc_id, text, flag, lang))
                 size += len(text or b"")
-            if size > 4 * BLOCK_BYTES:
+            if size > 32 << 20:
                 yield from flushed()
                 held.clear()
                 size = 0
