@@ -295,3 +295,24 @@ def test_small_tables_are_known_to_be_small(spark):
         joined = joins.lookup(facts, side, F.col("k"), F.col("id"), {"userName": "n"}, F.col("id"))
         assert "SortMergeJoin" not in plan(joined)
         assert joined.count() == 1000
+
+
+def test_patterns_must_work_in_the_jvm(spark):
+    from tidemark.functions.rules import build_rules
+
+    row = {"priority": "1", "object_type": "Other", "change_type": "Edit"}
+    assert build_rules([row | {"pattern": "(?P<n>x)"}]) == []
+    assert build_rules([row | {"pattern": "x", "change_type": "Edlt"}]) == []
+    assert len(build_rules([row | {"pattern": "x"}])) == 1
+
+
+def test_blank_keys_are_spread_and_still_match(spark):
+    from pyspark.sql import functions as F
+
+    from tidemark.operators.joins import lookup
+
+    facts = spark.createDataFrame([(i, "") for i in range(50)] + [(50, "a"), (51, None)], "id long, k string")
+    for dims, names in (([("", "blank"), ("a", "A")], {"blank": 50, "A": 1, None: 1}), ([("a", "A")], {"A": 1, None: 51})):
+        side = spark.createDataFrame(dims, "k string, name string")
+        out = lookup(facts, side, F.col("k"), F.col("k"), {"name": "name"}, spread_by=F.col("id"))
+        assert {r["name"]: r["count"] for r in out.groupBy("name").count().collect()} == names

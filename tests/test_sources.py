@@ -127,3 +127,58 @@ def test_wide_audit_from_landed_pages(spark, landed, tmp_path):
     assert (three["MODEL_ID"], three["MODEL_NAME"], three["OBJECT_TYPE"], three["ACTION_NAME"]) == ("", None, "User", "<Object has been Deleted>")
     assert (three["ADDITIONAL_ATTRIBUTES_ACTIVE"], three["UX_APP_NAME"], three["EVENT_DATE"]) == ("1", None, "1970-01-01 00:00:00")
     assert (four["MODEL_NAME"], four["OBJECT_TYPE"], four["SUCCESS"], four["TENANT_NAME"]) == ("Other", None, 1, "T'x")
+
+
+def _landed(tmp_path, name, text):
+    folder = tmp_path / "workspace_id=w" / "model_id=m"
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / name).write_text(text, encoding="utf-8")
+    return str(tmp_path)
+
+
+def test_blank_cells_are_a_row_and_every_file_is_read(spark, tmp_path):
+    from tidemark.sources.exports import read_exports
+
+    _landed(tmp_path, "a.tsv", "date_time_utc\tuser\tdescription\nd1\tu\tx\n\t\t\nd3\tu\ty\n")
+    path = _landed(tmp_path, "b.txt", "date_time_utc,user,description\nd4,u,z\n")
+    rows = read_exports(spark, path, "now").collect()
+    assert sorted(r["date_time_utc"] for r in rows) == ["", "d1", "d3", "d4"]
+
+
+def test_quoted_line_break_fails(spark, tmp_path):
+    from tidemark.sources.exports import read_exports
+
+    path = _landed(tmp_path, "a.csv", 'date_time_utc,user,description\nd1,u,"one\ntwo"\n')
+    with pytest.raises(Exception, match="quoted line break"):
+        read_exports(spark, path, "now").collect()
+
+
+def test_each_export_line_is_parsed_once(spark, tmp_path):
+    from tidemark.sources.exports import read_exports
+
+    path = _landed(tmp_path, "a.csv", "date_time_utc,user,description,export\nd1,u,x,e\n")
+    plan = read_exports(spark, path, "now")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_csv(") == 2
+
+
+@pytest.mark.parametrize("text", ['{"response": [{"id": "a"', '{\n  "response": [\n {"id": "a"}]\n}'])
+def test_unreadable_page_fails(spark, tmp_path, text):
+    from tidemark.sources.pages import read_pages
+
+    (tmp_path / "page.json").write_text(text)
+    with pytest.raises(Exception, match="unreadable events page"):
+        read_pages(spark, str(tmp_path), "events").collect()
+
+
+def test_numbers_of_events(spark):
+    from tidemark import schemas
+    from tidemark.operators.normalize import coerce_events
+
+    names = [f.name for f in schemas.LANDED_EVENT.fields]
+    row = {n: None for n in names} | {"eventDate": "1704067200000.0"}
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schemas.LANDED_EVENT.fields)
+    one = spark.createDataFrame([tuple(row[n] for n in names)], schema)
+    assert coerce_events(one).first()["eventDate"] == 1704067200000
+    bad = spark.createDataFrame([tuple((row | {"eventDate": "soon"})[n] for n in names)], schema)
+    with pytest.raises(Exception, match="no whole number"):
+        coerce_events(bad).collect()

@@ -168,8 +168,25 @@ OBJECT_TYPES = [
     "Module/List", "Line Item/Property", "Customer", "Export", "Dashboard", "Action",
     "Process", "Version", "Time Settings", "User", "Role", "Other",
 ]
-# Change types no shipped rule yields, beside those the rules below name.
-EXTRA_CHANGE_TYPES = ["Add", "Create", "Delete", "Edit", "Other", "Rename"]
+CHANGE_TYPES = [
+    "<model successfully restored>", "Add", "Add Dashboard", "Add Export", "Add Functional Area", "Add Import",
+    "Add Import Data Source", "Add Item", "Add Line Item",
+    "Add Line Item Read Access Driver Write Access Driver", "Add List", "Add List Item", "Add Module",
+    "Add Module Read Access Driver Write Access Driver", "Add Process", "Add Property", "Add Role",
+    "Add Saved View", "Add Tag", "Add User", "Add Version", "Begin sync revision", "Blank Model Change",
+    "Break-back data change", "Breakback data change affecting [x] cells", "Bulk data change",
+    "Bulk data change (add-in)", "Bulk Model Change", "Change Dashboard", "Change Export", "Change Import",
+    "Change Import Data Source", "Change Line Item", "Change List", "Change Module", "Change Process",
+    "Change Property", "Change Saved View", "Change Time Scale", "Change Version", "Code Changed", "Create",
+    "Create Dashboard", "Data Change", "Delete", "Delete Import", "Delete Import Data Source", "Delete Item",
+    "Delete Line Item", "Delete List", "Delete Module", "Delete Property", "Delete Saved View", "Delete User",
+    "Edit", "Edit Line Item", "Import", "Model change (no details available)", "Move Item", "Move Line Item",
+    "Move Module", "Move Version", "Name Changed", "Other", "Other Change", "Parent Changed", "Rename",
+    "Rename Action", "Revision Added Automatically", "Revision Added Manually by User", "Revision Synced",
+    "Set Action Access", "Set List Access", "Set Module Access", "Set Selective Access",
+    "Sync revision completed", "Sync revision unsuccessful", "Undo", "User Role Changed", "x Item(s) Added",
+    "x Item(s) Deleted", "x User(s) Deleted",
+]
 # priority,pattern,object_type,change_type
 RULES_CSV = r"""priority,pattern,object_type,change_type
 50,^<model successfully restored>$,Other,<model successfully restored>

@@ -9,6 +9,8 @@ from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from itertools import groupby
 
+from pyspark import SparkContext
+from pyspark.errors import IllegalArgumentException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,19 +37,41 @@ class Rule:
 
 def vocabularies() -> tuple[set[str], set[str]]:
     """Known object types and change types."""
-    named = {r["change_type"] for r in csv.DictReader(io.StringIO(fixed.RULES_CSV))}
-    return set(fixed.OBJECT_TYPES), named | set(fixed.EXTRA_CHANGE_TYPES)
+    return set(fixed.OBJECT_TYPES), set(fixed.CHANGE_TYPES)
+
+
+def _java_pattern(pattern: str) -> str:
+    """What a rule's pattern is at run time.
+
+    (?d) limits line ends to \\n and (?U) makes \\d Unicode-aware.
+    """
+    return f"(?Ud)\\A(?:{pattern})\\z"
+
+
+def _compiles(pattern: str) -> bool:
+    """Whether a pattern works here and in the JVM, where it runs."""
+    try:
+        re.compile(pattern)
+    except re.error:
+        return False
+    context = SparkContext._active_spark_context
+    if context is None:
+        return True
+    try:
+        context._jvm.java.util.regex.Pattern.compile(_java_pattern(pattern))
+    except IllegalArgumentException:
+        return False
+    return True
 
 
 def _usable(row: Mapping[str, str | None], objects: set[str], changes: set[str]) -> Rule | None:
     field = {k: (row.get(k) or "").strip() for k in ("priority", "pattern", "object_type", "change_type")}
     try:
-        re.compile(field["pattern"])
         rule = Rule(int(field["priority"]), field["pattern"], field["object_type"], field["change_type"])
-    except (re.error, ValueError):
+    except ValueError:
         return None
     known = rule.object_type in objects and rule.change_type in changes
-    return rule if rule.pattern and known else None
+    return rule if rule.pattern and known and _compiles(rule.pattern) else None
 
 
 def build_rules(
@@ -88,7 +112,7 @@ def _match_sql(rules: list[Rule], text: str) -> str:
     """SQL for the position of the first rule that matches, or null.
 
     Neighbouring literal rules share one map lookup; patterns are tried in
-    turn. (?d) limits line ends to \\n and (?U) makes \\d Unicode-aware.
+    turn.
     """
     parts = []
     numbered = list(enumerate(rules))
@@ -101,7 +125,7 @@ def _match_sql(rules: list[Rule], text: str) -> str:
             parts.append(f"element_at(map({entries}), {text})")
         else:
             whens = " ".join(
-                f"WHEN {text} RLIKE {sql_text(f'(?Ud)\\A(?:{r.pattern})\\z')} THEN {i}" for i, r in run
+                f"WHEN {text} RLIKE {sql_text(_java_pattern(r.pattern))} THEN {i}" for i, r in run
             )
             parts.append(f"CASE {whens} END")
     return f"coalesce({', '.join(parts)}, -1)" if parts else "-1"

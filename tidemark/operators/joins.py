@@ -3,7 +3,7 @@
 No broadcast hints: a dimension is broadcast when its size, estimated or
 measured at run time, is under the session's threshold, and otherwise both
 sides are shuffled and adaptive execution splits a skewed key on the large
-side. Rows that cannot match (null key) would still all meet in one partition
+side. Rows without a key (null or blank) would still all meet in one partition
 of a shuffled join, so they are spread by a second key that only they vary.
 """
 
@@ -26,7 +26,7 @@ def lookup(
     """Left join keeping ``columns`` (dimension column -> output column).
 
     Every match is kept, as in SQL. ``spread_by`` is any well-spread fact
-    column; given one, facts with a null key do not gather in one task.
+    column; given one, facts with a null or blank text key do not gather in one task.
     """
     side = dimension.select(
         dimension_key.alias("_dkey"), *[F.col(f"`{c}`").alias(o) for c, o in columns.items()]
@@ -35,10 +35,11 @@ def lookup(
     condition = F.col("_fkey") == F.col("_dkey")
     if spread_by is not None:
         spread = F.pmod(F.xxhash64(spread_by), F.lit(NULL_KEY_SPREAD)).cast("int")
-        keyed = keyed.withColumn("_fspread", F.when(F.col("_fkey").isNull(), spread).otherwise(0))
-        # Always 0, but not a literal: that would turn this into a filter and
-        # leave only the null key to hash on.
-        side = side.withColumn("_dspread", F.pmod(F.xxhash64("_dkey"), F.lit(1)).cast("int"))
+        blank = F.coalesce(F.col("_fkey") == "", F.lit(True))
+        keyed = keyed.withColumn("_fspread", F.when(blank, spread).otherwise(0))
+        # A blank key of the dimension meets all of the facts' blank keys.
+        everywhere = F.sequence(F.lit(0), F.lit(NULL_KEY_SPREAD - 1))
+        side = side.withColumn("_dspread", F.explode(F.when(F.col("_dkey") == "", everywhere).otherwise(F.array(F.lit(0)))))
         condition = condition & (F.col("_fspread") == F.col("_dspread"))
     return keyed.join(side, condition, "left").drop("_fkey", "_dkey", "_fspread", "_dspread")
 

@@ -14,13 +14,21 @@ def _flag(col: Column, default: bool) -> Column:
     return F.coalesce(col.try_cast("boolean"), F.lit(default))
 
 
+def _whole_number(name: str) -> Column:
+    """A whole number, also one written ``5.0``; null is 0, anything else fails."""
+    exact = F.col(name).try_cast("decimal(38,9)")
+    wrong = F.raise_error(F.concat(F.lit(f"{name} is no whole number: "), F.col(name).cast("string")))
+    whole = F.when(exact == F.floor(exact), exact.cast("bigint")).otherwise(wrong)
+    return F.when(F.col(name).isNull(), F.lit(0).cast("bigint")).otherwise(whole)
+
+
 def coerce_events(events: DataFrame) -> DataFrame:
     """Loosely typed events to declared types: no null text, numbers or flags.
 
-    ``errorNumber`` alone may be null.
+    ``errorNumber`` alone may be null. A number that is none fails.
     """
     texts = {n: as_text(F.col(n)) for n in schemas.EVENT_TEXT_FIELDS}
-    numbers = {n: F.coalesce(F.col(n).try_cast("bigint"), F.lit(0).cast("bigint")) for n in schemas.EVENT_NUMBER_FIELDS}
+    numbers = {n: _whole_number(n) for n in schemas.EVENT_NUMBER_FIELDS}
     return events.withColumns({**texts, **numbers, "success": _flag(F.col("success"), True)})
 
 

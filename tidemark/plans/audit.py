@@ -20,7 +20,10 @@ def object_dimension(models: DataFrame, integrations: DataFrame, users: DataFram
     The name of an integration's model is resolved here too.
     """
     model = models.select(F.upper("id").alias("_okey"), F.col("id").alias("_m2_id"), F.col("name").alias("_m2_name"))
-    owner = models.select(F.col("id").alias("_m3_id"), F.col("name").alias("_cw_model_name"))
+    twice = F.raise_error(F.concat(F.lit("model id occurs more than once: "), F.col("id")))
+    owner = models.groupBy("id").agg(
+        F.when(F.count(F.lit(1)) == 1, F.max("name")).otherwise(twice).alias("_cw_model_name")
+    ).withColumnRenamed("id", "_m3_id")
     integration = integrations.select(
         F.upper("integrationId").alias("_okey"), F.col("integrationId").alias("_cw_id"),
         F.col("modelId").alias("_cw_model_id"), F.col("name").alias("_cw_name"),

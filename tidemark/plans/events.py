@@ -15,7 +15,7 @@ from tidemark.operators import backfill as fill
 from tidemark.operators import retention
 from tidemark.operators.normalize import coerce_events
 from tidemark.operators.upsert import attribute_keys, last_wins
-from tidemark.session import stage
+from tidemark.session import stage, unstage
 from tidemark.sources import publish
 from tidemark.sources.snapshots import SnapshotTable, by_day
 
@@ -58,6 +58,7 @@ class EventStore:
                 last_wins(batch, "id", ["_ord"]), not_older="_ord", maps={"attrs": keys},
                 properties={"schema_version": str(fixed.EVENTS_SCHEMA_VERSION)},
             )
+        unstage(batch)
         return count
 
     def purge(self, now: datetime, years: int) -> int:
@@ -84,6 +85,7 @@ class EventStore:
             self.table.upsert(
                 done.select("id", "eventDate", *fixed.ATTRIBUTE_COLUMNS.values(), fixed.RAW_ATTRIBUTES_COLUMN)
             )
+        unstage(marked)
         return counts
 
     def finish_run(self, epoch_seconds: int, records: int) -> None:

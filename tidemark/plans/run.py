@@ -105,18 +105,24 @@ def run_audit(
     tenant_name: str = "", scope: Scope | None = None, categories: Iterable[str] = tuple(fixed.DEFAULT_ENABLED_CATEGORIES),
     list_categories: Iterable[str] = tuple(fixed.DEFAULT_LIST_CATEGORIES), extracts: dict[str, str] | None = None,
     list_extracts: dict[str, str] | None = None, retention_years: int = 0, dry_run: bool = False, multiline: bool = False,
+    max_events: int | None = None,
 ) -> RunResult:
     """Load landed pages, rebuild the catalogue, publish every extract, purge.
 
     Nothing is published, and the watermark stays, on a dry run or without
     events. ``extracts`` and ``list_extracts`` name the files; a table without
-    a name is not published.
+    a name is not published. Events before the last published run are not read
+    again, and of the rest the first ``max_events`` in arrival order if given.
     """
     store, metadata = EventStore(spark, storage), MetadataStore(spark, f"{storage}/metadata")
     metadata.load(landing, scope or Scope(), multiline=multiline)
     loaded = 0
     if paths.exists(spark, f"{landing}/events"):
         landed = pages.read_pages(spark, f"{landing}/events", "events", multiline=multiline)
+        if store.watermark.exists():
+            landed = pages.since(landed, store.last_run())
+        if max_events is not None:
+            landed = pages.first_arrived(landed, max_events)
         loaded = store.load(prepare_events(landed, categories=list(categories)))
     events = store.table.read() if store.table.exists() else None
     metadata.load_catalog(catalog_path, events)
@@ -137,7 +143,7 @@ def run_audit(
         published = ["audit", *publish.publish_metadata(exported, out, extracts or {}, {"cloudworks": ["integrationId"]})]
         published += publish.publish_lists(spark, events, out, list_extracts or {}, list(list_categories))
         publish.write_csv(publish.last_run(spark, batch_ms // 1000), f"{out}/last_run", single_file=True)
-        store.finish_run(batch_ms // 1000, events.count())
+        store.finish_run(batch_ms // 1000, loaded)
     return RunResult(loaded, published, store.purge(now, retention_years))
 
 

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.sources import paths
+
 # Set on every session the library works with. Joins carry no broadcast hints:
 # the optimizer broadcasts a side only when its size is under
 # spark.sql.autoBroadcastJoinThreshold, and adaptive execution re-checks that
@@ -73,7 +75,15 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_dir(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    staged = spark.read.schema(df.schema).parquet(path)
+    staged._staged_at = path
+    return staged
+
+
+def unstage(*tables: DataFrame) -> None:
+    """Delete staged tables that nothing reads any more."""
+    for table in tables:
+        paths.delete(table.sparkSession, table._staged_at)
 
 
 def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:

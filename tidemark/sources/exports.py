@@ -1,6 +1,7 @@
 """Change-history exports: delimited files whose header differs per file.
 
-Files lie in ``workspace_id=.../model_id=.../`` folders, one record per line.
+Files of any name lie in ``workspace_id=.../model_id=.../`` folders, one record per
+line; a line break inside quotes fails with the name of the file.
 All of them are read in one scan: the driver only resolves each *distinct*
 header once, and the resulting column positions are joined back per file.
 """
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import fixed
-from tidemark.functions.text import record_id, strip
+from tidemark.functions.text import record_id
 from tidemark.operators.ordinals import number_file_rows, with_source_position
 from tidemark.session import literal_table, stage
 
@@ -77,18 +78,24 @@ def _layouts(spark: SparkSession, lines: DataFrame) -> tuple[DataFrame, int]:
     return file_headers.join(resolved, "header").drop("header"), width
 
 
-def _fields(width: int) -> Column:
-    """The fields of a line as an array; a short line gives nulls at its end."""
+def _record(width: int) -> Column:
+    """The fields of a line as a struct; a short line gives nulls at its end."""
     schema = ", ".join(f"c{i} string" for i in range(width))
 
     def parsed(sep: str) -> Column:
         options = {"sep": sep, "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
-        record = F.from_csv("value", schema, options)
-        return F.array(*[record[f"c{i}"] for i in range(width)])
+        return F.from_csv("value", schema, options)
 
     return F.when(F.col("_tabbed"), parsed("\t")).otherwise(parsed(","))
 
 
+def _whole_record() -> Column:
+    """The line; fails on one that a quoted line break cuts off from its record."""
+    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
+    message = F.concat(F.lit("quoted line break or stray quote in "), F.col("_metadata.file_path"), F.lit(": "), F.col("value"))
+    return F.when(quotes % 2 == 0, F.col("value")).otherwise(F.raise_error(message))
+
+
 def read_exports(spark: SparkSession, path: str, captured_at: str) -> DataFrame:
     """All exports as change-history rows, not yet classified.
 
@@ -96,13 +103,15 @@ def read_exports(spark: SparkSession, path: str, captured_at: str) -> DataFrame:
     """
     text = (
         spark.read.schema("value string, workspace_id string, model_id string")
-        .option("pathGlobFilter", "*.*sv").text(path)
+        .text(path)
     )
-    # Blank lines are no rows, so they go before positions are given out.
-    lines = stage(with_source_position(text.where(strip(F.col("value")) != "")), "export-lines")
+    # Empty lines are no rows, so they go before positions are given out; a line of blank cells is one.
+    lines = stage(with_source_position(text.where(F.col("value") != "").withColumn("value", _whole_record())), "export-lines")
     layouts, width = _layouts(spark, lines)
     numbered = number_file_rows(lines, "_ordinal", start=-1).where("_ordinal >= 0")
-    split = numbered.join(layouts, "_file").withColumn("_fields", _fields(width))
+    # Each line is parsed once: its fields are taken from one struct, made in a step of its own.
+    parsed = numbered.join(layouts, "_file").withColumn("_record", _record(width))
+    split = parsed.withColumn("_fields", F.array(*[F.col(f"_record.c{i}") for i in range(width)]))
     empty = F.lit("")
     values = {
         c: F.when(F.col("_at")[i] >= 0, F.coalesce(F.get("_fields", F.col("_at")[i]), empty)).otherwise(empty)

@@ -35,9 +35,13 @@ PAGES = {
 }
 
 
+# Holds what is not a page; such a file fails the read, so no event is lost unseen.
+CORRUPT = "_unreadable"
+
+
 def page_schema(kind: str, partitions: tuple[str, ...] = ()) -> T.StructType:
     field, row = PAGES[kind]
-    schema = T.StructType([T.StructField(field, T.ArrayType(row))])
+    schema = T.StructType([T.StructField(field, T.ArrayType(row)), T.StructField(CORRUPT, T.StringType())])
     for name in partitions:
         schema = schema.add(name, T.StringType())
     return schema
@@ -53,10 +57,13 @@ def landed_pages(
     """
     reader = spark.readStream if stream else spark.read
     reader = reader.schema(page_schema(kind, partitions)).option("multiLine", multiline)
+    reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    unreadable = F.raise_error(F.concat(F.lit(f"unreadable {kind} page in "), F.col("_metadata.file_path")))
+    rows = F.when(F.col(CORRUPT).isNull(), F.col(PAGES[kind][0])).otherwise(unreadable)
     return reader.json(path).select(
-        PAGES[kind][0], *partitions, F.col("_metadata.file_path").alias("_file"),
+        rows.alias(PAGES[kind][0]), *partitions, F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
     )
 

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.upsert import merge_rows
-from tidemark.session import empty_table, stage
+from tidemark.session import empty_table, stage, unstage
 from tidemark.sources import paths
 
 NO_PART = "all"
@@ -122,7 +122,9 @@ class SnapshotTable:
             update=update, not_older=not_older, maps=maps, matched=matched,
         )
         carried = {p: f for p, f in base.parts.items() if p not in touched}
-        return self._commit(base, {**carried, **self._write(merged)}, properties)
+        committed = self._commit(base, {**carried, **self._write(merged)}, properties)
+        unstage(batch, matched)
+        return committed
 
     def _new_parts(self, batch: DataFrame) -> DataFrame:
         missing = [f for f in self.schema.fields if f.name not in batch.columns]
