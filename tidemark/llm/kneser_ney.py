@@ -34,6 +34,10 @@ from tidemark.llm.common import Scratch, join_checked
 ORDER = 5
 QUANTILE, ALLOWANCE, FEW = 0.995, 2.0, 100
 BEGIN, END = 1, 2
+# Distinct words take several times the room of their text, so blocks are small.
+BLOCK_BYTES = 4 << 20
+# Sets context keys of the model table apart from n-gram keys.
+WEIGHT = 0x14057B7EF767814F
 
 
 def _words_of(docs: list[tuple]) -> tuple[dict[bytes, int], np.ndarray, np.ndarray]:
@@ -103,28 +107,20 @@ class Grams:
         for k in range(1, self.order + 1):
             has = self.reach[self.first] >= k
             at = self.first[has]
-            out.append((k, has, value_key(self.gram(k, at)), weight_key(self.context(k, at))))
+            out.append((k, has, self.gram(k, at), self.context(k, at) ^ np.uint64(WEIGHT)))
         return out
 
 
-def value_key(gram: np.ndarray) -> np.ndarray:
-    return ta.mixed(gram ^ np.uint64(0x5851F42D4C957F2D))
-
-
-def weight_key(context: np.ndarray) -> np.ndarray:
-    return ta.mixed(context ^ np.uint64(0x14057B7EF767814F))
-
-
-COUNTED = "k int, gram long, context long, suffix long, at_begin boolean, value_key long, weight_key long, n long"
+COUNTED = "k int, gram long, context long, suffix long, at_begin boolean, n long"
 
 
 def _counted(order: int):
-    """Counts of all n-grams in the trusted documents of a block."""
+    """Counts of all n-grams in a block of trusted documents."""
     schema = pa.schema([("k", pa.int32()), ("gram", pa.int64()), ("context", pa.int64()), ("suffix", pa.int64()),
-                        ("at_begin", pa.bool_()), ("value_key", pa.int64()), ("weight_key", pa.int64()), ("n", pa.int64())])
+                        ("at_begin", pa.bool_()), ("n", pa.int64())])
 
     def run(table: pa.Table) -> pa.Table:
-        known, numbers, _ = _words_of([d for d in ns.block_texts(table) if d[2]])
+        known, numbers, _ = _words_of(ns.block_texts(table))
         grams = Grams(list(known), order)
         per_word = np.bincount(numbers, minlength=len(known))
         weight = np.bincount(grams.number, per_word[grams.word], len(grams.first)).astype(np.int64)
@@ -138,7 +134,7 @@ def _counted(order: int):
             at = at[first]
             context = grams.context(k, at)
             suffix = grams.gram(k - 1, at) if k > 1 else np.zeros(len(at), np.uint64)
-            columns = [np.full(len(at), k, np.int32), found, context, suffix, grams.reach[at] == k, value_key(found), weight_key(context),
+            columns = [np.full(len(at), k, np.int32), found, context, suffix, grams.reach[at] == k,
                        np.bincount(number, w).astype(np.int64)]
             parts.append(pa.Table.from_arrays([pa.array(c.view(np.int64) if c.dtype == np.uint64 else c) for c in columns], schema=schema))
         return pa.concat_tables(parts) if parts else schema.empty_table()
@@ -152,13 +148,13 @@ def model_table(counts: DataFrame, order: int, scratch: Scratch) -> DataFrame:
     ``counts`` has the columns of ``COUNTED``.
     """
     grams = scratch.put(
-        counts.groupBy("k", "gram").agg(*[F.first(c).alias(c) for c in ("context", "suffix", "at_begin", "value_key", "weight_key")], F.sum("n").alias("n")),
+        counts.groupBy("k", "gram").agg(*[F.first(c).alias(c) for c in ("context", "suffix", "at_begin")], F.sum("n").alias("n")),
         "grams",
     )
     left = grams.where("k > 1").groupBy((F.col("k") - 1).alias("k"), F.col("suffix").alias("gram")).agg(F.count(F.lit(1)).alias("neighbours"))
     raw = (F.col("k") == order) | F.col("at_begin")
     used = grams.join(left, ["k", "gram"], "left").withColumn("c", F.when(raw, F.col("n")).otherwise(F.coalesce("neighbours", F.col("n"))))
-    used = scratch.put(used.select("k", "context", "value_key", "weight_key", "c"), "used")
+    used = scratch.put(used.select("k", "context", F.col("gram").alias("key"), "c"), "used")
     times = used.groupBy("k").agg(*[F.count(F.when(F.col("c") == i, 1)).alias(f"t{i}") for i in (1, 2, 3, 4)])
     y = F.col("t1") / F.greatest(F.col("t1") + 2 * F.col("t2"), F.lit(1))
     discount = lambda i: F.greatest(F.lit(0.0), F.least(F.lit(float(i)), F.when(F.col(f"t{i}") > 0, i - (i + 1) * y * F.col(f"t{i + 1}") / F.col(f"t{i}")).otherwise(F.lit(0.5 * i))))
@@ -166,13 +162,13 @@ def model_table(counts: DataFrame, order: int, scratch: Scratch) -> DataFrame:
     d = F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3"))
     discounted = used.join(discounts, "k").withColumn("d", d)
     weights = discounted.groupBy("k", "context").agg(
-        F.sum("c").alias("total"), (F.sum("d") / F.sum("c")).alias("weight"), F.first("weight_key").alias("weight_key")
+        F.sum("c").alias("total"), (F.sum("d") / F.sum("c")).alias("weight")
     )
     weights = scratch.put(weights, "weights")
     values = discounted.join(weights.select("k", "context", "total"), ["k", "context"]).select(
-        F.col("value_key").alias("key"), ((F.col("c") - F.col("d")) / F.col("total")).alias("value")
+        "key", ((F.col("c") - F.col("d")) / F.col("total")).alias("value")
     )
-    return scratch.put(values.union(weights.select("weight_key", "weight")), "model")
+    return scratch.put(values.union(weights.select(F.col("context").bitwiseXOR(F.lit(WEIGHT)), "weight")), "model")
 
 
 def perplexities(docs: DataFrame, labels: DataFrame, order: int, scratch: Scratch, id_column: str, text_column: str, lang_column: str,
@@ -184,7 +180,9 @@ def perplexities(docs: DataFrame, labels: DataFrame, order: int, scratch: Scratc
                         F.col(lang_column).cast("string").alias("lang"))
     rows = join_checked(texts, good, "doc_id", "left").withColumn("flag", F.coalesce("flag", F.lit(0)))
     packed = ns.packed_blocks(rows, blocks)
-    model = model_table(packed.groupBy("block").applyInArrow(_counted(order), COUNTED), order, scratch)
+    good_rows = rows.where("flag = 1")
+    trusted = ns.packed_blocks(good_rows, ns.block_count(good_rows, "text", 2 * block_bytes))
+    model = model_table(trusted.groupBy("block").applyInArrow(_counted(order), COUNTED), order, scratch)
     vocabulary = max(1, model.count())
     uniform = 1.0 / vocabulary
     request_schema = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
@@ -251,7 +249,7 @@ def perplexities(docs: DataFrame, labels: DataFrame, order: int, scratch: Scratc
 
 
 def quality(docs: DataFrame, labels: DataFrame, order: int = ORDER, quantile: float = QUANTILE, allowance: float = ALLOWANCE,
-            id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang", block_bytes: int = ns.BLOCK_BYTES) -> DataFrame:
+            id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """doc_id, lang, perplexity, threshold, kept; one row per row."""
     scratch = Scratch(docs.sparkSession, "quality")
     scored = perplexities(docs, labels, order, scratch, id_column, text_column, lang_column, block_bytes).withColumn(
