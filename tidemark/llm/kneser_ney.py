@@ -35,7 +35,7 @@ ORDER = 5
 QUANTILE, ALLOWANCE, FEW = 0.995, 2.0, 100
 BEGIN, END = 1, 2
 # Distinct words take several times the room of their text, so blocks are small.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 5 << 20
 # Sets context keys of the model table apart from n-gram keys.
 WEIGHT = 0x14057B7EF767814F
 
@@ -211,7 +211,7 @@ def perplexities(docs: DataFrame, labels: DataFrame, order: int, scratch: Scratc
             if len(low):
                 at = np.minimum(np.searchsorted(low, keys), len(low) - 1)
                 found = np.where(low[at] == keys, values[at], np.nan)
-            out.append({"block": block, "shard": shard, "found": ns.reply(found)})
+            out.append({"block": block, "shard": shard, "found": ns.reply(found.astype(np.float32))})
         return ns.table_of(out, reply_schema)
 
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -222,7 +222,7 @@ def perplexities(docs: DataFrame, labels: DataFrame, order: int, scratch: Scratc
         grams = Grams(list(known), order)
         wanted = grams.wanted()
         keys = np.unique(ns.shard_keys(np.concatenate([a for w in wanted for a in w[2:]]), shards))
-        found = ns.replies(right, np.float64)
+        found = ns.replies(right, np.float32).astype(float)
         probability = np.full(len(grams.first), uniform)
         for _, has, value, weight in wanted:
             v = found[np.searchsorted(keys, ns.shard_keys(value, shards))]

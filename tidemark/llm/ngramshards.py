@@ -43,7 +43,7 @@ def packed_blocks(docs: DataFrame, blocks: int) -> DataFrame:
                         ("langs", pa.list_(pa.string())), ("payload", pa.binary())])
 
     def run(batches: Iterator) -> Iterator:
-        pack = zstandard.ZstdCompressor(level=3).compress
+        pack = zstandard.ZstdCompressor(level=6).compress
         held: dict[int, list[tuple]] = {}
         size = 0
 
