@@ -126,6 +126,7 @@ def connected_components(edges: DataFrame, scratch: Scratch, rounds: int = 50) -
 def linked_components(
     members: DataFrame, signatures: DataFrame, estimate: Callable[[str, str], Column], least: float,
     confirmed: Callable[[DataFrame], DataFrame], scratch: Scratch,
+    finer: Callable[[DataFrame], tuple[DataFrame, Callable[[str, str], Column]]] | None = None,
 ) -> DataFrame:
     """(v, component) of rows that share buckets, without pairing out any bucket.
 
@@ -138,13 +139,15 @@ def linked_components(
     that shares most with others, a member's is the one it shares most buckets
     with. Members that are then still outside their bucket pivot's component are
     checked with the likely members of other components in the bucket; the join
-    that finds these gives likely pairs only. A likely linked pair with a common
-    bucket is so either confirmed or within one component already.
-    """
-    bits = [c for c in signatures.columns if c != "doc_id"]
+    that finds these gives likely pairs only, each in the smallest bucket it shares.
+    A likely linked pair with a common bucket is so either confirmed or within one
+    component already.
 
-    def signed(df: DataFrame, v: str) -> DataFrame:
-        return df.join(signatures.select(F.col("doc_id").alias(v), *[F.col(c).alias(f"{v}_{c}") for c in bits]), v)
+    ``finer`` may give, for the rows (doc_id) that this join concerns, longer
+    signatures and the condition under which a pair of them is likely.
+    """
+    def signed(df: DataFrame, v: str, by: DataFrame = signatures) -> DataFrame:
+        return df.join(by.select(F.col("doc_id").alias(v), *[F.col(c).alias(f"{v}_{c}") for c in by.columns if c != "doc_id"]), v)
 
     ranks = members.groupBy("doc_id").agg(F.sum(F.log2("n")).alias("rank"))
     pivots = scratch.put(
@@ -164,17 +167,29 @@ def linked_components(
     placed = component(members.select("key", F.col("doc_id").alias("a")), "a", "ca")
     hub = component(pivots, "b", "cb").select("key", "cb")
     outside = scratch.put(placed.join(hub, "key").where("ca <> cb").select("key", "a", "ca"), "outside")
+    if outside.isEmpty():
+        scratch.drop(pivots, tried, outside)
+        return components
     open_ = outside.select("key").distinct()
-    inside = placed.join(open_, "key", "left_semi").select("key", F.col("a").alias("b"), F.col("ca").alias("cb"))
-    left, right = signed(outside, "a"), signed(inside, "b").withColumnRenamed("key", "key_b")
-    likely = (F.col("key") == F.col("key_b")) & (F.col("ca") != F.col("cb")) & (estimate("a_", "b_") >= least)
-    pairs = left.join(right, likely).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    inside = scratch.put(placed.join(open_, "key", "left_semi").select("key", F.col("a").alias("b"), F.col("ca").alias("cb")), "inside")
+    by, likely = signatures, lambda a, b: estimate(a, b) >= least
+    if finer:
+        by, likely = finer(scratch.put(inside.select(F.col("b").alias("doc_id")).distinct(), "open"))
+
+    def bucketed(df: DataFrame, v: str) -> DataFrame:
+        return signed(df, v, by).join(df.groupBy(v).agg(F.collect_list("key").alias(f"keys_{v}")), v)
+
+    left, right = bucketed(outside, "a"), bucketed(inside, "b").withColumnRenamed("key", "key_b")
+    # Conditions are tried in this order, so few pairs come to the last.
+    once = F.array_min(F.array_intersect("keys_a", "keys_b")) == F.col("key")
+    near = (F.col("key") == F.col("key_b")) & (F.col("ca") != F.col("cb")) & likely("a_", "b_") & once
+    pairs = left.join(right, near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     known = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     more = scratch.put(pairs.join(known, ["a", "b"], "left_anti"), "more")
     if not more.isEmpty():
         links = scratch.put(links.union(confirmed(more)), "links")
         components = scratch.put(connected_components(links, scratch), "components")
-    scratch.drop(pivots, tried, outside, more)
+    scratch.drop(pivots, tried, outside, inside, more)
     return components
 
 

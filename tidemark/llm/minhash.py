@@ -15,8 +15,10 @@ margin. Every link is confirmed on the full sets.
 Buckets are not paired out. Every member is compared with one pivot; this joins
 nearly all of a group of copies. Then members that are still apart from their
 bucket's pivot are compared with the likely members of other components there
-(see ``linked_components``). So every likely link that shares a band is either
-confirmed or inside a component already.
+(see ``linked_components``). For these members alone a longer signature is made,
+the lowest bit of 1,024 minima, whose estimate is twice as sharp, and sets whose
+sizes rule a link out are left apart. So every likely link that shares a band is
+either confirmed or inside a component already.
 
 Extra columns are not read; an empty table gives none. Rows that repeat an id
 are one vertex with the set of each of them linked.
@@ -24,7 +26,7 @@ are one vertex with the set of each of them linked.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -37,6 +39,9 @@ MINIMA, ROWS, BITS = 128, 4, 4
 LONGS = MINIMA * BITS // 64
 # Four standard errors of the estimate at the threshold.
 MARGIN = 0.16
+# The longer signature keeps one bit of each minimum.
+LONGER = 1024
+LONGER_MARGIN = 0.083
 
 
 def _sketches(docs: DataFrame, words: int) -> DataFrame:
@@ -90,21 +95,64 @@ def _sketches(docs: DataFrame, words: int) -> DataFrame:
     return docs.mapInArrow(run, f"doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, {longs}")
 
 
-def estimate(a: str = "a_", b: str = "b_") -> Column:
+def estimate(a: str = "a_", b: str = "b_", minima: int = MINIMA, bits: int = BITS) -> Column:
     """Similarity from counted bits of two packed signatures, without agreement by chance."""
-    lanes = F.lit(0x1111111111111111)
+    lanes = F.lit(int("1".rjust(bits, "0") * (64 // bits), 2)) if bits > 1 else None
 
     def differing(i: int) -> Column:
         x = F.col(f"{a}s{i}").bitwiseXOR(F.col(f"{b}s{i}"))
-        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
-        x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
-        return F.bit_count(x.bitwiseAND(lanes))
-
-    same = F.lit(1.0) - reduce(Column.__add__, [differing(i) for i in range(LONGS)]) / MINIMA
-    chance = 1 / (1 << BITS)
+        shift = 1
+        while shift < bits:
+            x = x.bitwiseOR(F.shiftrightunsigned(x, shift))
+            shift *= 2
+        return F.bit_count(x if lanes is None else x.bitwiseAND(lanes))
+
+    same = F.lit(1.0) - reduce(Column.__add__, [differing(i) for i in range(minima * bits // 64)]) / minima
+    chance = 1 / (1 << bits)
     return (same - chance) / (1 - chance)
 
 
+def _longer(docs: DataFrame, words: int) -> DataFrame:
+    """doc_id, n and s0 ...: size of the set and the lowest bit of each of its minima, of documents with words."""
+    import numpy as np
+    import pyarrow as pa
+
+    from tidemark.llm import textarrays as ta
+
+    longs = LONGER // 64
+    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), *[(f"s{i}", pa.int64()) for i in range(longs)]])
+
+    def run(batches: Iterator) -> Iterator:
+        rng = np.random.default_rng(12)
+        factors = rng.integers(0, 1 << 31, LONGER, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+        shifts = rng.integers(0, 1 << 32, LONGER, dtype=np.uint32)
+        hasher = ta.WordHasher()
+
+        def rows():
+            for held, data, bounds in ta.chunks(arrow_rows(batches, ["doc_id", "text"]), 1):
+                sets = ta.shingle_sets(data, bounds, hasher, words)
+                full = [i for i, s in enumerate(sets) if len(s)]
+                if not full:
+                    continue
+                sizes = np.array([len(sets[i]) for i in full])
+                starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+                x = (np.concatenate([sets[i] for i in full]) >> np.uint64(32)).astype(np.uint32)
+                y = np.empty_like(x)
+                minima = np.empty((len(full), LONGER), np.uint32)
+                for k in range(LONGER):
+                    np.multiply(x, factors[k], out=y)
+                    y += shifts[k]
+                    minima[:, k] = np.minimum.reduceat(y, starts)
+                low = (ta.mixed(minima.astype(np.uint64)) & np.uint64(1)).reshape(len(full), longs, 64)
+                packed = (low << np.arange(64, dtype=np.uint64)).sum(axis=2, dtype=np.uint64).view(np.int64)
+                for j, i in enumerate(full):
+                    yield held[i][0], int(sizes[j]), *packed[j].tolist()
+
+        yield from arrow_chunks(rows(), schema)
+
+    return docs.mapInArrow(run, "doc_id long, n long, " + ", ".join(f"s{i} long" for i in range(longs)))
+
+
 def _confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int, scratch: Scratch) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough.
 
@@ -180,8 +228,19 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     banded = reps.select("doc_id", F.explode("bands").alias("key"))
     shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     members = scratch.put(banded.join(shared, "key"), "members")
+
+    def finer(ids: DataFrame) -> tuple[DataFrame, Callable[[str, str], Column]]:
+        by = scratch.put(_longer(join_checked(texts, ids, "doc_id"), words), "longer", "snappy").dropDuplicates(["doc_id"])
+
+        def likely(a: str, b: str) -> Column:
+            sizes = [F.col(f"{v}n") for v in (a, b)]
+            fits = 100 * F.least(*sizes) >= percent * F.greatest(*sizes)
+            return fits & (estimate(a, b, LONGER, 1) >= percent / 100 - LONGER_MARGIN)
+
+        return by, likely
+
     components = linked_components(
-        members, signatures, estimate, percent / 100 - MARGIN, lambda pairs: _confirmed(pairs, texts, words, percent, scratch), scratch
+        members, signatures, estimate, percent / 100 - MARGIN, lambda pairs: _confirmed(pairs, texts, words, percent, scratch), scratch, finer
     )
     scratch.drop(members, reps)
     in_class = sketches.select("doc_id", *named).join(classes, named, "left")
