@@ -164,11 +164,11 @@ def linked_components(
     def component(df: DataFrame, v: str, out: str) -> DataFrame:
         return df.join(components.select(F.col("v").alias(v), F.col("component").alias(out)), v, "left").withColumn(out, F.coalesce(out, v))
 
-    placed = component(members.select("key", F.col("doc_id").alias("a")), "a", "ca")
+    placed = scratch.put(component(members.select("key", F.col("doc_id").alias("a")), "a", "ca"), "placed")
     hub = component(pivots, "b", "cb").select("key", "cb")
     outside = scratch.put(placed.join(hub, "key").where("ca <> cb").select("key", "a", "ca"), "outside")
     if outside.isEmpty():
-        scratch.drop(pivots, tried, outside)
+        scratch.drop(pivots, tried, placed, outside)
         return components
     open_ = outside.select("key").distinct()
     inside = scratch.put(placed.join(open_, "key", "left_semi").select("key", F.col("a").alias("b"), F.col("ca").alias("cb")), "inside")
@@ -189,7 +189,7 @@ def linked_components(
     if not more.isEmpty():
         links = scratch.put(links.union(confirmed(more)), "links")
         components = scratch.put(connected_components(links, scratch), "components")
-    scratch.drop(pivots, tried, outside, inside, more)
+    scratch.drop(pivots, tried, placed, outside, inside, more)
     return components
 
 
