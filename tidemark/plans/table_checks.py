@@ -8,6 +8,7 @@ The tables stand in for the library's own: ``events`` for audit events,
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import UTC, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from tidemark.functions import attributes, rules, taxonomy, text
 from tidemark.operators import backfill, catalog, joins, lists, normalize, ordinals, retention, unmatched, upsert
 from tidemark.plans import audit, history
 from tidemark.plans.events import EventStore, prepare_events
+from tidemark.plans.history import HistoryStore
 from tidemark.session import configure, empty_table, literal_table, shared_dir
 from tidemark.sources import pages, publish
 from tidemark.sources.exports import read_exports
@@ -1030,3 +1032,170 @@ def q_stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = EventStore(spark, state)
     ingest(spark, landing, store, f"{state}/checkpoint", files_per_batch=3).awaitTermination()
     return store.table.read().select("id", "eventDate", "message", "checksum", F.element_at("attrs", "k").alias("attr_k"))
+
+
+# --------------------------------------------------------------------------
+# Readers, stores and published files, each through the folder they use
+# --------------------------------------------------------------------------
+
+def land_pages(rows: DataFrame, field: str, page: Column, folder: str, partitions: list[str] | None = None) -> str:
+    """Write rows as JSON pages, one page a line."""
+    held = F.struct(*[F.col(f"`{c}`") for c in rows.columns if c not in (partitions or [])])
+    paged = rows.withColumn("_page", page).groupBy("_page", *(partitions or [])).agg(F.collect_list(held).alias(field)).drop("_page")
+    paged.write.partitionBy(*(partitions or [])).json(folder)
+    return folder
+
+
+@check(f"""
+SELECT CAST(event_id AS VARCHAR) AS id, epoch_us(ts) // 1000 AS "eventDate", {CODE_SQL} AS "eventTypeId", event_type <> 'error' AS success FROM events
+""")
+def q_page_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "events").select(
+        F.col("event_id").alias("id"), millis("ts").cast("double").alias("eventDate"), event_code().alias("eventTypeId"),
+        (F.col("event_type") != "error").alias("success"))
+    folder = land_pages(rows, "response", F.floor(F.col("id") / 500), shared_dir(spark, "pages"))
+    return normalize.coerce_events(pages.read_pages(spark, folder, "events")).select("id", "eventDate", "eventTypeId", "success")
+
+
+@check("""
+SELECT 'C' || c_custkey AS id, c_name AS "userName", c_mktsegment AS "displayName", 'G' || c_custkey AS "firstName", 'F' || c_nationkey AS "lastName" FROM customer
+""")
+def q_user_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name = F.struct(tagged("G", "c_custkey").alias("givenName"), tagged("F", "c_nationkey").alias("familyName"))
+    rows = table(spark, sf_dir, "customer").select(
+        tagged("C", "c_custkey").alias("id"), F.col("c_name").alias("userName"), F.col("c_mktsegment").alias("displayName"), name.alias("name"))
+    folder = land_pages(rows, "Resources", F.floor(F.substring("id", 2, 20).cast("long") / 500), shared_dir(spark, "users"))
+    return pages.read_users(spark, folder).select("id", "userName", "displayName", "firstName", "lastName")
+
+
+@check("""
+SELECT 'workspace' AS kind, 'W' || n_nationkey AS id, n_name AS name, NULL AS parent FROM nation
+UNION ALL SELECT 'model', 'M' || p_partkey, p_name, 'W' || (p_partkey % 25) FROM part
+UNION ALL SELECT 'action', 'A' || p_partkey, p_type, 'W' || (p_size % 5) || '/M' || (p_size % 10) FROM part
+UNION ALL SELECT 'process', 'P' || s_suppkey, s_name, 'W' || (s_nationkey % 5) || '/M' || (s_nationkey % 10) FROM supplier
+UNION ALL SELECT 'file', 'F' || s_suppkey, s_name, 'W' || (s_nationkey % 5) || '/M' || (s_nationkey % 10) FROM supplier
+UNION ALL SELECT 'integration', 'I' || s_suppkey, s_name, 'run ' || s_nationkey FROM supplier
+""")
+def q_metadata_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part, supplier = table(spark, sf_dir, "part"), table(spark, sf_dir, "supplier")
+    root = shared_dir(spark, "metadata")
+
+    def landed(rows: DataFrame, kind: str, key: str, partitions: list[str] | None = None) -> str:
+        return land_pages(rows, pages.PAGES[kind][0], F.floor(F.substring(key, 2, 20).cast("long") / 500), f"{root}/{kind}", partitions)
+
+    def homes(of: str) -> list[Column]:
+        return [tagged("W", F.col(of) % 5).alias("workspace_id"), tagged("M", F.col(of) % 10).alias("model_id")]
+
+    where = ["workspace_id", "model_id"]
+    landed(table(spark, sf_dir, "nation").select(tagged("W", "n_nationkey").alias("id"), F.col("n_name").alias("name")), "workspaces", "id")
+    landed(part.select(tagged("M", "p_partkey").alias("id"), F.col("p_name").alias("name"), tagged("W", F.col("p_partkey") % 25).alias("workspaceId")),
+           "models", "id", ["workspaceId"])
+    landed(part.select(tagged("A", "p_partkey").alias("id"), F.col("p_type").alias("name"), *homes("p_size")), "actions", "id", where)
+    for letter, kind in (("P", "processes"), ("F", "files")):
+        landed(supplier.select(tagged(letter, "s_suppkey").alias("id"), F.col("s_name").alias("name"), *homes("s_nationkey")), kind, "id", where)
+    run = F.struct(tagged("run ", "s_nationkey").alias("message")).alias("latestRun")
+    landed(supplier.select(tagged("I", "s_suppkey").alias("integrationId"), F.col("s_name").alias("name"), run), "integrations", "integrationId")
+
+    def read(reader: Callable, kind: str, name: str, parent: Column, key: str = "id") -> DataFrame:
+        return reader(spark, f"{root}/{kind}").select(F.lit(name).alias("kind"), F.col(key).alias("id"), "name", parent.alias("parent"))
+
+    home = F.concat_ws("/", "workspace_id", "model_id")
+    found = read(pages.read_workspaces, "workspaces", "workspace", F.lit(None).cast("string"))
+    found = found.unionByName(read(pages.read_models, "models", "model", F.col("workspaceId")))
+    for reader, kind, name in ((pages.read_actions, "actions", "action"), (pages.read_processes, "processes", "process"), (pages.read_files, "files", "file")):
+        found = found.unionByName(read(reader, kind, name, home))
+    return found.unionByName(read(pages.read_integrations, "integrations", "integration", F.col("`latestRun.message`"), "integrationId"))
+
+
+@check("""
+SELECT CAST(event_id AS VARCHAR) AS id, (SELECT count(*) FROM events WHERE epoch_us(ts) // 1000 < 1704844800000) AS deleted, '2' AS schema_version
+FROM events WHERE epoch_us(ts) // 1000 >= 1704844800000
+""")
+def q_event_purge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = EventStore(spark, shared_dir(spark, "purged"))
+    store.load(prepare_events(landed_events(spark, sf_dir), attributes=False))
+    deleted = store.purge(datetime(2026, 1, 9, tzinfo=UTC), 2)
+    version = store.table.version().properties["schema_version"]
+    return store.table.read().select("id", F.lit(deleted).cast("long").alias("deleted"), F.lit(version).alias("schema_version"))
+
+
+# Two years of 365 days before it is 1995-06-15.
+HISTORY_NOW = datetime(1997, 6, 14, tzinfo=UTC)
+HISTORY_SQL = EXPORT_SQL + """, h AS (SELECT substring(sha256(model_id || ':' || date_time_utc || ':' || usr || ':' || description || ':' || ordinal), 1, 16) AS record_id,
+ model_id, date_time_utc FROM n WHERE date_time_utc >= '1995-06-15T00:00:00+00:00')
+"""
+
+
+def history_store(spark: SparkSession, sf_dir: str) -> tuple[HistoryStore, dict[str, int]]:
+    """A store that loaded its exports twice and then lost what is too old."""
+    store = HistoryStore(spark, shared_dir(spark, "history"))
+    pairs = change_orders(spark, sf_dir).select(tagged("m", F.col("o_custkey") % 40).alias("model_id"), F.lit("w1").alias("workspace_id")).distinct()
+    named = table(spark, sf_dir, "nation").select(tagged("m", "n_nationkey").alias("id"), F.col("n_name").alias("name"))
+    folder = land_exports(spark, sf_dir)
+    for run in (RUN_1, RUN_2):
+        store.load(history.history_rows(spark, folder, run), history.registry(pairs, named, named, run), run)
+    return store, store.purge(HISTORY_NOW, 2)
+
+
+@check(HISTORY_SQL + """
+SELECT *, (SELECT count(*) FROM n WHERE date_time_utc < '1995-06-15T00:00:00+00:00') AS deleted FROM h
+""")
+def q_history_purge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store, deleted = history_store(spark, sf_dir)
+    return store.list.read().withColumn("deleted", F.lit(deleted["normalized"]).cast("long"))
+
+
+@check(HISTORY_SQL + f"""
+SELECT 'list' AS file, record_id AS key, model_id AS detail FROM h
+UNION ALL SELECT 'normalized', record_id, '{RUN_1}' FROM h
+UNION ALL SELECT 'registry', m.model_id, coalesce(n_name, m.model_id) || ' {RUN_2}' FROM (SELECT DISTINCT model_id FROM n) m
+ LEFT JOIN nation ON m.model_id = 'm' || n_nationkey
+""")
+def q_history_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store, _ = history_store(spark, sf_dir)
+    folder = shared_dir(spark, "history-out")
+    store.publish(folder)
+
+    def file(name: str, kept: SnapshotTable) -> DataFrame:
+        return publish.read_csv_back(spark, f"{folder}/{name}", kept.schema)
+
+    listed = file("MODEL_HISTORY_LIST", store.list).select(F.lit("list").alias("file"), F.col("record_id").alias("key"), F.col("model_id").alias("detail"))
+    rows = file("MODEL_HISTORY_NORMALIZED", store.normalized).select(F.lit("normalized"), "record_id", "captured_at")
+    models = file("MODEL_REGISTRY", store.registry).select(F.lit("registry"), "model_id", F.concat_ws(" ", "model_name", "last_synced_at"))
+    return listed.union(rows).union(models)
+
+
+@check("""
+SELECT DISTINCT 'app-' || (props->>'$.k') AS code, 'App ' || (props->>'$.k') AS name FROM events WHERE event_type = 'purchase'
+""")
+def q_list_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_dir(spark, "lists")
+    events = attributes.with_attributes(attribute_events(spark, sf_dir))
+    publish.publish_lists(spark, events, folder, {"ux_app": "UX_APP_LIST"}, ["uxAppPage"])
+    return publish.read_csv_back(spark, f"{folder}/UX_APP_LIST", schemas.EMPTY_LIST)
+
+
+@check("""
+SELECT max(epoch_us(ts) // 1000000) AS last_run_epoch,
+ strftime(make_timestamp(max(epoch_us(ts) // 1000000) * 1000000), '%Y-%m-%dT%H:%M:%SZ') AS last_run_utc FROM events
+""")
+def q_last_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs are finished; the file holds what the store says of the later one."""
+    ends = F.unix_seconds(F.col("ts").cast("timestamp"))
+    run = table(spark, sf_dir, "events").agg(F.min(ends).alias("first"), F.max(ends).alias("last"), F.count(F.lit(1)).alias("n")).first()
+    store, folder = EventStore(spark, shared_dir(spark, "last-run")), shared_dir(spark, "last-run-out")
+    store.finish_run(run["first"], 0)
+    store.finish_run(run["last"], run["n"])
+    publish.write_csv(publish.last_run(spark, store.last_run()), f"{folder}/last_run", single_file=True)
+    return publish.read_csv_back(spark, f"{folder}/last_run", schemas.WATERMARK)
+
+
+_AS_TEXT = ", ".join(f"nullif(CAST({c} AS VARCHAR), '') AS {c}" for c in fixed.WIDE_COLUMNS)
+
+
+@check(f"SELECT {_AS_TEXT} FROM ({SQL['q_audit_wide']})")
+def q_wide_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_dir(spark, "wide")
+    wide = q_audit_wide(spark, sf_dir)
+    publish.publish_audit(wide, folder)
+    return publish.read_csv_back(spark, f"{folder}/AUDIT_LOG", schemas._strings(*wide.columns))
