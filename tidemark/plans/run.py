@@ -138,9 +138,11 @@ def run_audit(
         publish.publish_audit(wide, out)
         exported = {name: metadata.read(name) for name in metadata.known}
         exported["models"] = lists.models_with_modifier(exported["models"], exported["users"])
-        exported["act_codes"] = exported["act_codes"].drop("position")
+        exported["act_codes"] = exported["act_codes"].orderBy("position").drop("position")
         exported["event_categories"] = category_seed(spark)
-        published = ["audit", *publish.publish_metadata(exported, out, extracts or {}, {"cloudworks": ["integrationId"]})]
+        # Ids of these repeat across models.
+        order = {"cloudworks": ["integrationId"], **{name: ["id", "workspace_id", "model_id"] for name in PER_MODEL}}
+        published = ["audit", *publish.publish_metadata(exported, out, extracts or {}, order)]
         published += publish.publish_lists(spark, events, out, list_extracts or {}, list(list_categories))
         publish.write_csv(publish.last_run(spark, batch_ms // 1000), f"{out}/last_run", single_file=True)
         store.finish_run(batch_ms // 1000, loaded)
