@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -184,6 +185,28 @@ def test_kneser_ney(spark, docs, empty):
     assert all(r["kept"] for r in kneser_ney.quality(docs, labels.where("false")).collect())
 
 
+def test_quality_reads_running_text(spark):
+    """A repeated word and words out of order are made of normal words; only n-grams across blanks see them."""
+    rng = random.Random(3)
+    names, verbs, ends = ["anna", "bert", "carl", "dora"], ["sees", "hears", "finds"], ["houses.", "rivers.", "trees."]
+    prose = lambda n: " ".join(w for _ in range(n) for w in (rng.choice(names), rng.choice(verbs), rng.choice(ends)))
+    good = [(i, prose(60), "en") for i in range(60)]
+    salad = prose(60).split()
+    rng.shuffle(salad)
+    other = [(100, "anna " * 180, "en"), (101, "houses. " * 180, "en"), (102, " ".join(salad), "en"), (103, prose(60), "en")]
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(60)], "doc_id long, quality int, toxic int")
+    for block_bytes in (1 << 20, 5_000):
+        got = kneser_ney.quality(spark.createDataFrame(good + other, "doc_id long, text string, lang string"), labels, block_bytes=block_bytes)
+        rows = {r["doc_id"]: r for r in got.collect()}
+        assert [rows[i]["kept"] for i in (100, 101, 102, 103)] == [False, False, False, True]
+        assert sum(rows[i]["kept"] for i in range(60)) >= 58
+    # Each trusted document is held out: a text that only it has does not lower the limit.
+    lone = [(200, "zyxw vuts " * 40, "en")]
+    more = spark.createDataFrame([(i, 1, 0) for i in [*range(60), 200]], "doc_id long, quality int, toxic int")
+    row = kneser_ney.quality(spark.createDataFrame(good + lone, "doc_id long, text string, lang string"), more).where("doc_id = 200").first()
+    assert row["text_threshold"] > 10 * row["text_perplexity"]
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_suffix_array(seed):
     rng = np.random.default_rng(seed)

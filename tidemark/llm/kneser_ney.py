@@ -1,11 +1,14 @@
 """Quality classifier by an interpolated modified Kneser-Ney model of trusted text.
 
-The model predicts the characters of a word, from a begin mark to an end mark,
-by up to four characters before them; words are what ``[\\x20\\x09-\\x0D]`` parts,
-in their own case. It is trained on all documents labelled good (``quality`` 1).
-A document's perplexity is per predicted character. It is kept if its perplexity
-is at most that of nearly all trusted documents of its language: a quantile, by
-default 0.995, times an allowance of 2, since very short texts scatter widely. A language with few trusted documents
+Two models predict characters by up to four characters before them. One reads words,
+from a begin mark to an end mark; words are what ``[\\x20\\x09-\\x0D]`` parts, in their
+own case. The other reads the running text: all words of a document, parted by one
+blank, between two marks, so its n-grams cross the blanks and the order of words
+counts. Both are trained on all documents labelled good (``quality`` 1).
+A document's perplexities are per predicted character. It is kept if neither is over
+its limit: a quantile, by default 0.995, of the trusted documents of its language, each
+held out when its own perplexity is taken for the limit: n-grams and contexts that no
+other trusted document has count as unseen. A language with few trusted documents
 uses the quantile over all of them.
 
 Counts are made per block of documents, summed by n-gram, and turned into
@@ -32,10 +35,14 @@ from tidemark.llm import textarrays as ta
 from tidemark.llm.common import Scratch, join_checked
 
 ORDER = 5
-QUANTILE, ALLOWANCE, FEW = 0.995, 2.0, 100
-BEGIN, END = 1, 2
+QUANTILE, FEW = 0.995, 100
+BEGIN, END, GAP = 1, 2, b"\x03"
+WORDS, TEXT = 0, 1
+PARTS = ("word", "text")
 # Distinct words take several times the room of their text, so blocks are small.
 BLOCK_BYTES = 5 << 20
+# Running text is read in parts of about this size.
+PART_BYTES = 1 << 20
 # Sets context keys of the model table apart from n-gram keys.
 WEIGHT = 0x14057B7EF767814F
 
@@ -54,11 +61,30 @@ def _words_of(docs: list[tuple]) -> tuple[dict[bytes, int], np.ndarray, np.ndarr
     return known, np.concatenate([np.zeros(0, np.int64), *numbers]), np.array(counts, np.int64)
 
 
+def _units(docs: list[tuple]):
+    """Per part of a block: the kind of model, its units, and each use of a unit: which one, and by which document."""
+    known, numbers, counts = _words_of(docs)
+    yield WORDS, list(known), numbers, np.repeat(np.arange(len(docs)), counts)
+    del known, numbers, counts
+    units, owners, size = [], [], 0
+    for i, (_, text, _, _) in enumerate(docs):
+        unit = GAP.join(text.split())
+        if unit:
+            units.append(unit)
+            owners.append(i)
+            size += len(unit)
+        if size >= PART_BYTES or (units and i == len(docs) - 1):
+            yield TEXT, units, np.arange(len(units)), np.array(owners, np.int64)
+            units, owners, size = [], [], 0
+    if units:
+        yield TEXT, units, np.arange(len(units)), np.array(owners, np.int64)
+
+
 class Grams:
-    """Hashes of the n-grams that end at each predicted character of distinct words."""
+    """Hashes of the n-grams that end at each predicted character of distinct units: words or running texts."""
 
-    def __init__(self, words: list[bytes], order: int):
-        # Each word is a begin mark, its characters and an end mark; blanks never occur inside.
+    def __init__(self, words: list[bytes], order: int, kind: int = WORDS):
+        # Each unit is a begin mark, its characters and an end mark; blanks never occur inside.
         text = (b" " + b"  ".join(words) + b" " if words else b"").decode("utf-8", "replace")
         codes = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.uint64)
         blank = np.flatnonzero(codes == 0x20)
@@ -90,16 +116,21 @@ class Grams:
         for k in range(1, order + 1):
             here = np.minimum(reach[at], order) == k
             top[here] = grams[k - 1][at[here]]
-        _, first, self.number = np.unique(top, return_index=True, return_inverse=True)
-        self.first = at[first]
+        by = np.argsort(top)
+        new = np.ones(len(by), bool)
+        new[1:] = top[by[1:]] != top[by[:-1]]
+        self.number = np.empty(len(by), np.int64)
+        self.number[by] = np.cumsum(new) - 1
+        self.first = at[by[new]]
+        self.kind = kind
 
     def gram(self, k: int, at: np.ndarray) -> np.ndarray:
         """Hashes of the k-grams that end at positions whose reach is at least k."""
-        return ta.mixed(self.grams[k - 1][at] + np.uint64(k))
+        return ta.mixed(self.grams[k - 1][at] + np.uint64(k + 64 * self.kind))
 
     def context(self, k: int, at: np.ndarray) -> np.ndarray:
         """Hashes of what precedes the last symbol of those k-grams (a fixed one for k = 1)."""
-        return self.gram(k - 1, at - 1) if k > 1 else np.full(len(at), np.uint64(5))
+        return self.gram(k - 1, at - 1) if k > 1 else np.full(len(at), np.uint64(5 + self.kind))
 
     def wanted(self) -> list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
         """Per order: k, which distinct n-grams have it, their table keys and those of their contexts."""
@@ -111,31 +142,48 @@ class Grams:
         return out
 
 
-COUNTED = "k int, gram long, context long, suffix long, at_begin boolean, n long"
+COUNTED = "kind int, k int, gram long, context long, suffix long, at_begin boolean, n long, low long, high long"
 
 
 def _counted(order: int):
-    """Counts of all n-grams in a block of trusted documents."""
-    schema = pa.schema([("k", pa.int32()), ("gram", pa.int64()), ("context", pa.int64()), ("suffix", pa.int64()),
-                        ("at_begin", pa.bool_()), ("n", pa.int64())])
+    """Counts of all n-grams in a block of trusted documents, with the least and greatest id that has them."""
+    schema = pa.schema([("kind", pa.int32()), ("k", pa.int32()), ("gram", pa.int64()), ("context", pa.int64()), ("suffix", pa.int64()),
+                        ("at_begin", pa.bool_()), ("n", pa.int64()), ("low", pa.int64()), ("high", pa.int64())])
+
+    def summed(key: np.ndarray, n: np.ndarray, low: np.ndarray, high: np.ndarray):
+        """Where each distinct key stands first; its count, least and greatest id."""
+        by = np.argsort(key)
+        new = np.ones(len(by), bool)
+        new[1:] = key[by[1:]] != key[by[:-1]]
+        at = np.flatnonzero(new)
+        return by[at], np.add.reduceat(n[by], at), np.minimum.reduceat(low[by], at), np.maximum.reduceat(high[by], at)
 
     def run(table: pa.Table) -> pa.Table:
-        known, numbers, _ = _words_of(ns.block_texts(table))
-        grams = Grams(list(known), order)
-        per_word = np.bincount(numbers, minlength=len(known))
-        weight = np.bincount(grams.number, per_word[grams.word], len(grams.first)).astype(np.int64)
-        parts = []
-        for k in range(1, order + 1):
-            has = grams.reach[grams.first] >= k
-            at, w = grams.first[has], weight[has]
-            if not len(at):
+        docs = ns.block_texts(table)
+        ids = np.array([d[0] for d in docs], np.int64)
+        found: dict[tuple, list] = {}
+        for kind, units, numbers, owners in _units(docs):
+            if not units:
                 continue
-            found, first, number = np.unique(grams.gram(k, at), return_index=True, return_inverse=True)
-            at = at[first]
-            context = grams.context(k, at)
-            suffix = grams.gram(k - 1, at) if k > 1 else np.zeros(len(at), np.uint64)
-            columns = [np.full(len(at), k, np.int32), found, context, suffix, grams.reach[at] == k,
-                       np.bincount(number, w).astype(np.int64)]
+            grams = Grams(units, order, kind)
+            _, n, low, high = summed(numbers, np.ones(len(numbers), np.int64), ids[owners], ids[owners])
+            _, n, low, high = summed(grams.number, n[grams.word], low[grams.word], high[grams.word])
+            for k in range(1, order + 1):
+                has = grams.reach[grams.first] >= k
+                at = grams.first[has]
+                if not len(at):
+                    continue
+                gram = grams.gram(k, at)
+                one, *sums = summed(gram, n[has], low[has], high[has])
+                at = at[one]
+                suffix = grams.gram(k - 1, at) if k > 1 else np.zeros(len(at), np.uint64)
+                found.setdefault((kind, k), []).append((gram[one], grams.context(k, at), suffix, grams.reach[at] == k, *sums))
+            del grams
+        parts = []
+        for (kind, k), some in found.items():
+            gram, context, suffix, at_begin, n, low, high = [np.concatenate(c) for c in zip(*some, strict=True)]
+            one, *sums = summed(gram, n, low, high)
+            columns = [np.full(len(one), kind, np.int32), np.full(len(one), k, np.int32), gram[one], context[one], suffix[one], at_begin[one], *sums]
             parts.append(pa.Table.from_arrays([pa.array(c.view(np.int64) if c.dtype == np.uint64 else c) for c in columns], schema=schema))
         return pa.concat_tables(parts) if parts else schema.empty_table()
 
@@ -143,37 +191,42 @@ def _counted(order: int):
 
 
 def model_table(counts: DataFrame, order: int, scratch: Scratch) -> DataFrame:
-    """(key, value): discounted probabilities by n-gram and interpolation weights by context.
+    """(kind, key, value): discounted probabilities by n-gram and interpolation weights by context.
 
-    ``counts`` has the columns of ``COUNTED``.
+    ``counts`` has the columns of ``COUNTED``. Values of what one document alone has are negative (or -0).
     """
     grams = scratch.put(
-        counts.groupBy("k", "gram").agg(*[F.first(c).alias(c) for c in ("context", "suffix", "at_begin")], F.sum("n").alias("n")),
+        counts.groupBy("kind", "k", "gram").agg(
+            *[F.first(c).alias(c) for c in ("context", "suffix", "at_begin")], F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high")),
         "grams",
     )
-    left = grams.where("k > 1").groupBy((F.col("k") - 1).alias("k"), F.col("suffix").alias("gram")).agg(F.count(F.lit(1)).alias("neighbours"))
+    left = grams.where("k > 1").groupBy("kind", (F.col("k") - 1).alias("k"), F.col("suffix").alias("gram")).agg(F.count(F.lit(1)).alias("neighbours"))
     raw = (F.col("k") == order) | F.col("at_begin")
-    used = grams.join(left, ["k", "gram"], "left").withColumn("c", F.when(raw, F.col("n")).otherwise(F.coalesce("neighbours", F.col("n"))))
-    used = scratch.put(used.select("k", "context", F.col("gram").alias("key"), "c"), "used")
-    times = used.groupBy("k").agg(*[F.count(F.when(F.col("c") == i, 1)).alias(f"t{i}") for i in (1, 2, 3, 4)])
+    used = grams.join(left, ["kind", "k", "gram"], "left").withColumn("c", F.when(raw, F.col("n")).otherwise(F.coalesce("neighbours", F.col("n"))))
+    used = scratch.put(used.select("kind", "k", "context", F.col("gram").alias("key"), "c", "low", "high"), "used")
+    times = used.groupBy("kind", "k").agg(*[F.count(F.when(F.col("c") == i, 1)).alias(f"t{i}") for i in (1, 2, 3, 4)])
     y = F.col("t1") / F.greatest(F.col("t1") + 2 * F.col("t2"), F.lit(1))
     discount = lambda i: F.greatest(F.lit(0.0), F.least(F.lit(float(i)), F.when(F.col(f"t{i}") > 0, i - (i + 1) * y * F.col(f"t{i + 1}") / F.col(f"t{i}")).otherwise(F.lit(0.5 * i))))
-    discounts = times.select("k", *[discount(i).alias(f"d{i}") for i in (1, 2, 3)])
+    discounts = times.select("kind", "k", *[discount(i).alias(f"d{i}") for i in (1, 2, 3)])
     d = F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3"))
-    discounted = used.join(discounts, "k").withColumn("d", d)
-    weights = discounted.groupBy("k", "context").agg(
-        F.sum("c").alias("total"), (F.sum("d") / F.sum("c")).alias("weight")
+    discounted = used.join(discounts, ["kind", "k"]).withColumn("d", d)
+    marked = lambda value: F.when(F.col("low") == F.col("high"), -value).otherwise(value)
+    weights = discounted.groupBy("kind", "k", "context").agg(
+        F.sum("c").alias("total"), (F.sum("d") / F.sum("c")).alias("weight"), F.min("low").alias("low"), F.max("high").alias("high")
     )
     weights = scratch.put(weights, "weights")
-    values = discounted.join(weights.select("k", "context", "total"), ["k", "context"]).select(
-        "key", ((F.col("c") - F.col("d")) / F.col("total")).alias("value")
+    values = discounted.join(weights.select("kind", "k", "context", "total"), ["kind", "k", "context"]).select(
+        "kind", "key", marked((F.col("c") - F.col("d")) / F.col("total")).alias("value")
     )
-    return scratch.put(values.union(weights.select(F.col("context").bitwiseXOR(F.lit(WEIGHT)), "weight")), "model")
+    return scratch.put(values.union(weights.select("kind", F.col("context").bitwiseXOR(F.lit(WEIGHT)), marked(F.col("weight")))), "model")
 
 
 def perplexities(docs: DataFrame, labels: DataFrame, order: int, scratch: Scratch, id_column: str, text_column: str, lang_column: str,
                  block_bytes: int) -> DataFrame:
-    """doc_id, lang, trusted, n_chars, log_probability of every document."""
+    """doc_id, lang, trusted of every document, and for words and running text each: n_chars, log_probability, held_out.
+
+    ``held_out`` is the log probability without what the model has from this document alone; null if it is not trusted.
+    """
     blocks = shards = ns.block_count(docs, text_column, block_bytes)
     good = scratch.put(labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(1).alias("flag")).distinct(), "good")
     texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("binary").alias("text"),
@@ -183,17 +236,24 @@ def perplexities(docs: DataFrame, labels: DataFrame, order: int, scratch: Scratc
     good_rows = rows.where("flag = 1")
     trusted = ns.packed_blocks(good_rows, ns.block_count(good_rows, "text", 2 * block_bytes))
     model = model_table(trusted.groupBy("block").applyInArrow(_counted(order), COUNTED), order, scratch)
-    vocabulary = max(1, model.count())
-    uniform = 1.0 / vocabulary
+    sizes = dict(model.groupBy("kind").count().collect())
+    uniform = [1.0 / max(1, sizes.get(kind, 0)) for kind in (WORDS, TEXT)]
     request_schema = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
     reply_schema = pa.schema([("block", pa.int32()), ("shard", pa.int32()), ("found", pa.binary())])
-    result_schema = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), ("trusted", pa.int32()), ("n_chars", pa.int64()), ("log_probability", pa.float64())])
+    result_schema = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), ("trusted", pa.int32()),
+                               *[(f"{part}_{c}", t) for part in PARTS for c, t in (("n_chars", pa.int64()), ("log_probability", pa.float64()), ("held_out", pa.float64()))]])
+
+    def wanted_keys(docs: list[tuple]) -> np.ndarray:
+        keys = np.zeros(0, np.uint64)
+        for kind, units, _, _ in _units(docs):
+            if units:
+                wanted = Grams(units, order, kind).wanted()
+                keys = np.unique(np.concatenate([keys, ns.shard_keys(np.concatenate([a for w in wanted for a in w[2:]]), shards)]))
+        return keys
 
     def ask(table: pa.Table) -> pa.Table:
         block = table.column("block")[0].as_py()
-        known, _, _ = _words_of(ns.block_texts(table))
-        wanted = Grams(list(known), order).wanted()
-        keys = np.unique(ns.shard_keys(np.concatenate([a for w in wanted for a in w[2:]]), shards))
+        keys = wanted_keys(ns.block_texts(table))
         out = ns.requests(block, keys, np.zeros(len(keys), np.uint32), shards)
         return ns.table_of(out or [{"shard": 0, "block": block, "keys": b"", "counts": b""}], request_schema)
 
@@ -218,24 +278,32 @@ def perplexities(docs: DataFrame, labels: DataFrame, order: int, scratch: Scratc
         if not left.num_rows:
             return result_schema.empty_table()
         docs = ns.block_texts(left)
-        known, numbers, counts = _words_of(docs)
-        grams = Grams(list(known), order)
-        wanted = grams.wanted()
-        keys = np.unique(ns.shard_keys(np.concatenate([a for w in wanted for a in w[2:]]), shards))
+        keys = wanted_keys(docs)
         found = ns.replies(right, np.float32).astype(float)
-        probability = np.full(len(grams.first), uniform)
-        for _, has, value, weight in wanted:
-            v = found[np.searchsorted(keys, ns.shard_keys(value, shards))]
-            w = found[np.searchsorted(keys, ns.shard_keys(weight, shards))]
-            # A context never seen leaves the shorter one's probability as it is.
-            probability[has] = np.where(np.isnan(w), probability[has], np.nan_to_num(v) + np.nan_to_num(w) * probability[has])
-        logs = np.log(np.maximum(probability, 1e-300))
-        per_word = np.bincount(grams.word, logs[grams.number], len(known)) if len(known) else np.zeros(0)
-        owner = np.repeat(np.arange(len(docs)), counts)
+        chars = np.zeros((2, len(docs)), np.int64)
+        logs = np.zeros((2, 2, len(docs)))
+        for kind, units, numbers, owners in _units(docs):
+            if not units:
+                continue
+            grams = Grams(units, order, kind)
+            plain = np.full(len(grams.first), uniform[kind])
+            alone = plain.copy()
+            for _, has, value, weight in grams.wanted():
+                v = found[np.searchsorted(keys, ns.shard_keys(value, shards))]
+                w = found[np.searchsorted(keys, ns.shard_keys(weight, shards))]
+                # A context never seen leaves the shorter one's probability as it is.
+                plain[has] = np.where(np.isnan(w), plain[has], np.abs(np.nan_to_num(v)) + np.abs(np.nan_to_num(w)) * plain[has])
+                others = np.where(np.signbit(v), 0.0, np.nan_to_num(v)) + np.nan_to_num(w) * alone[has]
+                alone[has] = np.where(np.isnan(w) | np.signbit(w), alone[has], others)
+            chars[kind] += np.bincount(owners, grams.lengths[numbers], len(docs)).astype(np.int64)
+            for i, probability in enumerate((plain, alone)):
+                per_unit = np.bincount(grams.word, np.log(np.maximum(probability, 1e-300))[grams.number], len(units))
+                logs[kind, i] += np.bincount(owners, per_unit[numbers], len(docs))
+            del grams
+        trusted = np.array([d[2] for d in docs]) == 1
         return pa.Table.from_arrays([
             pa.array([d[0] for d in docs], pa.int64()), pa.array([d[3] for d in docs], pa.string()), pa.array([d[2] for d in docs], pa.int32()),
-            pa.array(np.bincount(owner, grams.lengths[numbers] if len(numbers) else None, len(docs)).astype(np.int64)),
-            pa.array(np.bincount(owner, per_word[numbers] if len(numbers) else None, len(docs)).astype(float)),
+            *[c for kind in (WORDS, TEXT) for c in (pa.array(chars[kind]), pa.array(logs[kind, 0]), pa.array(logs[kind, 1], mask=~trusted))],
         ], schema=result_schema)
 
     asked = packed.groupBy("block").applyInArrow(ask, ns.REQUEST)
@@ -243,24 +311,26 @@ def perplexities(docs: DataFrame, labels: DataFrame, order: int, scratch: Scratc
                           F.col("key").bitwiseAND(F.lit(ns.LOW)).alias("low"), "value")
     answered = asked.groupBy("shard").cogroup(placed.groupBy("shard")).applyInArrow(answer, ns.REPLY)
     scored = packed.groupBy("block").cogroup(answered.groupBy("block")).applyInArrow(
-        finish, "doc_id long, lang string, trusted int, n_chars long, log_probability double"
+        finish, "doc_id long, lang string, trusted int, " + ", ".join(f"{p}_n_chars long, {p}_log_probability double, {p}_held_out double" for p in PARTS)
     )
     return scratch.put(scored, "scored")
 
 
-def quality(docs: DataFrame, labels: DataFrame, order: int = ORDER, quantile: float = QUANTILE, allowance: float = ALLOWANCE,
+def quality(docs: DataFrame, labels: DataFrame, order: int = ORDER, quantile: float = QUANTILE,
             id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang", block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """doc_id, lang, perplexity, threshold, kept; one row per row."""
+    """doc_id, lang, perplexity, threshold (inside words), text_perplexity, text_threshold (running text), kept; one row per row."""
     scratch = Scratch(docs.sparkSession, "quality")
-    scored = perplexities(docs, labels, order, scratch, id_column, text_column, lang_column, block_bytes).withColumn(
-        "perplexity", F.when(F.col("n_chars") > 0, F.exp(-F.col("log_probability") / F.col("n_chars")))
-    )
-    trusted = scored.where("trusted = 1 and perplexity is not null")
-    at = F.percentile_approx("perplexity", F.lit(quantile), F.lit(10_000))
-    by_lang = trusted.groupBy("lang").agg(at.alias("limit"), F.count(F.lit(1)).alias("n")).where(F.col("n") >= FEW)
-    overall = trusted.agg(at.alias("limit")).first()["limit"]
-    limits = scratch.put(by_lang.select(F.col("lang").alias("l"), "limit"), "limits")
+    scored = perplexities(docs, labels, order, scratch, id_column, text_column, lang_column, block_bytes)
+    of = lambda part, logs: F.when(F.col(f"{part}_n_chars") > 0, F.exp(-F.col(f"{part}_{logs}") / F.col(f"{part}_n_chars")))
+    trusted = scored.where("trusted = 1 and word_n_chars > 0")
+    at = [F.percentile_approx(of(p, "held_out"), F.lit(quantile), F.lit(10_000)).alias(f"{p}_limit") for p in PARTS]
+    by_lang = trusted.groupBy("lang").agg(*at, F.count(F.lit(1)).alias("n")).where(F.col("n") >= FEW)
+    overall = trusted.agg(*at).first()
+    limits = scratch.put(by_lang.select(F.col("lang").alias("l"), *[f"{p}_limit" for p in PARTS]), "limits")
     joined = scored.join(limits, F.col("lang").eqNullSafe(F.col("l")), "left")
-    threshold = F.coalesce("limit", F.lit(overall).cast("double")) * allowance
-    kept = F.coalesce(F.col("perplexity") <= threshold, F.lit(True))
-    return joined.select("doc_id", "lang", "perplexity", threshold.alias("threshold"), kept.alias("kept"))
+    for part in PARTS:
+        joined = joined.withColumn(f"{part}_perplexity", of(part, "log_probability")).withColumn(
+            f"{part}_threshold", F.coalesce(f"{part}_limit", F.lit(overall[f"{part}_limit"]).cast("double")))
+    kept = [F.coalesce(F.col(f"{p}_perplexity") <= F.col(f"{p}_threshold"), F.lit(True)) for p in PARTS]
+    return joined.select("doc_id", "lang", F.col("word_perplexity").alias("perplexity"), F.col("word_threshold").alias("threshold"),
+                         "text_perplexity", "text_threshold", (kept[0] & kept[1]).alias("kept"))
