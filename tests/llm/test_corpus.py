@@ -233,6 +233,22 @@ def test_suffix_removal(docs, empty):
     assert suffix_dedup.remove_repeats(empty).count() == 0
 
 
+def test_suffix_removal_of_repeated_ids(spark):
+    """Rows of one id are documents of their own: of equal rows one stays, and cuts of one text stay out of the other."""
+    rng = random.Random(5)
+    text = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    one, two, long, shared = text(300), text(400), text(500), text(150)
+    a, b = "A" + text(50) + shared, "B" + text(250)
+    rows = [(1, one), (1, one), (2, two), (2, long), (3, two), (3, a), (4, b), (4, shared + text(40)), (5, "short"), (5, "short")]
+    for block_bytes in (1 << 20, 500):
+        got = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), block_bytes=block_bytes, with_text=True)
+        kept = sorted((r["doc_id"], r["n_bytes"], bytes(r["kept"]).decode()) for r in got.collect())
+        assert kept == sorted([
+            (1, 300, one), (1, 300, ""), (2, 400, two), (2, 500, long), (3, 400, ""), (3, len(a), a), (4, len(b), b),
+            (4, 190, rows[7][1][150:]), (5, 5, "short"), (5, 5, "short"),
+        ])
+
+
 def test_mixing(spark, docs, empty):
     rows = [r.asDict() for r in mixing.mix(docs).collect()]
     assert len(rows) == len(TEXTS)

@@ -3,7 +3,8 @@
 Texts are UTF-8 bytes (null: empty). Every byte is removed that lies in a string
 of ``span`` bytes which also starts earlier: in a document of smaller id, or
 earlier in the same one. Strings are judged on the input and never cross documents.
-Ids are expected to be unique; an empty table gives none; extra columns are not read.
+Rows that repeat an id come in the order of their bytes, each a document of its own:
+of equal rows the first stays. An empty table gives none; extra columns are not read.
 
 1. A text of at least ``span`` bytes that a smaller id has whole is removed whole.
 2. Each window of ``span`` bytes is anchored at its smallest 32-byte hash, so equal
@@ -35,11 +36,11 @@ from tidemark.llm import textarrays as ta
 from tidemark.llm.common import Scratch, join_checked
 
 SPAN, GRAM = 100, 32
-FOUND = "kind int, place int, anchor long, doc_id long, start long, n long, bytes binary"
-FOUND_SCHEMA = pa.schema([("kind", pa.int32()), ("place", pa.int32()), ("anchor", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int64()),
+FOUND = "kind int, place int, anchor long, doc_id long, row int, start long, n long, bytes binary"
+FOUND_SCHEMA = pa.schema([("kind", pa.int32()), ("place", pa.int32()), ("anchor", pa.int64()), ("doc_id", pa.int64()), ("row", pa.int32()), ("start", pa.int64()),
                           ("n", pa.int64()), ("bytes", pa.binary())])
-GONE = "block int, doc_id long, start long, stop long"
-GONE_SCHEMA = pa.schema([("block", pa.int32()), ("doc_id", pa.int64()), ("start", pa.int64()), ("stop", pa.int64())])
+GONE = "block int, doc_id long, row int, start long, stop long"
+GONE_SCHEMA = pa.schema([("block", pa.int32()), ("doc_id", pa.int64()), ("row", pa.int32()), ("start", pa.int64()), ("stop", pa.int64())])
 
 
 class Anchors:
@@ -83,6 +84,14 @@ class Anchors:
         return hashes[place[at[first]]], text[at[first]], at[first], np.diff(np.append(first, len(at)))
 
 
+def _numbered(table: pa.Table) -> list[tuple]:
+    """(doc_id, text, flag, row) of a block; row counts the rows of an id, which all are in its block, by their bytes."""
+    out: list[tuple] = []
+    for doc_id, text, flag, _ in ns.block_texts(table):
+        out.append((doc_id, text, flag, out[-1][3] + 1 if out and out[-1][0] == doc_id else 0))
+    return out
+
+
 def _runs(docs: list[tuple], span: int):
     """Per chunk of a block: its rows, bytes, bounds and runs."""
     find = Anchors(span)
@@ -206,9 +215,8 @@ def repeated_starts(stretches: list[bytes], windows: list[int], ranks: list[tupl
             equal[live] = (text[x[: len(y)][live, None] + at] == text[y[live, None] + at]).all(axis=1)
         same[a : a + len(y)] = equal
     group = np.cumsum(~same)
-    doc = np.array([r[0] for r in ranks])[owner[order]]
-    place = np.array([r[1] for r in ranks])[owner[order]] + offset[order]
-    by = np.lexsort((place, doc, group))
+    *doc, place = [np.array(c)[owner[order]] for c in zip(*ranks, strict=True)]
+    by = np.lexsort((place + offset[order], *doc[::-1], group))
     later = np.zeros(len(by), bool)
     later[1:] = group[by[1:]] == group[by[:-1]]
     hit = order[by[later]]
@@ -221,17 +229,18 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, id_column: str = "doc_id",
     scratch = Scratch(docs.sparkSession, "repeats")
     blocks = shards = ns.block_count(docs, text_column, block_bytes)
     texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.coalesce(F.col(text_column).cast("binary"), F.lit(b"")).alias("text"))
-    named = scratch.put(texts.select("doc_id", F.sha2("text", 256).alias("sha")), "names")
+    texts = texts.withColumn("sha", F.sha2("text", 256))
+    named = scratch.put(texts.select("doc_id", "sha"), "names")
     firsts = named.groupBy("sha").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    copies = scratch.put(named.join(firsts, "sha").where("doc_id <> first").select("doc_id", F.lit(1).alias("flag")).distinct(), "copies")
-    rows = join_checked(texts, copies, "doc_id", "left").select("doc_id", "text", F.coalesce("flag", F.lit(0)).alias("flag"), F.lit(None).cast("string").alias("lang"))
+    copies = scratch.put(named.join(firsts, "sha").where("doc_id <> first").select("doc_id", "sha", F.lit(1).alias("flag")).distinct(), "copies")
+    rows = join_checked(texts, copies, ["doc_id", "sha"], "left").select("doc_id", "text", F.coalesce("flag", F.lit(0)).alias("flag"), F.lit(None).cast("string").alias("lang"))
     packed = ns.packed_blocks(rows, blocks)
     request_schema = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
     reply_schema = pa.schema([("block", pa.int32()), ("shard", pa.int32()), ("found", pa.binary())])
 
     def ask(table: pa.Table) -> pa.Table:
         block = table.column("block")[0].as_py()
-        hashes = [runs[0] for _, _, _, runs in _runs(ns.block_texts(table), span)]
+        hashes = [runs[0] for _, _, _, runs in _runs(_numbered(table), span)]
         keys, counts = np.unique(ns.shard_keys(np.concatenate([np.zeros(0, np.uint64), *hashes]), shards), return_counts=True)
         return ns.table_of(ns.requests(block, keys, counts, shards) or [{"shard": 0, "block": block, "keys": b"", "counts": ns.reply(np.zeros(0, np.uint32))}], request_schema)
 
@@ -250,7 +259,7 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, id_column: str = "doc_id",
         if not left.num_rows:
             return FOUND_SCHEMA.empty_table()
         block = left.column("block")[0].as_py()
-        chunks = list(_runs(ns.block_texts(left), span))
+        chunks = list(_runs(_numbered(left), span))
         hashes = np.concatenate([np.zeros(0, np.uint64), *[c[3][0] for c in chunks]])
         _, at = np.unique(ns.shard_keys(hashes, shards), return_inverse=True)
         many = ns.replies(right, np.uint8)[at].astype(bool)
@@ -259,26 +268,26 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, id_column: str = "doc_id",
         for held, data, bounds, (anchors, text, first, n) in chunks:
             for i in np.flatnonzero(many[done : done + len(anchors)]).tolist():
                 doc, a, windows = int(text[i]), int(first[i]), int(n[i])
-                doc_id, start = held[doc][0], a - int(bounds[doc])
+                doc_id, row, start = held[doc][0], held[doc][3], a - int(bounds[doc])
                 part = data[a : a + windows + span - 1].tobytes()
                 key = (int(anchors[i]), part)
                 if key in seen:
-                    out.append((1, block, 0, doc_id, start, windows, None))
+                    out.append((1, block, 0, doc_id, row, start, windows, None))
                 else:
                     seen.add(key)
                     signed = int(anchors[i : i + 1].view(np.int64)[0])
-                    out.append((0, int(anchors[i] >> np.uint64(33)) % (4 * shards), signed, doc_id, start, windows, part))
+                    out.append((0, int(anchors[i] >> np.uint64(33)) % (4 * shards), signed, doc_id, row, start, windows, part))
             done += len(anchors)
         return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), FOUND_SCHEMA, strict=True)], schema=FOUND_SCHEMA) if out else FOUND_SCHEMA.empty_table()
 
     def sort_shard(table: pa.Table) -> pa.Table:
-        found = sorted(zip(*[table.column(c).to_pylist() for c in ("anchor", "bytes", "doc_id", "start", "n")], strict=True))
+        found = sorted(zip(*[table.column(c).to_pylist() for c in ("anchor", "bytes", "doc_id", "row", "start", "n")], strict=True))
         gone, distinct = [], []
-        for i, (anchor, part, doc_id, start, n) in enumerate(found):
+        for i, (anchor, part, doc_id, row, start, n) in enumerate(found):
             if i and found[i - 1][:2] == (anchor, part):
-                gone.append((doc_id, start, start + n + span - 1))
+                gone.append((doc_id, row, start, start + n + span - 1))
             else:
-                distinct.append((anchor, part, doc_id, start, n))
+                distinct.append((anchor, part, doc_id, row, start, n))
         # An anchor with one stretch has no two equal windows but by hash collision of anchors in the stretch itself.
         shared = [d for i, d in enumerate(distinct) if i and distinct[i - 1][0] == d[0] or i + 1 < len(distinct) and distinct[i + 1][0] == d[0]]
         at = 0
@@ -289,25 +298,25 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, id_column: str = "doc_id",
                 size += len(shared[stop][1])
                 stop += 1
             some = shared[at:stop]
-            for which, offset in repeated_starts([s[1] for s in some], [s[4] for s in some], [(s[2], s[3]) for s in some], span):
-                start = some[which][3] + offset
-                gone.append((some[which][2], start, start + span))
+            for which, offset in repeated_starts([s[1] for s in some], [s[5] for s in some], [s[2:5] for s in some], span):
+                start = some[which][4] + offset
+                gone.append((*some[which][2:4], start, start + span))
             at = stop
         # Neighbouring windows of one document are one run.
         gone.sort()
         merged: list[list[int]] = []
-        for doc_id, start, stop in gone:
-            if merged and merged[-1][0] == doc_id and start <= merged[-1][2]:
-                merged[-1][2] = max(stop, merged[-1][2])
+        for doc_id, row, start, stop in gone:
+            if merged and merged[-1][:2] == [doc_id, row] and start <= merged[-1][3]:
+                merged[-1][3] = max(stop, merged[-1][3])
             else:
-                merged.append([doc_id, start, stop])
-        columns = list(zip(*merged, strict=True)) if merged else [[], [], []]
-        return pa.Table.from_arrays([pa.array([0] * len(merged), pa.int32()), *[pa.array(c, pa.int64()) for c in columns]], schema=GONE_SCHEMA)
+                merged.append([doc_id, row, start, stop])
+        columns = list(zip(*[[0, *m] for m in merged], strict=True)) if merged else [[], [], [], [], []]
+        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, GONE_SCHEMA, strict=True)], schema=GONE_SCHEMA)
 
     asked = packed.groupBy("block").applyInArrow(ask, ns.REQUEST)
     answered = asked.groupBy("shard").applyInArrow(answer, ns.REPLY)
     sent = scratch.put(packed.groupBy("block").cogroup(answered.groupBy("block")).applyInArrow(send, FOUND), "stretches")
-    here = sent.where("kind = 1").select(F.col("place").alias("block"), "doc_id", "start", (F.col("start") + F.col("n") + span - 1).alias("stop"))
+    here = sent.where("kind = 1").select(F.col("place").alias("block"), "doc_id", "row", "start", (F.col("start") + F.col("n") + span - 1).alias("stop"))
     there = sent.where("kind = 0").groupBy("place").applyInArrow(sort_shard, GONE)
     block = F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int")
     gone = scratch.put(here.union(there.withColumn("block", block)), "gone")
@@ -320,13 +329,13 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, id_column: str = "doc_id",
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
             return result_schema.empty_table()
-        cuts: dict[int, list] = {}
-        for doc_id, start, stop in zip(*[right.column(c).to_pylist() for c in ("doc_id", "start", "stop")], strict=True):
-            cuts.setdefault(doc_id, []).append((start, stop))
+        cuts: dict[tuple, list] = {}
+        for doc_id, row, start, stop in zip(*[right.column(c).to_pylist() for c in ("doc_id", "row", "start", "stop")], strict=True):
+            cuts.setdefault((doc_id, row), []).append((start, stop))
         out = []
-        for doc_id, text, copy, _ in ns.block_texts(left):
+        for doc_id, text, copy, number in _numbered(left):
             runs: list[list[int]] = []
-            found = [(0, len(text))] if copy and len(text) >= span else [] if copy else sorted(cuts.get(doc_id, ()))
+            found = [(0, len(text))] if copy and len(text) >= span else [] if copy else sorted(cuts.get((doc_id, number), ()))
             for start, stop in found:
                 if runs and start <= runs[-1][1]:
                     runs[-1][1] = max(stop, runs[-1][1])
