@@ -233,6 +233,30 @@ def test_suffix_removal(docs, empty):
     assert suffix_dedup.remove_repeats(empty).count() == 0
 
 
+def test_suffix_removal_around_a_hot_anchor(spark):
+    """A phrase with other text about it each time is split by its windows, with the results of one sort."""
+    rng = random.Random(7)
+    text = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    phrase, both = text(60), text(70)
+    rows = [(i, text(rng.randrange(80, 120)) + phrase + text(rng.randrange(80, 120))) for i in range(60)]
+    rows += [(100 + i, text(30) + both + phrase + both + text(30)) for i in range(4)] + [(200, text(20) + (phrase + both) * 4), (201, rows[3][1] + "x")]
+    docs, span = spark.createDataFrame(rows, "doc_id long, text string"), 100
+    seen, expected = set(), {}
+    for doc_id, t in rows:
+        gone = set()
+        for i in range(len(t) - span + 1):
+            if t[i : i + span] in seen:
+                gone.update(range(i, i + span))
+            seen.add(t[i : i + span])
+        expected[doc_id] = "".join(c for i, c in enumerate(t) if i not in gone)
+    for block_bytes, hot in ((1 << 20, 5), (3_000, 5), (3_000, 1 << 30)):
+        got = suffix_dedup.remove_repeats(docs, block_bytes=block_bytes, with_text=True, hot=hot)
+        assert {r["doc_id"]: bytes(r["kept"]).decode() for r in got.collect()} == expected
+    data = np.frombuffer(rows[0][1].encode(), np.uint8)
+    at = suffix_dedup._starts(np.array([2, 50]), np.array([3, 2]))
+    assert at.tolist() == [2, 3, 4, 50, 51] and not suffix_dedup._later_equals(data, at, suffix_dedup._windows(data, at, span), span).any()
+
+
 def test_suffix_removal_of_repeated_ids(spark):
     """Rows of one id are documents of their own: of equal rows one stays, and cuts of one text stay out of the other."""
     rng = random.Random(5)

@@ -13,13 +13,16 @@ of equal rows the first stays. An empty table gives none; extra columns are not
 3. The stretches around repeated anchors go to the shard of their anchor. A block
    sends a stretch it has several times once, and drops the later ones itself:
    so a group of many copies sends no more than a few rows per block.
+   Around an anchor with over ``HOT`` occurrences (a common line with other text about
+   it each time) windows are dealt by their own bytes: blocks ask which windows
+   occur again, and each of those goes alone, once per part of a block.
 4. A shard's stretches are suffix sorted: LMS substrings are put in order by one
    induction and named, the string of names is sorted, and a second induction puts all
    suffixes in order. Suffixes with ``span`` bytes in common are then neighbours; all
    but the earliest are removed.
 
-Shards are of bounded size and their number follows the input, so the queues of the
-induction (one per first byte) are arrays in memory.
+No anchor brings more than ``HOT`` stretches and their shards' number follows the input,
+so the queues of the induction (one per first byte) are arrays in memory.
 """
 
 from __future__ import annotations
@@ -36,6 +39,8 @@ from tidemark.llm import textarrays as ta
 from tidemark.llm.common import Scratch, join_checked
 
 SPAN, GRAM = 100, 32
+# An anchor that occurs more often is split by the bytes of its windows.
+HOT = 2000
 FOUND = "kind int, place int, anchor long, doc_id long, row int, start long, n long, bytes binary"
 FOUND_SCHEMA = pa.schema([("kind", pa.int32()), ("place", pa.int32()), ("anchor", pa.int64()), ("doc_id", pa.int64()), ("row", pa.int32()), ("start", pa.int64()),
                           ("n", pa.int64()), ("bytes", pa.binary())])
@@ -92,6 +97,34 @@ def _numbered(table: pa.Table) -> list[tuple]:
     return out
 
 
+def _windows(data: np.ndarray, at: np.ndarray, span: int) -> np.ndarray:
+    """Hashes of the windows that start at some places of a byte array."""
+    up, down = ta.powers(len(data) + 1, ta.BASE), ta.powers(len(data) + 1, ta.INVERSE)
+    with np.errstate(over="ignore"):
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(ta.byte_values(19)[data] * up[:-1], out=sums[1:])
+        return ta.mixed((sums[at + span] - sums[at]) * down[at])
+
+
+def _starts(first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """All windows of some runs."""
+    return np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
+
+
+def _later_equals(data: np.ndarray, at: np.ndarray, hashes: np.ndarray, span: int) -> np.ndarray:
+    """Which of the windows at ascending places equal an earlier one."""
+    by = np.argsort(hashes, kind="stable")
+    new = np.ones(len(by), bool)
+    new[1:] = hashes[by[1:]] != hashes[by[:-1]]
+    lead = at[by[np.flatnonzero(new)[np.cumsum(new) - 1]]] if len(by) else at
+    equal = ~new
+    for i in range(span):
+        equal &= data[at[by] + i] == data[lead + i]
+    out = np.zeros(len(by), bool)
+    out[by] = equal
+    return out
+
+
 def _runs(docs: list[tuple], span: int):
     """Per chunk of a block: its rows, bytes, bounds and runs."""
     find = Anchors(span)
@@ -224,7 +257,7 @@ def repeated_starts(stretches: list[bytes], windows: list[int], ranks: list[tupl
 
 
 def remove_repeats(docs: DataFrame, span: int = SPAN, id_column: str = "doc_id", text_column: str = "text", block_bytes: int = ns.BLOCK_BYTES,
-                   with_text: bool = False) -> DataFrame:
+                   with_text: bool = False, hot: int = HOT) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 (and spans and the kept bytes); one row per row."""
     scratch = Scratch(docs.sparkSession, "repeats")
     blocks = shards = ns.block_count(docs, text_column, block_bytes)
@@ -245,28 +278,74 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, id_column: str = "doc_id",
         return ns.table_of(ns.requests(block, keys, counts, shards) or [{"shard": 0, "block": block, "keys": b"", "counts": ns.reply(np.zeros(0, np.uint32))}], request_schema)
 
     def answer(table: pa.Table) -> pa.Table:
-        """Which of the asked anchors occur more than once."""
+        """Which of the asked keys occur more than once (1), and more than ``hot`` times (2)."""
         shard = table.column("shard")[0].as_py()
         keys = [ns.request_keys(k) for k in table.column("keys").to_pylist()]
         counts = [ns.request_counts(c) for c in table.column("counts").to_pylist()]
         _, at = np.unique(np.concatenate(keys), return_inverse=True)
-        many = (np.bincount(at, np.concatenate(counts)) > 1) if len(at) else np.zeros(0, bool)
+        times = np.bincount(at, np.concatenate(counts)) if len(at) else np.zeros(0)
+        many = (times > 1).astype(np.uint8) + (times > hot)
         parts = np.split(many[at].astype(np.uint8), np.cumsum([len(k) for k in keys])[:-1])
         return ns.table_of([{"block": b, "shard": shard, "found": ns.reply(p)} for b, p in zip(table.column("block").to_pylist(), parts, strict=True)], reply_schema)
 
+    def judged(chunks: list[tuple], found: np.ndarray) -> list[np.ndarray]:
+        """Per chunk what the shards say of the anchor of each run; ``found`` starts with their answers."""
+        hashes = np.concatenate([np.zeros(0, np.uint64), *[c[3][0] for c in chunks]])
+        _, at = np.unique(ns.shard_keys(hashes, shards), return_inverse=True)
+        return np.split(found[at], np.cumsum([len(c[3][0]) for c in chunks])[:-1])
+
+    def hot_windows(chunks: list[tuple], many: list[np.ndarray]) -> list[tuple]:
+        """Per chunk the windows around hot anchors: where they start, their hashes and keys."""
+        out = []
+        for (_, data, _, (_, _, first, n)), m in zip(chunks, many, strict=True):
+            at = _starts(first[m == 2], n[m == 2])
+            hashes = _windows(data, at, span) if len(at) else np.zeros(0, np.uint64)
+            out.append((at, hashes, ns.shard_keys(hashes, shards)))
+        return out
+
+    def ask_windows(left: pa.Table, right: pa.Table) -> pa.Table:
+        """Windows around hot anchors, under shard numbers that follow those of the anchors."""
+        found = ns.replies(right, np.uint8)
+        if not left.num_rows or not (found == 2).any():
+            return request_schema.empty_table()
+        chunks = list(_runs(_numbered(left), span))
+        keys, counts = np.unique(np.concatenate([w[2] for w in hot_windows(chunks, judged(chunks, found))]), return_counts=True)
+        rows = ns.requests(left.column("block")[0].as_py(), keys, counts, shards)
+        return ns.table_of([{**r, "shard": r["shard"] + shards} for r in rows], request_schema)
+
     def send(left: pa.Table, right: pa.Table) -> pa.Table:
         """Stretches around repeated anchors, each once; those that came before in the block are gone."""
         if not left.num_rows:
             return FOUND_SCHEMA.empty_table()
         block = left.column("block")[0].as_py()
         chunks = list(_runs(_numbered(left), span))
-        hashes = np.concatenate([np.zeros(0, np.uint64), *[c[3][0] for c in chunks]])
-        _, at = np.unique(ns.shard_keys(hashes, shards), return_inverse=True)
-        many = ns.replies(right, np.uint8)[at].astype(bool)
+        found = ns.replies(right, np.uint8)
+        many = judged(chunks, found)
+        windows_of = hot_windows(chunks, many)
+        _, window_at = np.unique(np.concatenate([np.zeros(0, np.uint64), *[w[2] for w in windows_of]]), return_inverse=True)
+        again = found[len(found) - (window_at.max() + 1 if len(window_at) else 0) :][window_at] > 0
         seen: set[tuple] = set()
         out, done = [], 0
-        for held, data, bounds, (anchors, text, first, n) in chunks:
-            for i in np.flatnonzero(many[done : done + len(anchors)]).tolist():
+        for (held, data, bounds, (anchors, text, first, n)), m, (at, window_hashes, _) in zip(chunks, many, windows_of, strict=True):
+            some = again[done : done + len(at)]
+            done += len(at)
+            at, window_hashes = at[some], window_hashes[some]
+            if len(at):
+                later = _later_equals(data, at, window_hashes, span)
+                owner = np.searchsorted(bounds, at, side="right") - 1
+                for i in np.flatnonzero(~later).tolist():
+                    doc, a = int(owner[i]), int(at[i])
+                    signed = int(window_hashes[i : i + 1].view(np.int64)[0])
+                    place = int(window_hashes[i] >> np.uint64(33)) % (4 * shards)
+                    out.append((0, place, signed, held[doc][0], held[doc][3], a - int(bounds[doc]), 1, data[a : a + span].tobytes()))
+                at, owner = at[later], owner[later]
+                new = np.ones(len(at), bool)
+                new[1:] = (np.diff(at) != 1) | (np.diff(owner) != 0)
+                begins = np.flatnonzero(new)
+                for i, k in zip(begins.tolist(), np.diff(np.append(begins, len(at))).tolist(), strict=True):
+                    doc = int(owner[i])
+                    out.append((1, block, 0, held[doc][0], held[doc][3], int(at[i]) - int(bounds[doc]), k, None))
+            for i in np.flatnonzero(m == 1).tolist():
                 doc, a, windows = int(text[i]), int(first[i]), int(n[i])
                 doc_id, row, start = held[doc][0], held[doc][3], a - int(bounds[doc])
                 part = data[a : a + windows + span - 1].tobytes()
@@ -277,7 +356,6 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, id_column: str = "doc_id",
                     seen.add(key)
                     signed = int(anchors[i : i + 1].view(np.int64)[0])
                     out.append((0, int(anchors[i] >> np.uint64(33)) % (4 * shards), signed, doc_id, row, start, windows, part))
-            done += len(anchors)
         return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), FOUND_SCHEMA, strict=True)], schema=FOUND_SCHEMA) if out else FOUND_SCHEMA.empty_table()
 
     def sort_shard(table: pa.Table) -> pa.Table:
@@ -314,7 +392,9 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, id_column: str = "doc_id",
         return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, GONE_SCHEMA, strict=True)], schema=GONE_SCHEMA)
 
     asked = packed.groupBy("block").applyInArrow(ask, ns.REQUEST)
-    answered = asked.groupBy("shard").applyInArrow(answer, ns.REPLY)
+    answered = scratch.put(asked.groupBy("shard").applyInArrow(answer, ns.REPLY), "anchors")
+    asked = packed.groupBy("block").cogroup(answered.groupBy("block")).applyInArrow(ask_windows, ns.REQUEST)
+    answered = answered.union(asked.groupBy("shard").applyInArrow(answer, ns.REPLY))
     sent = scratch.put(packed.groupBy("block").cogroup(answered.groupBy("block")).applyInArrow(send, FOUND), "stretches")
     here = sent.where("kind = 1").select(F.col("place").alias("block"), "doc_id", "row", "start", (F.col("start") + F.col("n") + span - 1).alias("stop"))
     there = sent.where("kind = 0").groupBy("place").applyInArrow(sort_shard, GONE)
