@@ -32,7 +32,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SPACES, Scratch, join_checked
+from tidemark.llm.common import Scratch, join_checked
 
 # Fixed values of the base measures.
 BLANKS = " \t\n\x0b\f\r"
@@ -51,8 +51,8 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def words_of(text: Column) -> Column:
     """The runs of ``[^\\x20\\x09-\\x0D]+`` of a text in order."""
-    bare = F.btrim(text, F.lit(BLANKS))
-    return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, SPACES))
+    spaced = reduce(lambda t, blank: F.replace(t, F.lit(blank), F.lit(" ")), BLANKS[1:], text)
+    return F.array_remove(F.split(spaced, " "), "")
 
 
 def repeated_words(words: Column, size: int = WINDOW) -> Column:
@@ -99,17 +99,20 @@ def measures(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
         F.col(id_column).alias("doc_id"), F.col(stratum_column).cast("string").alias("stratum"),
         F.coalesce(F.col(text_column), F.lit("")).alias("_text"),
     )
-    rows = rows.withColumn("_words", words_of(text)).withColumn("_lines", lines)
+    # Few characters are capitals or symbols: one pass finds them, then they are told apart.
+    rows = rows.withColumn("_words", words_of(text)).withColumn("_lines", lines).withColumn(
+        "_marks", F.regexp_replace(text, f"[^A-Z{SYMBOLS}]+", "")
+    )
     counted = rows.select(
         "doc_id", "stratum",
         F.size(words).cast("long").alias("n_words"),
         F.length(F.array_join(words, "")).cast("long").alias("word_chars"),
-        F.length(F.regexp_replace(text, f"[^{SYMBOLS}]+", "")).cast("long").alias("n_symbols"),
+        F.length(F.regexp_replace("_marks", "[A-Z]+", "")).cast("long").alias("n_symbols"),
         (F.col("_lines.n") - F.col("_lines.d")).cast("long").alias("n_dup_lines"),
         repeated_words(words).alias("n_repeat_words"),
         F.col("_lines.n").cast("long").alias("n_lines"),
         F.size(F.array_distinct(words)).cast("long").alias("n_distinct"),
-        F.length(F.regexp_replace(text, "[^A-Z]+", "")).cast("long").alias("n_capitals"),
+        F.length(F.regexp_replace("_marks", "[^A-Z]+", "")).cast("long").alias("n_capitals"),
     )
     failed = f"n_words < {LEAST_WORDS} OR 100 * n_repeat_words > {MOST_REPEATS} * n_words"
     return counted.withColumn("base_failed", F.expr(failed))
