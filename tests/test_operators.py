@@ -10,7 +10,8 @@ from tidemark import fixed, schemas
 from tidemark.functions import taxonomy, text
 from tidemark.operators import catalog, joins, lists, normalize, ordinals, retention, unmatched, upsert
 from tidemark.session import empty_table, literal_table
-from tidemark.sources.snapshots import SnapshotTable, by_bucket
+from tidemark.sources import paths
+from tidemark.sources.snapshots import SnapshotTable, Version, by_bucket
 from tidemark.sources.tables import read_catalog
 
 
@@ -214,9 +215,9 @@ def test_two_writers_cannot_both_commit(spark, tmp_path):
     schema = spark.createDataFrame([], "k int").schema
     table = SnapshotTable(spark, str(tmp_path / "t"), schema, "k")
     base = table.version()
-    table._commit(base, {}, None)
-    with pytest.raises(Exception, match="exists"):
-        table._commit(base, {}, None)
+    table._commit(base, Version())
+    with pytest.raises(paths.AlreadyThere, match="exists"):
+        table._commit(base, Version())
 
 
 # -- lists and scope ----------------------------------------------------------

@@ -16,70 +16,47 @@ from tidemark import fixed
 from tidemark.functions.text import strip
 
 
-def _is_object(value: Column) -> Column:
-    return F.schema_of_variant(value).startswith("OBJECT<")
+# The expressions are SQL texts: built call by call, one load would spend longer
+# on its plan than on a small batch.
 
 
-def _is_boolean(value: Column) -> Column:
-    return F.schema_of_variant(value) == "BOOLEAN"
+def _is_object(value: str) -> str:
+    return f"startswith(schema_of_variant({value}), 'OBJECT<')"
 
 
-def _stored_text(value: Column) -> Column:
+def _is_boolean(value: str) -> str:
+    return f"schema_of_variant({value}) = 'BOOLEAN'"
+
+
+def _stored_text(value: str) -> str:
     """Scalar text as stored under a dotted key: booleans are 1/0."""
-    return F.when(_is_boolean(value), value.cast("boolean").cast("int").cast("string")).otherwise(
-        value.cast("string")
+    return (
+        f"CASE WHEN {_is_boolean(value)} THEN CAST(CAST(CAST({value} AS boolean) AS int) AS string)"
+        f" ELSE CAST({value} AS string) END"
     )
 
 
 def _lifted_text(key: str) -> Column:
     """Top-level value as stored in a named column: booleans are True/False."""
-    text = F.element_at("_text", F.lit(key))
-    flag = F.col("_fields").isNotNull() & _is_boolean(F.element_at("_fields", F.lit(key)))
-    return F.when(flag, F.initcap(text)).otherwise(text)
-
-
-def _open_nested(entries: Column) -> Column:
-    """Replace each nested object by its own entries under ``parent.child``."""
-
-    def open_entry(e: Column) -> Column:
-        children = F.transform(
-            F.map_entries(e["value"].cast("map<string,variant>")),
-            lambda c: F.struct(
-                F.concat_ws(".", e["key"], c["key"]).alias("key"), c["value"].alias("value")
-            ),
-        )
-        return F.when(_is_object(e["value"]), children).otherwise(F.array(e))
-
-    return F.flatten(F.transform(entries, open_entry))
-
-
-def _open_all(entries: Column, levels: Column) -> Column:
-    """Open entries level by level until none holds an object."""
-    return F.reduce(
-        F.sequence(F.lit(1), levels),
-        entries,
-        lambda opened, _: F.when(
-            F.exists(opened, lambda e: _is_object(e["value"])), _open_nested(opened)
-        ).otherwise(opened),
-    )
+    text, field = f"element_at(_text, '{key}')", f"element_at(_fields, '{key}')"
+    return F.expr(f"CASE WHEN _fields IS NOT NULL AND {_is_boolean(field)} THEN initcap({text}) ELSE {text} END")
 
 
-def _entries_to_map(entries: Column) -> Column:
-    """Opened entries as a map of dotted path to text; a repeated path keeps its last."""
-    paths = F.transform(entries, lambda e: e["key"])
-    last_of_each = F.filter(
-        entries,
-        lambda e, i: ~F.exists(
-            F.slice(entries, i + F.lit(2), F.size(entries)), lambda x: x["key"] == e["key"]
-        ),
-    )
-    unique = F.when(F.size(F.array_distinct(paths)) == F.size(paths), entries).otherwise(last_of_each)
-    return F.map_from_entries(
-        F.transform(
-            unique,
-            lambda e: F.struct(e["key"].alias("key"), _stored_text(e["value"]).alias("value")),
-        )
-    )
+# Each nested object of the entries ``opened`` replaced by its own entries under ``parent.child``.
+_OPEN_NESTED = f"""flatten(transform(opened, e -> CASE WHEN {_is_object("e.value")}
+    THEN transform(map_entries(CAST(e.value AS map<string,variant>)),
+                   c -> named_struct('key', concat_ws('.', e.key, c.key), 'value', c.value))
+    ELSE array(e) END))"""
+
+# The entries of ``_fields`` opened level by level until none holds an object.
+_OPEN_ALL = f"""reduce(sequence(1, _braces), map_entries(_fields), (opened, n) ->
+    CASE WHEN exists(opened, x -> {_is_object("x.value")}) THEN {_OPEN_NESTED} ELSE opened END)"""
+
+# Opened entries as a map of dotted path to text; a repeated path keeps its last.
+_ENTRIES_TO_MAP = f"""map_from_entries(transform(
+    CASE WHEN size(array_distinct(transform(_entries, e -> e.key))) = size(_entries) THEN _entries
+    ELSE filter(_entries, (e, i) -> NOT exists(slice(_entries, i + 2, size(_entries)), x -> x.key = e.key)) END,
+    e -> named_struct('key', e.key, 'value', {_stored_text("e.value")})))"""
 
 
 def with_parsed(df: DataFrame, source: str) -> DataFrame:
@@ -95,29 +72,21 @@ def with_parsed(df: DataFrame, source: str) -> DataFrame:
     the object makes it malformed. Each step is its own projection: the
     optimizer keeps them apart because the parse is used more than once.
     """
-    body = F.col("_body")
-    braces = F.length(body) - F.length(F.replace(body, F.lit("{")))
-    typed = (
-        (F.col("_braces") > 1) | F.contains(body, F.lit("true")) | F.contains(body, F.lit("false"))
-    )
-    is_object = body.startswith("{") & body.endswith("}")
+    is_object = "startswith(_body, '{') AND endswith(_body, '}')"
+    typed = "_braces > 1 OR contains(_body, 'true') OR contains(_body, 'false')"
     return (
         df.withColumn("_body", strip(F.col(source)))
-        .withColumn("_braces", braces)
-        .withColumn("_list", F.when(is_object, F.try_parse_json(F.concat(F.lit("["), body, F.lit("]")))))
-        .withColumn(
-            "_obj",
-            F.when(
-                F.try_variant_get("_list", "$[1]", "variant").isNull(),
-                F.try_variant_get("_list", "$[0]", "variant"),
-            ),
-        )
-        .withColumns(
-            {
-                "_text": F.col("_obj").cast("map<string,string>"),
-                "_fields": F.when(typed, F.col("_obj").cast("map<string,variant>")),
-            }
-        )
+        .withColumns({
+            "_braces": F.expr("length(_body) - length(replace(_body, '{'))"),
+            "_list": F.expr(f"CASE WHEN {is_object} THEN try_parse_json(concat('[', _body, ']')) END"),
+        })
+        .withColumn("_obj", F.expr(
+            "CASE WHEN try_variant_get(_list, '$[1]', 'variant') IS NULL THEN try_variant_get(_list, '$[0]', 'variant') END"
+        ))
+        .withColumns({
+            "_text": F.expr("CAST(_obj AS map<string,string>)"),
+            "_fields": F.expr(f"CASE WHEN {typed} THEN CAST(_obj AS map<string,variant>) END"),
+        })
         .drop("_body", "_list")
     )
 
@@ -128,20 +97,31 @@ def with_attribute_map(parsed: DataFrame) -> DataFrame:
     The opened entries are a column of their own, and null for the usual flat
     object, so that nothing is opened twice.
     """
-    nested = (F.col("_braces") > 1) & F.exists(F.map_values("_fields"), _is_object)
-    typed = F.transform_values("_fields", lambda _, v: _stored_text(v))
+    nested = f"_braces > 1 AND exists(map_values(_fields), v -> {_is_object('v')})"
+    typed = f"transform_values(_fields, (k, v) -> {_stored_text('v')})"
     return (
-        parsed.withColumn("_entries", F.when(nested, _open_all(F.map_entries("_fields"), F.col("_braces"))))
-        .withColumn(
-            "attrs",
-            F.when(F.col("_entries").isNotNull(), _entries_to_map(F.col("_entries")))
-            .when(F.col("_fields").isNotNull(), typed)
-            .otherwise(F.col("_text")),
-        )
+        parsed.withColumn("_entries", F.expr(f"CASE WHEN {nested} THEN {_OPEN_ALL} END"))
+        .withColumn("attrs", F.expr(
+            f"CASE WHEN _entries IS NOT NULL THEN {_ENTRIES_TO_MAP} WHEN _fields IS NOT NULL THEN {typed} ELSE _text END"
+        ))
         .drop("_entries")
     )
 
 
+def with_other_fields(df: DataFrame, source: str, known: Iterable[str]) -> DataFrame:
+    """Add ``other``: the fields of a JSON object text that are not ``known``, by dotted path.
+
+    Values have the form of ``attrs``. Null where the object has no such field;
+    the text is only parsed where it has one.
+    """
+    names = ", ".join(f"'{n}'" for n in known)
+    unknown = F.expr(f"CASE WHEN size(array_except(json_object_keys({source}), array({names}))) > 0 THEN {source} END")
+    parsed = with_parsed(df.withColumn("_unknown", unknown), "_unknown")
+    kept = {c: F.expr(f"map_filter({c}, (k, v) -> k NOT IN ({names}))") for c in ("_text", "_fields")}
+    opened = with_attribute_map(parsed.withColumns(kept)).withColumnRenamed("attrs", "other")
+    return opened.drop("_unknown", "_obj", "_text", "_fields", "_braces")
+
+
 def enabled_columns(categories: Iterable[str] | None) -> set[str]:
     """Lifted columns of the enabled categories; unknown names are ignored."""
     if categories is None:

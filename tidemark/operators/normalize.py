@@ -14,12 +14,15 @@ def _flag(col: Column, default: bool) -> Column:
     return F.coalesce(col.try_cast("boolean"), F.lit(default))
 
 
-def _whole_number(name: str) -> Column:
-    """A whole number, also one written ``5.0``; null is 0, anything else fails."""
-    exact = F.col(name).try_cast("decimal(38,9)")
-    wrong = F.raise_error(F.concat(F.lit(f"{name} is no whole number: "), F.col(name).cast("string")))
-    whole = F.when(exact == F.floor(exact), exact.cast("bigint")).otherwise(wrong)
-    return F.when(F.col(name).isNull(), F.lit(0).cast("bigint")).otherwise(whole)
+def _whole_number(name: str, is_text: bool) -> Column:
+    """A whole number, also one written ``5.0``; null is 0, anything else fails.
+
+    Texts are mostly plain digits, so the exact decimal is only made for others.
+    """
+    exact = f"try_cast(`{name}` AS decimal(38,9))"
+    wrong = f"raise_error(concat('{name} is no whole number: ', CAST(`{name}` AS string)))"
+    slow = f"CASE WHEN `{name}` IS NULL THEN 0L WHEN {exact} = floor({exact}) THEN CAST({exact} AS bigint) ELSE {wrong} END"
+    return F.expr(f"coalesce(try_cast(`{name}` AS bigint), {slow})" if is_text else slow)
 
 
 def coerce_events(events: DataFrame) -> DataFrame:
@@ -27,8 +30,9 @@ def coerce_events(events: DataFrame) -> DataFrame:
 
     ``errorNumber`` alone may be null. A number that is none fails.
     """
-    texts = {n: as_text(F.col(n)) for n in schemas.EVENT_TEXT_FIELDS}
-    numbers = {n: _whole_number(n) for n in schemas.EVENT_NUMBER_FIELDS}
+    texts = {n: F.expr(f"coalesce(CAST(`{n}` AS string), '')") for n in schemas.EVENT_TEXT_FIELDS}
+    types = dict(events.dtypes)
+    numbers = {n: _whole_number(n, types.get(n) == "string") for n in schemas.EVENT_NUMBER_FIELDS}
     return events.withColumns({**texts, **numbers, "success": _flag(F.col("success"), True)})
 
 

@@ -31,10 +31,17 @@ def last_wins(batch: DataFrame, key: str, order_by: Sequence[str | Column]) -> D
     return batch.withColumn("_rank", F.row_number().over(newest)).where("_rank = 1").drop("_rank")
 
 
-def attribute_keys(batch: DataFrame, column: str = "attrs") -> list[str]:
-    """Distinct keys of a map column: the optional columns this batch carries."""
-    keys = batch.select(F.explode(F.map_keys(column)).alias("k")).distinct()
-    return sorted(r["k"] for r in keys.collect())
+def attribute_keys(batch: DataFrame, columns: Sequence[str] = ("attrs",)) -> dict[str, list[str]]:
+    """Distinct keys of each map column: the optional columns this batch carries."""
+    each = [f"transform(map_keys(`{c}`), k -> named_struct('map', '{c}', 'k', k))" for c in columns]
+    if not each:
+        return {}
+    # concat is null where one map is.
+    keys = batch.selectExpr(f"inline(concat({', '.join(f'coalesce({e}, array())' for e in each)}))").distinct()
+    held: dict[str, list[str]] = {c: [] for c in columns}
+    for row in keys.collect():
+        held[row["map"]].append(row["k"])
+    return {c: sorted(ks) for c, ks in held.items()}
 
 
 def _merged_map(old: Column, new: Column, batch_keys: Sequence[str]) -> Column:
@@ -70,31 +77,31 @@ def merge_rows(
     columns = current.columns + [c for c in batch.columns if c not in current.columns]
     types = {f.name: f.dataType for f in [*batch.schema.fields, *current.schema.fields]}
 
-    incoming = batch.select(F.col(key), *[F.col(c).alias(f"_b_{c}") for c in batch.columns if c != key], F.lit(True).alias("_b"))
+    # Plans of many columns are written as SQL text: built column by column they
+    # take longer to put together than a small batch takes to run.
+    incoming = batch.selectExpr(f"`{key}`", *[f"`{c}` AS `_b_{c}`" for c in batch.columns if c != key], "true AS _b")
     stored = current.withColumn("_c", F.lit(True))
     how = "full_outer" if matched is None else "left"
     joined = stored.join(incoming, key, how)
 
-    overwrites = F.col("_b").isNotNull()
+    overwrites = "_b IS NOT NULL"
     if not_older:
-        stale = F.col(f"_b_{not_older}") < F.col(not_older)
-        overwrites = overwrites & F.coalesce(~stale, F.lit(True))
+        overwrites += f" AND coalesce(NOT (`_b_{not_older}` < `{not_older}`), true)"
+    joined = joined.withColumn("_over", F.expr(overwrites))
 
     def value(c: str) -> Column:
         if c == key:
-            return F.col(c)
-        absent = F.lit(None).cast(types[c])
-        old = F.col(c) if c in current.columns else absent
+            return F.col(f"`{c}`")
+        kind = types[c].simpleString()
+        old = f"`{c}`" if c in current.columns else f"CAST(NULL AS {kind})"
         if c not in batch.columns:
-            return old.alias(c)
-        new = F.col(f"_b_{c}").cast(types[c])
+            return F.expr(f"{old} AS `{c}`")
+        new = f"CAST(`_b_{c}` AS {kind})"
         if c in maps:
-            taken = F.when(overwrites, _merged_map(old, new, maps[c])).otherwise(old)
-        elif c in update:
-            taken = F.when(overwrites, new).otherwise(old)
-        else:
-            taken = old
-        return F.when(F.col("_c").isNull(), new).otherwise(taken).alias(c)
+            taken = F.when(F.col("_over"), _merged_map(F.expr(old), F.expr(new), maps[c])).otherwise(F.expr(old))
+            return F.when(F.col("_c").isNull(), F.expr(new)).otherwise(taken).alias(c)
+        taken = f"CASE WHEN _over THEN {new} ELSE {old} END" if c in update else old
+        return F.expr(f"CASE WHEN _c IS NULL THEN {new} ELSE {taken} END AS `{c}`")
 
     merged = joined.select(*[value(c) for c in columns])
     if matched is None:

@@ -14,12 +14,12 @@ from tidemark.functions.text import clean_name
 from tidemark.operators import retention, unmatched
 from tidemark.operators.joins import name_or_id
 from tidemark.operators.upsert import last_wins
-from tidemark.session import stage
+from tidemark.session import stage, unstage
 from tidemark.sources import publish
 from tidemark.sources.exports import read_exports
-from tidemark.sources.snapshots import SnapshotTable, by_bucket
+from tidemark.sources.snapshots import SnapshotGroup, SnapshotTable, by_bucket_and_year
 
-MODEL_BUCKETS = 64
+MODEL_BUCKETS = 8
 
 
 def history_rows(
@@ -48,41 +48,63 @@ def registry(pairs: DataFrame, workspaces: DataFrame, models: DataFrame, capture
 class HistoryStore:
     """The stored change-history tables below one folder.
 
-    Rows are laid out by a hash of the model, which never changes for a
-    record, so a run only rewrites the buckets of the models it exported.
+    Rows are laid out by a hash of the model and the year of the change, which
+    never change for a record, so a run only rewrites the parts of the models it
+    exported, and a purge drops whole years unread. The four tables are
+    committed together: a run that fails changes none of them. ``buckets`` should
+    grow with the number of models and stay as it is for a stored table.
     """
 
     spark: SparkSession
     path: str
+    buckets: int = MODEL_BUCKETS
 
     def __post_init__(self) -> None:
-        part = by_bucket("model_id", MODEL_BUCKETS)
-        self.registry = SnapshotTable(self.spark, f"{self.path}/model_registry", schemas.REGISTRY, "model_id")
-        self.list = SnapshotTable(self.spark, f"{self.path}/model_history_list", schemas.HISTORY_LIST, "record_id", part)
-        self.normalized = SnapshotTable(self.spark, f"{self.path}/model_history_normalized", schemas.HISTORY, "record_id", part)
-        self.unmatched = SnapshotTable(self.spark, f"{self.path}/unmatched_descriptions", schemas.UNMATCHED, "description")
+        self.group = SnapshotGroup(self.spark, self.path)
+        dated = {
+            "part": by_bucket_and_year("model_id", self.buckets, "date_time_utc"), "moves": False, "zone": "date_time_utc",
+            "group": self.group,
+        }
+        self.registry = SnapshotTable(self.spark, f"{self.path}/model_registry", schemas.REGISTRY, "model_id", group=self.group)
+        self.list = SnapshotTable(self.spark, f"{self.path}/model_history_list", schemas.HISTORY_LIST, "record_id", **dated)
+        self.normalized = SnapshotTable(self.spark, f"{self.path}/model_history_normalized", schemas.HISTORY, "record_id", **dated)
+        self.unmatched = SnapshotTable(self.spark, f"{self.path}/unmatched_descriptions", schemas.UNMATCHED, "description", group=self.group)
 
     def load(self, rows: DataFrame, registry_rows: DataFrame, captured_at: str) -> None:
-        """Merge one run: registry replaced, list insert-only, labels refreshed."""
+        """Merge one run in one commit: registry replaced, list insert-only, labels refreshed."""
         rows = stage(rows, "history")
         unique = last_wins(rows, "record_id", [c for c in fixed.HISTORY_COLUMNS if c != "record_id"])
-        self.registry.upsert(registry_rows)
-        self.list.upsert(history_list(unique), update=[])
-        self.normalized.upsert(unique, update=["change_type", "object_type"])
-        counts = unmatched.unmatched_counts(rows).withColumns(
+        try:
+            with self.group.transaction():
+                self.registry.upsert(registry_rows)
+                self.list.upsert(history_list(unique), update=[])
+                self.normalized.upsert(unique, update=["change_type", "object_type"])
+                self.count_unmatched(rows, captured_at)
+        finally:
+            unstage(rows)
+
+    def count_unmatched(self, classified: DataFrame, captured_at: str) -> None:
+        """Merge a run's counts of descriptions that no rule covers; the first sighting is kept."""
+        counts = unmatched.unmatched_counts(classified).withColumns(
             {"first_seen_at": F.lit(captured_at), "last_seen_at": F.lit(captured_at)}
         )
         self.unmatched.upsert(counts, update=["occurrences", "last_seen_at"])
 
     def purge(self, now: datetime, years: int = 2, typed: bool = False) -> dict[str, int]:
-        """Drop rows older than the retention window; returns how many."""
+        """Drop rows older than the retention window in one commit; returns how many.
+
+        Compared as text, only parts that hold dates on both sides are read;
+        compared as instants (``typed``) all are.
+        """
         cutoff = retention.cutoff_text(now, years)
         kept = (retention.kept_by_time if typed else retention.kept_by_text)("date_time_utc", cutoff)
-        return {"normalized": self.normalized.keep_where(kept), "list": self.list.keep_where(kept)}
+        least = None if typed else cutoff
+        with self.group.transaction():
+            return {"normalized": self.normalized.keep_where(kept, least=least), "list": self.list.keep_where(kept, least=least)}
 
     def rotate(self, keep: int = 7) -> None:
-        for table in (self.registry, self.list, self.normalized, self.unmatched):
-            table.rotate(keep)
+        """Keep the newest ``keep`` commits."""
+        self.group.rotate(keep)
 
     def publish(self, folder: str) -> None:
         publish.publish_history(self.registry.read(), self.list.read(), self.normalized.read(), folder)

@@ -703,12 +703,57 @@ def q_upsert_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return upsert.merge_rows(old, new, "user_key", update=["event_type"])
 
 
+@check("""
+WITH b AS (SELECT *, props->>'$.k' AS k, CASE WHEN ts < TIMESTAMP '2024-01-11' THEN 1 WHEN ts < TIMESTAMP '2024-01-21' THEN 2 ELSE 3 END AS batch FROM events),
+l AS (SELECT * FROM b QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY batch DESC, event_id DESC) = 1),
+m AS (SELECT * FROM b WHERE batch = 2 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1)
+SELECT CAST(l.user_id AS VARCHAR) AS id, l.event_type AS message, CAST(l.event_id AS VARCHAR) AS checksum, CASE WHEN m.event_type <> 'view' THEN 'r' || m.k END AS region,
+ m.event_type AS "context.kind", CASE WHEN m.value > 50 THEN '1' WHEN m.value IS NOT NULL THEN '0' END AS "context.high", 0 AS fields_before, 3 AS fields_after
+FROM l LEFT JOIN m ON l.user_id = m.user_id
+""")
+def q_schema_evolve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second of three landed batches brings fields that nobody declared."""
+    ev = table(spark, sf_dir, "events")
+    store, landing = EventStore(spark, shared_dir(spark, "evolve")), shared_dir(spark, "evolve-landing")
+    declared = [F.col("event_id").alias("checksum"), F.col("user_id").alias("id"), millis("ts").alias("eventDate"), F.col("event_type").alias("message")]
+    more = [F.when(F.col("event_type") != "view", F.concat(F.lit("r"), number_k())).alias("region"),
+            F.struct(F.col("event_type").alias("kind"), (F.col("value") > 50).alias("high")).alias("context")]
+    borders = [None, "2024-01-11", "2024-01-21", None]
+    for i in range(3):
+        low, high = (F.lit(b).cast("timestamp_ntz") if b else None for b in borders[i : i + 2])
+        batch = ev if low is None else ev.where(F.col("ts") >= low)
+        batch = batch if high is None else batch.where(F.col("ts") < high)
+        event = F.struct(*declared, *(more if i == 1 else []))
+        paged = batch.groupBy(F.floor(F.col("event_id") / 500).alias("page")).agg(F.array_sort(F.collect_list(event)).alias("response"))
+        folder = f"{landing}/batch={i}"
+        paged.repartitionByRange(8, "page").sortWithinPartitions("page").select("response").write.json(folder)
+        store.load(prepare_events(pages.read_pages(spark, folder, "events")))
+    found = store.read().select("id", "message", "checksum", "region", "`context.kind`", "`context.high`")
+    return found.withColumns({"fields_before": F.lit(len(store.fields(1))), "fields_after": F.lit(len(store.fields()))})
+
+
 @check(HALVES_SQL + f"""SELECT {_KEY}, coalesce(new.event_id, old.event_id) AS event_id, coalesce(new.event_type, old.event_type) AS event_type,
  CASE WHEN new.user_key IS NOT NULL THEN new.value ELSE old.value END AS value,
- CASE WHEN new.user_key IS NOT NULL THEN 'app ' || new.event_type END AS app_name {_FULL}""")
-def q_schema_evolve(spark: SparkSession, sf_dir: str) -> DataFrame:
+ CASE WHEN new.user_key IS NOT NULL THEN 'app ' || new.event_type END AS app_name, 4 AS columns_before {_FULL}""")
+def q_column_evolve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch with a column that the stored table lacks; the version before it still reads as it was."""
+    old, new = halves(spark, sf_dir)
+    snap = SnapshotTable(spark, shared_dir(spark, "columns"), old.schema, "user_key", by_bucket("user_key", 8), moves=False)
+    snap.upsert(old)
+    snap.upsert(new.withColumn("app_name", F.concat(F.lit("app "), F.col("event_type"))), evolve=True)
+    return snap.read().withColumn("columns_before", F.lit(len(snap.read(1).columns)))
+
+
+@check(HALVES_SQL + f"""SELECT {_KEY}, coalesce(new.event_id, old.event_id) AS event_id, coalesce(new.event_type, old.event_type) AS event_type,
+ CASE WHEN new.user_key IS NOT NULL THEN new.value ELSE old.value END AS value, true AS index_read {_FULL}""")
+def q_upsert_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys that change their part, found by the key index."""
     old, new = halves(spark, sf_dir)
-    return upsert.merge_rows(old, new.withColumn("app_name", F.concat(F.lit("app "), F.col("event_type"))), "user_key")
+    by_type = lambda: F.col("event_type")
+    snap = SnapshotTable(spark, shared_dir(spark, "indexed"), old.schema, "user_key", by_type, index_rows=100)
+    snap.upsert(old)
+    snap.upsert(new)
+    return snap.read().withColumn("index_read", F.lit(snap.last.get("index_rows_read", 0) > 0))
 
 
 @check(HALVES_SQL + f"""SELECT {_KEY}, CASE WHEN new.user_key IS NULL THEN 'o' || old.event_id ELSE CASE WHEN new.event_type <> 'view' THEN 'n' || new.event_id END END AS shared,
@@ -718,7 +763,7 @@ def q_upsert_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
     old = old.select("user_key", F.create_map(F.lit("shared"), tagged("o", "event_id"), F.lit("only_old"), tagged("old", "event_id")).alias("attrs"))
     new = new.select("user_key", F.create_map(
         F.lit("shared"), F.when(F.col("event_type") != "view", tagged("n", "event_id")), F.lit("only_new"), tagged("new", "event_id")).alias("attrs"))
-    merged = upsert.merge_rows(old, new, "user_key", maps={"attrs": upsert.attribute_keys(new)})
+    merged = upsert.merge_rows(old, new, "user_key", maps=upsert.attribute_keys(new))
     return merged.select("user_key", *[F.element_at("attrs", k).alias(k) for k in ("shared", "only_old", "only_new")])
 
 
@@ -765,7 +810,7 @@ def land_exports(spark: SparkSession, sf_dir: str) -> str:
     when = F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")
     full = rows.where("model % 2 = 0").select(
         F.col("o_orderkey").alias("ID"), when.alias("Date/Time (UTC)"), tagged("user ", "o_custkey").alias("USER"), F.col("description").alias("Description"),
-        F.concat(F.lit('old "'), F.col("o_orderstatus"), F.lit('"')).alias("Previous Value"), F.col("o_orderpriority").alias("New Value"),
+        F.concat(F.lit('old "'), F.col("o_orderstatus"), F.when(F.col("o_orderkey") % 3 == 0, F.lit('"\n\n"next')).otherwise(F.lit('"'))).alias("Previous Value"), F.col("o_orderpriority").alias("New Value"),
         F.concat(F.lit("a, b"), F.col("o_orderstatus")).alias("SKU"), tagged("t", "o_custkey").alias("Target User"), F.lit("x").alias("Unknown"), "workspace_id", "model_id")
     short = rows.where("model % 2 = 1").select(
         when.alias("date_time_utc"), tagged("user ", "o_custkey").alias("user"), F.col("description").alias("description"),
@@ -790,7 +835,7 @@ n AS (SELECT *, 'm' || model AS model_id, strftime(o_orderdate, '%Y-%m-%d %H:%M:
 @check(EXPORT_SQL + f"""
 SELECT substring(sha256(model_id || ':' || date_time_utc || ':' || usr || ':' || description || ':' || ordinal), 1, 16) AS record_id,
  CASE WHEN model % 2 = 0 THEN CAST(o_orderkey AS VARCHAR) ELSE '' END AS source_record_id, model_id, date_time_utc, usr AS "user", description,
- '' AS security_change, CASE WHEN model % 2 = 0 THEN 'old "' || o_orderstatus || '"' ELSE '' END AS previous_value,
+ '' AS security_change, CASE WHEN model % 2 = 0 THEN 'old "' || o_orderstatus || CASE WHEN o_orderkey % 3 = 0 THEN '"' || chr(10) || chr(10) || '"next' ELSE '"' END ELSE '' END AS previous_value,
  CASE WHEN model % 2 = 0 THEN o_orderpriority ELSE '' END AS new_value,
  CASE WHEN model % 2 = 0 THEN 'x' ELSE 'm, ' || o_orderstatus END AS module_list, '' AS line_item_property,
  CASE WHEN model % 2 = 0 THEN 'a, b' || o_orderstatus ELSE '' END AS customer, '' AS "export", '' AS import_action, '' AS data_types, '' AS table_name, '' AS "object",
@@ -862,8 +907,8 @@ def classified_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 GAPS_SQL = f"""WITH o AS (SELECT *, {DESCRIPTION_SQL} AS description FROM orders),
 g AS (SELECT * FROM o WHERE o_orderpriority = '4-NOT SPECIFIED'),
 c AS (SELECT description, count(*) AS occurrences FROM g GROUP BY description),
-a AS (SELECT description, count(*) AS occurrences FROM g WHERE year(o_orderdate) < 1995 AND o_orderkey % 50 < 30 GROUP BY description),
-b AS (SELECT description, count(*) AS occurrences FROM g WHERE year(o_orderdate) >= 1995 AND o_orderkey % 50 >= 10 GROUP BY description),
+a AS (SELECT description, count(*) AS occurrences FROM g WHERE year(o_orderdate) < 1995 GROUP BY description),
+b AS (SELECT description, count(*) AS occurrences FROM g WHERE year(o_orderdate) >= 1995 GROUP BY description),
 m AS (SELECT coalesce(b.description, a.description) AS description, coalesce(b.occurrences, a.occurrences) AS occurrences,
  CASE WHEN a.description IS NOT NULL THEN '{RUN_1}' ELSE '{RUN_2}' END AS first_seen_at,
  CASE WHEN b.description IS NOT NULL THEN '{RUN_2}' ELSE '{RUN_1}' END AS last_seen_at FROM a FULL OUTER JOIN b ON a.description = b.description)
@@ -885,19 +930,22 @@ def q_unmatched_top(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unmatched.unmatched_top(q_unmatched(spark, sf_dir))
 
 
+def unmatched_store(spark: SparkSession, sf_dir: str) -> HistoryStore:
+    """A store that counted the orders before 1995 in one run and all later ones in the next."""
+    store, rows = HistoryStore(spark, shared_dir(spark, "unmatched")), classified_orders(spark, sf_dir)
+    for run, part in ((RUN_1, rows.where(F.year("o_orderdate") < 1995)), (RUN_2, rows.where(F.year("o_orderdate") >= 1995))):
+        store.count_unmatched(part, run)
+    return store
+
+
 @check(GAPS_SQL + "SELECT * FROM m")
 def q_unmatched_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = classified_orders(spark, sf_dir)
-    bucket = F.col("o_orderkey") % 50
-    run1 = unmatched.unmatched_counts(rows.where((F.year("o_orderdate") < 1995) & (bucket < 30)))
-    run2 = unmatched.unmatched_counts(rows.where((F.year("o_orderdate") >= 1995) & (bucket >= 10)))
-    empty = empty_table(spark, schemas.UNMATCHED)
-    return unmatched.merge_unmatched(unmatched.merge_unmatched(empty, run1, RUN_1), run2, RUN_2)
+    return unmatched_store(spark, sf_dir).unmatched.read()
 
 
 @check(GAPS_SQL + "SELECT * FROM m ORDER BY last_seen_at DESC, occurrences DESC, description LIMIT 50")
 def q_unmatched_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return unmatched.unmatched_report(q_unmatched_upsert(spark, sf_dir))
+    return unmatched.unmatched_report(unmatched_store(spark, sf_dir).unmatched.read())
 
 
 # --------------------------------------------------------------------------
@@ -1004,6 +1052,26 @@ def q_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.run_log.read()
 
 
+@check("""
+WITH c AS (SELECT count(*) AS rows_in, count(*) FILTER (event_id % 100 = 0) AS without_id, count(*) FILTER (event_type = 'error') AS without_date,
+ count(*) FILTER (props IS NOT NULL) AS with_attributes, count(*) FILTER (event_type = 'purchase') AS with_values,
+ count(*) FILTER (event_type = 'view') AS with_other_fields, count(DISTINCT CASE WHEN event_id % 100 <> 0 THEN event_id // 2 ELSE -1 END) AS rows_written FROM events)
+SELECT '1704067200' AS batch_code, 'load' AS step, metric, CAST(value AS BIGINT) AS value
+FROM (UNPIVOT c ON rows_in, without_id, without_date, with_attributes, with_values, with_other_fields, rows_written INTO NAME metric VALUE value)
+""")
+def q_run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a load counts while it writes: landed rows without id or date, with attributes and with undeclared fields."""
+    has_id = F.col("event_id") % 100 != 0
+    rows = table(spark, sf_dir, "events").select(
+        F.when(has_id, F.floor(F.col("event_id") / 2)).alias("id"), F.when(F.col("event_type") != "error", millis("ts")).alias("eventDate"),
+        F.when(F.col("event_type") == "purchase", F.to_json(F.struct(number_k().alias("appId")))).otherwise(F.col("props")).alias("additionalAttributes"),
+        F.when(F.col("event_type") == "view", number_k()).alias("newField"), "event_id")
+    folder = land_pages(rows.withColumnRenamed("event_id", "index"), "response", F.floor(F.col("index") / 500), shared_dir(spark, "metric-pages"))
+    store = EventStore(spark, shared_dir(spark, "metrics"))
+    store.finish_run(BATCH_MS // 1000, store.load(prepare_events(pages.read_pages(spark, folder, "events"))))
+    return store.run_metrics.read().select("batch_code", "step", "metric", "value")
+
+
 @check(HALVES_SQL + f"""SELECT {_KEY}, coalesce(new.event_id, old.event_id) AS event_id, coalesce(new.event_type, old.event_type) AS event_type,
  CASE WHEN new.user_key IS NOT NULL THEN new.value ELSE old.value END AS value, 2 AS versions_kept {_FULL}""")
 def q_snapshot_rotate(spark: SparkSession, sf_dir: str) -> DataFrame:

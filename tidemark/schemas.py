@@ -37,7 +37,9 @@ EVENTS = T.StructType(
     + [T.StructField("success", T.BooleanType()), T.StructField("errorNumber", T.StringType())]
     + [T.StructField("attrs", T.MapType(T.StringType(), T.StringType()))]
     + [T.StructField(n, T.StringType()) for n in fixed.ATTRIBUTE_COLUMNS.values()]
-    + [T.StructField(fixed.RAW_ATTRIBUTES_COLUMN, T.StringType()), T.StructField("_ord", ORDER)]
+    + [T.StructField(fixed.RAW_ATTRIBUTES_COLUMN, T.StringType())]
+    # Top-level fields that are not declared above, by dotted path.
+    + [T.StructField("other", T.MapType(T.StringType(), T.StringType())), T.StructField("_ord", ORDER)]
 )
 
 WORKSPACES = T.StructType([
@@ -102,6 +104,14 @@ RUN_LOG = T.StructType([
     T.StructField("logged_at", T.StringType()),
     T.StructField("records_loaded", T.LongType()),
 ])
+# One number of one step of a run, such as the rows a load read.
+RUN_METRICS = T.StructType([
+    T.StructField("metric_id", T.StringType()),
+    T.StructField("batch_code", T.StringType()),
+    T.StructField("step", T.StringType()),
+    T.StructField("metric", T.StringType()),
+    T.StructField("value", T.LongType()),
+])
 WATERMARK = T.StructType([
     T.StructField("last_run_epoch", T.LongType()),
     T.StructField("last_run_utc", T.StringType()),

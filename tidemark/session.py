@@ -5,7 +5,8 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,6 +31,8 @@ JVM_OPTIONS = "-XX:-DontCompileHugeMethods"
 LAUNCH_CONF = {
     "spark.driver.extraJavaOptions": JVM_OPTIONS,
     "spark.executor.extraJavaOptions": JVM_OPTIONS,
+    # Looking up the Python line of every column costs more than planning the query.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -86,6 +89,14 @@ def unstage(*tables: DataFrame) -> None:
         paths.delete(table.sparkSession, table._staged_at)
 
 
+def observed(seen: Observation) -> dict[str, int]:
+    """What an observation has counted; nothing if the optimizer saw that there are no rows to count."""
+    try:
+        return seen.get
+    except Py4JJavaError:
+        return {}
+
+
 def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
     """No rows, and known to be empty, so that the optimizer drops joins with it."""
     columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]

@@ -1,14 +1,15 @@
 """Change-history exports: delimited files whose header differs per file.
 
-Files of any name lie in ``workspace_id=.../model_id=.../`` folders, one record per
-line; a line break inside quotes fails with the name of the file.
-All of them are read in one scan: the driver only resolves each *distinct*
+Files of any name lie in ``workspace_id=.../model_id=.../`` folders. Quoted cells
+may hold line breaks, also across the splits of a file; a quote that is never
+closed fails with the name of the file. Empty lines are no records. All of them are read in one scan: the driver only resolves each *distinct*
 header once, and the resulting column positions are joined back per file.
 """
 
 from __future__ import annotations
 
 import csv
+import io
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,8 +17,8 @@ from pyspark.sql import types as T
 
 from tidemark import fixed
 from tidemark.functions.text import record_id
-from tidemark.operators.ordinals import number_file_rows, with_source_position
 from tidemark.session import literal_table, stage
+from tidemark.sources.records import file_heads, numbered_records, staged_lines
 
 # Columns that come from the export itself, by position of their header.
 SOURCE_COLUMNS = [
@@ -62,20 +63,21 @@ def resolve_header(headers: list[str]) -> dict[str, int]:
     return {target: lowered.index(lowered[i]) for target, i in chosen.items()}
 
 
-def _layouts(spark: SparkSession, lines: DataFrame) -> tuple[DataFrame, int]:
-    """Per file its delimiter and column positions, and the widest header."""
-    file_headers = (
-        lines.where("_block = 0").groupBy("_file").agg(F.min_by("value", "_row").alias("header"))
-    )
+def _layouts(spark: SparkSession, headers: DataFrame) -> tuple[DataFrame, int]:
+    """Per file its delimiter and column positions, and the widest header.
+
+    ``headers``: _file, the header record and the file's first line, which tells
+    the delimiter.
+    """
+    file_headers = headers.select("_file", "header", F.contains("_head", F.lit("\t")).alias("_tabbed"))
     layouts, width = [], 1
-    for row in file_headers.select("header").distinct().collect():
-        sep = delimiter_of(row["header"])
-        names = next(csv.reader([row["header"]], delimiter=sep))
+    for row in file_headers.select("header", "_tabbed").distinct().collect():
+        names = next(csv.reader(io.StringIO(row["header"], newline=""), delimiter="\t" if row["_tabbed"] else ","))
         chosen = resolve_header(names)
         width = max(width, len(names))
-        layouts.append((row["header"], sep == "\t", [chosen.get(c, -1) for c in SOURCE_COLUMNS]))
+        layouts.append((row["header"], row["_tabbed"], [chosen.get(c, -1) for c in SOURCE_COLUMNS]))
     resolved = literal_table(spark, layouts, LAYOUT)
-    return file_headers.join(resolved, "header").drop("header"), width
+    return file_headers.join(resolved, ["header", "_tabbed"]).drop("header"), width
 
 
 def _record(width: int) -> Column:
@@ -89,26 +91,25 @@ def _record(width: int) -> Column:
     return F.when(F.col("_tabbed"), parsed("\t")).otherwise(parsed(","))
 
 
-def _whole_record() -> Column:
-    """The line; fails on one that a quoted line break cuts off from its record."""
-    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
-    message = F.concat(F.lit("quoted line break or stray quote in "), F.col("_metadata.file_path"), F.lit(": "), F.col("value"))
-    return F.when(quotes % 2 == 0, F.col("value")).otherwise(F.raise_error(message))
-
-
 def read_exports(spark: SparkSession, path: str, captured_at: str) -> DataFrame:
     """All exports as change-history rows, not yet classified.
 
     No value is null: what a file does not hold is the empty text.
     """
     text = (
-        spark.read.schema("value string, workspace_id string, model_id string")
-        .text(path)
+        spark.read.schema("value string, workspace_id string, model_id string").option("lineSep", "\n")
+        .text(path).select("value", "model_id", "_metadata")
     )
-    # Empty lines are no rows, so they go before positions are given out; a line of blank cells is one.
-    lines = stage(with_source_position(text.where(F.col("value") != "").withColumn("value", _whole_record())), "export-lines")
-    layouts, width = _layouts(spark, lines)
-    numbered = number_file_rows(lines, "_ordinal", start=-1).where("_ordinal >= 0")
+    lines, plain = staged_lines(text)
+    numbered = numbered_records(lines, plain, ["model_id"])
+    headers = file_heads(lines)
+    if plain:
+        headers = headers.withColumn("header", F.col("_head"))
+    else:
+        numbered = stage(numbered, "export-records")
+        headers = headers.join(numbered.where("_ordinal = -1").select("_file", F.col("value").alias("header")), "_file")
+    layouts, width = _layouts(spark, headers)
+    numbered = numbered.where("_ordinal >= 0")
     # Each line is parsed once: its fields are taken from one struct, made in a step of its own.
     parsed = numbered.join(layouts, "_file").withColumn("_record", _record(width))
     split = parsed.withColumn("_fields", F.array(*[F.col(f"_record.c{i}") for i in range(width)]))

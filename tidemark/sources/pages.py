@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import schemas
+from tidemark.functions.attributes import with_other_fields
 from tidemark.operators import normalize
 
 
@@ -19,9 +20,10 @@ def _strings(*names: str) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
-# Array field of each kind of page, and the fields read from its rows.
+# Array field of each kind of page, and the fields read from its rows. Events are
+# read as their JSON text, so that fields nobody declared are not lost.
 PAGES = {
-    "events": ("response", schemas.LANDED_EVENT),
+    "events": ("response", T.StringType()),
     "users": ("Resources", _strings("id", "userName", "displayName", "firstName", "lastName").add(
         "name", _strings("givenName", "familyName"))),
     "workspaces": ("workspaces", schemas.WORKSPACES),
@@ -69,7 +71,10 @@ def landed_pages(
 
 
 def page_rows(pages: DataFrame, kind: str, partitions: tuple[str, ...] = ()) -> DataFrame:
-    """Rows of all pages with their arrival order ``_ord``; an empty page adds none."""
+    """Rows of all pages with their arrival order ``_ord``; an empty page adds none.
+
+    Events have their undeclared fields in the map ``other``.
+    """
     rows = pages.withColumn("_row", F.monotonically_increasing_id()).select(
         "_file", "_block", "_row", *partitions, F.posexplode(PAGES[kind][0]).alias("_pos", "_event")
     )
@@ -77,9 +82,20 @@ def page_rows(pages: DataFrame, kind: str, partitions: tuple[str, ...] = ()) ->
         F.col("_file").alias("file"), F.col("_block").alias("block"), F.col("_row").alias("row"),
         F.col("_pos").alias("pos"),
     )
+    if kind == "events":
+        rows = _opened_events(rows)
+        return rows.select("_event.*", "other", *partitions, order.alias("_ord"))
     return rows.select("_event.*", *partitions, order.alias("_ord"))
 
 
+def _opened_events(rows: DataFrame) -> DataFrame:
+    """The declared fields of each event's JSON text as a struct, the others as a map."""
+    wrong = F.raise_error(F.concat(F.lit("no event object in "), F.col("_file"), F.lit(": "), F.col("_event")))
+    rows = rows.withColumn("_event", F.when(F.col("_event").isNull() | F.startswith("_event", F.lit("{")), F.col("_event")).otherwise(wrong))
+    opened = with_other_fields(rows, "_event", schemas.LANDED_EVENT.names)
+    return opened.withColumn("_event", F.from_json("_event", schemas.LANDED_EVENT))
+
+
 def read_pages(
     spark: SparkSession, path: str | list[str], kind: str, *, multiline: bool = False,
     partitions: tuple[str, ...] = (),
@@ -90,8 +106,8 @@ def read_pages(
 
 
 def since(events: DataFrame, epoch_seconds: int) -> DataFrame:
-    """Events at or after a watermark given in seconds."""
-    return events.where(F.col("eventDate") >= epoch_seconds * 1000)
+    """Events at or after a watermark given in seconds, and those without a date."""
+    return events.where(F.coalesce(F.col("eventDate") >= epoch_seconds * 1000, F.lit(True)))
 
 
 def first_arrived(events: DataFrame, n: int, order: str = "_ord") -> DataFrame:

@@ -10,7 +10,7 @@ from tidemark import fixed, schemas
 from tidemark.functions.text import epoch_s_iso
 from tidemark.operators import lists
 from tidemark.operators.ordinals import number_rows
-from tidemark.session import empty_table
+from tidemark.session import empty_table, literal_table
 
 # Null and empty text both print as nothing; quotes are doubled; blanks stay.
 CSV_OPTIONS = {
@@ -111,6 +111,13 @@ def run_log_row(spark: SparkSession, epoch_seconds: int, records: int) -> DataFr
     )
 
 
+def run_metric_rows(spark: SparkSession, epoch_seconds: int, steps: dict[tuple[str, str], int]) -> DataFrame:
+    """The counts of a run, one row per step and metric."""
+    code = str(epoch_seconds)
+    rows = [(f"{code}:{step}:{metric}", code, step, metric, n) for (step, metric), n in sorted(steps.items())]
+    return literal_table(spark, rows, schemas.RUN_METRICS)
+
+
 def new_list_items(
     spark: SparkSession, wide: DataFrame, wanted: dict[str, str], existing: dict[str, DataFrame]
 ) -> dict[str, DataFrame]:
