@@ -9,6 +9,7 @@ from pyspark.errors import PySparkException
 from tidemark import schemas
 from tidemark.plans.run import MetadataStore, Scope, resolved_scope, run_audit, run_history
 from tidemark.session import literal_table
+from tidemark.sources import publish
 
 NOW = datetime(2025, 1, 15, 14, 30, tzinfo=UTC)
 
@@ -40,8 +41,10 @@ def test_audit_run(spark, tmp_path):
         extracts={"models": "MODEL_LIST", "actions": "ACTION_LIST", "act_codes": "ACTIVITY_CODES", "event_categories": "EVENT_CATEGORIES", "cloudworks": "CLOUDWORKS_LIST"})
     dry = run_audit(spark, str(landing), storage, str(out), str(tmp_path / "codes.csv"), **{**options, "retention_years": 0}, dry_run=True)
     assert dry.events_loaded == 2 and dry.published == [] and not out.exists()
-    done = run_audit(spark, str(landing), storage, str(out), str(tmp_path / "codes.csv"), **options)
-    assert done.published == ["audit", "models", "actions", "cloudworks", "act_codes", "event_categories", "ux_app"]
+    sync = {"sync_lists": {"Users": "USER_ID", "Gone": "USER_ID"}, "listed": {"Users": literal_table(spark, [("old", "Old")], schemas.EMPTY_LIST)}}
+    done = run_audit(spark, str(landing), storage, str(out), str(tmp_path / "codes.csv"), **options, **sync)
+    assert done.published == ["audit", "models", "actions", "cloudworks", "act_codes", "event_categories", "ux_app", "new:Users"]
+    assert lines(out / "NEW_Users")[-1].startswith("u1")
     assert done.events_loaded == 2 and done.purged == 1
     assert lines(out / "ACTIVITY_CODES") == [
         "Event Code,Event Message,Associated Object ID,Notes,Parent Code,Parent,Event Name",
@@ -81,3 +84,18 @@ def test_scope_from_names(spark, tmp_path):
     assert {tuple(r) for r in pairs.collect()} == {("w1", "m1"), ("w2", "m2")}
     with pytest.raises(PySparkException, match="nowhere"):
         resolved_scope(spark.createDataFrame([("w1", "nowhere")], "workspace string, model string"), ws, mo).pairs.collect()
+
+
+def test_counters_and_name_ties_follow_the_listing(spark, tmp_path):
+    landing, out = tmp_path / "in", tmp_path / "out"
+    land(landing, "workspaces", {"workspaces": [{"id": "z", "name": "Same"}, {"id": "a", "name": "Other"}]}, "page-000.json")
+    land(landing, "workspaces", {"workspaces": [{"id": "b", "name": "Same"}]}, "page-001.json")
+    land(landing, "models/workspaceId=b", {"models": [{"id": "M2", "name": "Plan"}, {"id": "M1", "name": "plan"}]})
+    store = MetadataStore(spark, str(tmp_path / "store"))
+    store.load(str(landing), Scope())
+    assert "_ord" not in store.read("workspaces").columns
+    publish.publish_metadata({"workspaces": store.in_order("workspaces")}, str(out), {"workspaces": "WORKSPACES"}, {})
+    assert [r.split(",")[:2] for r in lines(out / "WORKSPACES")][:3] == [["1", "z"], ["2", "a"], ["3", "b"]]
+    refs = spark.createDataFrame([("Same", "PLAN")], "workspace string, model string")
+    found = resolved_scope(refs, store.in_order("workspaces"), store.in_order("models")).pairs.collect()
+    assert [tuple(r) for r in found] == [("b", "M1")]

@@ -40,8 +40,9 @@ def models_with_modifier(models: DataFrame, users: DataFrame) -> DataFrame:
     joined = models.join(who, F.col("lastModifiedByUserGuid") == F.col("_uid"), "left")
     columns = [f.name for f in schemas.MODELS.fields if f.name != "workspaceId"]
     at = columns.index("lastModifiedByUserGuid") + 1
+    order = ["_ord"] if "_ord" in models.columns else []
     return joined.select(
-        *columns[:at], "lastModifiedByEmail", "lastModifiedByDisplayName", *columns[at:]
+        *columns[:at], "lastModifiedByEmail", "lastModifiedByDisplayName", *columns[at:], *order
     )
 
 

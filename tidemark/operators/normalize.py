@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -68,14 +70,15 @@ def with_defaults(df: DataFrame, defaults: dict[str, object]) -> DataFrame:
     return df.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in defaults.items()})
 
 
-def lift_user_name(users: DataFrame) -> DataFrame:
-    """First and last name from the nested name, unless given at top level."""
+def lift_user_name(users: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """First and last name from the nested name, unless given at top level; and the columns to ``keep``."""
     return users.select(
         as_text(F.col("id")).alias("id"),
         as_text(F.col("userName")).alias("userName"),
         as_text(F.col("displayName")).alias("displayName"),
         F.coalesce("firstName", "name.givenName", F.lit("")).alias("firstName"),
         F.coalesce("lastName", "name.familyName", F.lit("")).alias("lastName"),
+        *keep,
     )
 
 
@@ -84,12 +87,12 @@ def action_kind(actions: DataFrame) -> DataFrame:
     return actions.withColumn("type", F.coalesce("actionType", "type", F.lit(""))).drop("actionType")
 
 
-def flatten_integrations(integrations: DataFrame) -> DataFrame:
-    """``latestRun.*`` and ``schedule.*`` as dotted columns."""
+def flatten_integrations(integrations: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """``latestRun.*`` and ``schedule.*`` as dotted columns; and the columns to ``keep``."""
     top = [as_text(F.col(n)).alias(n) for n in schemas.INTEGRATION_FIELDS]
     run = [F.col(f"latestRun.{n}").cast("string").alias(f"latestRun.{n}") for n in schemas.RUN_FIELDS]
     plan = [F.col(f"schedule.{n}").cast("string").alias(f"schedule.{n}") for n in schemas.SCHEDULE_FIELDS]
-    return integrations.select(*top, *run, *plan)
+    return integrations.select(*top, *run, *plan, *keep)
 
 
 def with_provenance(df: DataFrame, workspaces: DataFrame, models: DataFrame) -> DataFrame:

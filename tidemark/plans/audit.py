@@ -20,9 +20,8 @@ def object_dimension(models: DataFrame, integrations: DataFrame, users: DataFram
     The name of an integration's model is resolved here too.
     """
     model = models.select(F.upper("id").alias("_okey"), F.col("id").alias("_m2_id"), F.col("name").alias("_m2_name"))
-    twice = F.raise_error(F.concat(F.lit("model id occurs more than once: "), F.col("id")))
     owner = models.groupBy("id").agg(
-        F.when(F.count(F.lit(1)) == 1, F.max("name")).otherwise(twice).alias("_cw_model_name")
+        F.max("name").alias("_cw_model_name"), (F.count(F.lit(1)) > 1).alias("_cw_model_twice")
     ).withColumnRenamed("id", "_m3_id")
     integration = integrations.select(
         F.upper("integrationId").alias("_okey"), F.col("integrationId").alias("_cw_id"),
@@ -33,7 +32,14 @@ def object_dimension(models: DataFrame, integrations: DataFrame, users: DataFram
 
 
 def resolved_model(attr_id: Column, attr_name: Column) -> tuple[Column, Column]:
-    """Model id and name: the attribute's, else the object's, else the integration's."""
+    """Model id and name: the attribute's, else the object's, else the integration's.
+
+    An integration's model that is listed twice has no one name: the row that
+    needs it fails.
+    """
+    twice = F.raise_error(F.concat(F.lit("model id occurs more than once: "), F.col("_cw_model_id")))
+    owner_name = F.when(F.coalesce("_cw_model_twice", F.lit(False)), twice.cast("string")).otherwise(F.col("_cw_model_name"))
+
     def by(when_attr: Column, when_model: Column, when_integration: Column) -> Column:
         return (
             F.when(attr_id.isNotNull(), when_attr)
@@ -42,7 +48,7 @@ def resolved_model(attr_id: Column, attr_name: Column) -> tuple[Column, Column]:
         )
     return (
         by(attr_id, F.col("_m2_id"), F.col("_cw_model_id")),
-        by(attr_name, F.col("_m2_name"), F.col("_cw_model_name")),
+        by(attr_name, F.col("_m2_name"), owner_name),
     )
 
 

@@ -22,7 +22,7 @@ from tidemark.plans import history
 from tidemark.plans.audit import wide_audit
 from tidemark.plans.events import EventStore, prepare_events
 from tidemark.plans.history import HistoryStore
-from tidemark.session import empty_table
+from tidemark.session import empty_table, stage
 from tidemark.sources import pages, paths, publish, tables
 from tidemark.sources.snapshots import SnapshotTable
 
@@ -54,11 +54,16 @@ class Scope:
 def resolved_scope(references: DataFrame, workspaces: DataFrame, models: DataFrame) -> Scope:
     """A selecting scope from ids or names; fails on one that is unknown.
 
-    ``references`` has columns ``workspace`` and ``model``.
+    ``references`` has columns ``workspace`` and ``model``. Of several with one
+    name the last listed counts, by ``_ord`` where the tables have it and by id
+    otherwise.
     """
-    spaces = workspaces.select("id", "name", F.col("id").alias("position"))
+    def place(listed: DataFrame):
+        return F.col("_ord" if "_ord" in listed.columns else "id").alias("position")
+
+    spaces = workspaces.select("id", "name", place(workspaces))
     found = lists.require_resolved(lists.resolve_names(references, spaces, "workspace", "workspace_id"), "workspace", "workspace_id")
-    known = models.select("id", "name", F.col("workspaceId").alias("workspace_id"), F.col("id").alias("position"))
+    known = models.select("id", "name", F.col("workspaceId").alias("workspace_id"), place(models))
     found = lists.resolve_names(found, known, "model", "model_id", within=["workspace_id"])
     return Scope(lists.require_resolved(found, "model", "model_id").select(*SCOPE_KEYS).distinct())
 
@@ -77,16 +82,21 @@ class MetadataStore:
         self.known = {n: SnapshotTable(self.spark, f"{self.path}/{n}", s) for n, s in shapes.items()}
 
     def read(self, name: str) -> DataFrame:
+        return self.in_order(name).drop("_ord")
+
+    def in_order(self, name: str) -> DataFrame:
+        """A table with the arrival order of its rows as ``_ord``."""
         return self.known[name].read()
 
     def load(self, landing: str, scope: Scope, **options) -> None:
         """Replace every table; a kind with no landed folder becomes empty."""
         for name, (reader, schema) in METADATA.items():
             folder = f"{landing}/{LANDING_FOLDERS.get(name, name)}"
-            rows = reader(self.spark, folder, **options) if paths.exists(self.spark, folder) else empty_table(self.spark, schema)
+            kept = schemas.ordered(schema)
+            rows = reader(self.spark, folder, ordered=True, **options) if paths.exists(self.spark, folder) else empty_table(self.spark, kept)
             if name in PER_MODEL:
                 rows = normalize.with_provenance(scope.apply(rows), self.read("workspaces"), self.read("models"))
-            self.known[name].replace(normalize.to_schema(rows, schema))
+            self.known[name].replace(normalize.to_schema(rows, kept), evolve=True)
 
     def load_catalog(self, catalog_path: str, events: DataFrame | None) -> None:
         listed = tables.read_catalog(self.spark, catalog_path)
@@ -105,7 +115,7 @@ def run_audit(
     tenant_name: str = "", scope: Scope | None = None, categories: Iterable[str] = tuple(fixed.DEFAULT_ENABLED_CATEGORIES),
     list_categories: Iterable[str] = tuple(fixed.DEFAULT_LIST_CATEGORIES), extracts: dict[str, str] | None = None,
     list_extracts: dict[str, str] | None = None, retention_years: int = 0, dry_run: bool = False, multiline: bool = False,
-    max_events: int | None = None,
+    max_events: int | None = None, sync_lists: dict[str, str] | None = None, listed: dict[str, DataFrame] | None = None,
 ) -> RunResult:
     """Load landed pages, rebuild the catalogue, publish every extract, purge.
 
@@ -113,6 +123,10 @@ def run_audit(
     events. ``extracts`` and ``list_extracts`` name the files; a table without
     a name is not published. Events before the last published run are not read
     again, and of the rest the first ``max_events`` in arrival order if given.
+
+    ``sync_lists`` maps a list to a column of the wide table, ``listed`` gives
+    the items (``code``, ``name``) each list has; what it lacks is published as
+    ``NEW_<list>``, also when that is nothing.
     """
     store, metadata = EventStore(spark, storage), MetadataStore(spark, f"{storage}/metadata")
     metadata.load(landing, scope or Scope(), multiline=multiline)
@@ -135,15 +149,18 @@ def run_audit(
             integrations=metadata.read("cloudworks"), actions=metadata.read("actions"), catalog=metadata.read("act_codes"),
             tenant_name=tenant_name, batch_ms=batch_ms,
         )
+        if sync_lists:
+            wide = stage(wide, "wide")
         publish.publish_audit(wide, out)
-        exported = {name: metadata.read(name) for name in metadata.known}
-        exported["models"] = lists.models_with_modifier(exported["models"], exported["users"])
+        exported = {name: metadata.in_order(name) for name in metadata.known}
+        exported["models"] = lists.models_with_modifier(exported["models"], exported["users"].drop("_ord"))
         exported["act_codes"] = exported["act_codes"].orderBy("position").drop("position")
         exported["event_categories"] = category_seed(spark)
-        # Ids of these repeat across models.
-        order = {"cloudworks": ["integrationId"], **{name: ["id", "workspace_id", "model_id"] for name in PER_MODEL}}
-        published = ["audit", *publish.publish_metadata(exported, out, extracts or {}, order)]
+        published = ["audit", *publish.publish_metadata(exported, out, extracts or {}, {})]
         published += publish.publish_lists(spark, events, out, list_extracts or {}, list(list_categories))
+        for name, items in publish.new_list_items(spark, wide, sync_lists or {}, listed or {}).items():
+            publish.write_csv(items, f"{out}/NEW_{name}")
+            published.append(f"new:{name}")
         publish.write_csv(publish.last_run(spark, batch_ms // 1000), f"{out}/last_run", single_file=True)
         store.finish_run(batch_ms // 1000, loaded)
     return RunResult(loaded, published, store.purge(now, retention_years))

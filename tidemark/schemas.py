@@ -31,6 +31,13 @@ ORDER = T.StructType([
     T.StructField("pos", T.IntegerType()),
 ])
 
+
+
+def ordered(schema: T.StructType) -> T.StructType:
+    """The schema with the arrival order of its rows."""
+    return T.StructType([*schema.fields, T.StructField("_ord", ORDER)])
+
+
 EVENTS = T.StructType(
     [T.StructField(n, T.StringType()) for n in EVENT_TEXT_FIELDS]
     + [T.StructField(n, T.LongType()) for n in EVENT_NUMBER_FIELDS]

@@ -115,21 +115,28 @@ def first_arrived(events: DataFrame, n: int, order: str = "_ord") -> DataFrame:
     return events.orderBy(order).limit(n)
 
 
-def read_users(spark: SparkSession, path: str, **options) -> DataFrame:
-    return normalize.lift_user_name(read_pages(spark, path, "users", **options))
+# The readers below keep the arrival order of their rows (``_ord``) if ``ordered``.
 
 
-def read_workspaces(spark: SparkSession, path: str, **options) -> DataFrame:
-    rows = normalize.to_schema(read_pages(spark, path, "workspaces", **options), schemas.WORKSPACES)
+def _shaped(rows: DataFrame, schema: T.StructType, ordered: bool) -> DataFrame:
+    return normalize.to_schema(rows, schemas.ordered(schema) if ordered else schema)
+
+
+def read_users(spark: SparkSession, path: str, *, ordered: bool = False, **options) -> DataFrame:
+    return normalize.lift_user_name(read_pages(spark, path, "users", **options), keep=["_ord"] if ordered else [])
+
+
+def read_workspaces(spark: SparkSession, path: str, *, ordered: bool = False, **options) -> DataFrame:
+    rows = _shaped(read_pages(spark, path, "workspaces", **options), schemas.WORKSPACES, ordered)
     return normalize.with_defaults(
         rows, {"id": "", "name": "", "active": True, "sizeAllowance": 0, "currentSize": 0}
     )
 
 
-def read_models(spark: SparkSession, path: str, **options) -> DataFrame:
+def read_models(spark: SparkSession, path: str, *, ordered: bool = False, **options) -> DataFrame:
     """Models below ``workspaceId=.../`` folders."""
     rows = read_pages(spark, path, "models", partitions=("workspaceId",), **options)
-    shaped = normalize.to_schema(rows, schemas.MODELS)
+    shaped = _shaped(rows, schemas.MODELS, ordered)
     texts = {f.name: "" for f in schemas.MODELS.fields if f.dataType == T.StringType()}
     return normalize.with_defaults(shaped, {**texts, "lastSavedSerialNumber": 0, "memoryUsage": 0})
 
@@ -138,18 +145,18 @@ def _per_model(spark: SparkSession, path: str, kind: str, **options) -> DataFram
     return read_pages(spark, path, kind, partitions=("workspace_id", "model_id"), **options)
 
 
-def read_actions(spark: SparkSession, path: str, **options) -> DataFrame:
+def read_actions(spark: SparkSession, path: str, *, ordered: bool = False, **options) -> DataFrame:
     rows = normalize.action_kind(_per_model(spark, path, "actions", **options))
-    return normalize.to_schema(rows, schemas.ACTIONS)
+    return _shaped(rows, schemas.ACTIONS, ordered)
 
 
-def read_processes(spark: SparkSession, path: str, **options) -> DataFrame:
-    return normalize.to_schema(_per_model(spark, path, "processes", **options), schemas.PROCESSES)
+def read_processes(spark: SparkSession, path: str, *, ordered: bool = False, **options) -> DataFrame:
+    return _shaped(_per_model(spark, path, "processes", **options), schemas.PROCESSES, ordered)
 
 
-def read_files(spark: SparkSession, path: str, **options) -> DataFrame:
-    return normalize.to_schema(_per_model(spark, path, "files", **options), schemas.FILES)
+def read_files(spark: SparkSession, path: str, *, ordered: bool = False, **options) -> DataFrame:
+    return _shaped(_per_model(spark, path, "files", **options), schemas.FILES, ordered)
 
 
-def read_integrations(spark: SparkSession, path: str, **options) -> DataFrame:
-    return normalize.flatten_integrations(read_pages(spark, path, "integrations", **options))
+def read_integrations(spark: SparkSession, path: str, *, ordered: bool = False, **options) -> DataFrame:
+    return normalize.flatten_integrations(read_pages(spark, path, "integrations", **options), keep=["_ord"] if ordered else [])

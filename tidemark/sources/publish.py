@@ -36,10 +36,14 @@ def with_counter(df: DataFrame, counter: str, order_by: list) -> DataFrame:
 
 
 def metadata_extract(table: str, df: DataFrame, order_by: list) -> DataFrame:
-    """A metadata table shaped for its file: flags as 1/0, counter first."""
+    """A metadata table shaped for its file: flags as 1/0, counter first.
+
+    Rows that know their arrival order (``_ord``) are counted in that order.
+    """
     shaped = flags_to_int(df)
     counter = fixed.COUNTER_COLUMNS.get(table)
-    return with_counter(shaped, counter, order_by) if counter else shaped
+    counted = with_counter(shaped, counter, ["_ord"] if "_ord" in df.columns else order_by) if counter else shaped
+    return counted.drop("_ord")
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
