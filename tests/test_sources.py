@@ -1,5 +1,7 @@
 """Landed metadata pages and published extracts."""
 
+import csv
+import io
 import json
 
 import pytest
@@ -181,3 +183,16 @@ def test_numbers_of_events(spark):
     bad = spark.createDataFrame([tuple((row | {"eventDate": "soon"})[n] for n in names)], schema)
     with pytest.raises(Exception, match="no whole number"):
         coerce_events(bad).collect()
+
+
+def test_file_parts_are_bounded_and_make_up_the_file(spark, tmp_path):
+    rows = [(i, "x" * (i % 23), 'say "hi", ' + str(i) if i % 3 else None, i % 2 == 0) for i in range(500)]
+    df = spark.createDataFrame(rows, "k int, a string, b string, flag boolean").repartition(7)
+    publish.write_parts(df, str(tmp_path / "parts"), ["k"], 400)
+    files = sorted((tmp_path / "parts").glob("part=*/part-*"), key=lambda p: int(p.parent.name.removeprefix("part=")))
+    texts = [p.read_text() for p in files]
+    assert len({p.parent.name for p in files}) == len(files) > 20 and all(len(t) <= 400 for t in texts)
+    found = list(csv.reader(io.StringIO("".join(texts))))
+    assert found == [["k", "a", "b", "flag"], *[[str(i), a, b or "", "1" if f else "0"] for i, a, b, f in rows]]
+    with pytest.raises(ValueError, match="does not fit"):
+        publish.write_parts(df, str(tmp_path / "short"), ["k"], 20)

@@ -67,3 +67,19 @@ def number_rows(
         "rows",
     )
     return _number_chunks(placed, ["_chunk"], [], out, start).drop("_chunk", "_row")
+
+
+def running_sums(df: DataFrame, order_by: list[str], value: str, out: str) -> DataFrame:
+    """Sum of a whole-number column over the earlier rows and this one, in the given (total) order.
+
+    Rows are range-partitioned and staged once; each partition sums its own
+    rows, and only one sum per partition is ordered globally.
+    """
+    ranged = df.repartitionByRange(*order_by).withColumn("_chunk", F.spark_partition_id())
+    placed = stage(ranged, "sums")
+    sums = placed.groupBy("_chunk").agg(F.sum(value).alias("_sum"))
+    earlier = Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select("_chunk", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_offset"))
+    inside = Window.partitionBy("_chunk").orderBy(*order_by).rowsBetween(Window.unboundedPreceding, 0)
+    summed = placed.withColumn(out, F.sum(value).over(inside)).join(offsets, "_chunk")
+    return summed.withColumn(out, F.col(out) + F.col("_offset")).drop("_chunk", "_offset")

@@ -996,6 +996,25 @@ def q_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     return publish.read_csv_back(spark, f"{folder}/MODEL_LIST", text_columns)
 
 
+@check("""
+WITH l AS (SELECT o_orderkey, o_orderkey || ',' || o_orderstatus || ',' || o_orderpriority || ',' || strftime(o_orderdate, '%Y-%m-%d') AS line FROM orders),
+e AS (SELECT *, length(line) + 1 AS chars, sum(length(line) + 1) OVER (ORDER BY o_orderkey) + 30 AS upto, max(length(line) + 1) OVER () AS longest FROM l),
+p AS (SELECT *, (upto - 1) // (50000 - greatest(longest, 30) + 1) AS part FROM e)
+SELECT CAST(part AS INT) AS part, CAST(count(*) + CASE WHEN part = 0 THEN 1 ELSE 0 END AS BIGINT) AS file_lines,
+ CAST(sum(chars) + CASE WHEN part = 0 THEN 30 ELSE 0 END AS BIGINT) AS chars, min(o_orderkey) AS least_key, max(o_orderkey) AS greatest_key FROM p GROUP BY part
+""")
+def q_publish_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One ordered file in parts of at most 50,000 characters, counted from what was written."""
+    day = F.date_format("o_orderdate", "yyyy-MM-dd").alias("day")
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("priority"), day)
+    folder = shared_dir(spark, "parts")
+    publish.write_parts(rows.withColumnRenamed("o_orderkey", "order_key"), folder, ["order_key"], 50_000)
+    lines = spark.read.schema("value string, part int").text(folder)
+    key = F.split("value", ",")[0].try_cast("bigint")
+    return lines.groupBy("part").agg(
+        F.count(F.lit(1)).alias("file_lines"), F.sum(F.length("value") + 1).alias("chars"), F.min(key).alias("least_key"), F.max(key).alias("greatest_key"))
+
+
 def stored_without_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = attributes.with_attributes(attribute_events(spark, sf_dir), categories=[], retain_raw=False)
     done = F.when(F.col("id") % 10 == 0, "{}")

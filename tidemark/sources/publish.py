@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import fixed, schemas
 from tidemark.functions.text import epoch_s_iso
 from tidemark.operators import lists
-from tidemark.operators.ordinals import number_rows
+from tidemark.operators.ordinals import number_rows, running_sums
 from tidemark.session import empty_table, literal_table
 
 # Null and empty text both print as nothing; quotes are doubled; blanks stay.
@@ -19,6 +19,10 @@ CSV_OPTIONS = {
 }
 
 
+# Characters that one part of a file may have.
+PART_CHARS = 1_000_000
+
+
 def flags_to_int(df: DataFrame) -> DataFrame:
     """Boolean columns as 1/0."""
     return df.select(
@@ -55,6 +59,42 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     (out.coalesce(1) if single_file else out).write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
 
 
+def file_parts(df: DataFrame, order_by: list[str], most_chars: int = PART_CHARS) -> DataFrame:
+    """The lines of one ordered CSV file, cut into parts of at most ``most_chars`` characters.
+
+    Gives part, line and the columns of ``order_by``. Lines are never cut: with
+    a longest line of L characters, a part takes the lines that end within one
+    stretch of ``most_chars - L + 1`` characters of the whole file, so it never
+    exceeds the bound, and the part of a line follows from the running length
+    alone. A line longer than a part fails. The first part begins with the header.
+    """
+    out = flags_to_int(df)
+    options = {k: str(v).lower() if isinstance(v, bool) else v for k, v in CSV_OPTIONS.items() if k != "header"}
+    line = F.to_csv(F.struct(*[F.col(f"`{c}`") for c in out.columns]), options)
+    lines = out.select(line.alias("line"), *order_by).withColumn("_chars", F.length("line") + 1)
+    header = len(",".join(out.columns)) + 1
+    placed = running_sums(lines, order_by, "_chars", "_end")
+    longest = max(header, placed.agg(F.max("_chars")).first()[0] or 0)
+    if longest > most_chars:
+        raise ValueError(f"a line of {longest} characters does not fit into a part of {most_chars}")
+    width = most_chars - longest + 1
+    return placed.select(F.expr(f"CAST((_end + {header} - 1) DIV {width} AS int)").alias("part"), "line", *order_by)
+
+
+def write_parts(df: DataFrame, path: str, order_by: list[str], most_chars: int = PART_CHARS) -> None:
+    """Write an extract as numbered parts of one file (``part=0``, ``part=1``, ...), rows in order.
+
+    Put one behind the other the parts are the whole CSV file.
+    """
+    lines = file_parts(df, order_by, most_chars)
+    header = ",".join(df.columns) + "\n"
+    # The window brings each part, which is of bounded size, to one task in order.
+    place = F.row_number().over(Window.partitionBy("part").orderBy(*order_by))
+    headed = (F.col("part") == 0) & (place == 1)
+    text = F.when(headed, F.concat(F.lit(header), F.col("line"))).otherwise(F.col("line"))
+    lines.select("part", text.alias("value")).write.mode("overwrite").partitionBy("part").text(path)
+
+
 def read_csv_back(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
 
