@@ -165,3 +165,32 @@ def test_store_policies(spark, tmp_path):
 def test_clean_name(spark, raw, clean):
     df = spark.createDataFrame([(raw,)], "name string")
     assert df.select(text.clean_name(df["name"])).first()[0] == clean
+
+
+@pytest.mark.parametrize(("pattern", "prefix"), [
+    ("^Add List$", "Add List"), (r"Add \(x\) .*", "Add (x) "), ("ab*c", "a"), ("ab+c", "ab"), ("ab?c", "a"), ("ab{2}", "a"), ("a|b", ""),
+    ("Ad(d|x)", "Ad"), ("[a|b]c", ""), (r"a\|b.", "a|b"), (r"x\d+", "x"), ("(?i)abc", ""), (".*", ""), ("é.", "é"), ("a\\", "a"), ("^a^b", "a"),
+])
+def test_literal_prefix(pattern, prefix):
+    assert rules.literal_prefix(pattern) == prefix
+
+
+def test_many_rules_equal_rules_in_turn(spark, monkeypatch):
+    """Rules of all kinds, looked up and tried in turn, label the same texts alike."""
+    import random
+
+    rng = random.Random(2)
+    words = ["Add", "List", "Gap", "é", "(s)", "Item", "x|y", "a.b"]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randint(0, 5))) for _ in range(300)] + [None, "", "Add", " "]
+    own = []
+    for i in range(200):
+        parts = [re.escape(w) for w in rng.choices(words, k=rng.randint(1, 4))]
+        tail = rng.choice(["", ".*", " ?.*", "(é|x).*", "[A-Z].*", "x*"])
+        body = rng.choice(["", "", "^", ".*", "(Add|Gap) "]) + " ".join(parts) + tail
+        own.append({"priority": str(rng.randint(1, 90)), "pattern": body, "object_type": fixed.OBJECT_TYPES[i % 7], "change_type": fixed.CHANGE_TYPES[i % 5]})
+    built = rules.build_rules(own)
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, description string")
+    in_turn = {tuple(r) for r in rules.with_classification(df, rules=built).collect()}
+    monkeypatch.setattr(rules, "TRIED_IN_TURN", 0)
+    assert {tuple(r) for r in rules.with_classification(df, rules=built).collect()} == in_turn
+    assert len({r[2:] for r in in_turn}) > 5 and len(in_turn) == len(texts)

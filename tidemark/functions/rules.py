@@ -17,6 +17,11 @@ from pyspark.sql import functions as F
 from tidemark import fixed
 from tidemark.functions.text import sql_text
 
+# Rules that are tried one by one; longer lists are looked up.
+TRIED_IN_TURN = 256
+# Characters of a pattern's beginning that rules are looked up by.
+PREFIX_LENGTHS = (2, 4, 8, 16, 32, 64)
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -48,30 +53,30 @@ def _java_pattern(pattern: str) -> str:
     return f"(?Ud)\\A(?:{pattern})\\z"
 
 
-def _compiles(pattern: str) -> bool:
+def _compiler():
+    """The JVM's compiler of patterns; none without a session. Looked up once for many rules."""
+    context = SparkContext._active_spark_context
+    return context._jvm.java.util.regex.Pattern.compile if context else lambda pattern: None
+
+
+def _compiles(pattern: str, compiler) -> bool:
     """Whether a pattern works here and in the JVM, where it runs."""
     try:
         re.compile(pattern)
-    except re.error:
-        return False
-    context = SparkContext._active_spark_context
-    if context is None:
-        return True
-    try:
-        context._jvm.java.util.regex.Pattern.compile(_java_pattern(pattern))
-    except IllegalArgumentException:
+        compiler(_java_pattern(pattern))
+    except (re.error, IllegalArgumentException):
         return False
     return True
 
 
-def _usable(row: Mapping[str, str | None], objects: set[str], changes: set[str]) -> Rule | None:
+def _usable(row: Mapping[str, str | None], objects: set[str], changes: set[str], compiler) -> Rule | None:
     field = {k: (row.get(k) or "").strip() for k in ("priority", "pattern", "object_type", "change_type")}
     try:
         rule = Rule(int(field["priority"]), field["pattern"], field["object_type"], field["change_type"])
     except ValueError:
         return None
     known = rule.object_type in objects and rule.change_type in changes
-    return rule if rule.pattern and known and _compiles(rule.pattern) else None
+    return rule if rule.pattern and known and _compiles(rule.pattern, compiler) else None
 
 
 def build_rules(
@@ -81,9 +86,10 @@ def build_rules(
 ) -> list[Rule]:
     """Usable rules by ascending priority; ties keep their source order."""
     objects, changes = vocabularies()
+    compiler = _compiler()
     rules = [
         _usable(row, objects if object_types is None else object_types,
-                changes if change_types is None else change_types)
+                changes if change_types is None else change_types, compiler)
         for row in rows
     ]
     return sorted((r for r in rules if r), key=lambda r: r.priority)
@@ -137,11 +143,96 @@ def _pick_sql(rules: list[Rule], text: str, field: str, default: str) -> str:
     return f"element_at(array({labels}), 2 + CASE WHEN {blank} THEN -1 ELSE {_match_sql(rules, text)} END)"
 
 
+def literal_prefix(pattern: str) -> str:
+    """Text that everything a pattern accepts begins with; empty if none is certain."""
+    body, depth, in_class, escaped = pattern.removeprefix("^"), 0, False, False
+    for c in body:
+        if escaped:
+            escaped = False
+        elif c == "\\":
+            escaped = True
+        elif in_class:
+            in_class = c != "]"
+        elif c == "[":
+            in_class = True
+        elif c == "|" and depth == 0:
+            return ""
+        else:
+            depth += (c == "(") - (c == ")")
+    found: list[str] = []
+    at = 0
+    while at < len(body):
+        c, width = body[at], 1
+        if c == "\\":
+            if at + 1 == len(body) or body[at + 1].isalnum():
+                break
+            c, width = body[at + 1], 2
+        elif c in ".^$*+?()[]{}|":
+            # The character before these may be missing.
+            if c in "*?{" and found:
+                found.pop()
+            break
+        found.append(c)
+        at += width
+    return "".join(found)
+
+
+def _indexed_rules(df: DataFrame, text: str, rules: list[Rule]) -> DataFrame:
+    """Adds ``_rule``, the position of the first rule that matches, for long rule lists.
+
+    Rules are grouped by the beginning that their pattern is sure of, cut to one
+    of a few lengths. A text is joined to the group of each of its beginnings
+    (one lookup a length, whatever the number of rules) and tries only their
+    patterns. Rules of one text are looked up by it, and patterns without such a
+    beginning are tried on every text. Every row stays one row throughout.
+    """
+    spark = df.sparkSession
+    exact: dict[str, int] = {}
+    groups: dict[int, dict[str, list[tuple[int, str]]]] = {}
+    others: list[tuple[int, Rule]] = []
+    for i, rule in enumerate(rules):
+        if rule.literal is not None:
+            exact.setdefault(rule.literal, i)
+            continue
+        prefix = literal_prefix(rule.pattern)
+        length = max((n for n in PREFIX_LENGTHS if n <= len(prefix)), default=0)
+        if length:
+            groups.setdefault(length, {}).setdefault(prefix[:length], []).append((i, _java_pattern(rule.pattern)))
+        else:
+            others.append((i, rule))
+    whens = " ".join(f"WHEN {text} RLIKE {sql_text(_java_pattern(r.pattern))} THEN {i}" for i, r in others)
+    found = [f"CASE {whens} END"] if others else []
+    joined = df
+    if exact:
+        known = spark.createDataFrame(list(exact.items()), "_literal string, _exact int")
+        joined = joined.join(known, F.expr(text) == F.col("_literal"), "left").drop("_literal")
+        found.append("_exact")
+    for length, by_prefix in sorted(groups.items()):
+        rows = spark.createDataFrame(
+            [(p, tried) for p, tried in by_prefix.items()], f"_p{length} string, _tried{length} array<struct<i: int, pattern: string>>"
+        )
+        joined = joined.join(rows, F.expr(f"substring({text}, 1, {length})") == F.col(f"_p{length}"), "left").drop(f"_p{length}")
+        found.append(f"array_min(transform(filter(_tried{length}, c -> {text} RLIKE c.pattern), c -> c.i))")
+    first = f"least({', '.join(found)})" if len(found) > 1 else found[0]
+    ruled = joined.withColumn("_rule", F.expr(f"CASE WHEN coalesce({text}, '') = '' THEN -1 ELSE coalesce({first}, -1) END"))
+    return ruled.drop("_exact", *[f"_tried{n}" for n in groups])
+
+
 def with_classification(
     df: DataFrame, description: str = "description", rules: list[Rule] | None = None
 ) -> DataFrame:
-    """Add ``change_type`` and ``object_type``; never null."""
+    """Add ``change_type`` and ``object_type``; never null.
+
+    Lists of many patterns are looked up by how they begin instead of tried in turn.
+    """
     rules = default_rules() if rules is None else rules
+    if len(rules) > TRIED_IN_TURN:
+        ruled = _indexed_rules(df, f"`{description}`", rules)
+        labels = df.sparkSession.createDataFrame(
+            [(-1, fixed.CATCHALL_CHANGE_TYPE, fixed.CATCHALL_OBJECT_TYPE), *[(i, r.change_type, r.object_type) for i, r in enumerate(rules)]],
+            "_at int, change_type string, object_type string",
+        )
+        return ruled.drop("change_type", "object_type").join(labels, F.col("_rule") == F.col("_at"), "left").drop("_rule", "_at")
     text = f"`{description}`"
     labelled = df.withColumn(
         "_rule", F.expr(f"CASE WHEN coalesce({text}, '') = '' THEN -1 ELSE {_match_sql(rules, text)} END")
