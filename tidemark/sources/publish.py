@@ -96,7 +96,8 @@ def write_parts(df: DataFrame, path: str, order_by: list[str], most_chars: int =
 
 
 def read_csv_back(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
+    """A published extract; its quoted cells may hold line breaks, so a file is one task."""
+    return spark.read.schema(schema).options(**CSV_OPTIONS, multiLine=True).csv(path)
 
 
 def publish_audit(wide: DataFrame, folder: str, name: str = "AUDIT_LOG") -> None:
