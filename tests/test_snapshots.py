@@ -25,7 +25,8 @@ def indexed(spark, path, index_rows=50):
 
 
 def content(table, *columns):
-    return sorted(tuple(r[c] for c in columns or table.read().columns) for r in table.read().collect())
+    rows = table.read()
+    return sorted(tuple(r) for r in (rows.select(*columns) if columns else rows).collect())
 
 
 # -- columns ------------------------------------------------------------------
