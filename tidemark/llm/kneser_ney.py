@@ -8,14 +8,19 @@ counts. Both are trained on all documents labelled good (``quality`` 1).
 A document's perplexities are per predicted character. It is kept if neither is over
 its limit: a quantile, by default 0.995, of the trusted documents of its language, each
 held out when its own perplexity is taken for the limit: n-grams and contexts that no
-other trusted document has count as unseen. A language with few trusted documents
-uses the quantile over all of them.
-
-Counts are made per block of documents, summed by n-gram, and turned into
-probabilities and interpolation weights by grouped sums over prefixes and suffixes;
-orders below the highest count distinct left neighbours, except at the begin
-mark. Blocks ask the shards of that table for their distinct n-grams (see
-``ngramshards``), so neither the table nor the counts must fit in one place.
+other trusted document has count as unseen. A language's limit is the mean of its own
+quantile and the one over all trusted documents, weighted by its number of trusted
+documents and by ``PRIOR``; the overall one alone holds where it has none.
+
+The longest n-grams are counted per block of documents and summed as strings; grouped
+counts by suffix and by prefix give the shorter ones, their distinct left neighbours,
+probabilities and interpolation weights. Orders below the highest count left
+neighbours, except at the begin mark. Blocks ask the shards of that table for their
+distinct n-grams (see ``ngramshards``), so neither the table nor the counts must fit in
+one place. Here n-grams are told apart by 40 bits of a hash within their shard.
+Most characters of running text depend on their own word alone, the first ones also on
+the end of what stands before; each such word and border is worked out once per part
+of a block (see ``Layer``).
 
 A document without words (null or empty text) has no perplexity and is kept, as is
 everything if no document is trusted. The null language is one of its own. Labels
@@ -25,7 +30,10 @@ trusted if one says so. Rows that repeat an id are scored each.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,190 +43,244 @@ from tidemark.llm import textarrays as ta
 from tidemark.llm.common import Scratch, join_checked
 
 ORDER = 5
-QUANTILE, FEW = 0.995, 100
-BEGIN, END, GAP = 1, 2, b"\x03"
+# A language's own quantile counts by its number of trusted documents, the overall one as so many.
+QUANTILE, PRIOR = 0.995, 20
+# Marks are white space, which no word has.
+BEGIN, END, GAP = 0x0A, 0x0D, 0x20
 WORDS, TEXT = 0, 1
 PARTS = ("word", "text")
-# Distinct words take several times the room of their text, so blocks are small.
-BLOCK_BYTES = 5 << 20
-# Running text is read in parts of about this size.
-PART_BYTES = 1 << 20
-# Sets context keys of the model table apart from n-gram keys.
-WEIGHT = 0x14057B7EF767814F
-
-
-def _words_of(docs: list[tuple]) -> tuple[dict[bytes, int], np.ndarray, np.ndarray]:
-    """Distinct words with their numbers; the number of each word in order; words per document."""
-    known: dict[bytes, int] = {}
-    numbers, counts = [], []
-    for _, text, _, _ in docs:
-        words = text.split()
-        for w in words:
-            if w not in known:
-                known[w] = len(known)
-        numbers.append(np.fromiter(map(known.__getitem__, words), np.int64, len(words)))
-        counts.append(len(words))
-    return known, np.concatenate([np.zeros(0, np.int64), *numbers]), np.array(counts, np.int64)
-
-
-def _units(docs: list[tuple]):
-    """Per part of a block: the kind of model, its units, and each use of a unit: which one, and by which document."""
-    known, numbers, counts = _words_of(docs)
-    yield WORDS, list(known), numbers, np.repeat(np.arange(len(docs)), counts)
-    del known, numbers, counts
-    units, owners, size = [], [], 0
-    for i, (_, text, _, _) in enumerate(docs):
-        unit = GAP.join(text.split())
-        if unit:
-            units.append(unit)
-            owners.append(i)
-            size += len(unit)
-        if size >= PART_BYTES or (units and i == len(docs) - 1):
-            yield TEXT, units, np.arange(len(units)), np.array(owners, np.int64)
-            units, owners, size = [], [], 0
-    if units:
-        yield TEXT, units, np.arange(len(units)), np.array(owners, np.int64)
-
-
-class Grams:
-    """Hashes of the n-grams that end at each predicted character of distinct units: words or running texts."""
-
-    def __init__(self, words: list[bytes], order: int, kind: int = WORDS):
-        # Each unit is a begin mark, its characters and an end mark; blanks never occur inside.
-        text = (b" " + b"  ".join(words) + b" " if words else b"").decode("utf-8", "replace")
-        codes = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.uint64)
-        blank = np.flatnonzero(codes == 0x20)
-        begins, ends = blank[::2], blank[1::2]
-        codes = codes.copy()
-        codes[begins], codes[ends] = BEGIN, END
-        value = ta.mixed(codes + np.uint64(1 << 33))
-        n = len(codes)
-        start = np.zeros(n, np.int64)
-        start[begins] = begins
-        start = np.maximum.accumulate(start) if n else start
-        # How many symbols the n-gram ending here can have at most, begin mark included.
-        reach = np.arange(n) - start + 1
-        grams = [value]
-        with np.errstate(over="ignore"):
-            for _ in range(2, order + 1):
-                longer = grams[-1].copy()
-                longer[1:] = ta.mixed(grams[-1][:-1] * np.uint64(ta.STEP) + value[1:])
-                grams.append(longer)
-        self.predicted = np.flatnonzero(reach > 1)
-        self.word = np.cumsum(np.isin(np.arange(n), begins))[self.predicted] - 1 if n else self.predicted
-        self.lengths = ends - begins
-        self.reach = reach
-        self.grams = grams
-        self.order = order
-        # Characters whose whole n-gram is the same share one number.
-        at = self.predicted
-        top = np.zeros(len(at), np.uint64)
-        for k in range(1, order + 1):
-            here = np.minimum(reach[at], order) == k
-            top[here] = grams[k - 1][at[here]]
-        by = np.argsort(top)
-        new = np.ones(len(by), bool)
-        new[1:] = top[by[1:]] != top[by[:-1]]
-        self.number = np.empty(len(by), np.int64)
-        self.number[by] = np.cumsum(new) - 1
-        self.first = at[by[new]]
-        self.kind = kind
-
-    def gram(self, k: int, at: np.ndarray) -> np.ndarray:
-        """Hashes of the k-grams that end at positions whose reach is at least k."""
-        return ta.mixed(self.grams[k - 1][at] + np.uint64(k + 64 * self.kind))
-
-    def context(self, k: int, at: np.ndarray) -> np.ndarray:
-        """Hashes of what precedes the last symbol of those k-grams (a fixed one for k = 1)."""
-        return self.gram(k - 1, at - 1) if k > 1 else np.full(len(at), np.uint64(5 + self.kind))
-
-    def wanted(self) -> list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-        """Per order: k, which distinct n-grams have it, their table keys and those of their contexts."""
+BLOCK_BYTES = 8 << 20
+# Blocks are read in parts of about this size.
+PART_BYTES = 2 << 20
+
+
+class Layer:
+    """One model's predicted characters in some texts, those that must agree counted once.
+
+    ``tokens`` says which unit each word occurrence uses and ``owners`` in which document; a unit
+    is a row of predicted characters with all they depend on. ``unit`` and ``number`` say per
+    predicted character of a unit which unit it is in and which distinct n-gram it ends; ``codes``
+    has the symbols of those n-grams, the predicted one first, and ``reach`` how many they are.
+    """
+
+    def __init__(self, kind: int, order: int, codes: np.ndarray, at: np.ndarray, reach: np.ndarray, unit: np.ndarray,
+                 tokens: np.ndarray, owners: np.ndarray, units: int, ends: np.ndarray | None = None):
+        self.kind, self.order, self.unit, self.tokens, self.owners, self.units = kind, order, unit, tokens, owners, units
+        reach = np.minimum(reach, order)
+        symbols = [codes[np.maximum(at - i, 0)] for i in range(order)]
+        if ends is not None:
+            # Inside words both neighbouring blanks are marks.
+            symbols[0] = np.where(ends, END, symbols[0])
+            for i in range(1, order):
+                symbols[i] = np.where((codes[np.maximum(at - i, 0)] == GAP) & (reach == i + 1), BEGIN, symbols[i])
+        for i in range(order):
+            symbols[i] = np.where(reach > i, symbols[i], 0)
+        self.number, first, self.top = distinct(key(symbols, order, kind))
+        self.codes = [c[first] for c in symbols]
+        self.reach = reach[first]
+
+    def wanted(self) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Per order: which distinct n-grams have it, their keys and those of their contexts."""
         out = []
         for k in range(1, self.order + 1):
-            has = self.reach[self.first] >= k
-            at = self.first[has]
-            out.append((k, has, self.gram(k, at), self.context(k, at) ^ np.uint64(WEIGHT)))
+            has = self.reach >= k
+            some = [c[has] for c in self.codes]
+            out.append((has, key(some, k, self.kind), key(some[1:], k - 1, self.kind) if k > 1 else empty_key(self.kind).repeat(len(some[0]))))
         return out
 
 
-COUNTED = "kind int, k int, gram long, context long, suffix long, at_begin boolean, n long, low long, high long"
+def distinct(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Number of each element among the distinct ones, where each of these stands first, and their values."""
+    number, values = pd.factorize(hashes)
+    first = np.empty(len(values), np.int64)
+    first[number[::-1]] = np.arange(len(hashes))[::-1]
+    return number, first, values
+
+
+_VALUES: list[np.ndarray] = []
+
+
+def values() -> np.ndarray:
+    """A random number for each code point, made once per process."""
+    if not _VALUES:
+        _VALUES.append(ta.mixed(np.arange(0x110000, dtype=np.uint64) + np.uint64(1 << 33)))
+    return _VALUES[0]
+
+
+def key(symbols: list[np.ndarray], k: int, kind: int) -> np.ndarray:
+    """64-bit hashes of k-grams given by their symbols, the last one first; missing symbols are 0."""
+    total = np.zeros(len(symbols[0]), np.uint64)
+    with np.errstate(over="ignore"):
+        for i, c in enumerate(symbols[:k]):
+            total += values()[c] * np.uint64(pow(ta.STEP, 2 * i + 1, 1 << 64))
+        return ta.mixed(total + np.uint64(k + 64 * kind))
+
+
+def empty_key(kind: int) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return ta.mixed(np.array([64 * kind], np.uint64))
+
+
+def spread(starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of ranges, and the range each is from."""
+    of = np.repeat(np.arange(len(starts)), lengths)
+    return np.arange(len(of)) - np.repeat(np.cumsum(lengths) - lengths, lengths) + starts[of], of
+
+
+def layers(docs: list[tuple], order: int) -> Iterator[list[Layer]]:
+    """Per part of a block: words on their own, the insides of words in running text, and what spans their borders.
+
+    From the ``order - 1``-th character on, a word's characters are predicted from the word alone;
+    those before depend on the last symbols in front of the word too.
+    """
+    held: list[tuple[int, bytes]] = []
+    size = 0
+    for i, doc in enumerate(docs):
+        words = doc[1].split()
+        if words:
+            held.append((i, b"\n" + b" ".join(words) + b"\r"))
+            size += len(held[-1][1])
+        if held and (size >= PART_BYTES or i == len(docs) - 1):
+            yield _layers(b"".join(t for _, t in held), np.array([j for j, _ in held]), order)
+            held, size = [], 0
+
+
+def _layers(joined: bytes, numbers: np.ndarray, order: int) -> list[Layer]:
+    codes = np.frombuffer(joined.decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
+    # Zeros stand for missing symbols.
+    codes = np.where(codes == 0, np.uint32(0x0B), codes)
+    edges = np.flatnonzero((codes == GAP) | (codes == BEGIN) | (codes == END))
+    starts, stops = edges[codes[edges] != END] + 1, edges[codes[edges] != BEGIN]
+    opens = codes[starts - 1] == BEGIN
+    local = np.cumsum(opens) - 1
+    begins = (starts[opens] - 1)[local]
+    owners = numbers[local]
+    n = len(codes)
+    up, down = ta.powers(n + 1, ta.BASE), ta.powers(n + 1, ta.INVERSE)
+    step, last = np.uint64(ta.STEP), codes[stops] == END
+    with np.errstate(over="ignore"):
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(values()[codes] * up[:n], out=sums[1:])
+        # The symbol after a word is predicted too: a blank or the end.
+        word = ta.mixed((sums[stops + 1] - sums[starts]) * down[starts] + (stops - starts).astype(np.uint64) * step)
+        low, high = np.maximum(starts - order + 1, begins), np.minimum(starts + order - 2, stops + 1)
+        border = ta.mixed((sums[high] - sums[low]) * down[low] + ((high - low) * 64 + (starts - low)).astype(np.uint64) * step)
+    del sums, up, down
+    word_of, at, _ = distinct(word)
+    border_of, by, _ = distinct(border)
+    a, b = starts[at], stops[at]
+    alone, of_alone = spread(a, b - a + 1)
+    inside, of_inside = spread(a + order - 2, np.maximum(b - a - order + 3, 0))
+    across, of_across = spread(starts[by], high[by] - starts[by])
+    return [
+        Layer(WORDS, order, np.where(codes == BEGIN, GAP, codes), alone, alone - a[of_alone] + 2, of_alone, word_of, owners, len(at), alone == b[of_alone]),
+        Layer(TEXT, order, codes, inside, np.full(len(inside), order), of_inside, word_of, owners, len(at)),
+        Layer(TEXT, order, codes, across, across - begins[by][of_across] + 1, of_across, border_of, owners, len(by)),
+    ]
+
+
+COUNTED = "kind int, gram string, n long, low long, high long"
 
 
 def _counted(order: int):
-    """Counts of all n-grams in a block of trusted documents, with the least and greatest id that has them."""
-    schema = pa.schema([("kind", pa.int32()), ("k", pa.int32()), ("gram", pa.int64()), ("context", pa.int64()), ("suffix", pa.int64()),
-                        ("at_begin", pa.bool_()), ("n", pa.int64()), ("low", pa.int64()), ("high", pa.int64())])
-
-    def summed(key: np.ndarray, n: np.ndarray, low: np.ndarray, high: np.ndarray):
-        """Where each distinct key stands first; its count, least and greatest id."""
-        by = np.argsort(key)
-        new = np.ones(len(by), bool)
-        new[1:] = key[by[1:]] != key[by[:-1]]
-        at = np.flatnonzero(new)
-        return by[at], np.add.reduceat(n[by], at), np.minimum.reduceat(low[by], at), np.maximum.reduceat(high[by], at)
+    """Counts of the longest n-grams in a block of trusted documents, with the least and greatest id that has them."""
+    schema = pa.schema([("kind", pa.int32()), ("gram", pa.string()), ("n", pa.int64()), ("low", pa.int64()), ("high", pa.int64())])
 
     def run(table: pa.Table) -> pa.Table:
         docs = ns.block_texts(table)
         ids = np.array([d[0] for d in docs], np.int64)
-        found: dict[tuple, list] = {}
-        for kind, units, numbers, owners in _units(docs):
-            if not units:
-                continue
-            grams = Grams(units, order, kind)
-            _, n, low, high = summed(numbers, np.ones(len(numbers), np.int64), ids[owners], ids[owners])
-            _, n, low, high = summed(grams.number, n[grams.word], low[grams.word], high[grams.word])
-            for k in range(1, order + 1):
-                has = grams.reach[grams.first] >= k
-                at = grams.first[has]
-                if not len(at):
-                    continue
-                gram = grams.gram(k, at)
-                one, *sums = summed(gram, n[has], low[has], high[has])
-                at = at[one]
-                suffix = grams.gram(k - 1, at) if k > 1 else np.zeros(len(at), np.uint64)
-                found.setdefault((kind, k), []).append((gram[one], grams.context(k, at), suffix, grams.reach[at] == k, *sums))
-            del grams
+        found: list[list[tuple]] = [[], []]
+        for part in layers(docs, order):
+            for layer in part:
+                # Documents are in the order of their ids, so the first and last use tell the least and greatest.
+                n = np.bincount(layer.tokens, minlength=layer.units)
+                low, high = np.zeros(layer.units, np.int64), np.zeros(layer.units, np.int64)
+                low[layer.tokens[::-1]] = ids[layer.owners[::-1]]
+                high[layer.tokens] = ids[layer.owners]
+                found[layer.kind].append((layer.top, layer.codes, layer.reach, *by_number(layer.number, len(layer.top), n[layer.unit], low[layer.unit], high[layer.unit])))
         parts = []
-        for (kind, k), some in found.items():
-            gram, context, suffix, at_begin, n, low, high = [np.concatenate(c) for c in zip(*some, strict=True)]
-            one, *sums = summed(gram, n, low, high)
-            columns = [np.full(len(one), kind, np.int32), np.full(len(one), k, np.int32), gram[one], context[one], suffix[one], at_begin[one], *sums]
-            parts.append(pa.Table.from_arrays([pa.array(c.view(np.int64) if c.dtype == np.uint64 else c) for c in columns], schema=schema))
+        for kind, some in enumerate(found):
+            if not some:
+                continue
+            number, first, tops = distinct(np.concatenate([f[0] for f in some]))
+            symbols = np.column_stack([np.concatenate([f[1][i] for f in some])[first] for i in range(order)])
+            reach = np.concatenate([f[2] for f in some])[first]
+            n, low, high = by_number(number, len(tops), *[np.concatenate([f[i] for f in some]) for i in (3, 4, 5)])
+            # Symbols in reading order; what is missing goes behind and is no part of the string.
+            place = reach[:, None] - 1 - np.arange(order)[None, :]
+            text = np.ascontiguousarray(np.where(place >= 0, np.take_along_axis(symbols, np.maximum(place, 0), 1), 0).astype(np.uint32))
+            grams = text.view(f"<U{order}").ravel()
+            parts.append(pa.Table.from_arrays([pa.array(np.full(len(n), kind, np.int32)), pa.array(grams, pa.string()), *map(pa.array, (n, low, high))], schema=schema))
         return pa.concat_tables(parts) if parts else schema.empty_table()
 
     return run
 
 
+def by_number(number: np.ndarray, size: int, n: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sum of n, least low and greatest high per number."""
+    total = np.bincount(number, n, size).astype(np.int64)
+    least, most = np.full(size, np.iinfo(np.int64).max), np.full(size, np.iinfo(np.int64).min)
+    np.minimum.at(least, number, low)
+    np.maximum.at(most, number, high)
+    return total, least, most
+
+
 def model_table(counts: DataFrame, order: int, scratch: Scratch) -> DataFrame:
-    """(kind, key, value): discounted probabilities by n-gram and interpolation weights by context.
+    """(kind, gram, weight, value): discounted probabilities of n-grams and, if ``weight``, interpolation weights of contexts.
 
     ``counts`` has the columns of ``COUNTED``. Values of what one document alone has are negative (or -0).
     """
-    grams = scratch.put(
-        counts.groupBy("kind", "k", "gram").agg(
-            *[F.first(c).alias(c) for c in ("context", "suffix", "at_begin")], F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high")),
-        "grams",
-    )
-    left = grams.where("k > 1").groupBy("kind", (F.col("k") - 1).alias("k"), F.col("suffix").alias("gram")).agg(F.count(F.lit(1)).alias("neighbours"))
-    raw = (F.col("k") == order) | F.col("at_begin")
-    used = grams.join(left, ["kind", "k", "gram"], "left").withColumn("c", F.when(raw, F.col("n")).otherwise(F.coalesce("neighbours", F.col("n"))))
-    used = scratch.put(used.select("kind", "k", "context", F.col("gram").alias("key"), "c", "low", "high"), "used")
+    longest = scratch.put(counts.groupBy("kind", "gram").agg(F.sum("n").alias("c"), F.min("low").alias("low"), F.max("high").alias("high")), "grams")
+    # n-grams of full length and those from a begin mark have their counts, all others the number of left neighbours.
+    levels = [longest.where(F.length("gram") == order)]
+    for k in range(order - 1, 0, -1):
+        shorter = levels[-1].groupBy("kind", F.expr("substring(gram, 2)").alias("gram")).agg(
+            F.count(F.lit(1)).alias("c"), F.min("low").alias("low"), F.max("high").alias("high"))
+        levels.append(scratch.put(longest.where(F.length("gram") == k).unionByName(shorter), f"grams{k}"))
+    used = levels[0]
+    for level in levels[1:]:
+        used = used.unionByName(level)
+    used = used.withColumn("k", F.length("gram"))
     times = used.groupBy("kind", "k").agg(*[F.count(F.when(F.col("c") == i, 1)).alias(f"t{i}") for i in (1, 2, 3, 4)])
     y = F.col("t1") / F.greatest(F.col("t1") + 2 * F.col("t2"), F.lit(1))
     discount = lambda i: F.greatest(F.lit(0.0), F.least(F.lit(float(i)), F.when(F.col(f"t{i}") > 0, i - (i + 1) * y * F.col(f"t{i + 1}") / F.col(f"t{i}")).otherwise(F.lit(0.5 * i))))
-    discounts = times.select("kind", "k", *[discount(i).alias(f"d{i}") for i in (1, 2, 3)])
+    # One row per kind and order.
+    discounts = F.broadcast(scratch.put(times.select("kind", "k", *[discount(i).alias(f"d{i}") for i in (1, 2, 3)]), "discounts"))
     d = F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3"))
-    discounted = used.join(discounts, ["kind", "k"]).withColumn("d", d)
-    marked = lambda value: F.when(F.col("low") == F.col("high"), -value).otherwise(value)
-    weights = discounted.groupBy("kind", "k", "context").agg(
-        F.sum("c").alias("total"), (F.sum("d") / F.sum("c")).alias("weight"), F.min("low").alias("low"), F.max("high").alias("high")
-    )
-    weights = scratch.put(weights, "weights")
-    values = discounted.join(weights.select("kind", "k", "context", "total"), ["kind", "k", "context"]).select(
-        "kind", "key", marked((F.col("c") - F.col("d")) / F.col("total")).alias("value")
-    )
-    return scratch.put(values.union(weights.select("kind", F.col("context").bitwiseXOR(F.lit(WEIGHT)), marked(F.col("weight")))), "model")
+    context = F.expr("substring(gram, 1, k - 1)")
+    discounted = used.join(discounts, ["kind", "k"]).select("kind", "gram", context.alias("context"), "c", "low", "high", d.alias("d"))
+    marked = lambda value: F.when(F.col("low") == F.col("high"), -value).otherwise(value).cast("float")
+    weights = scratch.put(discounted.groupBy("kind", "context").agg(
+        F.sum("c").alias("total"), (F.sum("d") / F.sum("c")).alias("weight"), F.min("low").alias("low"), F.max("high").alias("high")), "weights")
+    probabilities = discounted.join(weights.select("kind", "context", "total"), ["kind", "context"]).select(
+        "kind", "gram", F.lit(False).alias("weight"), marked((F.col("c") - F.col("d")) / F.col("total")).alias("value"))
+    model = scratch.put(probabilities.union(weights.select("kind", "context", F.lit(True), marked(F.col("weight")))), "model")
+    scratch.drop(longest, *levels[1:], weights)
+    return model
+
+
+def _keyed(shards: int):
+    """Model rows with their shard and the rest of their key."""
+    schema = pa.schema([("shard", pa.int32()), ("low", pa.int64()), ("weight", pa.bool_()), ("value", pa.float32())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            grams = batch.column("gram").to_pylist()
+            kinds = batch.column("kind").to_numpy()
+            lengths = np.fromiter(map(len, grams), np.int64, len(grams))
+            codes = np.frombuffer("".join(grams).encode("utf-32-le"), np.uint32)
+            ends = np.cumsum(lengths)
+            hashes = np.zeros(len(grams), np.uint64)
+            for kind in (WORDS, TEXT):
+                for k in np.unique(lengths).tolist():
+                    has = (kinds == kind) & (lengths == k)
+                    hashes[has] = key([codes[ends[has] - 1 - i] for i in range(k)], k, kind) if k else empty_key(kind)
+            keys = ns.shard_keys(hashes, shards)
+            yield pa.RecordBatch.from_arrays([
+                pa.array((keys >> np.uint64(40)).astype(np.int32)), pa.array((keys & np.uint64(ns.LOW)).astype(np.int64)),
+                batch.column("weight"), batch.column("value")], schema=schema)
+
+    return run
 
 
 def perplexities(docs: DataFrame, labels: DataFrame, order: int, scratch: Scratch, id_column: str, text_column: str, lang_column: str,
@@ -243,63 +305,62 @@ def perplexities(docs: DataFrame, labels: DataFrame, order: int, scratch: Scratc
     result_schema = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), ("trusted", pa.int32()),
                                *[(f"{part}_{c}", t) for part in PARTS for c, t in (("n_chars", pa.int64()), ("log_probability", pa.float64()), ("held_out", pa.float64()))]])
 
-    def wanted_keys(docs: list[tuple]) -> np.ndarray:
-        keys = np.zeros(0, np.uint64)
-        for kind, units, _, _ in _units(docs):
-            if units:
-                wanted = Grams(units, order, kind).wanted()
-                keys = np.unique(np.concatenate([keys, ns.shard_keys(np.concatenate([a for w in wanted for a in w[2:]]), shards)]))
-        return keys
+    def block_keys(wanted: list) -> np.ndarray:
+        return np.unique(ns.shard_keys(np.concatenate([empty_key(WORDS), empty_key(TEXT), *[a for w in wanted for a in w[1:]]]), shards))
 
     def ask(table: pa.Table) -> pa.Table:
         block = table.column("block")[0].as_py()
-        keys = wanted_keys(ns.block_texts(table))
-        out = ns.requests(block, keys, np.zeros(len(keys), np.uint32), shards)
-        return ns.table_of(out or [{"shard": 0, "block": block, "keys": b"", "counts": b""}], request_schema)
+        found = [block_keys([w for layer in part for w in layer.wanted()]) for part in layers(ns.block_texts(table), order)]
+        keys = np.unique(np.concatenate([block_keys([]), *found]))
+        return ns.table_of(ns.requests(block, keys, np.zeros(len(keys), np.uint32), shards), request_schema)
 
     def answer(asked: pa.Table, table: pa.Table) -> pa.Table:
         if not asked.num_rows:
             return reply_schema.empty_table()
         shard = asked.column("shard")[0].as_py()
-        low = table.column("low").to_numpy().astype(np.uint64)
-        by_key = np.argsort(low)
-        low, values = low[by_key], table.column("value").to_numpy()[by_key]
+        low, is_weight, value = [table.column(c).to_numpy() for c in ("low", "weight", "value")]
+        known = []
+        for wants in (False, True):
+            some = np.flatnonzero(is_weight == wants)
+            some = some[np.argsort(low[some])]
+            known.append((low[some].astype(np.uint64), value[some]))
         out = []
         for block, payload in zip(asked.column("block").to_pylist(), asked.column("keys").to_pylist(), strict=True):
             keys = ns.request_keys(payload)
-            found = np.full(len(keys), np.nan)
-            if len(low):
-                at = np.minimum(np.searchsorted(low, keys), len(low) - 1)
-                found = np.where(low[at] == keys, values[at], np.nan)
-            out.append({"block": block, "shard": shard, "found": ns.reply(found.astype(np.float32))})
+            found = np.full((len(keys), 2), np.nan, np.float32)
+            for i, (lows, vs) in enumerate(known):
+                if len(lows):
+                    at = np.minimum(np.searchsorted(lows, keys), len(lows) - 1)
+                    found[:, i] = np.where(lows[at] == keys, vs[at], np.float32(np.nan))
+            out.append({"block": block, "shard": shard, "found": ns.reply(found)})
         return ns.table_of(out, reply_schema)
 
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
             return result_schema.empty_table()
         docs = ns.block_texts(left)
-        keys = wanted_keys(docs)
-        found = ns.replies(right, np.float32).astype(float)
         chars = np.zeros((2, len(docs)), np.int64)
         logs = np.zeros((2, 2, len(docs)))
-        for kind, units, numbers, owners in _units(docs):
-            if not units:
-                continue
-            grams = Grams(units, order, kind)
-            plain = np.full(len(grams.first), uniform[kind])
+        read = [(layer, layer.wanted()) for part in layers(docs, order) for layer in part]
+        keys = block_keys([w for _, wanted in read for w in wanted])
+        found = ns.replies(right, np.float32).reshape(-1, 2)
+        for layer, wanted in read:
+            plain = np.full(len(layer.top), uniform[layer.kind])
             alone = plain.copy()
-            for _, has, value, weight in grams.wanted():
-                v = found[np.searchsorted(keys, ns.shard_keys(value, shards))]
-                w = found[np.searchsorted(keys, ns.shard_keys(weight, shards))]
+            for has, gram, context in wanted:
+                if not has.any():
+                    continue
+                v = found[np.searchsorted(keys, ns.shard_keys(gram, shards)), 0].astype(float)
+                w = found[np.searchsorted(keys, ns.shard_keys(context, shards)), 1].astype(float)
                 # A context never seen leaves the shorter one's probability as it is.
                 plain[has] = np.where(np.isnan(w), plain[has], np.abs(np.nan_to_num(v)) + np.abs(np.nan_to_num(w)) * plain[has])
                 others = np.where(np.signbit(v), 0.0, np.nan_to_num(v)) + np.nan_to_num(w) * alone[has]
                 alone[has] = np.where(np.isnan(w) | np.signbit(w), alone[has], others)
-            chars[kind] += np.bincount(owners, grams.lengths[numbers], len(docs)).astype(np.int64)
+            per_unit = np.bincount(layer.unit, minlength=layer.units)
+            chars[layer.kind] += np.bincount(layer.owners, per_unit[layer.tokens], len(docs)).astype(np.int64)
             for i, probability in enumerate((plain, alone)):
-                per_unit = np.bincount(grams.word, np.log(np.maximum(probability, 1e-300))[grams.number], len(units))
-                logs[kind, i] += np.bincount(owners, per_unit[numbers], len(docs))
-            del grams
+                per_unit = np.bincount(layer.unit, np.log(np.maximum(probability, 1e-300))[layer.number], layer.units)
+                logs[layer.kind, i] += np.bincount(layer.owners, per_unit[layer.tokens], len(docs))
         trusted = np.array([d[2] for d in docs]) == 1
         return pa.Table.from_arrays([
             pa.array([d[0] for d in docs], pa.int64()), pa.array([d[3] for d in docs], pa.string()), pa.array([d[2] for d in docs], pa.int32()),
@@ -307,8 +368,7 @@ def perplexities(docs: DataFrame, labels: DataFrame, order: int, scratch: Scratc
         ], schema=result_schema)
 
     asked = packed.groupBy("block").applyInArrow(ask, ns.REQUEST)
-    placed = model.select(F.expr(f"cast(pmod(shiftrightunsigned(key, 40), {shards}) as int)").alias("shard"),
-                          F.col("key").bitwiseAND(F.lit(ns.LOW)).alias("low"), "value")
+    placed = model.mapInArrow(_keyed(shards), "shard int, low long, weight boolean, value float")
     answered = asked.groupBy("shard").cogroup(placed.groupBy("shard")).applyInArrow(answer, ns.REPLY)
     scored = packed.groupBy("block").cogroup(answered.groupBy("block")).applyInArrow(
         finish, "doc_id long, lang string, trusted int, " + ", ".join(f"{p}_n_chars long, {p}_log_probability double, {p}_held_out double" for p in PARTS)
@@ -324,9 +384,10 @@ def quality(docs: DataFrame, labels: DataFrame, order: int = ORDER, quantile: fl
     of = lambda part, logs: F.when(F.col(f"{part}_n_chars") > 0, F.exp(-F.col(f"{part}_{logs}") / F.col(f"{part}_n_chars")))
     trusted = scored.where("trusted = 1 and word_n_chars > 0")
     at = [F.percentile_approx(of(p, "held_out"), F.lit(quantile), F.lit(10_000)).alias(f"{p}_limit") for p in PARTS]
-    by_lang = trusted.groupBy("lang").agg(*at, F.count(F.lit(1)).alias("n")).where(F.col("n") >= FEW)
+    by_lang = trusted.groupBy("lang").agg(*at, F.count(F.lit(1)).alias("n"))
     overall = trusted.agg(*at).first()
-    limits = scratch.put(by_lang.select(F.col("lang").alias("l"), *[f"{p}_limit" for p in PARTS]), "limits")
+    shrunk = [((F.col("n") * F.col(f"{p}_limit") + PRIOR * F.lit(overall[f"{p}_limit"])) / (F.col("n") + PRIOR)).alias(f"{p}_limit") for p in PARTS]
+    limits = scratch.put(by_lang.select(F.col("lang").alias("l"), *shrunk), "limits")
     joined = scored.join(limits, F.col("lang").eqNullSafe(F.col("l")), "left")
     for part in PARTS:
         joined = joined.withColumn(f"{part}_perplexity", of(part, "log_probability")).withColumn(
