@@ -30,7 +30,7 @@ trusted if one says so. Rows that repeat an id are scored each.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -65,7 +65,9 @@ class Layer:
 
     def __init__(self, kind: int, order: int, codes: np.ndarray, at: np.ndarray, reach: np.ndarray, unit: np.ndarray,
                  tokens: np.ndarray, owners: np.ndarray, units: int, ends: np.ndarray | None = None):
-        self.kind, self.order, self.unit, self.tokens, self.owners, self.units = kind, order, unit, tokens, owners, units
+        self.kind, self.order, self.units = kind, order, units
+        # A part has far fewer than 2**31 of anything, and a block's layers are held at a time.
+        self.unit, self.tokens, self.owners = unit.astype(np.int32), tokens.astype(np.int32), owners.astype(np.int32)
         reach = np.minimum(reach, order)
         symbols = [codes[np.maximum(at - i, 0)] for i in range(order)]
         if ends is not None:
@@ -75,9 +77,10 @@ class Layer:
                 symbols[i] = np.where((codes[np.maximum(at - i, 0)] == GAP) & (reach == i + 1), BEGIN, symbols[i])
         for i in range(order):
             symbols[i] = np.where(reach > i, symbols[i], 0)
-        self.number, first, self.top = distinct(key(symbols, order, kind))
+        number, first, self.top = distinct(key(symbols, order, kind))
+        self.number = number.astype(np.int32)
         self.codes = [c[first] for c in symbols]
-        self.reach = reach[first]
+        self.reach = reach[first].astype(np.int8)
 
     def wanted(self) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Per order: which distinct n-grams have it, their keys and those of their contexts."""
@@ -207,7 +210,7 @@ def _counted(order: int):
             reach = np.concatenate([f[2] for f in some])[first]
             n, low, high = by_number(number, len(tops), *[np.concatenate([f[i] for f in some]) for i in (3, 4, 5)])
             # Symbols in reading order; what is missing goes behind and is no part of the string.
-            place = reach[:, None] - 1 - np.arange(order)[None, :]
+            place = reach[:, None].astype(np.int64) - 1 - np.arange(order)[None, :]
             text = np.ascontiguousarray(np.where(place >= 0, np.take_along_axis(symbols, np.maximum(place, 0), 1), 0).astype(np.uint32))
             grams = text.view(f"<U{order}").ravel()
             parts.append(pa.Table.from_arrays([pa.array(np.full(len(n), kind, np.int32)), pa.array(grams, pa.string()), *map(pa.array, (n, low, high))], schema=schema))
@@ -305,13 +308,17 @@ def perplexities(docs: DataFrame, labels: DataFrame, order: int, scratch: Scratc
     result_schema = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), ("trusted", pa.int32()),
                                *[(f"{part}_{c}", t) for part in PARTS for c, t in (("n_chars", pa.int64()), ("log_probability", pa.float64()), ("held_out", pa.float64()))]])
 
-    def block_keys(wanted: list) -> np.ndarray:
-        return np.unique(ns.shard_keys(np.concatenate([empty_key(WORDS), empty_key(TEXT), *[a for w in wanted for a in w[1:]]]), shards))
+    def block_keys(parts: Iterable[list[Layer]]) -> np.ndarray:
+        """Sorted keys of all n-grams and contexts in a block, those of the empty context always among them."""
+        found = [ns.shard_keys(np.concatenate([empty_key(WORDS), empty_key(TEXT)]), shards)]
+        for part in parts:
+            hashes = [pd.unique(np.concatenate([a for w in layer.wanted() for a in w[1:]])) for layer in part]
+            found.append(np.unique(ns.shard_keys(np.concatenate(hashes), shards)))
+        return np.unique(np.concatenate(found))
 
     def ask(table: pa.Table) -> pa.Table:
         block = table.column("block")[0].as_py()
-        found = [block_keys([w for layer in part for w in layer.wanted()]) for part in layers(ns.block_texts(table), order)]
-        keys = np.unique(np.concatenate([block_keys([]), *found]))
+        keys = block_keys(layers(ns.block_texts(table), order))
         return ns.table_of(ns.requests(block, keys, np.zeros(len(keys), np.uint32), shards), request_schema)
 
     def answer(asked: pa.Table, table: pa.Table) -> pa.Table:
@@ -341,13 +348,13 @@ def perplexities(docs: DataFrame, labels: DataFrame, order: int, scratch: Scratc
         docs = ns.block_texts(left)
         chars = np.zeros((2, len(docs)), np.int64)
         logs = np.zeros((2, 2, len(docs)))
-        read = [(layer, layer.wanted()) for part in layers(docs, order) for layer in part]
-        keys = block_keys([w for _, wanted in read for w in wanted])
+        parts = list(layers(docs, order))
+        keys = block_keys(parts)
         found = ns.replies(right, np.float32).reshape(-1, 2)
-        for layer, wanted in read:
+        for layer in (layer for part in parts for layer in part):
             plain = np.full(len(layer.top), uniform[layer.kind])
             alone = plain.copy()
-            for has, gram, context in wanted:
+            for has, gram, context in layer.wanted():
                 if not has.any():
                     continue
                 v = found[np.searchsorted(keys, ns.shard_keys(gram, shards)), 0].astype(float)
