@@ -12,7 +12,7 @@ other trusted document has count as unseen. A language's limit is the mean of it
 quantile and the one over all trusted documents, weighted by its number of trusted
 documents and by ``PRIOR``; the overall one alone holds where it has none.
 
-The longest n-grams are counted per block of documents and summed as strings; grouped
+The longest n-grams are counted some documents at a time and summed as strings; grouped
 counts by suffix and by prefix give the shorter ones, their distinct left neighbours,
 probabilities and interpolation weights. Orders below the highest count left
 neighbours, except at the begin mark. Blocks ask the shards of that table for their
@@ -20,7 +20,7 @@ distinct n-grams (see ``ngramshards``), so neither the table nor the counts must
 one place. Here n-grams are told apart by 40 bits of a hash within their shard.
 Most characters of running text depend on their own word alone, the first ones also on
 the end of what stands before; each such word and border is worked out once per part
-of a block (see ``Layer``).
+of a block (see ``Layer``), each distinct n-gram once per block.
 
 A document without words (null or empty text) has no perplexity and is kept, as is
 everything if no document is trusted. The null language is one of its own. Labels
@@ -49,9 +49,9 @@ QUANTILE, PRIOR = 0.995, 20
 BEGIN, END, GAP = 0x0A, 0x0D, 0x20
 WORDS, TEXT = 0, 1
 PARTS = ("word", "text")
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 10 << 20
 # Blocks are read in parts of about this size.
-PART_BYTES = 2 << 20
+PART_BYTES = 4 << 20
 
 
 class Layer:
@@ -74,7 +74,7 @@ class Layer:
             # Inside words both neighbouring blanks are marks.
             symbols[0] = np.where(ends, END, symbols[0])
             for i in range(1, order):
-                symbols[i] = np.where((codes[np.maximum(at - i, 0)] == GAP) & (reach == i + 1), BEGIN, symbols[i])
+                symbols[i] = np.where((symbols[i] == GAP) & (reach == i + 1), BEGIN, symbols[i])
         for i in range(order):
             symbols[i] = np.where(reach > i, symbols[i], 0)
         number, first, self.top = distinct(key(symbols, order, kind))
@@ -82,8 +82,19 @@ class Layer:
         self.codes = [c[first] for c in symbols]
         self.reach = reach[first].astype(np.int8)
 
+
+class Grams:
+    """The distinct longest n-grams of one model in several layers; ``number`` has for each layer where its own are."""
+
+    def __init__(self, some: list[Layer]):
+        self.kind, self.order = some[0].kind, some[0].order
+        number, first, self.top = distinct(np.concatenate([layer.top for layer in some]))
+        self.number = np.split(number, np.cumsum([len(layer.top) for layer in some])[:-1])
+        self.codes = [np.concatenate([layer.codes[i] for layer in some])[first] for i in range(self.order)]
+        self.reach = np.concatenate([layer.reach for layer in some])[first]
+
     def wanted(self) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """Per order: which distinct n-grams have it, their keys and those of their contexts."""
+        """Per order: which n-grams have it, their keys and those of their contexts."""
         out = []
         for k in range(1, self.order + 1):
             has = self.reach >= k
@@ -92,6 +103,13 @@ class Layer:
         return out
 
 
+def by_model(docs: list[tuple], order: int) -> list[tuple[list[Layer], Grams]]:
+    """The layers of each model in some documents, with their n-grams."""
+    parts = list(layers(docs, order))
+    some = [[layer for part in parts for layer in part if layer.kind == kind] for kind in (WORDS, TEXT)]
+    return [(found, Grams(found)) for found in some if found]
+
+
 def distinct(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Number of each element among the distinct ones, where each of these stands first, and their values."""
     number, values = pd.factorize(hashes)
@@ -185,36 +203,41 @@ def _layers(joined: bytes, numbers: np.ndarray, order: int) -> list[Layer]:
 COUNTED = "kind int, gram string, n long, low long, high long"
 
 
-def _counted(order: int):
-    """Counts of the longest n-grams in a block of trusted documents, with the least and greatest id that has them."""
+def _counted(order: int, most: int):
+    """Counts of the longest n-grams of trusted documents, about ``most`` bytes of text at a time, with the least and greatest id that has them."""
     schema = pa.schema([("kind", pa.int32()), ("gram", pa.string()), ("n", pa.int64()), ("low", pa.int64()), ("high", pa.int64())])
 
-    def run(table: pa.Table) -> pa.Table:
-        docs = ns.block_texts(table)
+    def counted(docs: list[tuple]) -> Iterator[pa.RecordBatch]:
+        docs.sort(key=lambda d: d[0])
         ids = np.array([d[0] for d in docs], np.int64)
-        found: list[list[tuple]] = [[], []]
-        for part in layers(docs, order):
-            for layer in part:
+        for some, grams in by_model(docs, order):
+            uses = []
+            for layer, number in zip(some, grams.number, strict=True):
                 # Documents are in the order of their ids, so the first and last use tell the least and greatest.
                 n = np.bincount(layer.tokens, minlength=layer.units)
                 low, high = np.zeros(layer.units, np.int64), np.zeros(layer.units, np.int64)
                 low[layer.tokens[::-1]] = ids[layer.owners[::-1]]
                 high[layer.tokens] = ids[layer.owners]
-                found[layer.kind].append((layer.top, layer.codes, layer.reach, *by_number(layer.number, len(layer.top), n[layer.unit], low[layer.unit], high[layer.unit])))
-        parts = []
-        for kind, some in enumerate(found):
-            if not some:
-                continue
-            number, first, tops = distinct(np.concatenate([f[0] for f in some]))
-            symbols = np.column_stack([np.concatenate([f[1][i] for f in some])[first] for i in range(order)])
-            reach = np.concatenate([f[2] for f in some])[first]
-            n, low, high = by_number(number, len(tops), *[np.concatenate([f[i] for f in some]) for i in (3, 4, 5)])
+                uses.append((number, *by_number(layer.number, len(number), n[layer.unit], low[layer.unit], high[layer.unit])))
+            n, low, high = by_number(np.concatenate([u[0] for u in uses]), len(grams.top), *[np.concatenate([u[i] for u in uses]) for i in (1, 2, 3)])
             # Symbols in reading order; what is missing goes behind and is no part of the string.
-            place = reach[:, None].astype(np.int64) - 1 - np.arange(order)[None, :]
-            text = np.ascontiguousarray(np.where(place >= 0, np.take_along_axis(symbols, np.maximum(place, 0), 1), 0).astype(np.uint32))
-            grams = text.view(f"<U{order}").ravel()
-            parts.append(pa.Table.from_arrays([pa.array(np.full(len(n), kind, np.int32)), pa.array(grams, pa.string()), *map(pa.array, (n, low, high))], schema=schema))
-        return pa.concat_tables(parts) if parts else schema.empty_table()
+            place = grams.reach[:, None].astype(np.int64) - 1 - np.arange(order)[None, :]
+            text = np.where(place >= 0, np.take_along_axis(np.column_stack(grams.codes), np.maximum(place, 0), 1), 0)
+            strings = np.ascontiguousarray(text.astype(np.uint32)).view(f"<U{order}").ravel()
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(n), grams.kind, np.int32)), pa.array(strings, pa.string()), *map(pa.array, (n, low, high))], schema=schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        size = 0
+        for batch in batches:
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                held.append((doc_id, text or b""))
+                size += len(held[-1][1])
+                if size >= most:
+                    yield from counted(held)
+                    held, size = [], 0
+        if held:
+            yield from counted(held)
 
     return run
 
@@ -298,9 +321,8 @@ def perplexities(docs: DataFrame, labels: DataFrame, order: int, scratch: Scratc
                         F.col(lang_column).cast("string").alias("lang"))
     rows = join_checked(texts, good, "doc_id", "left").withColumn("flag", F.coalesce("flag", F.lit(0)))
     packed = ns.packed_blocks(rows, blocks)
-    good_rows = rows.where("flag = 1")
-    trusted = ns.packed_blocks(good_rows, ns.block_count(good_rows, "text", 2 * block_bytes))
-    model = model_table(trusted.groupBy("block").applyInArrow(_counted(order), COUNTED), order, scratch)
+    counts = rows.where("flag = 1").select("doc_id", "text").mapInArrow(_counted(order, block_bytes), COUNTED)
+    model = model_table(counts, order, scratch)
     sizes = dict(model.groupBy("kind").count().collect())
     uniform = [1.0 / max(1, sizes.get(kind, 0)) for kind in (WORDS, TEXT)]
     request_schema = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
@@ -308,17 +330,14 @@ def perplexities(docs: DataFrame, labels: DataFrame, order: int, scratch: Scratc
     result_schema = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), ("trusted", pa.int32()),
                                *[(f"{part}_{c}", t) for part in PARTS for c, t in (("n_chars", pa.int64()), ("log_probability", pa.float64()), ("held_out", pa.float64()))]])
 
-    def block_keys(parts: Iterable[list[Layer]]) -> np.ndarray:
+    def block_keys(wanted: Iterable) -> np.ndarray:
         """Sorted keys of all n-grams and contexts in a block, those of the empty context always among them."""
-        found = [ns.shard_keys(np.concatenate([empty_key(WORDS), empty_key(TEXT)]), shards)]
-        for part in parts:
-            hashes = [pd.unique(np.concatenate([a for w in layer.wanted() for a in w[1:]])) for layer in part]
-            found.append(np.unique(ns.shard_keys(np.concatenate(hashes), shards)))
-        return np.unique(np.concatenate(found))
+        hashes = [empty_key(WORDS), empty_key(TEXT), *[pd.unique(np.concatenate(w[1:])) for w in wanted]]
+        return np.unique(ns.shard_keys(np.concatenate(hashes), shards))
 
     def ask(table: pa.Table) -> pa.Table:
         block = table.column("block")[0].as_py()
-        keys = block_keys(layers(ns.block_texts(table), order))
+        keys = block_keys(w for _, grams in by_model(ns.block_texts(table), order) for w in grams.wanted())
         return ns.table_of(ns.requests(block, keys, np.zeros(len(keys), np.uint32), shards), request_schema)
 
     def answer(asked: pa.Table, table: pa.Table) -> pa.Table:
@@ -348,26 +367,27 @@ def perplexities(docs: DataFrame, labels: DataFrame, order: int, scratch: Scratc
         docs = ns.block_texts(left)
         chars = np.zeros((2, len(docs)), np.int64)
         logs = np.zeros((2, 2, len(docs)))
-        parts = list(layers(docs, order))
-        keys = block_keys(parts)
+        read = [(some, grams, grams.wanted()) for some, grams in by_model(docs, order)]
+        keys = block_keys(w for _, _, wanted in read for w in wanted)
         found = ns.replies(right, np.float32).reshape(-1, 2)
-        for layer in (layer for part in parts for layer in part):
-            plain = np.full(len(layer.top), uniform[layer.kind])
+        for some, grams, wanted in read:
+            kind = grams.kind
+            plain = np.full(len(grams.top), uniform[kind])
             alone = plain.copy()
-            for has, gram, context in layer.wanted():
-                if not has.any():
-                    continue
+            for has, gram, context in wanted:
                 v = found[np.searchsorted(keys, ns.shard_keys(gram, shards)), 0].astype(float)
                 w = found[np.searchsorted(keys, ns.shard_keys(context, shards)), 1].astype(float)
                 # A context never seen leaves the shorter one's probability as it is.
                 plain[has] = np.where(np.isnan(w), plain[has], np.abs(np.nan_to_num(v)) + np.abs(np.nan_to_num(w)) * plain[has])
                 others = np.where(np.signbit(v), 0.0, np.nan_to_num(v)) + np.nan_to_num(w) * alone[has]
                 alone[has] = np.where(np.isnan(w) | np.signbit(w), alone[has], others)
-            per_unit = np.bincount(layer.unit, minlength=layer.units)
-            chars[layer.kind] += np.bincount(layer.owners, per_unit[layer.tokens], len(docs)).astype(np.int64)
-            for i, probability in enumerate((plain, alone)):
-                per_unit = np.bincount(layer.unit, np.log(np.maximum(probability, 1e-300))[layer.number], layer.units)
-                logs[layer.kind, i] += np.bincount(layer.owners, per_unit[layer.tokens], len(docs))
+            plain, alone = np.log(np.maximum(plain, 1e-300)), np.log(np.maximum(alone, 1e-300))
+            for layer, number in zip(some, grams.number, strict=True):
+                per_unit = np.bincount(layer.unit, minlength=layer.units)
+                chars[kind] += np.bincount(layer.owners, per_unit[layer.tokens], len(docs)).astype(np.int64)
+                for i, logarithm in enumerate((plain, alone)):
+                    per_unit = np.bincount(layer.unit, logarithm[number][layer.number], layer.units)
+                    logs[kind, i] += np.bincount(layer.owners, per_unit[layer.tokens], len(docs))
         trusted = np.array([d[2] for d in docs]) == 1
         return pa.Table.from_arrays([
             pa.array([d[0] for d in docs], pa.int64()), pa.array([d[3] for d in docs], pa.string()), pa.array([d[2] for d in docs], pa.int32()),
