@@ -117,6 +117,8 @@ def connected_components(edges: DataFrame, scratch: Scratch, rounds: int = 50) -
         if seen == last:
             break
         last = seen
+    else:
+        raise RuntimeError(f"components have not settled after {rounds} rounds; allow more")
     if not last[0]:
         return spark.createDataFrame([], "v long, component long")
     roots = now.select(F.col("p").alias("v"), F.col("p").alias("component")).distinct()
