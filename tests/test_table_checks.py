@@ -63,3 +63,16 @@ def test_matches_sql_without_broadcasts(spark, duck, name):
         test_matches_sql(spark, duck, name)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
+
+
+def test_classify_many_matches_sql_on_every_number_and_status(spark, tmp_path):
+    """Order 0 with items added, and orders without a status, which the given tables lack."""
+    con = duckdb.connect()
+    con.execute(f"""COPY (SELECT k AS o_orderkey, k AS o_custkey, s AS o_orderstatus, 1.0 AS o_totalprice, TIMESTAMP '1996-01-01' AS o_orderdate, p AS o_orderpriority
+        FROM (VALUES (0), (7), (10), (4999), (5000), (49990), (123456789)) k(k), (VALUES (''), ('F'), ('O'), ('P'), ('PP')) s(s), (VALUES ('2-HIGH'), ('4-NOT SPECIFIED')) p(p))
+        TO '{tmp_path}/orders.parquet' (FORMAT parquet)""")
+    con.execute(f"CREATE VIEW orders AS SELECT * FROM read_parquet('{tmp_path}/orders.parquet')")
+    result = table_checks.QUERIES["q_classify_many"](spark, str(tmp_path))
+    expected = con.execute(driver.oracle_sql()["q_classify_many"])
+    columns = [d[0] for d in expected.description]
+    assert rows_by_name(result.columns, result.collect()) == rows_by_name(columns, expected.fetchall())

@@ -912,10 +912,10 @@ SELECT o_orderkey, CASE WHEN description = 'Add List' THEN 'Add' WHEN regexp_ful
 def q_classify_many(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five thousand rules, of which the one with the longest beginning comes first."""
     kinds = ["Edit", "Create", "Delete"]
-    own = [{"priority": str(5000 - k), "pattern": f"^{k}\\d* Item\\(s\\) Added$", "object_type": "Module/List", "change_type": kinds[k % 3]} for k in range(1, 5000)]
+    own = [{"priority": str(5000 - k), "pattern": f"^{k}\\d* Item\\(s\\) Added$", "object_type": "Module/List", "change_type": kinds[k % 3]} for k in range(5000)]
     own += [{"priority": "1", "pattern": "Add List", "object_type": "User", "change_type": "Add"},
             {"priority": "2", "pattern": "Gap [FO] .*", "object_type": "Export", "change_type": "Create"},
-            {"priority": "3", "pattern": "Gap P? .*", "object_type": "User", "change_type": "Edit"}]
+            {"priority": "3", "pattern": "Gap P{1} .*", "object_type": "User", "change_type": "Edit"}]
     rows = rules.with_classification(change_orders(spark, sf_dir).select("o_orderkey", "description"), rules=rules.build_rules(own))
     return rows.select("o_orderkey", "change_type", "object_type")
 
