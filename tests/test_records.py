@@ -2,11 +2,13 @@
 
 import csv
 import io
+import itertools
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.sources import records
 from tidemark.sources.exports import read_exports
 from tidemark.sources.records import numbered_records, staged_lines
 
@@ -83,3 +85,28 @@ def test_a_quote_that_stays_open_fails(spark, tmp_path):
     land(tmp_path, "m1", 'date_time_utc,user,description\nd,u,"never closed\nd,u,x\n')
     with pytest.raises(Exception, match="a quote is never closed in .*model_id=m1"):
         read_exports(spark, str(tmp_path), "T").collect()
+
+
+def test_patterns_read_quotes_as_the_states_do(spark):
+    """Every short line, and long ones that patterns are not tried on."""
+    lines = ["".join(p) for n in range(7) for p in itertools.product('",\tx', repeat=n)]
+    lines += ['"' + 'a""' * 20000, "x," * 20000 + '"', '"' + "b" * (records.PATTERN_CHARS - 1)]
+    df = spark.createDataFrame([(x,) for x in lines], "value string").repartition(8)
+    bits = {f"{'c' if sep == ',' else 't'}{inside:d}": records._ends_inside(F.col("value"), sep, inside) for sep in ",\t" for inside in (False, True)}
+    read = sum((F.shiftleft(bit, k) for k, bit in enumerate(bits.values())), F.lit(0))
+    wrong = df.where(records._turn(F.col("value")) != F.when(F.contains("value", F.lit('"')), read).otherwise(records.NO_QUOTES))
+    assert wrong.collect() == []
+
+
+def test_lines_carry_no_file_name_through_the_passes(spark, tmp_path):
+    """The long name of its file was a large part of what a task sorts a line with."""
+    land(tmp_path, "m1", 'date_time_utc,user,description\nd,u,"a\nb"\n')
+    rows, plain, _ = found(spark, tmp_path)
+    assert not plain and "_file" not in rows[0].asDict()
+
+
+def test_shuffles_begin_with_many_partitions(spark):
+    """Of a fixed number each would grow with the input; small ones are put together."""
+    assert int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum")) >= 1000
+    small = spark.range(100).groupBy((F.col("id") % 7).alias("k")).count()
+    assert small.rdd.getNumPartitions() <= 8

@@ -22,6 +22,12 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Many small shuffle partitions, put together to a size that does not grow with the
+    # input: a fixed number of them would give a task ever more rows to sort.
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "1000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
+    # A task that shuffles or groups what it reads holds a part of it.
+    "spark.sql.files.maxPartitionBytes": "32m",
     "spark.sql.caseSensitive": "false",
 }
 

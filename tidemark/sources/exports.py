@@ -66,10 +66,10 @@ def resolve_header(headers: list[str]) -> dict[str, int]:
 def _layouts(spark: SparkSession, headers: DataFrame) -> tuple[DataFrame, int]:
     """Per file its delimiter and column positions, and the widest header.
 
-    ``headers``: _file, the header record and the file's first line, which tells
-    the delimiter.
+    ``headers``: the file's number, the header record and its first line, which
+    tells the delimiter.
     """
-    file_headers = headers.select("_file", "header", F.contains("_head", F.lit("\t")).alias("_tabbed"))
+    file_headers = headers.select("_no", "header", F.contains("_head", F.lit("\t")).alias("_tabbed"))
     layouts, width = [], 1
     for row in file_headers.select("header", "_tabbed").distinct().collect():
         names = next(csv.reader(io.StringIO(row["header"], newline=""), delimiter="\t" if row["_tabbed"] else ","))
@@ -101,17 +101,18 @@ def read_exports(spark: SparkSession, path: str, captured_at: str) -> DataFrame:
         .text(path).select("value", "model_id", "_metadata")
     )
     lines, plain = staged_lines(text)
-    numbered = numbered_records(lines, plain, ["model_id"])
     headers = file_heads(lines)
+    numbered = numbered_records(lines, plain, ["model_id"], headers)
     if plain:
         headers = headers.withColumn("header", F.col("_head"))
     else:
         numbered = stage(numbered, "export-records")
-        headers = headers.join(numbered.where("_ordinal = -1").select("_file", F.col("value").alias("header")), "_file")
+        headers = headers.join(numbered.where("_ordinal = -1").select("_no", F.col("value").alias("header")), "_no")
     layouts, width = _layouts(spark, headers)
+    layouts = stage(layouts, "export-layouts")
     numbered = numbered.where("_ordinal >= 0")
     # Each line is parsed once: its fields are taken from one struct, made in a step of its own.
-    parsed = numbered.join(layouts, "_file").withColumn("_record", _record(width))
+    parsed = numbered.join(layouts, "_no").withColumn("_record", _record(width))
     split = parsed.withColumn("_fields", F.array(*[F.col(f"_record.c{i}") for i in range(width)]))
     empty = F.lit("")
     values = {

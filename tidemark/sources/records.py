@@ -17,8 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.ordinals import FILE_COLUMNS, number_file_rows
-from tidemark.session import observed, shared_dir
+from tidemark.operators.ordinals import number_file_rows
+from tidemark.session import observed, shared_dir, stage
 
 # What ended a line, by its code.
 ENDS = ["\n", "\r\n", "\r"]
@@ -26,6 +26,19 @@ ENDS = ["\n", "\r\n", "\r"]
 NO_QUOTES = 0b1010
 
 
+# Patterns recurse at repetitions, so longer lines are read by :func:`_ends_inside`.
+PATTERN_CHARS = 500
+
+
+def _inside_pattern(sep: str, inside: bool) -> str:
+    """Matches a line that begins outside (or inside) quotes and ends inside them, as :func:`_ends_inside` reads it."""
+    open_cell = '[^"]*+(?:""[^"]*+)*+'
+    tail = f'(?:[^"{sep}][^{sep}]*+)?+'
+    cell = f'(?:"{open_cell}"{tail}|{tail})'
+    from_outside = f'(?:{cell}{sep})*+"{open_cell}'
+    return f'(?s)\\A{open_cell}(?:"{tail}{sep}{from_outside})?+\\z' if inside else f"(?s)\\A{from_outside}\\z"
+
+
 def _ends_inside(value: Column, sep: str, inside: bool) -> Column:
     """1 if a line that begins outside (or inside) quotes ends inside them.
 
@@ -48,9 +61,11 @@ def _ends_inside(value: Column, sep: str, inside: bool) -> Column:
 
 def _turn(value: Column) -> Column:
     """The line's function as bits: comma outside, comma inside, tab outside, tab inside."""
-    bits = [_ends_inside(value, sep, inside) for sep in (",", "\t") for inside in (False, True)]
-    packed = sum((F.shiftleft(bit, k) for k, bit in enumerate(bits)), F.lit(0))
-    return F.when(F.contains(value, F.lit('"')), packed).otherwise(NO_QUOTES)
+    kinds = [(sep, inside) for sep in (",", "\t") for inside in (False, True)]
+    matched = [value.rlike(_inside_pattern(sep, inside)).cast("int") for sep, inside in kinds]
+    read = [_ends_inside(value, sep, inside) for sep, inside in kinds]
+    packed, long_packed = (sum((F.shiftleft(bit, k) for k, bit in enumerate(bits)), F.lit(0)) for bits in (matched, read))
+    return F.when(~F.contains(value, F.lit('"')), NO_QUOTES).when(F.length(value) <= PATTERN_CHARS, packed).otherwise(long_packed)
 
 
 def staged_lines(text: DataFrame) -> tuple[DataFrame, bool]:
@@ -76,8 +91,13 @@ def staged_lines(text: DataFrame) -> tuple[DataFrame, bool]:
 
 
 def file_heads(lines: DataFrame) -> DataFrame:
-    """_file and the first line of each file that is not empty."""
-    return lines.where("_block = 0 AND value <> ''").groupBy("_file").agg(F.min_by("value", "_row").alias("_head"))
+    """_file, a number for it (_no) and its first line that is not empty.
+
+    Staged: its size is known when lines are joined to it.
+    """
+    first = lines.where("_block = 0 AND value <> ''").groupBy("_file").agg(F.min("_row").alias("_no"))
+    named = lines.select("_file", F.col("_row").alias("_no"), F.col("value").alias("_head"))
+    return stage(named.join(stage(first, "export-firsts"), ["_file", "_no"]), "export-heads")
 
 
 def _before(order: str, f0: str, f1: str, by: list[str]) -> tuple[Column, Column]:
@@ -106,56 +126,61 @@ def _after(start: str) -> Column:
     return F.when(F.col(start) == 1, F.col("_f1")).otherwise(F.col("_f0"))
 
 
-def records(lines: DataFrame, others: list[str]) -> DataFrame:
-    """``others``, _file, value and _ordinal (-1: the header) of every record.
+def records(lines: DataFrame, others: list[str], heads: DataFrame) -> DataFrame:
+    """``others``, _no of the file, value and _ordinal (-1: the header) of every record.
 
     A record is a line that is not empty and does not lie inside a quoted cell,
     with the lines after it that its open quotes take in. A file whose last
-    quote stays open fails.
+    quote stays open fails. Lines carry their file's number instead of its long name.
     """
     spark: SparkSession = lines.sparkSession
-    tabbed = file_heads(lines).select("_file", F.contains("_head", F.lit("\t")).alias("_tabbed"))
+    split = ["_no", "_block"]
+    tabbed = heads.select("_file", "_no", F.contains("_head", F.lit("\t")).alias("_tabbed"))
     bit = lambda k: F.shiftright("_turn", k).bitwiseAND(1)
-    turned = lines.join(tabbed, "_file").withColumns({
-        "_f0": F.when(F.col("_tabbed"), bit(2)).otherwise(bit(0)), "_f1": F.when(F.col("_tabbed"), bit(3)).otherwise(bit(1)),
-    })
-    stated = _states(turned, "_row", "_f0", "_f1", FILE_COLUMNS)
-    through = Window.partitionBy(*FILE_COLUMNS).orderBy("_row").rowsBetween(Window.unboundedPreceding, 0)
+    turned = lines.join(tabbed, "_file").select(
+        *others, "value", *split, "_row", "_end",
+        F.when(F.col("_tabbed"), bit(2)).otherwise(bit(0)).alias("_f0"), F.when(F.col("_tabbed"), bit(3)).otherwise(bit(1)).alias("_f1"),
+    )
+    stated = _states(turned, "_row", "_f0", "_f1", split)
+    through = Window.partitionBy(*split).orderBy("_row").rowsBetween(Window.unboundedPreceding, 0)
     begins = lambda s: F.when((F.col(s) == 0) & (F.col("value") != ""), 1).otherwise(0)
     stated = stated.withColumns({"_r0": F.sum(begins("_s0")).over(through), "_r1": F.sum(begins("_s1")).over(through)})
     path = shared_dir(spark, "export-states")
     stated.write.parquet(path)
     stated = spark.read.schema(stated.schema).parquet(path)
 
-    chunks = stated.groupBy(*FILE_COLUMNS).agg(
+    chunks = stated.groupBy(*split).agg(
         F.max_by(_after("_s0"), "_row").alias("_f0"), F.max_by(_after("_s1"), "_row").alias("_f1"),
         F.max("_r0").alias("_n0"), F.max("_r1").alias("_n1"),
     )
-    chunks = _states(chunks, "_block", "_f0", "_f1", ["_file"])
-    by_file = Window.partitionBy("_file").orderBy("_block")
+    chunks = _states(chunks.join(heads.select("_no", "_file"), "_no"), "_block", "_f0", "_f1", ["_no"])
+    by_file = Window.partitionBy("_no").orderBy("_block")
     unclosed = F.lead("_block").over(by_file).isNull() & (_after("_s0") == 1)
     message = F.concat(F.lit("a quote is never closed in "), F.col("_file"))
     chunks = chunks.withColumn("_begin", F.when(unclosed, F.raise_error(message).cast("int")).otherwise(F.col("_s0")))
     held = F.when(F.col("_s0") == 1, F.col("_n1")).otherwise(F.col("_n0"))
     offsets = F.coalesce(F.sum(held).over(by_file.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    chunks = chunks.withColumn("_offset", offsets).select(*FILE_COLUMNS, "_begin", "_offset")
+    # Staged: one small row per split, whose size is then known when lines are joined to them.
+    chunks = stage(chunks.withColumn("_offset", offsets).select(*split, "_begin", "_offset"), "export-splits")
 
-    placed = stated.join(chunks, FILE_COLUMNS)
+    placed = stated.join(chunks, split)
     inside = F.when(F.col("_begin") == 1, F.col("_s1")).otherwise(F.col("_s0"))
     number = F.col("_offset") + F.when(F.col("_begin") == 1, F.col("_r1")).otherwise(F.col("_r0"))
     placed = placed.withColumns({"_inside": inside, "_record": number}).withColumn("_open", _after("_inside"))
-    whole = placed.where("_inside = 0 AND _open = 0 AND value <> ''").select(*others, "_file", "_record", "value")
+    whole = placed.where("_inside = 0 AND _open = 0 AND value <> ''").select(*others, "_no", "_record", "value")
     ends = F.element_at(F.array(*[F.lit(e) for e in ENDS]), F.col("_end") + 1)
-    broken = placed.where("_inside = 1 OR _open = 1").groupBy(*others, "_file", "_record").agg(
+    broken = placed.where("_inside = 1 OR _open = 1").groupBy(*others, "_no", "_record").agg(
         F.sort_array(F.collect_list(F.struct("_block", "_row", "value", ends.alias("end")))).alias("_lines")
     )
     text = F.transform("_lines", lambda x, i: F.when(i == F.size("_lines") - 1, x["value"]).otherwise(F.concat(x["value"], x["end"])))
-    joined = broken.select(*others, "_file", "_record", F.array_join(text, "").alias("value"))
-    return whole.unionByName(joined).select(*others, "_file", "value", (F.col("_record") - 2).alias("_ordinal"))
+    joined = broken.select(*others, "_no", "_record", F.array_join(text, "").alias("value"))
+    return whole.unionByName(joined).select(*others, "_no", "value", (F.col("_record") - 2).alias("_ordinal"))
 
 
-def numbered_records(lines: DataFrame, plain: bool, others: list[str]) -> DataFrame:
+def numbered_records(lines: DataFrame, plain: bool, others: list[str], heads: DataFrame | None = None) -> DataFrame:
     """Records as :func:`records` gives them, without its passes where lines are records."""
+    heads = file_heads(lines) if heads is None else heads
     if plain:
-        return number_file_rows(lines, "_ordinal", start=-1).select(*others, "_file", "value", "_ordinal")
-    return records(lines, others)
+        numbered = number_file_rows(lines.join(heads.select("_file", "_no"), "_file"), "_ordinal", start=-1)
+        return numbered.select(*others, "_no", "value", "_ordinal")
+    return records(lines, others, heads)
