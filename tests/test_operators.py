@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidemark import fixed, schemas
 from tidemark.functions import taxonomy, text
 from tidemark.operators import catalog, joins, lists, normalize, ordinals, retention, unmatched, upsert
-from tidemark.session import empty_table, literal_table
+from tidemark.session import empty_table, literal_table, stage
 from tidemark.sources import paths
 from tidemark.sources.snapshots import SnapshotTable, Version, by_bucket
 from tidemark.sources.tables import read_catalog
@@ -317,3 +317,21 @@ def test_blank_keys_are_spread_and_still_match(spark):
         side = spark.createDataFrame(dims, "k string, name string")
         out = lookup(facts, side, F.col("k"), F.col("k"), {"name": "name"}, spread_by=F.col("id"))
         assert {r["name"]: r["count"] for r in out.groupBy("name").count().collect()} == names
+
+
+@pytest.mark.parametrize("copies", [0, 1, 40])
+def test_one_per_key_ranks_only_repeated_keys(spark, copies):
+    """A batch without repeated keys is given back as it is staged; else the rows are those of last_wins."""
+    rows = [(f"k{i}", i) for i in range(100)] + [(None, 1)] + [(f"k{i}", 1000 + i) for i in range(copies)] + [(None, 2)] * bool(copies)
+    staged = stage(spark.createDataFrame(rows, "id string, n int"), "test")
+    got, same = upsert.one_per_key(staged, "id", ["n"])
+    assert same == (copies == 0) and (got is staged) == same
+    assert sorted(map(str, got.collect())) == sorted(map(str, upsert.last_wins(staged, "id", ["n"]).collect()))
+
+
+def test_insert_only_merge_does_not_join_stored_rows(spark):
+    current, batch = (spark.createDataFrame(r, "id string, n int") for r in ([("a", 1), ("b", 2)], [("b", 9), ("c", 3)]))
+    matched = spark.createDataFrame([("b",)], "id string")
+    merged = upsert.merge_rows(current, batch, "id", update=[], matched=matched)
+    assert sorted(tuple(r) for r in merged.collect()) == [("a", 1), ("b", 2), ("c", 3)]
+    assert merged._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1

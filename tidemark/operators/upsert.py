@@ -15,9 +15,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import observed, stage, unstage
+
+# Repeated keys are ranked apart from the others while at most one key in so many repeats.
+FEW_REPEATED = 20
+
 
 def last_wins(batch: DataFrame, key: str, order_by: Sequence[str | Column]) -> DataFrame:
     """One row per key, the last in ``order_by``.
@@ -31,6 +36,27 @@ def last_wins(batch: DataFrame, key: str, order_by: Sequence[str | Column]) -> D
     return batch.withColumn("_rank", F.row_number().over(newest)).where("_rank = 1").drop("_rank")
 
 
+def one_per_key(staged: DataFrame, key: str, order_by: Sequence[str | Column]) -> tuple[DataFrame, bool]:
+    """:func:`last_wins` of a staged batch, and whether that is the batch itself.
+
+    Keys alone are shuffled to find those that repeat; as a rule few do, and only
+    their rows are ranked.
+    """
+    seen = Observation()
+    counted = staged.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).observe(seen, F.count(F.lit(1)).alias("keys"))
+    repeated = stage(counted.where("_n > 1").select(F.col(f"`{key}`").alias("_key")), "repeated")
+    n = repeated.count()
+    if n == 0:
+        unstage(repeated)
+        return staged, True
+    if n * FEW_REPEATED > observed(seen).get("keys", 0):
+        unstage(repeated)
+        return last_wins(staged, key, order_by), False
+    same = F.col(f"`{key}`").eqNullSafe(F.col("_key"))
+    ranked = last_wins(staged.join(repeated, same, "left_semi"), key, order_by)
+    return staged.join(repeated, same, "left_anti").unionByName(ranked), False
+
+
 def attribute_keys(batch: DataFrame, columns: Sequence[str] = ("attrs",)) -> dict[str, list[str]]:
     """Distinct keys of each map column: the optional columns this batch carries."""
     each = [f"transform(map_keys(`{c}`), k -> named_struct('map', '{c}', 'k', k))" for c in columns]
@@ -77,6 +103,9 @@ def merge_rows(
     columns = current.columns + [c for c in batch.columns if c not in current.columns]
     types = {f.name: f.dataType for f in [*batch.schema.fields, *current.schema.fields]}
 
+    fresh = None if matched is None else batch.join(matched.select(key), key, "left_anti")
+    if fresh is not None and not update and not maps and set(batch.columns) <= set(current.columns):
+        return current.unionByName(fresh, allowMissingColumns=True)
     # Plans of many columns are written as SQL text: built column by column they
     # take longer to put together than a small batch takes to run.
     incoming = batch.selectExpr(f"`{key}`", *[f"`{c}` AS `_b_{c}`" for c in batch.columns if c != key], "true AS _b")
@@ -106,5 +135,4 @@ def merge_rows(
     merged = joined.select(*[value(c) for c in columns])
     if matched is None:
         return merged
-    fresh = batch.join(matched.select(key), key, "left_anti")
     return merged.unionByName(fresh.select(*batch.columns), allowMissingColumns=True)

@@ -13,7 +13,7 @@ from tidemark.functions.rules import Rule, with_classification
 from tidemark.functions.text import clean_name
 from tidemark.operators import retention, unmatched
 from tidemark.operators.joins import name_or_id
-from tidemark.operators.upsert import last_wins
+from tidemark.operators.upsert import one_per_key
 from tidemark.session import stage, unstage
 from tidemark.sources import publish
 from tidemark.sources.exports import read_exports
@@ -73,15 +73,16 @@ class HistoryStore:
     def load(self, rows: DataFrame, registry_rows: DataFrame, captured_at: str) -> None:
         """Merge one run in one commit: registry replaced, list insert-only, labels refreshed."""
         rows = stage(rows, "history")
-        unique = last_wins(rows, "record_id", [c for c in fixed.HISTORY_COLUMNS if c != "record_id"])
+        unique, same = one_per_key(rows, "record_id", [c for c in fixed.HISTORY_COLUMNS if c != "record_id"])
+        unique = unique if same else stage(unique, "history-unique")
         try:
             with self.group.transaction():
                 self.registry.upsert(registry_rows)
-                self.list.upsert(history_list(unique), update=[])
-                self.normalized.upsert(unique, update=["change_type", "object_type"])
+                self.list.upsert(history_list(unique), update=[], staged=True)
+                self.normalized.upsert(unique, update=["change_type", "object_type"], staged=True)
                 self.count_unmatched(rows, captured_at)
         finally:
-            unstage(rows)
+            unstage(rows, *([] if same else [unique]))
 
     def count_unmatched(self, classified: DataFrame, captured_at: str) -> None:
         """Merge a run's counts of descriptions that no rule covers; the first sighting is kept."""

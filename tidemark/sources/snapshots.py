@@ -221,13 +221,19 @@ class SnapshotTable:
     def upsert(
         self, batch: DataFrame, *, update: Sequence[str] | None = None, not_older: str | None = None,
         maps: dict[str, Sequence[str]] | None = None, properties: dict[str, str] | None = None, evolve: bool = False,
+        staged: bool = False,
     ) -> Version:
         """Merge a batch that holds one row per key.
 
+        ``staged``: the batch reads staged files alone and is not written once more.
+
         The stored keys are probed first, by the key index if there is one, to
         find the parts to rewrite; the rest is carried over. Columns the table
         lacks are added with ``evolve`` and left out otherwise.
         """
+        if staged:
+            rows = batch.count()
+            return self._attempt(lambda: self._upsert(batch, rows, update, not_older, maps, properties, evolve))
         seen = Observation()
         batch = stage(batch.observe(seen, F.count(F.lit(1)).alias("rows")), "batch")
         rows = observed(seen).get("rows", 0)
