@@ -76,3 +76,14 @@ def test_classify_many_matches_sql_on_every_number_and_status(spark, tmp_path):
     expected = con.execute(driver.oracle_sql()["q_classify_many"])
     columns = [d[0] for d in expected.description]
     assert rows_by_name(result.columns, result.collect()) == rows_by_name(columns, expected.fetchall())
+
+
+def test_wide_audit_does_not_shuffle_events_for_rows_that_none_names(spark):
+    """Users and models are too large to broadcast here, but not those that events name."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "16384")
+    try:
+        wide = table_checks.QUERIES["q_audit_wide"](spark, SF_DIR)
+        plan = wide._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan

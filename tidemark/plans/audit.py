@@ -12,23 +12,31 @@ from tidemark.operators.joins import lookup
 from tidemark.session import stage
 
 
-def object_dimension(models: DataFrame, integrations: DataFrame, users: DataFrame) -> DataFrame:
-    """Models, integrations and users by upper-cased id, side by side.
+def named_rows(dimension: DataFrame, key: Column, named: DataFrame) -> DataFrame:
+    """Rows of a dimension whose key is among those that events name (``_named``)."""
+    return dimension.join(named, key == F.col("_named"), "left_semi")
+
+
+def object_dimension(models: DataFrame, integrations: DataFrame, users: DataFrame, named: DataFrame | None = None) -> DataFrame:
+    """Models, integrations and users by upper-cased id, side by side; only those ``named``, if given.
 
     An object id is looked up in all three; joining them to each other first
     leaves one join of the events, and every combination of matches survives.
     The name of an integration's model is resolved here too.
     """
+    def kept(rows: DataFrame) -> DataFrame:
+        return rows if named is None else named_rows(rows, F.col("_okey"), named)
+
     model = models.select(F.upper("id").alias("_okey"), F.col("id").alias("_m2_id"), F.col("name").alias("_m2_name"))
     owner = models.groupBy("id").agg(
         F.max("name").alias("_cw_model_name"), (F.count(F.lit(1)) > 1).alias("_cw_model_twice")
     ).withColumnRenamed("id", "_m3_id")
-    integration = integrations.select(
+    integration = kept(integrations.select(
         F.upper("integrationId").alias("_okey"), F.col("integrationId").alias("_cw_id"),
         F.col("modelId").alias("_cw_model_id"), F.col("name").alias("_cw_name"),
-    ).join(owner, F.col("_cw_model_id") == F.col("_m3_id"), "left").drop("_m3_id")
+    )).join(owner, F.col("_cw_model_id") == F.col("_m3_id"), "left").drop("_m3_id")
     user = users.select(F.upper("id").alias("_okey"), F.col("id").alias("_u2_id"), F.col("userName").alias("_u2_name"))
-    return model.join(integration, "_okey", "full_outer").join(user, "_okey", "full_outer")
+    return kept(model).join(integration, "_okey", "full_outer").join(kept(user), "_okey", "full_outer")
 
 
 def resolved_model(attr_id: Column, attr_name: Column) -> tuple[Column, Column]:
@@ -89,33 +97,45 @@ def wide_audit(
 ) -> DataFrame:
     """Join stored events to their dimensions; one output row per match.
 
-    The combined object dimension is written out first: its size is then known
-    before the events are planned, and they are only shuffled for it when it is
-    too large to broadcast.
+    Events are written out once with the columns they need. Their keys are then
+    read apart, and of each dimension that can be large the rows with such a key
+    are written out: their size is known before the events are planned, and
+    events are only shuffled for rows that are too many to broadcast.
     """
-    def attr(key: str) -> Column:
-        return F.element_at("attrs", key)
-
+    fields = [
+        "id", "eventDate", "createdDate", "index", "eventTimeZone", "createdTimeZone", "eventTypeId", "userId", "tenantId", "objectId",
+        "objectTypeId", "objectTenantId", "message", "success", "errorNumber", "ipAddress", "userAgent", "sessionId", "hostName",
+        "serviceVersion", "checksum",
+    ]
     needed = {"workspaceId": "_ws_id", "modelId": "_model_id", "actionId": "_action_id"}
-    facts = events.withColumns({out: attr(key) for key, out in needed.items()})
+    lifted = [*needed.items(), *[(key, f"_attr_{out}") for out, key in fixed.WIDE_ATTRIBUTES.items()]]
+    facts = stage(events.select(*fields, *[F.element_at("attrs", key).alias(out) for key, out in lifted]), "audit-events")
     spread = F.col("id")
 
+    def named(fact_key: Column) -> DataFrame:
+        return facts.select(fact_key.alias("_named")).distinct()
+
+    def narrowed(dimension: DataFrame, fact_key: Column, dimension_key: Column, label: str) -> DataFrame:
+        return stage(named_rows(dimension, dimension_key, named(fact_key)), label)
+
+    action_key, action_of = F.upper(F.concat("_action_id", "objectId")), F.upper(F.concat("id", "model_id"))
+    objects = stage(object_dimension(models, integrations, users, named(F.upper("objectId"))), "objects")
+    users = narrowed(users, F.col("userId"), F.col("id"), "users")
+    models = narrowed(models, F.col("_model_id"), F.col("id"), "models")
+    actions = narrowed(actions, action_key, action_of, "actions")
+
     def joined(facts: DataFrame, dimension: DataFrame, fact_key: Column, dimension_key: Column, columns: dict[str, str]) -> DataFrame:
         return lookup(facts, dimension, fact_key, dimension_key, columns, spread_by=spread)
 
     rows = joined(facts, users, F.col("userId"), F.col("id"), {"userName": "_u_name", "displayName": "_u_display"})
     rows = joined(rows, workspaces, F.col("_ws_id"), F.col("id"), {"name": "_ws_name"})
     rows = joined(rows, models, F.col("_model_id"), F.col("id"), {"name": "_model_name"})
-    objects = stage(object_dimension(models, integrations, users), "objects")
     rows = joined(rows, objects, F.upper("objectId"), F.col("_okey"), {c: c for c in objects.columns if c != "_okey"})
     rows = joined(
         rows, catalog, F.col("eventTypeId"), F.col("Event Code"),
         {"Event Message": "_ac_message", "Associated Object ID": "_ac_object", "Notes": "_ac_notes"},
     )
-    rows = joined(
-        rows, actions, F.upper(F.concat("_action_id", "objectId")), F.upper(F.concat("id", "model_id")),
-        {"name": "_action_name"},
-    )
+    rows = joined(rows, actions, action_key, action_of, {"name": "_action_name"})
 
     model_id, model_name = resolved_model(F.col("_model_id"), F.col("_model_name"))
     object_type, object_name = resolved_object()
@@ -155,7 +175,7 @@ def wide_audit(
         "OBJECT_TENANT_ID": F.col("objectTenantId"),
         "ACTION_ID": F.col("_action_id"),
         "ACTION_NAME": action_label(F.col("_action_id"), F.col("_action_name")),
-        **{out: attr(key) for out, key in fixed.WIDE_ATTRIBUTES.items()},
+        **{out: F.col(f"_attr_{out}") for out in fixed.WIDE_ATTRIBUTES},
         "EVENT_CATEGORY": event_parent_name(F.col("eventTypeId")),
         "CHECKSUM": F.col("checksum"),
     }
