@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 
 from tidemark import fixed
 from tidemark.functions import attributes
+from tidemark.plans import table_checks
 from tidemark.plans.events import EventStore, prepare_events
-from tidemark.sources import pages
+from tidemark.session import stage
+from tidemark.sources import pages, snapshots
 from tidemark.sources.pages import read_pages
 from tidemark.streaming.ingest import ingest
 
@@ -219,3 +221,14 @@ def test_run_state(spark, tmp_path):
 
 def test_yield_count(attribute_rows):
     assert attribute_rows.agg(F.count_if(attributes.yields_value())).first()[0] == 3
+
+
+def test_load_writes_a_batch_without_repeated_ids_once(spark, tmp_path, monkeypatch):
+    labels = []
+    monkeypatch.setattr(snapshots, "stage", lambda df, label: labels.append(label) or stage(df, label))
+    landed = table_checks.landed_events(spark, "/root/testdata/sf0.001")
+    store = EventStore(spark, str(tmp_path / "store"))
+    n = store.load(prepare_events(landed))
+    assert n == store.read().count() == landed.count() and "batch" not in labels
+    assert store.load(prepare_events(landed.unionByName(landed.limit(3)))) == n + 3
+    assert store.read().count() == n

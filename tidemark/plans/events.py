@@ -16,7 +16,7 @@ from tidemark.functions.attributes import with_attributes, yields_value
 from tidemark.operators import backfill as fill
 from tidemark.operators import retention
 from tidemark.operators.normalize import coerce_events
-from tidemark.operators.upsert import attribute_keys, last_wins
+from tidemark.operators.upsert import attribute_keys, one_per_key
 from tidemark.session import observed, stage, unstage
 from tidemark.sources import publish
 from tidemark.sources.snapshots import SnapshotTable, by_day
@@ -87,7 +87,8 @@ class EventStore:
             properties = {"schema_version": str(fixed.EVENTS_SCHEMA_VERSION)}
             if maps.get("other"):
                 properties["event_fields"] = json.dumps(sorted({*self.fields(), *maps["other"]}))
-            self.table.upsert(last_wins(batch, "id", ["_ord"]), not_older="_ord", maps=maps, properties=properties)
+            unique, same = one_per_key(batch, "id", ["_ord"])
+            self.table.upsert(unique, not_older="_ord", maps=maps, properties=properties, staged=same)
             self.steps["load", "rows_written"] += self.table.last["rows_written"]
         unstage(batch)
         return counts["rows_in"]
