@@ -12,7 +12,7 @@ import duckdb
 import numpy as np
 import pytest
 
-from tidemark.llm import backoff, embeddings, exact_dedup, html_extract, kneser_ney, minhash, mixing, packing, queries, suffix_dedup, toxicity
+from tidemark.llm import backoff, embeddings, exact_dedup, html_extract, kneser_ney, minhash, mixing, ngramshards, packing, queries, suffix_dedup, textarrays, toxicity
 
 SF = "/root/testdata/sf0.001"
 SPLIT = re.compile(r"[\x20\x09-\x0D]+")
@@ -216,6 +216,38 @@ def test_suffix_array(seed):
         assert list(suffix_dedup.induced_suffix_array(text, 1000)) == sorted(range(len(plain)), key=lambda i: plain[i:])
 
 
+def test_anchors_are_hashed_in_small_parts(monkeypatch):
+    rng = random.Random(5)
+    texts = [(i, bytes(rng.choice(b"ab") for _ in range(rng.choice([0, 99, 100, 101, 300, 900]))), 0, 0) for i in range(200)]
+    find, sizes = suffix_dedup.Anchors.__call__, []
+
+    def sized(self, data, bounds):
+        sizes.append(len(data))
+        return find(self, data, bounds)
+
+    monkeypatch.setattr(suffix_dedup.Anchors, "__call__", sized)
+    ((_, data, bounds, whole),) = suffix_dedup._runs(texts, 100)
+    monkeypatch.setattr(suffix_dedup, "PART_BYTES", 2000)
+    sizes.clear()
+    ((*_, parted),) = suffix_dedup._runs(texts, 100)
+    assert max(sizes) <= 2000 + 901 and sum(sizes) == len(data)
+    assert all(np.array_equal(a, b) for a, b in zip(whole, parted, strict=True))
+    # Every window is in one run, and runs stay inside their text.
+    _, text, first, n = parted
+    starts = [s for a, k in zip(first.tolist(), n.tolist(), strict=True) for s in range(a, a + k)]
+    assert starts == [b + j for b, (_, t, _, _) in zip(bounds.tolist(), texts, strict=False) for j in range(len(t) - 99)]
+    assert all(bounds[t] <= a for t, a in zip(text.tolist(), first.tolist(), strict=True))
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 700])
+def test_distinct_numbers(n):
+    x = np.random.default_rng(n).integers(0, 200, n, dtype=np.uint64)
+    values, at, counts = np.unique(x, return_inverse=True, return_counts=True)
+    assert np.array_equal(textarrays.distinct_sorted(x), values)
+    assert all(np.array_equal(a, b) for a, b in zip(textarrays.distinct_counts(x), (values, counts), strict=True))
+    assert all(np.array_equal(a, b) for a, b in zip(textarrays.distinct_places(x), (values, at), strict=True))
+
+
 def test_suffix_removal(docs, empty):
     seen, got = set(), {r["doc_id"]: r for r in suffix_dedup.remove_repeats(docs, block_bytes=40_000, with_text=True).collect()}
     for i, t in enumerate(TEXTS):

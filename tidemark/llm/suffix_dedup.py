@@ -39,6 +39,8 @@ from tidemark.llm import textarrays as ta
 from tidemark.llm.common import Scratch, join_checked
 
 SPAN, GRAM = 100, 32
+# Texts hashed together: their arrays of eight bytes a byte should stay near the processor.
+PART_BYTES = 1 << 17
 # An anchor that occurs more often is split by the bytes of its windows.
 HOT = 2000
 FOUND = "kind int, place int, anchor long, doc_id long, row int, start long, n long, bytes binary"
@@ -63,7 +65,7 @@ class Anchors:
         if n < self.span:
             return np.zeros(0, np.uint64), empty, empty, empty
         if n + 1 > len(self.up):
-            self.up, self.down = ta.powers(2 * n + 1, ta.BASE), ta.powers(2 * n + 1, ta.INVERSE)
+            self.up, self.down = ta.powers(n + n // 4 + 1, ta.BASE), ta.powers(n + n // 4 + 1, ta.INVERSE)
         with np.errstate(over="ignore"):
             sums = np.zeros(n + 1, np.uint64)
             np.cumsum(self.values[data] * self.up[:n], out=sums[1:])
@@ -78,15 +80,22 @@ class Anchors:
         if rest:
             least = np.minimum(least[:-rest], least[rest:])
         place = (least & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        text = np.searchsorted(bounds, np.arange(len(place)), side="right") - 1
-        valid = np.arange(len(place)) + self.span <= bounds[text + 1] - 1
-        at = np.flatnonzero(valid)
-        if not len(at):
+        # Per text its windows, and those of them that begin a run: the first, and each with another anchor than the one before.
+        windows = np.maximum(np.diff(bounds) - self.span, 0)
+        if not windows.any():
             return np.zeros(0, np.uint64), empty, empty, empty
-        new = np.ones(len(at), bool)
-        new[1:] = (place[at[1:]] != place[at[:-1]]) | (text[at[1:]] != text[at[:-1]])
-        first = np.flatnonzero(new)
-        return hashes[place[at[first]]], text[at[first]], at[first], np.diff(np.append(first, len(at)))
+        new = np.zeros(len(place) + 1, bool)
+        new[1:-1] = place[1:] != place[:-1]
+        inside = np.zeros(len(place) + 1, np.int8)
+        some = windows > 0
+        inside[bounds[:-1][some]] = 1
+        inside[bounds[:-1][some] + windows[some]] -= 1
+        new[bounds[:-1][some]] = True
+        first = np.flatnonzero(new[:-1] & (np.cumsum(inside[:-1], dtype=np.int8) > 0))
+        text = np.searchsorted(bounds, first, side="right") - 1
+        stop = bounds[text] + windows[text]
+        following = np.append(first[1:], stop[-1])
+        return hashes[place[first]], text, first, np.minimum(following, stop) - first
 
 
 def _numbered(table: pa.Table) -> list[tuple]:
@@ -129,7 +138,12 @@ def _runs(docs: list[tuple], span: int):
     """Per chunk of a block: its rows, bytes, bounds and runs."""
     find = Anchors(span)
     for held, data, bounds in ta.chunks((d for d in docs if not d[2]), 1):
-        yield held, data, bounds, find(data, bounds)
+        cuts = ta.distinct_sorted(np.array([0, *np.searchsorted(bounds, np.arange(PART_BYTES, len(data), PART_BYTES)), len(held)]))
+        found = []
+        for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            anchors, text, first, n = find(data[bounds[i] : bounds[j]], bounds[i : j + 1] - bounds[i])
+            found.append((anchors, text + i, first + bounds[i], n))
+        yield held, data, bounds, tuple(np.concatenate(c) for c in zip(*found, strict=True))
 
 
 def induced_suffix_array(text: np.ndarray, span: int) -> np.ndarray:
@@ -216,11 +230,7 @@ def induced_suffix_array(text: np.ndarray, span: int) -> np.ndarray:
         while reach < span and name.max() < len(name):
             pair = np.zeros(len(name), np.int64)
             pair[:-reach] = name[reach:]
-            by = np.lexsort((pair, name))
-            differs = np.ones(len(by), bool)
-            differs[1:] = (name[by[1:]] != name[by[:-1]]) | (pair[by[1:]] != pair[by[:-1]])
-            name = np.zeros(len(by), np.int64)
-            name[by] = np.cumsum(differs)
+            name = ta.distinct_places(name * (len(name) + 1) + pair)[1] + 1
             reach *= 2
             if reach >= len(name):
                 break
@@ -238,16 +248,21 @@ def repeated_starts(stretches: list[bytes], windows: list[int], ranks: list[tupl
     starts = offset < np.array(windows)[owner]
     order = induced_suffix_array(text, span)
     order = order[starts[order]]
+    # Hashes tell most neighbours apart; those that agree are compared byte by byte.
+    hashes = _windows(text, np.arange(len(text) - span + 1), span) if len(order) else np.zeros(0, np.uint64)
     same = np.zeros(len(order), bool)
     for a in range(1, len(order), 1 << 16):
         x, y = order[a - 1 : a + (1 << 16) - 1], order[a : a + (1 << 16)]
-        equal = np.ones(len(y), bool)
+        equal = hashes[x[: len(y)]] == hashes[y]
         for i in range(0, span, 25):
             live = np.flatnonzero(equal)
             at = np.arange(i, min(i + 25, span))
             equal[live] = (text[x[: len(y)][live, None] + at] == text[y[live, None] + at]).all(axis=1)
         same[a : a + len(y)] = equal
-    group = np.cumsum(~same)
+    # Only windows that some other equals matter from here on.
+    some = same.copy()
+    some[:-1] |= same[1:]
+    order, group = order[some], np.cumsum(~same)[some]
     *doc, place = [np.array(c)[owner[order]] for c in zip(*ranks, strict=True)]
     by = np.lexsort((place + offset[order], *doc[::-1], group))
     later = np.zeros(len(by), bool)
@@ -274,7 +289,7 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, id_column: str = "doc_id",
     def ask(table: pa.Table) -> pa.Table:
         block = table.column("block")[0].as_py()
         hashes = [runs[0] for _, _, _, runs in _runs(_numbered(table), span)]
-        keys, counts = np.unique(ns.shard_keys(np.concatenate([np.zeros(0, np.uint64), *hashes]), shards), return_counts=True)
+        keys, counts = ta.distinct_counts(ns.shard_keys(np.concatenate([np.zeros(0, np.uint64), *hashes]), shards))
         return ns.table_of(ns.requests(block, keys, counts, shards) or [{"shard": 0, "block": block, "keys": b"", "counts": ns.reply(np.zeros(0, np.uint32))}], request_schema)
 
     def answer(table: pa.Table) -> pa.Table:
@@ -282,7 +297,7 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, id_column: str = "doc_id",
         shard = table.column("shard")[0].as_py()
         keys = [ns.request_keys(k) for k in table.column("keys").to_pylist()]
         counts = [ns.request_counts(c) for c in table.column("counts").to_pylist()]
-        _, at = np.unique(np.concatenate(keys), return_inverse=True)
+        _, at = ta.distinct_places(np.concatenate(keys))
         times = np.bincount(at, np.concatenate(counts)) if len(at) else np.zeros(0)
         many = (times > 1).astype(np.uint8) + (times > hot)
         parts = np.split(many[at].astype(np.uint8), np.cumsum([len(k) for k in keys])[:-1])
@@ -291,7 +306,7 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, id_column: str = "doc_id",
     def judged(chunks: list[tuple], found: np.ndarray) -> list[np.ndarray]:
         """Per chunk what the shards say of the anchor of each run; ``found`` starts with their answers."""
         hashes = np.concatenate([np.zeros(0, np.uint64), *[c[3][0] for c in chunks]])
-        _, at = np.unique(ns.shard_keys(hashes, shards), return_inverse=True)
+        _, at = ta.distinct_places(ns.shard_keys(hashes, shards))
         return np.split(found[at], np.cumsum([len(c[3][0]) for c in chunks])[:-1])
 
     def hot_windows(chunks: list[tuple], many: list[np.ndarray]) -> list[tuple]:
@@ -309,7 +324,7 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, id_column: str = "doc_id",
         if not left.num_rows or not (found == 2).any():
             return request_schema.empty_table()
         chunks = list(_runs(_numbered(left), span))
-        keys, counts = np.unique(np.concatenate([w[2] for w in hot_windows(chunks, judged(chunks, found))]), return_counts=True)
+        keys, counts = ta.distinct_counts(np.concatenate([w[2] for w in hot_windows(chunks, judged(chunks, found))]))
         rows = ns.requests(left.column("block")[0].as_py(), keys, counts, shards)
         return ns.table_of([{**r, "shard": r["shard"] + shards} for r in rows], request_schema)
 
@@ -322,7 +337,7 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, id_column: str = "doc_id",
         found = ns.replies(right, np.uint8)
         many = judged(chunks, found)
         windows_of = hot_windows(chunks, many)
-        _, window_at = np.unique(np.concatenate([np.zeros(0, np.uint64), *[w[2] for w in windows_of]]), return_inverse=True)
+        _, window_at = ta.distinct_places(np.concatenate([np.zeros(0, np.uint64), *[w[2] for w in windows_of]]))
         again = found[len(found) - (window_at.max() + 1 if len(window_at) else 0) :][window_at] > 0
         seen: set[tuple] = set()
         out, done = [], 0

@@ -17,6 +17,34 @@ def byte_values(seed: int = 7) -> np.ndarray:
     return np.random.default_rng(seed).integers(1, 1 << 63, 256, dtype=np.uint64)
 
 
+def distinct_sorted(x: np.ndarray) -> np.ndarray:
+    """Distinct numbers in order; ``np.unique`` hashes them first, which takes longer."""
+    x = np.sort(x)
+    return x[_firsts(x)]
+
+
+def _firsts(x: np.ndarray) -> np.ndarray:
+    new = np.ones(len(x), bool)
+    new[1:] = x[1:] != x[:-1]
+    return new
+
+
+def distinct_counts(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct numbers in order and how often each occurs."""
+    x = np.sort(x)
+    first = np.flatnonzero(_firsts(x))
+    return x[first], np.diff(np.append(first, len(x)))
+
+
+def distinct_places(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct numbers in order and where among them each is."""
+    by = np.argsort(x)
+    new = _firsts(x[by])
+    place = np.empty(len(x), np.int64)
+    place[by] = np.cumsum(new) - 1
+    return x[by[new]], place
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers under which near numbers are far apart."""
     with np.errstate(over="ignore"):
@@ -51,7 +79,7 @@ class WordHasher:
         """Hash and start of each run of bytes other than 0x20 and 0x09-0x0D."""
         n = len(text)
         if n + 1 > len(self.up):
-            self.up, self.down = powers(2 * n + 1, BASE), powers(2 * n + 1, INVERSE)
+            self.up, self.down = powers(n + n // 4 + 1, BASE), powers(n + n // 4 + 1, INVERSE)
         blank = (text == 0x20) | ((text >= 0x09) & (text <= 0x0D))
         edge = np.flatnonzero(np.diff(np.concatenate([[True], blank, [True]]).astype(np.int8)))
         starts, ends = edge[::2], edge[1::2]
@@ -103,7 +131,7 @@ def shingle_sets(data: np.ndarray, bounds: np.ndarray, hasher: WordHasher, words
         runs = mixed(runs)
         for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
             if b - a >= words:
-                out.append(np.unique(runs[a : b - words + 1]))
+                out.append(distinct_sorted(runs[a : b - words + 1]))
             elif b > a:
                 part = sum((int(h) * pow(STEP, j, 1 << 64) for j, h in enumerate(hashes[a:b])), b - a) % (1 << 64)
                 out.append(mixed(np.array([part], np.uint64)))
