@@ -185,6 +185,33 @@ def test_kneser_ney(spark, docs, empty):
     assert all(r["kept"] for r in kneser_ney.quality(docs, labels.where("false")).collect())
 
 
+def test_requests_and_replies_of_shards_are_small():
+    rng = np.random.default_rng(3)
+    for n in (1, 2, 7000):
+        keys = np.unique(rng.integers(0, 1 << 40, n, dtype=np.uint64))
+        packed = ngramshards.packed_keys(keys | np.uint64(9 << 40))
+        assert np.array_equal(ngramshards.unpacked_keys(packed), keys)
+        values = np.where(rng.random((2, n)) < 0.5, np.float32("nan"), -rng.integers(0, 9, (2, n)).astype(np.float32))
+        replied = ngramshards.packed_floats(values)
+        assert ngramshards.unpacked_floats(replied).reshape(2, n).tobytes() == values.tobytes()
+    # A key took 5 bytes, a reply half a byte more than a number.
+    assert len(packed) < 3.8 * n and len(replied) < len(ngramshards.reply(values.T.copy()))
+    assert np.isnan(ngramshards.unpacked_floats(ngramshards.packed_floats(np.full((2, 3), np.nan, np.float32)))).all()
+
+
+def test_equal_ngrams_have_one_number():
+    texts = ["ab ab\x00 b", "", "a", "日本 語 日本 \U0001f600", "ab b ab", "\ufffd a"]
+    docs = [(i, t.encode(), 1, "en") for i, t in enumerate(texts)]
+    for order in (2, 3, 5):
+        for some, grams in kneser_ney.by_model(docs, order):
+            for layer, number in zip(some, grams.number, strict=True):
+                for i in range(order):
+                    assert np.array_equal(grams.codes[i][number], layer.codes[i])
+                written = list(zip(*[c.tolist() for c in layer.codes], strict=True))
+                assert len(set(written)) == len(written)
+                assert all((c != 0).sum() == (layer.reach > i).sum() for i, c in enumerate(layer.codes))
+
+
 def test_quality_reads_running_text(spark):
     """A repeated word and words out of order are made of normal words; only n-grams across blanks see them."""
     rng = random.Random(3)

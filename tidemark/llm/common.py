@@ -13,6 +13,8 @@ from tidemark.sources import paths
 SPACES = r"[\x20\x09-\x0D]+"
 # A side of at most so many rows is broadcast, if its rows are narrow.
 BROADCAST_ROWS = 500_000
+# Rows with whole texts that are handed to Python at once.
+BATCH_ROWS = 1000
 
 
 class Scratch:
@@ -195,6 +197,24 @@ def linked_components(
     return components
 
 
+def release_memory() -> None:
+    """Hand what a Python worker has freed back to the machine: idle workers stay, and the next stage needs the memory."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df`` itself, its session set to hand Python ``BATCH_ROWS`` rows at a time: a batch is held whole on both sides."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return df
+
+
 def arrow_rows(batches: Iterator, names: Sequence[str]) -> Iterator[tuple]:
     """Rows of Arrow batches as tuples of Python values."""
     for batch in batches:

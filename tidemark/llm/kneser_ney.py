@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import ngramshards as ns
 from tidemark.llm import textarrays as ta
-from tidemark.llm.common import Scratch, join_checked
+from tidemark.llm.common import Scratch, join_checked, release_memory
 
 ORDER = 5
 # A language's own quantile counts by its number of trusted documents, the overall one as so many.
@@ -69,18 +69,19 @@ class Layer:
         # A part has far fewer than 2**31 of anything, and a block's layers are held at a time.
         self.unit, self.tokens, self.owners = unit.astype(np.int32), tokens.astype(np.int32), owners.astype(np.int32)
         reach = np.minimum(reach, order)
+        # Equal n-grams are found by their symbols as they stand; only the distinct ones are written out.
+        number, first, _ = distinct(_sums(codes, at, reach, order))
+        self.number = number.astype(np.int32)
+        at, reach = at[first], reach[first]
         symbols = [codes[np.maximum(at - i, 0)] for i in range(order)]
         if ends is not None:
             # Inside words both neighbouring blanks are marks.
-            symbols[0] = np.where(ends, END, symbols[0])
+            symbols[0] = np.where(ends[first], END, symbols[0])
             for i in range(1, order):
                 symbols[i] = np.where((symbols[i] == GAP) & (reach == i + 1), BEGIN, symbols[i])
-        for i in range(order):
-            symbols[i] = np.where(reach > i, symbols[i], 0)
-        number, first, self.top = distinct(key(symbols, order, kind))
-        self.number = number.astype(np.int32)
-        self.codes = [c[first] for c in symbols]
-        self.reach = reach[first].astype(np.int8)
+        self.codes = [np.where(reach > i, c, 0) for i, c in enumerate(symbols)]
+        self.top = key(self.codes, order, kind)
+        self.reach = reach.astype(np.int8)
 
 
 class Grams:
@@ -107,7 +108,9 @@ def by_model(docs: list[tuple], order: int) -> list[tuple[list[Layer], Grams]]:
     """The layers of each model in some documents, with their n-grams."""
     parts = list(layers(docs, order))
     some = [[layer for part in parts for layer in part if layer.kind == kind] for kind in (WORDS, TEXT)]
-    return [(found, Grams(found)) for found in some if found]
+    out = [(found, Grams(found)) for found in some if found]
+    release_memory()
+    return out
 
 
 def distinct(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -137,6 +140,21 @@ def key(symbols: list[np.ndarray], k: int, kind: int) -> np.ndarray:
         return ta.mixed(total + np.uint64(k + 64 * kind))
 
 
+def _sums(codes: np.ndarray, at: np.ndarray, reach: np.ndarray, order: int) -> np.ndarray:
+    """A 64-bit hash of the last ``reach`` symbols before and at each place, the number of symbols counted in."""
+    known = np.concatenate([np.zeros(order, np.uint64), values()[codes]])
+    least = int(reach.min()) if len(reach) else order
+    total = np.zeros(len(at), np.uint64)
+    with np.errstate(over="ignore"):
+        for i in range(order):
+            some = known[order - i :][at]
+            some *= np.uint64(pow(ta.STEP, 2 * i + 1, 1 << 64))
+            if i >= least:
+                some[reach <= i] = 0
+            total += some
+        return total + reach.astype(np.uint64) * np.uint64(ta.BASE)
+
+
 def empty_key(kind: int) -> np.ndarray:
     with np.errstate(over="ignore"):
         return ta.mixed(np.array([64 * kind], np.uint64))
@@ -156,17 +174,20 @@ def layers(docs: list[tuple], order: int) -> Iterator[list[Layer]]:
     """
     held: list[tuple[int, bytes]] = []
     size = 0
+    powers = [np.zeros(0, np.uint64)] * 2
     for i, doc in enumerate(docs):
         words = doc[1].split()
         if words:
             held.append((i, b"\n" + b" ".join(words) + b"\r"))
             size += len(held[-1][1])
         if held and (size >= PART_BYTES or i == len(docs) - 1):
-            yield _layers(b"".join(t for _, t in held), np.array([j for j, _ in held]), order)
+            if size + 1 > len(powers[0]):
+                powers = [ta.powers(size + 1, of) for of in (ta.BASE, ta.INVERSE)]
+            yield _layers(b"".join(t for _, t in held), np.array([j for j, _ in held]), order, *powers)
             held, size = [], 0
 
 
-def _layers(joined: bytes, numbers: np.ndarray, order: int) -> list[Layer]:
+def _layers(joined: bytes, numbers: np.ndarray, order: int, up: np.ndarray, down: np.ndarray) -> list[Layer]:
     codes = np.frombuffer(joined.decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
     # Zeros stand for missing symbols.
     codes = np.where(codes == 0, np.uint32(0x0B), codes)
@@ -177,8 +198,7 @@ def _layers(joined: bytes, numbers: np.ndarray, order: int) -> list[Layer]:
     begins = (starts[opens] - 1)[local]
     owners = numbers[local]
     n = len(codes)
-    up, down = ta.powers(n + 1, ta.BASE), ta.powers(n + 1, ta.INVERSE)
-    step, last = np.uint64(ta.STEP), codes[stops] == END
+    step = np.uint64(ta.STEP)
     with np.errstate(over="ignore"):
         sums = np.zeros(n + 1, np.uint64)
         np.cumsum(values()[codes] * up[:n], out=sums[1:])
@@ -186,7 +206,7 @@ def _layers(joined: bytes, numbers: np.ndarray, order: int) -> list[Layer]:
         word = ta.mixed((sums[stops + 1] - sums[starts]) * down[starts] + (stops - starts).astype(np.uint64) * step)
         low, high = np.maximum(starts - order + 1, begins), np.minimum(starts + order - 2, stops + 1)
         border = ta.mixed((sums[high] - sums[low]) * down[low] + ((high - low) * 64 + (starts - low)).astype(np.uint64) * step)
-    del sums, up, down
+    del sums
     word_of, at, _ = distinct(word)
     border_of, by, _ = distinct(border)
     a, b = starts[at], stops[at]
@@ -194,7 +214,7 @@ def _layers(joined: bytes, numbers: np.ndarray, order: int) -> list[Layer]:
     inside, of_inside = spread(a + order - 2, np.maximum(b - a - order + 3, 0))
     across, of_across = spread(starts[by], high[by] - starts[by])
     return [
-        Layer(WORDS, order, np.where(codes == BEGIN, GAP, codes), alone, alone - a[of_alone] + 2, of_alone, word_of, owners, len(at), alone == b[of_alone]),
+        Layer(WORDS, order, np.where((codes == BEGIN) | (codes == END), np.uint32(GAP), codes), alone, alone - a[of_alone] + 2, of_alone, word_of, owners, len(at), alone == b[of_alone]),
         Layer(TEXT, order, codes, inside, np.full(len(inside), order), of_inside, word_of, owners, len(at)),
         Layer(TEXT, order, codes, across, across - begins[by][of_across] + 1, of_across, border_of, owners, len(by)),
     ]
@@ -238,6 +258,8 @@ def _counted(order: int, most: int):
                     held, size = [], 0
         if held:
             yield from counted(held)
+        del held
+        release_memory()
 
     return run
 
@@ -325,20 +347,25 @@ def perplexities(docs: DataFrame, labels: DataFrame, order: int, scratch: Scratc
     model = model_table(counts, order, scratch)
     sizes = dict(model.groupBy("kind").count().collect())
     uniform = [1.0 / max(1, sizes.get(kind, 0)) for kind in (WORDS, TEXT)]
-    request_schema = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
+    request_schema = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("keys", pa.binary())])
     reply_schema = pa.schema([("block", pa.int32()), ("shard", pa.int32()), ("found", pa.binary())])
     result_schema = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), ("trusted", pa.int32()),
                                *[(f"{part}_{c}", t) for part in PARTS for c, t in (("n_chars", pa.int64()), ("log_probability", pa.float64()), ("held_out", pa.float64()))]])
 
-    def block_keys(wanted: Iterable) -> np.ndarray:
-        """Sorted keys of all n-grams and contexts in a block, those of the empty context always among them."""
-        hashes = [empty_key(WORDS), empty_key(TEXT), *[pd.unique(np.concatenate(w[1:])) for w in wanted]]
-        return np.unique(ns.shard_keys(np.concatenate(hashes), shards))
+    def block_keys(wanted: Iterable) -> tuple[np.ndarray, Iterator[np.ndarray]]:
+        """Sorted keys of all n-grams and contexts in a block, those of the empty context always among them, and where each one wanted is."""
+        some = [empty_key(WORDS), empty_key(TEXT), *[hashes for w in wanted for hashes in w[1:]]]
+        number, found = pd.factorize(np.concatenate(some))
+        keys, place = ta.distinct_places(ns.shard_keys(found, shards))
+        return keys, iter(np.split(place[number], np.cumsum([len(h) for h in some])[1:-1])[1:])
 
     def ask(table: pa.Table) -> pa.Table:
         block = table.column("block")[0].as_py()
-        keys = block_keys(w for _, grams in by_model(ns.block_texts(table), order) for w in grams.wanted())
-        return ns.table_of(ns.requests(block, keys, np.zeros(len(keys), np.uint32), shards), request_schema)
+        keys, _ = block_keys(w for _, grams in by_model(ns.block_texts(table), order) for w in grams.wanted())
+        ends = np.searchsorted(keys, np.arange(shards + 1, dtype=np.uint64) << np.uint64(40))
+        release_memory()
+        rows = [{"shard": i, "block": block, "keys": ns.packed_keys(keys[a:b])} for i, (a, b) in enumerate(zip(ends[:-1], ends[1:], strict=True)) if b > a]
+        return ns.table_of(rows, request_schema)
 
     def answer(asked: pa.Table, table: pa.Table) -> pa.Table:
         if not asked.num_rows:
@@ -352,13 +379,13 @@ def perplexities(docs: DataFrame, labels: DataFrame, order: int, scratch: Scratc
             known.append((low[some].astype(np.uint64), value[some]))
         out = []
         for block, payload in zip(asked.column("block").to_pylist(), asked.column("keys").to_pylist(), strict=True):
-            keys = ns.request_keys(payload)
-            found = np.full((len(keys), 2), np.nan, np.float32)
+            keys = ns.unpacked_keys(payload)
+            found = np.full((2, len(keys)), np.nan, np.float32)
             for i, (lows, vs) in enumerate(known):
                 if len(lows):
                     at = np.minimum(np.searchsorted(lows, keys), len(lows) - 1)
-                    found[:, i] = np.where(lows[at] == keys, vs[at], np.float32(np.nan))
-            out.append({"block": block, "shard": shard, "found": ns.reply(found)})
+                    found[i] = np.where(lows[at] == keys, vs[at], np.float32(np.nan))
+            out.append({"block": block, "shard": shard, "found": ns.packed_floats(found)})
         return ns.table_of(out, reply_schema)
 
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -368,15 +395,15 @@ def perplexities(docs: DataFrame, labels: DataFrame, order: int, scratch: Scratc
         chars = np.zeros((2, len(docs)), np.int64)
         logs = np.zeros((2, 2, len(docs)))
         read = [(some, grams, grams.wanted()) for some, grams in by_model(docs, order)]
-        keys = block_keys(w for _, _, wanted in read for w in wanted)
-        found = ns.replies(right, np.float32).reshape(-1, 2)
+        _, places = block_keys(w for _, _, wanted in read for w in wanted)
+        replies = sorted(zip(right.column("shard").to_pylist(), right.column("found").to_pylist(), strict=True))
+        found, weights = np.concatenate([ns.unpacked_floats(p).reshape(2, -1) for _, p in replies], axis=1)
         for some, grams, wanted in read:
             kind = grams.kind
             plain = np.full(len(grams.top), uniform[kind])
             alone = plain.copy()
-            for has, gram, context in wanted:
-                v = found[np.searchsorted(keys, ns.shard_keys(gram, shards)), 0].astype(float)
-                w = found[np.searchsorted(keys, ns.shard_keys(context, shards)), 1].astype(float)
+            for has, _, _ in wanted:
+                v, w = found[next(places)].astype(float), weights[next(places)].astype(float)
                 # A context never seen leaves the shorter one's probability as it is.
                 plain[has] = np.where(np.isnan(w), plain[has], np.abs(np.nan_to_num(v)) + np.abs(np.nan_to_num(w)) * plain[has])
                 others = np.where(np.signbit(v), 0.0, np.nan_to_num(v)) + np.nan_to_num(w) * alone[has]
@@ -388,13 +415,15 @@ def perplexities(docs: DataFrame, labels: DataFrame, order: int, scratch: Scratc
                 for i, logarithm in enumerate((plain, alone)):
                     per_unit = np.bincount(layer.unit, logarithm[number][layer.number], layer.units)
                     logs[kind, i] += np.bincount(layer.owners, per_unit[layer.tokens], len(docs))
+        del read, found, weights, places
+        release_memory()
         trusted = np.array([d[2] for d in docs]) == 1
         return pa.Table.from_arrays([
             pa.array([d[0] for d in docs], pa.int64()), pa.array([d[3] for d in docs], pa.string()), pa.array([d[2] for d in docs], pa.int32()),
             *[c for kind in (WORDS, TEXT) for c in (pa.array(chars[kind]), pa.array(logs[kind, 0]), pa.array(logs[kind, 1], mask=~trusted))],
         ], schema=result_schema)
 
-    asked = packed.groupBy("block").applyInArrow(ask, ns.REQUEST)
+    asked = packed.groupBy("block").applyInArrow(ask, "shard int, block int, keys binary")
     placed = model.mapInArrow(_keyed(shards), "shard int, low long, weight boolean, value float")
     answered = asked.groupBy("shard").cogroup(placed.groupBy("shard")).applyInArrow(answer, ns.REPLY)
     scored = packed.groupBy("block").cogroup(answered.groupBy("block")).applyInArrow(

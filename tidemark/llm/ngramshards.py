@@ -21,6 +21,8 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import small_batches
+
 BLOCK_BYTES = 8 << 20
 LOW = (1 << 40) - 1
 PACKED = "block int, ids binary, lengths binary, flags binary, langs array<string>, payload binary"
@@ -69,7 +71,7 @@ def packed_blocks(docs: DataFrame, blocks: int) -> DataFrame:
         yield from flushed()
 
     dealt = docs.select("doc_id", "text", "flag", "lang", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int").alias("block"))
-    return dealt.mapInArrow(run, PACKED).repartition(blocks, "block")
+    return small_batches(dealt).mapInArrow(run, PACKED).repartition(blocks, "block")
 
 
 def block_texts(rows) -> Iterator[tuple[int, bytes, int, str | None]]:
@@ -111,6 +113,64 @@ def requests(block: int, keys, counts, shards: int) -> list[dict]:
     return rows
 
 
+def packed_planes(values, *before) -> bytes:
+    """Numbers byte by byte, each place packed on its own, after any other arrays; lengths come first."""
+    import numpy as np
+    import zstandard
+
+    pack = zstandard.ZstdCompressor(level=1).compress
+    width = values.itemsize * (values.shape[1] if values.ndim > 1 else 1)
+    parts = [pack(np.ascontiguousarray(p).tobytes()) for p in (*before, *values.view(np.uint8).reshape(len(values), width).T)]
+    return np.array([len(p) for p in parts], np.uint32).tobytes() + b"".join(parts)
+
+
+def unpacked_planes(payload: bytes, parts: int) -> list:
+    """The byte arrays of :func:`packed_planes`."""
+    import numpy as np
+    import zstandard
+
+    unpack = zstandard.ZstdDecompressor()
+    ends = 4 * parts + np.cumsum(np.frombuffer(payload, np.uint32, parts), dtype=np.int64)
+    return [np.frombuffer(unpack.decompress(payload[a:b], max_output_size=1 << 31), np.uint8) for a, b in zip([4 * parts, *ends[:-1].tolist()], ends.tolist(), strict=True)]
+
+
+def packed_keys(keys) -> bytes:
+    """Sorted distinct keys of one shard: the steps between their 40 bits, which need fewer bytes."""
+    import numpy as np
+
+    low = keys & np.uint64(LOW)
+    steps = np.diff(low, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8)
+    return packed_planes(np.ascontiguousarray(steps[:, :5]))
+
+
+def unpacked_keys(payload: bytes):
+    import numpy as np
+
+    planes = unpacked_planes(payload, 5)
+    wide = np.zeros((len(planes[0]), 8), np.uint8)
+    for i, plane in enumerate(planes):
+        wide[:, i] = plane
+    return np.cumsum(wide.view(np.uint64).ravel(), dtype=np.uint64)
+
+
+def packed_floats(values) -> bytes:
+    """32-bit numbers, of which NaN take a bit only."""
+    import numpy as np
+
+    flat = values.ravel()
+    known = ~np.isnan(flat)
+    return packed_planes(flat[known], np.array([len(flat)], np.int64).view(np.uint8), np.packbits(known))
+
+
+def unpacked_floats(payload: bytes):
+    import numpy as np
+
+    n, known, *planes = unpacked_planes(payload, 6)
+    out = np.full(n.view(np.int64)[0], np.nan, np.float32)
+    out[np.unpackbits(known, count=len(out)).astype(bool)] = np.column_stack(planes).view(np.float32).ravel()
+    return out
+
+
 def request_keys(payload: bytes):
     import numpy as np
 
