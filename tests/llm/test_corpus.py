@@ -96,6 +96,18 @@ def test_minhash(docs, empty):
     assert minhash.near_duplicates(empty).count() == 0
 
 
+def test_few_texts_are_held_at_once(spark, docs):
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for step in (minhash.near_duplicates, lambda d: packing.pack(d, queries.tokenizer_path()), lambda d: ngramshards.packed_blocks(
+            d.selectExpr("doc_id", "cast(text as binary) text", "0 flag", "lang"), 1)):
+        step(docs)
+        assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 1000
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    hasher = textarrays.WordHasher()
+    hasher(np.frombuffer(b"word " * 10_000, np.uint8))
+    assert len(hasher.up) < 1.5 * 50_000
+
+
 def test_minhash_of_one_large_group(spark):
     """Copies with one word changed each, linked only through their original."""
     base = [f"b{i}" for i in range(100)]

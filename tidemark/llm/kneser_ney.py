@@ -51,7 +51,7 @@ WORDS, TEXT = 0, 1
 PARTS = ("word", "text")
 BLOCK_BYTES = 10 << 20
 # Blocks are read in parts of about this size.
-PART_BYTES = 4 << 20
+PART_BYTES = 3 << 19
 
 
 class Layer:

@@ -32,7 +32,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Scratch, arrow_chunks, arrow_rows, join_checked, linked_components, tasks_of
+from tidemark.llm.common import Scratch, arrow_chunks, arrow_rows, join_checked, linked_components, release_memory, small_batches, tasks_of
 
 WORDS, PERCENT = 5, 75
 MINIMA, ROWS, BITS = 128, 4, 4
@@ -42,6 +42,8 @@ MARGIN = 0.16
 # The longer signature keeps one bit of each minimum.
 LONGER = 1024
 LONGER_MARGIN = 0.083
+# Texts worked on together; a chunk's arrays take some 60 times this.
+CHUNK_BYTES = 1 << 18
 
 
 def _sketches(docs: DataFrame, words: int) -> DataFrame:
@@ -64,7 +66,7 @@ def _sketches(docs: DataFrame, words: int) -> DataFrame:
         hasher = ta.WordHasher()
 
         def rows():
-            for held, data, bounds in ta.chunks(arrow_rows(batches, ["doc_id", "text"]), 1):
+            for held, data, bounds in ta.chunks(arrow_rows(batches, ["doc_id", "text"]), 1, CHUNK_BYTES):
                 sets = ta.shingle_sets(data, bounds, hasher, words)
                 sizes = np.array([len(s) for s in sets])
                 full = np.flatnonzero(sizes)
@@ -90,9 +92,10 @@ def _sketches(docs: DataFrame, words: int) -> DataFrame:
                     yield doc_id, int(sizes[i]), int(named[i, 0].view(np.int64)), int(named[i, 1].view(np.int64)), keys[i] if sizes[i] else [], *packed[i].tolist()
 
         yield from arrow_chunks(rows(), schema)
+        release_memory()
 
     longs = ", ".join(f"s{i} long" for i in range(LONGS))
-    return docs.mapInArrow(run, f"doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, {longs}")
+    return small_batches(docs).mapInArrow(run, f"doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, {longs}")
 
 
 def estimate(a: str = "a_", b: str = "b_", minima: int = MINIMA, bits: int = BITS) -> Column:
@@ -129,7 +132,7 @@ def _longer(docs: DataFrame, words: int) -> DataFrame:
         hasher = ta.WordHasher()
 
         def rows():
-            for held, data, bounds in ta.chunks(arrow_rows(batches, ["doc_id", "text"]), 1):
+            for held, data, bounds in ta.chunks(arrow_rows(batches, ["doc_id", "text"]), 1, CHUNK_BYTES):
                 sets = ta.shingle_sets(data, bounds, hasher, words)
                 full = [i for i, s in enumerate(sets) if len(s)]
                 if not full:
@@ -149,8 +152,9 @@ def _longer(docs: DataFrame, words: int) -> DataFrame:
                     yield held[i][0], int(sizes[j]), *packed[j].tolist()
 
         yield from arrow_chunks(rows(), schema)
+        release_memory()
 
-    return docs.mapInArrow(run, "doc_id long, n long, " + ", ".join(f"s{i} long" for i in range(longs)))
+    return small_batches(docs).mapInArrow(run, "doc_id long, n long, " + ", ".join(f"s{i} long" for i in range(longs)))
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int, scratch: Scratch) -> DataFrame:
@@ -175,13 +179,14 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int, scra
         hasher = ta.WordHasher()
 
         def rows():
-            for held, data, bounds in ta.chunks(arrow_rows(batches, ["doc_id", "text"]), 1):
+            for held, data, bounds in ta.chunks(arrow_rows(batches, ["doc_id", "text"]), 1, CHUNK_BYTES):
                 for (doc_id, _), members in zip(held, ta.shingle_sets(data, bounds, hasher, words), strict=True):
                     yield doc_id, members.tobytes()
 
         yield from arrow_chunks(rows(), set_schema, 500)
+        release_memory()
 
-    sets = scratch.put(join_checked(docs, needed, "doc_id").mapInArrow(sets_of, "doc_id long, members binary"), "sets", "snappy")
+    sets = scratch.put(small_batches(join_checked(docs, needed, "doc_id")).mapInArrow(sets_of, "doc_id long, members binary"), "sets", "snappy")
     partners = dealt.join(sets, dealt["a"] == sets["doc_id"]).select("b", "salt", F.lit(1).alias("role"), "a", "members")
     hubs = dealt.select("b", "salt").distinct().join(sets, F.col("b") == F.col("doc_id")).select(
         "b", "salt", F.lit(0).alias("role"), F.lit(None).cast("long").alias("a"), "members"

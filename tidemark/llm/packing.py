@@ -23,7 +23,7 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Scratch, arrow_chunks, arrow_rows, running_total
+from tidemark.llm.common import Scratch, arrow_chunks, arrow_rows, release_memory, running_total, small_batches
 
 LENGTH = 2048
 END_ID = 1
@@ -110,9 +110,11 @@ def cut_documents(docs: DataFrame, tokenizer_file: str, length: int, id_column:
                     yield (*row, part) if with_ids else row
 
         yield from arrow_chunks(pieces(), schema)
+        del encode
+        release_memory()
 
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("binary").alias("text"))
-    return rows.mapInArrow(cut, PIECES + (", ids binary" if with_ids else ""))
+    return small_batches(rows).mapInArrow(cut, PIECES + (", ids binary" if with_ids else ""))
 
 
 def shortest_pack_first(histogram: dict[int, int], length: int) -> list[tuple[tuple[int, ...], int]]:
