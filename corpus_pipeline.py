@@ -9,6 +9,9 @@ from tidemark.llm import exact_dedup, kneser_ney, minhash, mixing, packing
 from tidemark.llm.common import Scratch, join_checked
 from tidemark.llm.queries import table, tokenizer_path
 
+# Executors that have run all stages have less memory left than those of one operator alone.
+QUALITY_SIZES = {"block_bytes": 2 << 20, "part_bytes": 512 << 10, "shard_bytes": kneser_ney.BLOCK_BYTES}
+
 
 def _without(docs: DataFrame, decided: DataFrame, label: str) -> DataFrame:
     """``docs`` less those whose id is not kept in ``decided``; rows of one id stand or fall together."""
@@ -18,7 +21,8 @@ def _without(docs: DataFrame, decided: DataFrame, label: str) -> DataFrame:
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the model of trusted text does not reject."""
-    return _without(docs, kneser_ney.quality(docs, table(spark, sf_dir, "labels")), "quality-gone")
+    decided = kneser_ney.quality(docs, table(spark, sf_dir, "labels"), **QUALITY_SIZES)
+    return _without(docs, decided, "quality-gone")
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ import itertools
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -12,6 +13,7 @@ import duckdb
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from tidemark.llm import backoff, embeddings, exact_dedup, html_extract, kneser_ney, minhash, mixing, ngramshards, packing, queries, suffix_dedup, textarrays, toxicity
 
 SF = "/root/testdata/sf0.001"
@@ -197,6 +199,36 @@ def test_kneser_ney(spark, docs, empty):
     assert all(r["kept"] for r in kneser_ney.quality(docs, labels.where("false")).collect())
 
 
+def test_running_text_tells_first_words_from_others():
+    """A word that begins one document and stands inside another has other n-grams there."""
+    texts = [b"houses stand", b"the houses stand", b"stand houses houses", b"houses"]
+    for docs in (list(enumerate(texts)), list(enumerate(texts[::-1]))):
+        expected = Counter(s[max(0, j - 4) : j + 1] for _, t in docs for s in ["\n" + t.decode() + "\r"] for j in range(1, len(s)))
+        for part_bytes in (1, 1 << 20):
+            some, grams = next((some, grams) for some, grams in kneser_ney.by_model(docs, 5, part_bytes) if grams.kind == kneser_ney.TEXT)
+            names = ["".join(chr(c[i]) for c in grams.codes[: grams.reach[i]][::-1]) for i in range(len(grams.top))]
+            got = Counter()
+            for layer, number in zip(some, grams.number, strict=True):
+                uses = np.bincount(layer.tokens, minlength=layer.units)[layer.unit]
+                for i, n in zip(number[layer.number].tolist(), uses.tolist(), strict=True):
+                    got[names[i]] += n
+            assert got == expected
+
+
+def test_pipeline_counts_quality_in_little_memory():
+    """After all stages an executor of 3000 MB has some 150 MB left for each task's arrays; blocks of 10 MB took 400."""
+    sizes = corpus_pipeline.QUALITY_SIZES
+    rng = random.Random(4)
+    known = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 9))) for _ in range(3000)]
+    text = " ".join(rng.choices(known, k=sizes["block_bytes"] // 4)).encode()
+    docs = [(i, text[at : at + 4_000]) for i, at in enumerate(range(0, sizes["block_bytes"], 4_000))]
+    tracemalloc.start()
+    kneser_ney.by_model(docs, 5, sizes["part_bytes"])
+    used = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert used < 110e6
+
+
 def test_requests_and_replies_of_shards_are_small():
     rng = np.random.default_rng(3)
     for n in (1, 2, 7000):
@@ -239,6 +271,10 @@ def test_quality_reads_running_text(spark):
         rows = {r["doc_id"]: r for r in got.collect()}
         assert [rows[i]["kept"] for i in (100, 101, 102, 103)] == [False, False, False, True]
         assert sum(rows[i]["kept"] for i in range(60)) >= 58
+    # Fewer shards than blocks, and blocks read in small parts, change nothing.
+    small = kneser_ney.quality(spark.createDataFrame(good + other, "doc_id long, text string, lang string"), labels, block_bytes=5_000, shard_bytes=20_000, part_bytes=1_000)
+    for r in small.collect():
+        assert r["kept"] == rows[r["doc_id"]]["kept"] and r["text_perplexity"] == pytest.approx(rows[r["doc_id"]]["text_perplexity"], rel=1e-9)
     # Each trusted document is held out: a text that only it has does not lower the limit.
     lone = [(200, "zyxw vuts " * 40, "en")]
     more = spark.createDataFrame([(i, 1, 0) for i in [*range(60), 200]], "doc_id long, quality int, toxic int")

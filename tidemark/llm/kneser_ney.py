@@ -104,9 +104,9 @@ class Grams:
         return out
 
 
-def by_model(docs: list[tuple], order: int) -> list[tuple[list[Layer], Grams]]:
+def by_model(docs: list[tuple], order: int, part_bytes: int = PART_BYTES) -> list[tuple[list[Layer], Grams]]:
     """The layers of each model in some documents, with their n-grams."""
-    parts = list(layers(docs, order))
+    parts = list(layers(docs, order, part_bytes))
     some = [[layer for part in parts for layer in part if layer.kind == kind] for kind in (WORDS, TEXT)]
     out = [(found, Grams(found)) for found in some if found]
     release_memory()
@@ -166,11 +166,11 @@ def spread(starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndar
     return np.arange(len(of)) - np.repeat(np.cumsum(lengths) - lengths, lengths) + starts[of], of
 
 
-def layers(docs: list[tuple], order: int) -> Iterator[list[Layer]]:
+def layers(docs: list[tuple], order: int, part_bytes: int = PART_BYTES) -> Iterator[list[Layer]]:
     """Per part of a block: words on their own, the insides of words in running text, and what spans their borders.
 
-    From the ``order - 1``-th character on, a word's characters are predicted from the word alone;
-    those before depend on the last symbols in front of the word too.
+    From the ``order - 1``-th character on, a word's characters are predicted from the word and from
+    whether it begins the document; those before depend on the last symbols in front of the word too.
     """
     held: list[tuple[int, bytes]] = []
     size = 0
@@ -180,7 +180,7 @@ def layers(docs: list[tuple], order: int) -> Iterator[list[Layer]]:
         if words:
             held.append((i, b"\n" + b" ".join(words) + b"\r"))
             size += len(held[-1][1])
-        if held and (size >= PART_BYTES or i == len(docs) - 1):
+        if held and (size >= part_bytes or i == len(docs) - 1):
             if size + 1 > len(powers[0]):
                 powers = [ta.powers(size + 1, of) for of in (ta.BASE, ta.INVERSE)]
             yield _layers(b"".join(t for _, t in held), np.array([j for j, _ in held]), order, *powers)
@@ -202,8 +202,9 @@ def _layers(joined: bytes, numbers: np.ndarray, order: int, up: np.ndarray, down
     with np.errstate(over="ignore"):
         sums = np.zeros(n + 1, np.uint64)
         np.cumsum(values()[codes] * up[:n], out=sums[1:])
-        # The symbol after a word is predicted too: a blank or the end.
-        word = ta.mixed((sums[stops + 1] - sums[starts]) * down[starts] + (stops - starts).astype(np.uint64) * step)
+        # The symbol after a word is predicted too: a blank or the end. The one before it, a blank or the
+        # begin mark, is in the n-gram of the first character inside.
+        word = ta.mixed((sums[stops + 1] - sums[starts]) * down[starts] + ((stops - starts) * 2 + opens).astype(np.uint64) * step)
         low, high = np.maximum(starts - order + 1, begins), np.minimum(starts + order - 2, stops + 1)
         border = ta.mixed((sums[high] - sums[low]) * down[low] + ((high - low) * 64 + (starts - low)).astype(np.uint64) * step)
     del sums
@@ -223,14 +224,14 @@ def _layers(joined: bytes, numbers: np.ndarray, order: int, up: np.ndarray, down
 COUNTED = "kind int, gram string, n long, low long, high long"
 
 
-def _counted(order: int, most: int):
+def _counted(order: int, most: int, part_bytes: int = PART_BYTES):
     """Counts of the longest n-grams of trusted documents, about ``most`` bytes of text at a time, with the least and greatest id that has them."""
     schema = pa.schema([("kind", pa.int32()), ("gram", pa.string()), ("n", pa.int64()), ("low", pa.int64()), ("high", pa.int64())])
 
     def counted(docs: list[tuple]) -> Iterator[pa.RecordBatch]:
         docs.sort(key=lambda d: d[0])
         ids = np.array([d[0] for d in docs], np.int64)
-        for some, grams in by_model(docs, order):
+        for some, grams in by_model(docs, order, part_bytes):
             uses = []
             for layer, number in zip(some, grams.number, strict=True):
                 # Documents are in the order of their ids, so the first and last use tell the least and greatest.
@@ -332,18 +333,20 @@ def _keyed(shards: int):
 
 
 def perplexities(docs: DataFrame, labels: DataFrame, order: int, scratch: Scratch, id_column: str, text_column: str, lang_column: str,
-                 block_bytes: int) -> DataFrame:
+                 block_bytes: int, shard_bytes: int | None = None, part_bytes: int = PART_BYTES) -> DataFrame:
     """doc_id, lang, trusted of every document, and for words and running text each: n_chars, log_probability, held_out.
 
     ``held_out`` is the log probability without what the model has from this document alone; null if it is not trusted.
     """
-    blocks = shards = ns.block_count(docs, text_column, block_bytes)
+    blocks = ns.block_count(docs, text_column, block_bytes)
+    # Each block writes to each shard, so smaller blocks alone would bring messages by the square.
+    shards = max(1, -(-blocks * block_bytes // (shard_bytes or block_bytes)))
     good = scratch.put(labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(1).alias("flag")).distinct(), "good")
     texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("binary").alias("text"),
                         F.col(lang_column).cast("string").alias("lang"))
     rows = join_checked(texts, good, "doc_id", "left").withColumn("flag", F.coalesce("flag", F.lit(0)))
     packed = ns.packed_blocks(rows, blocks)
-    counts = rows.where("flag = 1").select("doc_id", "text").mapInArrow(_counted(order, block_bytes), COUNTED)
+    counts = rows.where("flag = 1").select("doc_id", "text").mapInArrow(_counted(order, block_bytes, part_bytes), COUNTED)
     model = model_table(counts, order, scratch)
     sizes = dict(model.groupBy("kind").count().collect())
     uniform = [1.0 / max(1, sizes.get(kind, 0)) for kind in (WORDS, TEXT)]
@@ -361,7 +364,7 @@ def perplexities(docs: DataFrame, labels: DataFrame, order: int, scratch: Scratc
 
     def ask(table: pa.Table) -> pa.Table:
         block = table.column("block")[0].as_py()
-        keys, _ = block_keys(w for _, grams in by_model(ns.block_texts(table), order) for w in grams.wanted())
+        keys, _ = block_keys(w for _, grams in by_model(ns.block_texts(table), order, part_bytes) for w in grams.wanted())
         ends = np.searchsorted(keys, np.arange(shards + 1, dtype=np.uint64) << np.uint64(40))
         release_memory()
         rows = [{"shard": i, "block": block, "keys": ns.packed_keys(keys[a:b])} for i, (a, b) in enumerate(zip(ends[:-1], ends[1:], strict=True)) if b > a]
@@ -394,7 +397,7 @@ def perplexities(docs: DataFrame, labels: DataFrame, order: int, scratch: Scratc
         docs = ns.block_texts(left)
         chars = np.zeros((2, len(docs)), np.int64)
         logs = np.zeros((2, 2, len(docs)))
-        read = [(some, grams, grams.wanted()) for some, grams in by_model(docs, order)]
+        read = [(some, grams, grams.wanted()) for some, grams in by_model(docs, order, part_bytes)]
         _, places = block_keys(w for _, _, wanted in read for w in wanted)
         replies = sorted(zip(right.column("shard").to_pylist(), right.column("found").to_pylist(), strict=True))
         found, weights = np.concatenate([ns.unpacked_floats(p).reshape(2, -1) for _, p in replies], axis=1)
@@ -433,10 +436,14 @@ def perplexities(docs: DataFrame, labels: DataFrame, order: int, scratch: Scratc
 
 
 def quality(docs: DataFrame, labels: DataFrame, order: int = ORDER, quantile: float = QUANTILE,
-            id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang", block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """doc_id, lang, perplexity, threshold (inside words), text_perplexity, text_threshold (running text), kept; one row per row."""
+            id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang", block_bytes: int = BLOCK_BYTES,
+            shard_bytes: int | None = None, part_bytes: int = PART_BYTES) -> DataFrame:
+    """doc_id, lang, perplexity, threshold (inside words), text_perplexity, text_threshold (running text), kept; one row per row.
+
+    A task's memory follows ``block_bytes`` and ``part_bytes``; there is a shard of the model for each ``shard_bytes`` of text, by default for each block.
+    """
     scratch = Scratch(docs.sparkSession, "quality")
-    scored = perplexities(docs, labels, order, scratch, id_column, text_column, lang_column, block_bytes)
+    scored = perplexities(docs, labels, order, scratch, id_column, text_column, lang_column, block_bytes, shard_bytes, part_bytes)
     of = lambda part, logs: F.when(F.col(f"{part}_n_chars") > 0, F.exp(-F.col(f"{part}_{logs}") / F.col(f"{part}_n_chars")))
     trusted = scored.where("trusted = 1 and word_n_chars > 0")
     at = [F.percentile_approx(of(p, "held_out"), F.lit(quantile), F.lit(10_000)).alias(f"{p}_limit") for p in PARTS]
