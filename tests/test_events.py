@@ -232,3 +232,18 @@ def test_load_writes_a_batch_without_repeated_ids_once(spark, tmp_path, monkeypa
     assert n == store.read().count() == landed.count() and "batch" not in labels
     assert store.load(prepare_events(landed.unionByName(landed.limit(3)))) == n + 3
     assert store.read().count() == n
+
+
+def test_undeclared_fields_are_opened_without_naming_their_types(spark):
+    """The whole type of each value was named again for every question about it."""
+    cases = {
+        '{"id":"7","a":{"b":{"c":{"d":true}}},"a.b":5.0}': {"a.b.c.d": "1", "a.b": "5"},
+        '{"x":"{","y":{"z":"true","w":false}}': {"x": "{", "y.z": "true", "y.w": "0"},
+        '{"a":1,"b":true,"s":"false"}': {"a": "1", "b": "1", "s": "false"},
+        '{"id":"7"}': None,
+    }
+    rows = spark.createDataFrame([(i, text) for i, text in enumerate(cases)], "i int, event string")
+    opened = attributes.with_other_fields(rows, "event", ["id"])
+    assert [r["other"] for r in opened.orderBy("i").collect()] == list(cases.values())
+    plan = opened._jdf.queryExecution().optimizedPlan().toString()
+    assert "schema_of_variant" not in plan.lower() and "schemaofvariant" not in plan.lower()

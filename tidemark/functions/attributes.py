@@ -20,12 +20,15 @@ from tidemark.functions.text import strip
 # on its plan than on a small batch.
 
 
+# The type of a value shows in its JSON text, where strings are quoted; naming its whole type takes longer.
+
+
 def _is_object(value: str) -> str:
-    return f"startswith(schema_of_variant({value}), 'OBJECT<')"
+    return f"startswith(to_json({value}), '{{')"
 
 
 def _is_boolean(value: str) -> str:
-    return f"schema_of_variant({value}) = 'BOOLEAN'"
+    return f"to_json({value}) IN ('true', 'false')"
 
 
 def _stored_text(value: str) -> str:
@@ -48,9 +51,10 @@ _OPEN_NESTED = f"""flatten(transform(opened, e -> CASE WHEN {_is_object("e.value
                    c -> named_struct('key', concat_ws('.', e.key, c.key), 'value', c.value))
     ELSE array(e) END))"""
 
-# The entries of ``_fields`` opened level by level until none holds an object.
-_OPEN_ALL = f"""reduce(sequence(1, _braces), map_entries(_fields), (opened, n) ->
-    CASE WHEN exists(opened, x -> {_is_object("x.value")}) THEN {_OPEN_NESTED} ELSE opened END)"""
+# The entries of ``_once``, whose outermost objects are opened, opened level by level until none holds an
+# object. Two braces are those of the whole and of one object in it, so a third is the first to be one deeper.
+_OPEN_ALL = f"""CASE WHEN _braces < 3 THEN _once ELSE reduce(sequence(3, _braces), _once, (opened, n) ->
+    CASE WHEN exists(opened, x -> {_is_object("x.value")}) THEN {_OPEN_NESTED} ELSE opened END) END"""
 
 # Opened entries as a map of dotted path to text; a repeated path keeps its last.
 _ENTRIES_TO_MAP = f"""map_from_entries(transform(
@@ -59,14 +63,14 @@ _ENTRIES_TO_MAP = f"""map_from_entries(transform(
     e -> named_struct('key', e.key, 'value', {_stored_text("e.value")})))"""
 
 
-def with_parsed(df: DataFrame, source: str) -> DataFrame:
+def with_parsed(df: DataFrame, source: str, both: bool = True) -> DataFrame:
     """Parse a JSON object text; blank, malformed and other texts give null.
 
     Adds ``_obj`` (the object), ``_text`` (its top level as text), ``_fields``
     (its top level with types) and ``_braces`` (which bounds its nesting).
     ``_fields`` is only there when the source text can hold a boolean or a
     nested object, the two kinds whose stored form depends on the type; most
-    rows need just the plain text.
+    rows need just the plain text. Unless ``both``, rows that have ``_fields`` have no ``_text``.
 
     The text is parsed as the only element of an array, so that anything after
     the object makes it malformed. Each step is its own projection: the
@@ -84,7 +88,7 @@ def with_parsed(df: DataFrame, source: str) -> DataFrame:
             "CASE WHEN try_variant_get(_list, '$[1]', 'variant') IS NULL THEN try_variant_get(_list, '$[0]', 'variant') END"
         ))
         .withColumns({
-            "_text": F.expr("CAST(_obj AS map<string,string>)"),
+            "_text": F.expr("CAST(_obj AS map<string,string>)" if both else f"CASE WHEN NOT ({typed}) THEN CAST(_obj AS map<string,string>) END"),
             "_fields": F.expr(f"CASE WHEN {typed} THEN CAST(_obj AS map<string,variant>) END"),
         })
         .drop("_body", "_list")
@@ -100,11 +104,12 @@ def with_attribute_map(parsed: DataFrame) -> DataFrame:
     nested = f"_braces > 1 AND exists(map_values(_fields), v -> {_is_object('v')})"
     typed = f"transform_values(_fields, (k, v) -> {_stored_text('v')})"
     return (
-        parsed.withColumn("_entries", F.expr(f"CASE WHEN {nested} THEN {_OPEN_ALL} END"))
+        parsed.withColumn("_once", F.expr(f"CASE WHEN {nested} THEN transform(array(map_entries(_fields)), opened -> {_OPEN_NESTED})[0] END"))
+        .withColumn("_entries", F.expr(f"CASE WHEN _once IS NOT NULL THEN {_OPEN_ALL} END"))
         .withColumn("attrs", F.expr(
             f"CASE WHEN _entries IS NOT NULL THEN {_ENTRIES_TO_MAP} WHEN _fields IS NOT NULL THEN {typed} ELSE _text END"
         ))
-        .drop("_entries")
+        .drop("_once", "_entries")
     )
 
 
@@ -116,7 +121,7 @@ def with_other_fields(df: DataFrame, source: str, known: Iterable[str]) -> DataF
     """
     names = ", ".join(f"'{n}'" for n in known)
     unknown = F.expr(f"CASE WHEN size(array_except(json_object_keys({source}), array({names}))) > 0 THEN {source} END")
-    parsed = with_parsed(df.withColumn("_unknown", unknown), "_unknown")
+    parsed = with_parsed(df.withColumn("_unknown", unknown), "_unknown", both=False)
     kept = {c: F.expr(f"map_filter({c}, (k, v) -> k NOT IN ({names}))") for c in ("_text", "_fields")}
     opened = with_attribute_map(parsed.withColumns(kept)).withColumnRenamed("attrs", "other")
     return opened.drop("_unknown", "_obj", "_text", "_fields", "_braces")
