@@ -11,6 +11,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -256,6 +257,44 @@ def test_equal_ngrams_have_one_number():
                 assert all((c != 0).sum() == (layer.reach > i).sum() for i, c in enumerate(layer.codes))
 
 
+def test_ngrams_of_each_order_are_asked_once():
+    """The ends of longer n-grams were asked once for each longer n-gram."""
+    texts = ["houses stand", "the houses  stand\tthere", "\x01a \x00b", "", "日本 語 houses"]
+    docs = [(i, t.encode(), 0, None) for i, t in enumerate(texts)]
+    for order, part_bytes in itertools.product((2, 5), (1, 1 << 20)):
+        for _, grams in kneser_ney.by_model(docs, order, part_bytes):
+            names = [tuple(int(c[i]) for c in grams.codes[: grams.reach[i]]) for i in range(len(grams.top))]
+            levels, below = grams.levels(), []
+            assert sorted(np.concatenate([level.longest for level in levels]).tolist()) == list(range(len(names)))
+            for k, level in enumerate(levels, 1):
+                known = {int(kneser_ney.key([np.array([c]) for c in g], k, grams.kind)[0]): g for g in {n[:k] for n in names if len(n) >= k}}
+                found = [known[h] for h in level.keys.tolist()]
+                assert len(found) == len(set(found)) == len(known)
+                before = [int(kneser_ney.key([np.array([c]) for c in g[1:]], k - 1, grams.kind)[0]) if k > 1 else int(kneser_ney.empty_key(grams.kind)[0]) for g in found]
+                assert level.contexts.tolist() == before
+                assert all(found[e] == names[at] for at, e in zip(level.longest.tolist(), level.ends.tolist(), strict=True))
+                assert k == 1 or [below[i] for i in level.shorter.tolist()] == [g[:-1] for g in found]
+                below = found
+
+
+def test_trusted_counts_leave_in_small_batches():
+    """An executor kept the memory that one batch of a whole block took."""
+    rng = random.Random(5)
+    text = " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(20_000)).encode()
+    batches = list(kneser_ney._counted(5, 1 << 20)(iter([pa.RecordBatch.from_pydict({"doc_id": [1], "text": [text]})])))
+    assert max(b.num_rows for b in batches) <= 20_000
+    rows = Counter()
+    for b in batches:
+        for kind, gram, n in zip(*[b.column(c).to_pylist() for c in ("kind", "gram", "n")], strict=True):
+            assert (kind, gram) not in rows
+            rows[kind, gram] = n
+    whole = "\n" + text.decode() + "\r"
+    expected = Counter((kneser_ney.TEXT, whole[max(0, j - 4) : j + 1]) for j in range(1, len(whole)))
+    for w in text.decode().split():
+        expected.update((kneser_ney.WORDS, f"\n{w}\r"[max(0, j - 4) : j + 1]) for j in range(1, len(w) + 2))
+    assert rows == expected
+
+
 def test_quality_reads_running_text(spark):
     """A repeated word and words out of order are made of normal words; only n-grams across blanks see them."""
     rng = random.Random(3)

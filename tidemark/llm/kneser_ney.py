@@ -20,7 +20,7 @@ distinct n-grams (see ``ngramshards``), so neither the table nor the counts must
 one place. Here n-grams are told apart by 40 bits of a hash within their shard.
 Most characters of running text depend on their own word alone, the first ones also on
 the end of what stands before; each such word and border is worked out once per part
-of a block (see ``Layer``), each distinct n-gram once per block.
+of a block (see ``Layer``), each distinct n-gram of any order once per block (see ``Level``).
 
 A document without words (null or empty text) has no perplexity and is kept, as is
 everything if no document is trusted. The null language is one of its own. Labels
@@ -52,6 +52,8 @@ PARTS = ("word", "text")
 BLOCK_BYTES = 10 << 20
 # Blocks are read in parts of about this size.
 PART_BYTES = 4 << 20
+# Rows of counts handed to Spark at once; an executor keeps the memory that a batch once took.
+COUNTED_ROWS = 20_000
 
 
 class Layer:
@@ -68,7 +70,7 @@ class Layer:
         self.kind, self.order, self.units = kind, order, units
         # A part has far fewer than 2**31 of anything, and a block's layers are held at a time.
         self.unit, self.tokens, self.owners = unit.astype(np.int32), tokens.astype(np.int32), owners.astype(np.int32)
-        reach = np.minimum(reach, order)
+        reach = np.minimum(reach, order).astype(np.int8)
         # Equal n-grams are found by their symbols as they stand; only the distinct ones are written out.
         number, first, _ = distinct(_sums(codes, at, reach, order))
         self.number = number.astype(np.int32)
@@ -81,7 +83,11 @@ class Layer:
                 symbols[i] = np.where((symbols[i] == GAP) & (reach == i + 1), BEGIN, symbols[i])
         self.codes = [np.where(reach > i, c, 0) for i, c in enumerate(symbols)]
         self.top = key(self.codes, order, kind)
-        self.reach = reach.astype(np.int8)
+        self.reach = reach
+
+    def forget(self) -> None:
+        """Drop what :class:`Grams` has taken over."""
+        del self.codes, self.top, self.reach
 
 
 class Grams:
@@ -94,14 +100,35 @@ class Grams:
         self.codes = [np.concatenate([layer.codes[i] for layer in some])[first] for i in range(self.order)]
         self.reach = np.concatenate([layer.reach for layer in some])[first]
 
-    def wanted(self) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """Per order: which n-grams have it, their keys and those of their contexts."""
-        out = []
-        for k in range(1, self.order + 1):
-            has = self.reach >= k
-            some = [c[has] for c in self.codes]
-            out.append((has, key(some, k, self.kind), key(some[1:], k - 1, self.kind) if k > 1 else empty_key(self.kind).repeat(len(some[0]))))
-        return out
+    def levels(self) -> list[Level]:
+        """The distinct n-grams of each order, from 1 on, among the ends of the longest ones."""
+        out: list[Level] = []
+        rows = np.zeros(0, np.int64)
+        sums = np.zeros(0, np.uint64)
+        with np.errstate(over="ignore"):
+            for k in range(self.order, 0, -1):
+                longest = np.flatnonzero(self.reach == k)
+                # Without its first symbol an n-gram is one of the order below.
+                sums -= values()[self.codes[k][rows]] * _factor(k) if len(rows) else np.uint64(0)
+                number, first, sums = distinct(np.concatenate([sums, _sum([c[longest] for c in self.codes[:k]])]))
+                if out:
+                    out[-1].shorter = number[: len(rows)]
+                ends, rows = number[len(rows) :], np.concatenate([rows, longest])[first]
+                before = (sums - values()[self.codes[0][rows]] * _factor(0)) * np.uint64(pow(ta.STEP, -2, 1 << 64))
+                out.append(Level(_mixed(sums, k, self.kind), _mixed(before, k - 1, self.kind), longest, ends))
+        out[-1].shorter = np.zeros(len(rows), np.int64)
+        return out[::-1]
+
+
+class Level:
+    """Distinct n-grams of one order: ``keys``, ``contexts`` (keys of those) and ``shorter``, where each one's end is a level below.
+
+    ``longest`` are the longest n-grams that have this order, ``ends`` where they are here.
+    """
+
+    def __init__(self, keys: np.ndarray, contexts: np.ndarray, longest: np.ndarray, ends: np.ndarray):
+        self.keys, self.contexts, self.longest, self.ends = keys, contexts, longest, ends
+        self.shorter = ends
 
 
 def by_model(docs: list[tuple], order: int, part_bytes: int = PART_BYTES) -> list[tuple[list[Layer], Grams]]:
@@ -116,8 +143,8 @@ def by_model(docs: list[tuple], order: int, part_bytes: int = PART_BYTES) -> lis
 def distinct(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Number of each element among the distinct ones, where each of these stands first, and their values."""
     number, values = pd.factorize(hashes)
-    first = np.empty(len(values), np.int64)
-    first[number[::-1]] = np.arange(len(hashes))[::-1]
+    # Numbers are given in order of first occurrence.
+    first = np.flatnonzero(np.diff(np.maximum.accumulate(number), prepend=-1))
     return number, first, values
 
 
@@ -131,28 +158,47 @@ def values() -> np.ndarray:
     return _VALUES[0]
 
 
-def key(symbols: list[np.ndarray], k: int, kind: int) -> np.ndarray:
-    """64-bit hashes of k-grams given by their symbols, the last one first; missing symbols are 0."""
+def _factor(i: int) -> np.uint64:
+    return np.uint64(pow(ta.STEP, 2 * i + 1, 1 << 64))
+
+
+def _sum(symbols: list[np.ndarray]) -> np.ndarray:
     total = np.zeros(len(symbols[0]), np.uint64)
     with np.errstate(over="ignore"):
-        for i, c in enumerate(symbols[:k]):
-            total += values()[c] * np.uint64(pow(ta.STEP, 2 * i + 1, 1 << 64))
-        return ta.mixed(total + np.uint64(k + 64 * kind))
+        for i, c in enumerate(symbols):
+            total += values()[c] * _factor(i)
+    return total
+
+
+def _mixed(sums: np.ndarray, k: int, kind: int) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return ta.mixed(sums + np.uint64(k + 64 * kind))
+
+
+def key(symbols: list[np.ndarray], k: int, kind: int) -> np.ndarray:
+    """64-bit hashes of k-grams given by their symbols, the last one first; missing symbols are 0."""
+    return _mixed(_sum(symbols[:k]), k, kind)
 
 
 def _sums(codes: np.ndarray, at: np.ndarray, reach: np.ndarray, order: int) -> np.ndarray:
     """A 64-bit hash of the last ``reach`` symbols before and at each place, the number of symbols counted in."""
-    known = np.concatenate([np.zeros(order, np.uint64), values()[codes]])
+    known = values()[codes]
     least = int(reach.min()) if len(reach) else order
-    total = np.zeros(len(at), np.uint64)
+    total = np.zeros(len(codes), np.uint64)
+    term = np.empty_like(known)
+    fewer = []
     with np.errstate(over="ignore"):
         for i in range(order):
-            some = known[order - i :][at]
-            some *= np.uint64(pow(ta.STEP, 2 * i + 1, 1 << 64))
-            if i >= least:
-                some[reach <= i] = 0
-            total += some
-        return total + reach.astype(np.uint64) * np.uint64(ta.BASE)
+            # All places are summed, since neighbours in memory are read many times faster than places one by one.
+            n = max(0, len(known) - i)
+            total[i:] += np.multiply(known[:n], _factor(i), out=term[:n])
+            if least <= i + 1 < order:
+                some = np.flatnonzero(reach == i + 1)
+                fewer.append((some, total[at[some]]))
+        out = total[at]
+        for some, found in fewer:
+            out[some] = found
+        return out + (np.arange(order + 1, dtype=np.uint64) * np.uint64(ta.BASE))[reach]
 
 
 def empty_key(kind: int) -> np.ndarray:
@@ -160,10 +206,21 @@ def empty_key(kind: int) -> np.ndarray:
         return ta.mixed(np.array([64 * kind], np.uint64))
 
 
-def spread(starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All numbers of ranges, and the range each is from."""
+def stretches(codes: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Stretches of ``codes`` one after another, and for each symbol its stretch and its place there."""
     of = np.repeat(np.arange(len(starts)), lengths)
-    return np.arange(len(of)) - np.repeat(np.cumsum(lengths) - lengths, lengths) + starts[of], of
+    place = np.arange(len(of)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    return codes[place + starts[of]], of, place
+
+
+# All white space that parts words becomes a blank.
+_BLANKS = bytes.maketrans(b"\t\n\v\f\r", b"     ")
+
+
+def _single_spaced(text: bytes) -> bytes:
+    """Words parted by one blank each."""
+    text = text.translate(_BLANKS).strip(b" ")
+    return b" ".join(text.split()) if b"  " in text else text
 
 
 def layers(docs: list[tuple], order: int, part_bytes: int = PART_BYTES) -> Iterator[list[Layer]]:
@@ -176,9 +233,9 @@ def layers(docs: list[tuple], order: int, part_bytes: int = PART_BYTES) -> Itera
     size = 0
     powers = [np.zeros(0, np.uint64)] * 2
     for i, doc in enumerate(docs):
-        words = doc[1].split()
+        words = _single_spaced(doc[1])
         if words:
-            held.append((i, b"\n" + b" ".join(words) + b"\r"))
+            held.append((i, b"\n" + words + b"\r"))
             size += len(held[-1][1])
         if held and (size >= part_bytes or i == len(docs) - 1):
             if size + 1 > len(powers[0]):
@@ -189,11 +246,17 @@ def layers(docs: list[tuple], order: int, part_bytes: int = PART_BYTES) -> Itera
 
 def _layers(joined: bytes, numbers: np.ndarray, order: int, up: np.ndarray, down: np.ndarray) -> list[Layer]:
     codes = np.frombuffer(joined.decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
-    # Zeros stand for missing symbols.
-    codes = np.where(codes == 0, np.uint32(0x0B), codes)
-    edges = np.flatnonzero((codes == GAP) | (codes == BEGIN) | (codes == END))
-    starts, stops = edges[codes[edges] != END] + 1, edges[codes[edges] != BEGIN]
-    opens = codes[starts - 1] == BEGIN
+    if b"\0" in joined:
+        # Zeros stand for missing symbols.
+        codes = np.where(codes == 0, np.uint32(0x0B), codes)
+    # Other control characters are parts of words.
+    edges = np.flatnonzero(codes <= GAP)
+    marks = codes[edges]
+    begun, ended = marks == BEGIN, marks == END
+    parting = begun | ended | (marks == GAP)
+    if not parting.all():
+        edges, begun, ended = edges[parting], begun[parting], ended[parting]
+    starts, stops, opens = edges[~ended] + 1, edges[~begun], begun[~ended]
     local = np.cumsum(opens) - 1
     begins = (starts[opens] - 1)[local]
     owners = numbers[local]
@@ -201,24 +264,31 @@ def _layers(joined: bytes, numbers: np.ndarray, order: int, up: np.ndarray, down
     step = np.uint64(ta.STEP)
     with np.errstate(over="ignore"):
         sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(values()[codes] * up[:n], out=sums[1:])
+        hashed = values()[codes]
+        hashed *= up[:n]
+        np.cumsum(hashed, out=sums[1:])
         # The symbol after a word is predicted too: a blank or the end. The one before it, a blank or the
         # begin mark, is in the n-gram of the first character inside.
         word = ta.mixed((sums[stops + 1] - sums[starts]) * down[starts] + ((stops - starts) * 2 + opens).astype(np.uint64) * step)
         low, high = np.maximum(starts - order + 1, begins), np.minimum(starts + order - 2, stops + 1)
         border = ta.mixed((sums[high] - sums[low]) * down[low] + ((high - low) * 64 + (starts - low)).astype(np.uint64) * step)
-    del sums
+    del sums, hashed
     word_of, at, _ = distinct(word)
     border_of, by, _ = distinct(border)
-    a, b = starts[at], stops[at]
-    alone, of_alone = spread(a, b - a + 1)
-    inside, of_inside = spread(a + order - 2, np.maximum(b - a - order + 3, 0))
-    across, of_across = spread(starts[by], high[by] - starts[by])
-    return [
-        Layer(WORDS, order, np.where((codes == BEGIN) | (codes == END), np.uint32(GAP), codes), alone, alone - a[of_alone] + 2, of_alone, word_of, owners, len(at), alone == b[of_alone]),
-        Layer(TEXT, order, codes, inside, np.full(len(inside), order), of_inside, word_of, owners, len(at)),
-        Layer(TEXT, order, codes, across, across - begins[by][of_across] + 1, of_across, border_of, owners, len(by)),
-    ]
+    # Each distinct word with the symbols on both sides of it.
+    lengths = stops[at] - starts[at] + 2
+    alone, of_alone, place = stretches(codes, starts[at] - 1, lengths)
+    predicted, inside = np.flatnonzero(place > 0), np.flatnonzero(place >= order - 1)
+    marks = np.where((alone == BEGIN) | (alone == END), np.uint32(GAP), alone)
+    words = Layer(WORDS, order, marks, predicted, place[predicted] + 1, of_alone[predicted], word_of, owners, len(at),
+                  place[predicted] == lengths[of_alone[predicted]] - 1)
+    insides = Layer(TEXT, order, alone, inside, np.full(len(inside), order), of_alone[inside], word_of, owners, len(at))
+    del alone, of_alone, place, predicted, inside, marks
+    low = low[by]
+    across, of_across, place = stretches(codes, low, high[by] - low)
+    predicted = np.flatnonzero(place >= (starts[by] - low)[of_across])
+    borders = Layer(TEXT, order, across, predicted, place[predicted] + 1, of_across[predicted], border_of, owners, len(by))
+    return [words, insides, borders]
 
 
 COUNTED = "kind int, gram string, n long, low long, high long"
@@ -240,12 +310,14 @@ def _counted(order: int, most: int, part_bytes: int = PART_BYTES):
                 low[layer.tokens[::-1]] = ids[layer.owners[::-1]]
                 high[layer.tokens] = ids[layer.owners]
                 uses.append((number, *by_number(layer.number, len(number), n[layer.unit], low[layer.unit], high[layer.unit])))
+                layer.forget()
             n, low, high = by_number(np.concatenate([u[0] for u in uses]), len(grams.top), *[np.concatenate([u[i] for u in uses]) for i in (1, 2, 3)])
             # Symbols in reading order; what is missing goes behind and is no part of the string.
             place = grams.reach[:, None].astype(np.int64) - 1 - np.arange(order)[None, :]
             text = np.where(place >= 0, np.take_along_axis(np.column_stack(grams.codes), np.maximum(place, 0), 1), 0)
             strings = np.ascontiguousarray(text.astype(np.uint32)).view(f"<U{order}").ravel()
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(n), grams.kind, np.int32)), pa.array(strings, pa.string()), *map(pa.array, (n, low, high))], schema=schema)
+            batch = pa.RecordBatch.from_arrays([pa.array(np.full(len(n), grams.kind, np.int32)), pa.array(strings, pa.string()), *map(pa.array, (n, low, high))], schema=schema)
+            yield from (batch.slice(at, COUNTED_ROWS) for at in range(0, len(n), COUNTED_ROWS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -355,16 +427,16 @@ def perplexities(docs: DataFrame, labels: DataFrame, order: int, scratch: Scratc
     result_schema = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), ("trusted", pa.int32()),
                                *[(f"{part}_{c}", t) for part in PARTS for c, t in (("n_chars", pa.int64()), ("log_probability", pa.float64()), ("held_out", pa.float64()))]])
 
-    def block_keys(wanted: Iterable) -> tuple[np.ndarray, Iterator[np.ndarray]]:
-        """Sorted keys of all n-grams and contexts in a block, those of the empty context always among them, and where each one wanted is."""
-        some = [empty_key(WORDS), empty_key(TEXT), *[hashes for w in wanted for hashes in w[1:]]]
+    def block_keys(levels: Iterable[Level]) -> tuple[np.ndarray, Iterator[np.ndarray]]:
+        """Sorted keys of all n-grams and contexts in a block, those of the empty context always among them, and where each level's are."""
+        some = [empty_key(WORDS), empty_key(TEXT), *[hashes for level in levels for hashes in (level.keys, level.contexts)]]
         number, found = pd.factorize(np.concatenate(some))
         keys, place = ta.distinct_places(ns.shard_keys(found, shards))
         return keys, iter(np.split(place[number], np.cumsum([len(h) for h in some])[1:-1])[1:])
 
     def ask(table: pa.Table) -> pa.Table:
         block = table.column("block")[0].as_py()
-        keys, _ = block_keys(w for _, grams in by_model(ns.block_texts(table), order, part_bytes) for w in grams.wanted())
+        keys, _ = block_keys(level for grams in [g for _, g in by_model(ns.block_texts(table), order, part_bytes)] for level in grams.levels())
         ends = np.searchsorted(keys, np.arange(shards + 1, dtype=np.uint64) << np.uint64(40))
         release_memory()
         rows = [{"shard": i, "block": block, "keys": ns.packed_keys(keys[a:b])} for i, (a, b) in enumerate(zip(ends[:-1], ends[1:], strict=True)) if b > a]
@@ -389,6 +461,8 @@ def perplexities(docs: DataFrame, labels: DataFrame, order: int, scratch: Scratc
                     at = np.minimum(np.searchsorted(lows, keys), len(lows) - 1)
                     found[i] = np.where(lows[at] == keys, vs[at], np.float32(np.nan))
             out.append({"block": block, "shard": shard, "found": ns.packed_floats(found)})
+        del known, low, is_weight, value
+        release_memory()
         return ns.table_of(out, reply_schema)
 
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -397,22 +471,28 @@ def perplexities(docs: DataFrame, labels: DataFrame, order: int, scratch: Scratc
         docs = ns.block_texts(left)
         chars = np.zeros((2, len(docs)), np.int64)
         logs = np.zeros((2, 2, len(docs)))
-        read = [(some, grams, grams.wanted()) for some, grams in by_model(docs, order, part_bytes)]
-        _, places = block_keys(w for _, _, wanted in read for w in wanted)
+        read = []
+        for some, grams in by_model(docs, order, part_bytes):
+            for layer in some:
+                layer.forget()
+            read.append((some, grams.kind, grams.number, len(grams.top), grams.levels()))
+            del grams
+        _, places = block_keys(level for *_, levels in read for level in levels)
         replies = sorted(zip(right.column("shard").to_pylist(), right.column("found").to_pylist(), strict=True))
         found, weights = np.concatenate([ns.unpacked_floats(p).reshape(2, -1) for _, p in replies], axis=1)
-        for some, grams, wanted in read:
-            kind = grams.kind
-            plain = np.full(len(grams.top), uniform[kind])
-            alone = plain.copy()
-            for has, _, _ in wanted:
+        for some, kind, numbers, size, levels in read:
+            plain, alone = np.empty(size), np.empty(size)
+            shorter = shorter_alone = np.full(1, uniform[kind])
+            for level in levels:
                 v, w = found[next(places)].astype(float), weights[next(places)].astype(float)
+                shorter, shorter_alone = shorter[level.shorter], shorter_alone[level.shorter]
                 # A context never seen leaves the shorter one's probability as it is.
-                plain[has] = np.where(np.isnan(w), plain[has], np.abs(np.nan_to_num(v)) + np.abs(np.nan_to_num(w)) * plain[has])
-                others = np.where(np.signbit(v), 0.0, np.nan_to_num(v)) + np.nan_to_num(w) * alone[has]
-                alone[has] = np.where(np.isnan(w) | np.signbit(w), alone[has], others)
+                others = np.where(np.signbit(v), 0.0, np.nan_to_num(v)) + np.nan_to_num(w) * shorter_alone
+                shorter_alone = np.where(np.isnan(w) | np.signbit(w), shorter_alone, others)
+                shorter = np.where(np.isnan(w), shorter, np.abs(np.nan_to_num(v)) + np.abs(np.nan_to_num(w)) * shorter)
+                plain[level.longest], alone[level.longest] = shorter[level.ends], shorter_alone[level.ends]
             plain, alone = np.log(np.maximum(plain, 1e-300)), np.log(np.maximum(alone, 1e-300))
-            for layer, number in zip(some, grams.number, strict=True):
+            for layer, number in zip(some, numbers, strict=True):
                 per_unit = np.bincount(layer.unit, minlength=layer.units)
                 chars[kind] += np.bincount(layer.owners, per_unit[layer.tokens], len(docs)).astype(np.int64)
                 for i, logarithm in enumerate((plain, alone)):
